@@ -27,8 +27,8 @@ def _targets_for(n: int, q: float):
     return lo, hi, pos - lo
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, buckets: int = 4096,
-                    max_fetch: int = 200_000, max_passes: int = 12) -> dict[str, float | None]:
+def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, buckets: int = 1024,
+                    max_fetch: int = 2_000, max_passes: int = 12) -> dict[str, float | None]:
     """Exact quantile ``q`` of each column (NULLs ignored), pandas/DuckDB semantics."""
     if not cols:
         return {}
@@ -80,20 +80,19 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, buckets: int
             b = F.least(F.floor((x - F.lit(t["lo"])) / F.lit(width)), F.lit(buckets - 1)).cast("int")
             items.append(F.when(x.between(t["lo"], t["hi"]), F.struct(F.lit(j).alias("t"), b.alias("b"), x.alias("v"))))
         hist = (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull())
-                .groupBy("s.t", "s.b").agg(F.count(F.lit(1)).alias("c"), F.min("s.v").alias("mn"), F.max("s.v").alias("mx"))
-                .collect())
-        by_t: dict[int, list] = {}
-        for r in hist:
-            by_t.setdefault(r["t"], []).append((r["b"], r["c"], r["mn"], r["mx"]))
-        for j, t in enumerate(big):
-            acc = t["below"]
-            for b, c, mn, mx in sorted(by_t.get(j, [])):
-                if acc + c > t["k"]:
-                    t.update(lo=mn, hi=mx, below=acc, cnt=c)
-                    if mn == mx:
-                        t["val"] = mn
-                    break
-                acc += c
+                .groupBy(F.col("s.t").alias("t"), F.col("s.b").alias("b"))
+                .agg(F.count(F.lit(1)).alias("c"), F.min("s.v").alias("mn"), F.max("s.v").alias("mx")))
+        # keep only the bin holding each wanted rank (<= buckets rows per target in the window)
+        want = F.element_at(F.array(*[F.lit(t["k"] - t["below"]) for t in big]), F.col("t") + 1)
+        wb = Window.partitionBy("t").orderBy("b")
+        cum = F.sum("c").over(wb.rowsBetween(Window.unboundedPreceding, 0))
+        hit = (hist.select("*", (cum - F.col("c")).alias("before"), cum.alias("upto"))
+               .where((F.col("before") <= want) & (want < F.col("upto"))).collect())
+        for r in hit:
+            t = big[r["t"]]
+            t.update(lo=r["mn"], hi=r["mx"], below=t["below"] + r["before"], cnt=r["c"])
+            if r["mn"] == r["mx"]:
+                t["val"] = r["mn"]
     out: dict[str, float | None] = {}
     for c in cols:
         if meta[c] is None:

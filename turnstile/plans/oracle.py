@@ -183,23 +183,43 @@ GOLD_DOUBLES = {"tap_success_rate", "signal_strength_dbm", "temperature_c", "res
                 "network_latency_ms", "power_voltage", "memory_usage_pct", "cpu_usage_pct", "uptime_hours",
                 "error_resolution_rate", "avg_resolution_hours", "sla_compliance_rate", "total_cost_gbp"}
 _gold_sel = ", ".join(_r(c) if c in GOLD_DOUBLES else c for c in GOLD_COLS.split(", "))
-oracle("gold_features", with_views(f"""
-SELECT {_gold_sel},
-  {', '.join(_mean(c) for c in ROLL)},
-  {', '.join(_std(c) for c in ROLL)},
-  {', '.join(_delta(c) for c in DELTA)},
+
+
+def gold_sql(rounded: bool = True) -> str:
+    """Body of the gold table (needs CTEs err_day, top_code, maint_agg, base)."""
+    sel = _gold_sel if rounded else GOLD_COLS
+    mean = (lambda c: _mean(c)) if rounded else (lambda c: f"avg({c}) OVER {W7} AS {c}_7d_mean")
+    std = (lambda c: _std(c)) if rounded else (lambda c: f"coalesce(stddev_samp({c}) OVER {W7}, 0) AS {c}_7d_std")
+    delta = (lambda c: _delta(c)) if rounded else (lambda c: f"coalesce({c} - lag({c}) OVER ({W}), 0) AS {c}_delta")
+    health = f"round({HEALTH}, 6)" if rounded else HEALTH
+    return f"""
+SELECT {sel},
+  {', '.join(mean(c) for c in ROLL)},
+  {', '.join(std(c) for c in ROLL)},
+  {', '.join(delta(c) for c in DELTA)},
   CAST(sum(error_count) OVER {RUN} AS BIGINT) AS cumulative_errors,
   CAST(sum(reboot_count) OVER {RUN} AS BIGINT) AS cumulative_reboots,
   failure_cumsum,
   CAST(row_number() OVER (PARTITION BY device_id, failure_cumsum ORDER BY date) - 1 AS INTEGER) AS days_since_last_failure,
-  round({HEALTH}, 6) AS health_score,
+  {health} AS health_score,
   CAST(CASE WHEN lead(failure_today) OVER ({W}) IS NULL THEN 0
        ELSE max(failure_today) OVER ({W} ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) END AS INTEGER) AS failure_next_3d,
   CAST(coalesce((SELECT max(x.failure_today) FROM v_telemetry x WHERE x.device_id = g.device_id
      AND x.date BETWEEN g.date + 1 AND g.date + 3), 0) AS INTEGER) AS failure_within_3d
 FROM (SELECT *, CAST(sum(failure_today) OVER {RUN} AS BIGINT) AS failure_cumsum FROM base) g
-""", "v_telemetry", "v_errors", "v_maintenance", "v_devices",
-    extra=[("err_day", ERR_DAY), ("top_code", TOP_CODE), ("maint_agg", MAINT_AGG), ("base", GOLD_BODY)]))
+"""
+
+
+GOLD_VIEWS = ("v_telemetry", "v_errors", "v_maintenance", "v_devices")
+GOLD_EXTRA = [("err_day", ERR_DAY), ("top_code", TOP_CODE), ("maint_agg", MAINT_AGG), ("base", GOLD_BODY)]
+
+
+def with_gold(body: str, *more_views: str, extra=None) -> str:
+    """``WITH <views>, gold AS (<unrounded gold>) <body>``."""
+    return with_views(body, *GOLD_VIEWS, *more_views, extra=GOLD_EXTRA + [("gold", gold_sql(False))] + (extra or []))
+
+
+oracle("gold_features", with_views(gold_sql(True), *GOLD_VIEWS, extra=GOLD_EXTRA))
 
 
 def _multi(c, n):

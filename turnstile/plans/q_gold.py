@@ -12,8 +12,7 @@ from turnstile.sources.canonical import Fleet
 
 
 def gold(spark, sf_dir):
-    f = Fleet(spark, sf_dir)
-    return feat.gold_features(f.telemetry(), f.error_logs(), f.maintenance(), f.devices())
+    return Fleet(spark, sf_dir).gold()
 
 
 @register("w1_rolling_mean")

@@ -238,11 +238,34 @@ def dirty_maintenance(orders: DataFrame, events: DataFrame) -> DataFrame:
 
 
 class Fleet:
-    """Lazily derived canonical views over one ``sf_dir``."""
+    """Lazily derived canonical views over one ``sf_dir``.
+
+    Views are lazy plans; building one is memoised per (session, sf_dir) so
+    repeated queries do not re-analyse the same plan (no data is cached).
+    """
+
+    _cache: dict = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (id(spark), sf_dir.rstrip("/"))
+        inst = cls._cache.get(key)
+        if inst is None or inst.spark is not spark:
+            inst = super().__new__(cls)
+            inst.spark = spark
+            inst.sf_dir = sf_dir
+            inst._memo = {}
+            cls._cache[key] = inst
+        return inst
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
+        pass
+
+    def _m(self, name, build):
+        df = self._memo.get(name)
+        if df is None:
+            df = build()
+            self._memo[name] = df
+        return df
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -252,28 +275,41 @@ class Fleet:
         return self.table("events")
 
     def telemetry(self) -> DataFrame:
-        return telemetry(self.events)
+        return self._m("telemetry", lambda: telemetry(self.events))
 
     def error_logs(self) -> DataFrame:
-        return error_logs(self.events)
+        return self._m("error_logs", lambda: error_logs(self.events))
 
     def devices(self) -> DataFrame:
-        return devices(self.table("customer"), self.table("nation"), self.events)
+        return self._m("devices", lambda: devices(self.table("customer"), self.table("nation"), self.events))
 
     def maintenance(self) -> DataFrame:
-        return maintenance(self.table("orders"), self.events)
+        return self._m("maintenance", lambda: maintenance(self.table("orders"), self.events))
 
     def requests(self) -> DataFrame:
-        return requests(self.events)
+        return self._m("requests", lambda: requests(self.events))
 
     def dirty_telemetry(self) -> DataFrame:
-        return dirty_telemetry(self.events)
+        return self._m("dirty_telemetry", lambda: dirty_telemetry(self.events))
 
     def dirty_error_logs(self) -> DataFrame:
-        return dirty_error_logs(self.events)
+        return self._m("dirty_error_logs", lambda: dirty_error_logs(self.events))
 
     def dirty_devices(self) -> DataFrame:
-        return dirty_devices(self.table("customer"), self.table("nation"), self.events)
+        return self._m("dirty_devices", lambda: dirty_devices(self.table("customer"), self.table("nation"), self.events))
+
+    def silver_telemetry(self) -> DataFrame:
+        from turnstile.operators.clean import clean_telemetry
+        return self._m("silver_telemetry", lambda: clean_telemetry(self.dirty_telemetry()))
+
+    def silver_devices(self) -> DataFrame:
+        from turnstile.operators.clean import clean_devices
+        return self._m("silver_devices", lambda: clean_devices(self.dirty_devices()))
+
+    def gold(self) -> DataFrame:
+        from turnstile.operators.features import gold_features
+        return self._m("gold", lambda: gold_features(self.telemetry(), self.error_logs(), self.maintenance(),
+                                                     self.devices()))
 
     def dirty_maintenance(self) -> DataFrame:
-        return dirty_maintenance(self.table("orders"), self.events)
+        return self._m("dirty_maintenance", lambda: dirty_maintenance(self.table("orders"), self.events))

@@ -10,8 +10,17 @@ DRIVER_TABLES = (
 ).split()
 
 
+_READS: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one driver table (the lazy plan is reused per session)."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _READS[key] = df
+    return df
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
