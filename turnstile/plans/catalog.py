@@ -23,5 +23,5 @@ def register(name: str):
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # importing the modules fills QUERIES
-    from turnstile.plans import q_gold, q_silver, q_store  # noqa: F401
+    from turnstile.plans import q_gold, q_patterns, q_silver, q_store  # noqa: F401
     return dict(QUERIES)
