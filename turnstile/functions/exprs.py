@@ -47,11 +47,32 @@ DELTA_COLS = ["signal_strength_dbm", "temperature_c", "error_count", "response_t
 TIER_LABELS = ["LOW", "MEDIUM", "HIGH", "CRITICAL"]
 BATCH_TIER_EDGES = [-0.01, 0.2, 0.4, 0.7, 1.01]
 SERVING_TIERS = [  # (lower bound inclusive, tier, confidence, action)
-    (0.7, "CRITICAL", "high", "Immediate maintenance required within 24 hours"),
-    (0.4, "HIGH", "medium", "Schedule maintenance within 3 days"),
-    (0.2, "MEDIUM", "medium", "Monitor closely, schedule preventive check"),
-    (0.0, "LOW", "high", "Normal operation, routine monitoring"),
+    (0.7, "CRITICAL", "HIGH", "EMERGENCY: Immediate replacement needed"),
+    (0.4, "HIGH", "HIGH", "Schedule corrective maintenance within 48h"),
+    (0.2, "MEDIUM", "MEDIUM", "Monitor closely, plan preventive maintenance"),
+    (0.0, "LOW", "HIGH", "No immediate action needed"),
 ]
+# rule-based SLA score tiers: (lower bound inclusive, tier, action)
+SLA_RULE_TIERS = [
+    (70, "CRITICAL", "EMERGENCY: Schedule immediate replacement"),
+    (50, "HIGH", "Schedule maintenance within 48 hours"),
+    (30, "MEDIUM", "Plan preventive maintenance within 1 week"),
+    (0, "LOW", "Continue standard monitoring"),
+]
+# root-cause threshold rules, in rule order: (factor, column, op, threshold, impact)
+ROOT_CAUSE_RULES = [
+    ("Low signal strength", "signal_strength_dbm", "<", 60, "HIGH"),
+    ("High temperature", "temperature_c", ">", 50, "HIGH"),
+    ("High error count", "error_count", ">=", 5, "HIGH"),
+    ("High memory usage", "memory_usage_pct", ">", 80, "MEDIUM"),
+    ("High CPU usage", "cpu_usage_pct", ">", 75, "MEDIUM"),
+    ("Low tap success rate", "tap_success_rate", "<", 0.85, "HIGH"),
+    ("Slow response time", "response_time_ms", ">", 300, "MEDIUM"),
+    ("Old device", "age_days", ">", 1000, "MEDIUM"),
+    ("Low uptime", "uptime_hours", "<", 20, "MEDIUM"),
+]
+NO_CAUSE = "No significant risk factors"
+IMPACT_RANK = {"HIGH": 0, "MEDIUM": 1, "LOW": 2}
 
 
 def np_round(c: Column | str, digits: int = 0) -> Column:
