@@ -4,3 +4,50 @@ from __future__ import annotations
 
 from turnstile.plans.oracle import oracle, with_gold  # noqa: F401
 from turnstile.plans.oracle_views import with_views  # noqa: F401
+
+SPC = ["signal_strength_dbm", "temperature_c", "response_time_ms", "error_count", "tap_success_rate", "health_score"]
+DM = "\nUNION ALL\n".join(
+    f"SELECT date, '{c}' AS feature, avg(CAST({c} AS DOUBLE)) AS daily_mean FROM gold GROUP BY date" for c in SPC)
+LIM = """
+SELECT feature, avg(daily_mean) AS center_line, stddev_samp(daily_mean) AS sigma,
+  avg(daily_mean) + 3 * stddev_samp(daily_mean) AS ucl, avg(daily_mean) - 3 * stddev_samp(daily_mean) AS lcl,
+  avg(daily_mean) + 2 * stddev_samp(daily_mean) AS uwl, avg(daily_mean) - 2 * stddev_samp(daily_mean) AS lwl
+FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY date) AS rn FROM dm) b WHERE rn <= 7
+GROUP BY feature
+"""
+PTS = """
+SELECT d.date, d.feature, d.daily_mean, l.center_line, l.ucl, l.lcl, l.uwl, l.lwl,
+  d.daily_mean > l.ucl OR d.daily_mean < l.lcl AS violation,
+  (d.daily_mean > l.uwl AND d.daily_mean <= l.ucl) OR (d.daily_mean < l.lwl AND d.daily_mean >= l.lcl) AS warning
+FROM dm d JOIN lim l ON d.feature = l.feature
+"""
+SPC_EXTRA = [("dm", DM), ("lim", LIM), ("pts", PTS)]
+oracle("a10_fleet_daily_means", with_gold(
+    "SELECT date, feature, round(daily_mean, 6) AS daily_mean FROM dm", extra=SPC_EXTRA[:1]))
+oracle("w12_spc_points", with_gold("""
+SELECT date, feature, round(daily_mean, 6) AS daily_mean, round(center_line, 6) AS center_line,
+  round(ucl, 6) AS ucl, round(lcl, 6) AS lcl, round(uwl, 6) AS uwl, round(lwl, 6) AS lwl, violation, warning
+FROM pts""", extra=SPC_EXTRA))
+oracle("w12_spc_summary", with_gold("""
+SELECT feature, count(*) FILTER (WHERE violation) AS violations, count(*) FILTER (WHERE warning) AS warnings,
+  round(round(any_value(center_line), 3), 6) AS center_line, round(round(any_value(ucl), 3), 6) AS ucl,
+  round(round(any_value(lcl), 3), 6) AS lcl
+FROM pts GROUP BY feature""", extra=SPC_EXTRA))
+oracle("w13_western_electric", with_gold("""
+SELECT date, feature, round(daily_mean, 6) AS daily_mean, round(mu, 6) AS mu, round(sd, 6) AS sd, beyond,
+  sum(beyond) OVER (PARTITION BY feature ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) >= 2 AS rule2_warning
+FROM (SELECT *, CAST(coalesce(abs(daily_mean - mu) > 2 * sd, FALSE) AS INTEGER) AS beyond FROM (
+  SELECT date, feature, daily_mean,
+    avg(daily_mean) OVER (PARTITION BY feature ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS mu,
+    stddev_samp(daily_mean) OVER (PARTITION BY feature ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sd
+  FROM dm) a) b""", extra=SPC_EXTRA[:1]))
+_vals = "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM gold" for c in SPC)
+oracle("a21_outside_limits", with_gold("""
+SELECT v.feature, count(*) FILTER (WHERE v.value > l.ucl OR v.value < l.lcl) AS outside
+FROM vals v JOIN lim l ON v.feature = l.feature GROUP BY v.feature""", extra=SPC_EXTRA[:2] + [("vals", _vals)]))
+ANOM = ["signal_strength_dbm", "temperature_c", "response_time_ms", "network_latency_ms", "power_voltage",
+        "memory_usage_pct", "cpu_usage_pct", "error_count", "tap_success_rate", "uptime_hours", "health_score"]
+_z = ", ".join(
+    f"round((CAST({c} AS DOUBLE) - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1), 6) AS {c}"
+    for c in ANOM)
+oracle("p15_zscore", with_gold(f"SELECT device_id, date, {_z} FROM gold"))

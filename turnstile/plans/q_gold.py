@@ -114,7 +114,8 @@ def j3_device_join(spark, sf_dir):
 
 @register("gold_features")
 def gold_features(spark, sf_dir):
-    return round_doubles(gold(spark, sf_dir))
+    """The flagship: the whole gold table computed from the raw tables (not the written copy)."""
+    return round_doubles(Fleet(spark, sf_dir).gold_plan())
 
 
 @register("b6_rolling_multi")

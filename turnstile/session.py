@@ -70,3 +70,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
+
+    This is the medallion hand-off (a layer is written once, the next layer
+    reads it): lineage is cut, a lost executor only re-reads files, and readers
+    get column pruning and predicate pushdown on the written table.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.parquet(path)

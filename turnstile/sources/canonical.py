@@ -306,10 +306,17 @@ class Fleet:
         from turnstile.operators.clean import clean_devices
         return self._m("silver_devices", lambda: clean_devices(self.dirty_devices()))
 
-    def gold(self) -> DataFrame:
+    def gold_plan(self) -> DataFrame:
+        """The gold feature table as a lazy plan from the raw tables."""
         from turnstile.operators.features import gold_features
-        return self._m("gold", lambda: gold_features(self.telemetry(), self.error_logs(), self.maintenance(),
-                                                     self.devices()))
+        return self._m("gold_plan", lambda: gold_features(self.telemetry(), self.error_logs(), self.maintenance(),
+                                                          self.devices()))
+
+    def gold(self) -> DataFrame:
+        """The gold table written once to the shared checkpoint folder, for the downstream
+        analytics (each reads only the columns it needs)."""
+        from turnstile.session import materialize
+        return self._m("gold", lambda: materialize(self.gold_plan(), "gold"))
 
     def dirty_maintenance(self) -> DataFrame:
         return self._m("dirty_maintenance", lambda: dirty_maintenance(self.table("orders"), self.events))
