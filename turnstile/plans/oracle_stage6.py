@@ -51,3 +51,65 @@ _z = ", ".join(
     f"round((CAST({c} AS DOUBLE) - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1), 6) AS {c}"
     for c in ANOM)
 oracle("p15_zscore", with_gold(f"SELECT device_id, date, {_z} FROM gold"))
+
+# ------------------------------------------------------------------ CDC
+T_VALS = ["daily_taps", "tap_success_rate", "signal_strength_dbm", "temperature_c", "response_time_ms",
+          "network_latency_ms", "power_voltage", "memory_usage_pct", "cpu_usage_pct", "error_count",
+          "reboot_count", "uptime_hours", "failure_today"]
+BATCH = """
+SELECT * REPLACE (cpu_usage_pct + CASE WHEN device_id % 3 = 0 THEN 1 ELSE 0 END AS cpu_usage_pct)
+FROM v_telemetry WHERE date = DATE '2024-01-15' AND device_id % 7 <> 0
+UNION ALL
+SELECT * REPLACE (DATE '2024-01-15' AS date) FROM v_telemetry
+WHERE date = DATE '2024-01-14' AND device_id % 11 = 0
+  AND device_id NOT IN (SELECT device_id FROM v_telemetry WHERE date = DATE '2024-01-15')
+"""
+_diff = " OR ".join(f"coalesce(CAST(n.{c} AS DOUBLE), 0) <> coalesce(CAST(o.{c} AS DOUBLE), 0)" for c in T_VALS)
+CHANGES = f"""
+SELECT coalesce(n.device_id, o.device_id) AS device_id, coalesce(n.date, o.date) AS date,
+  CASE WHEN o.device_id IS NULL THEN 'INSERT' WHEN n.device_id IS NULL THEN 'DELETE'
+       WHEN {_diff} THEN 'UPDATE' ELSE 'UNCHANGED' END AS change_type,
+  CASE WHEN n.device_id IS NULL THEN o.cpu_usage_pct ELSE n.cpu_usage_pct END AS cpu_usage_pct,
+  CASE WHEN n.device_id IS NULL THEN o.error_count ELSE n.error_count END AS error_count
+FROM batch n FULL OUTER JOIN (SELECT * FROM v_telemetry WHERE date IN (SELECT date FROM batch)) o
+  ON n.device_id = o.device_id AND n.date = o.date
+"""
+CDC_EXTRA = [("batch", BATCH), ("changes", CHANGES)]
+oracle("c3_detect_changes", with_views(
+    "SELECT device_id, date, change_type, round(cpu_usage_pct, 6) AS cpu_usage_pct FROM changes",
+    "v_telemetry", extra=CDC_EXTRA))
+oracle("c4_apply_changes", with_views("""
+SELECT DISTINCT device_id, date, round(cpu_usage_pct, 6) AS cpu_usage_pct, error_count FROM (
+  SELECT device_id, date, cpu_usage_pct, error_count FROM v_telemetry t
+  WHERE NOT EXISTS (SELECT 1 FROM changes c WHERE c.device_id = t.device_id AND c.date = t.date
+                    AND c.change_type IN ('INSERT', 'UPDATE', 'DELETE'))
+  UNION ALL
+  SELECT device_id, date, cpu_usage_pct, error_count FROM changes WHERE change_type IN ('INSERT', 'UPDATE')) m""",
+    "v_telemetry", extra=CDC_EXTRA))
+oracle("c5_cdc_log", with_views("""
+SELECT 'telemetry' AS table_name, DATE '2024-01-15' AS batch_date,
+  count(*) FILTER (WHERE change_type = 'INSERT') AS inserts, count(*) FILTER (WHERE change_type = 'UPDATE') AS updates,
+  count(*) FILTER (WHERE change_type = 'DELETE') AS deletes FROM changes""", "v_telemetry", extra=CDC_EXTRA))
+
+_ROLL = ["signal_strength_dbm", "temperature_c", "response_time_ms", "network_latency_ms",
+         "error_count", "tap_success_rate", "memory_usage_pct", "cpu_usage_pct"]
+_DELTA = ["signal_strength_dbm", "temperature_c", "error_count", "response_time_ms"]
+_inc_cols = ([f"round({c}_7d_mean, 6) AS {c}_7d_mean" for c in _ROLL] + [f"round({c}_7d_std, 6) AS {c}_7d_std" for c in _ROLL]
+             + [f"{c}_delta" if c == "error_count" else f"round({c}_delta, 6) AS {c}_delta" for c in _DELTA]
+             + ["cumulative_errors", "cumulative_reboots", "failure_cumsum", "days_since_last_failure",
+                "round(health_score, 6) AS health_score"])
+oracle("c6_incremental_features", with_gold(
+    f"SELECT device_id, date, {', '.join(_inc_cols)} FROM gold WHERE date >= DATE '2024-01-21'"))
+oracle("c8_incremental_merge", with_views(
+    "SELECT device_id, date, error_count, round(signal_strength_dbm, 6) AS signal_strength_dbm FROM v_telemetry",
+    "v_telemetry"))
+oracle("b11_device_watermarks", with_gold(
+    "SELECT device_id, max(date) AS last_date, count(*) AS rows FROM gold GROUP BY device_id"))
+oracle("b12_scd2_devices", with_views("""
+SELECT device_id, station, firmware_version, gate_type, DATE '2024-01-01' AS valid_from,
+  CASE WHEN device_id % 13 = 0 OR (device_id % 4 = 3 AND firmware_version <> 'v4.1.0') THEN DATE '2024-02-01' END AS valid_to,
+  NOT (device_id % 13 = 0 OR (device_id % 4 = 3 AND firmware_version <> 'v4.1.0')) AS is_current
+FROM v_devices
+UNION ALL
+SELECT device_id, station, 'v4.1.0', gate_type, DATE '2024-02-01', CAST(NULL AS DATE), TRUE
+FROM v_devices WHERE device_id % 13 <> 0 AND device_id % 4 = 3 AND firmware_version <> 'v4.1.0'""", "v_devices"))
