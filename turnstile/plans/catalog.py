@@ -23,5 +23,5 @@ def register(name: str):
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # importing the modules fills QUERIES
-    from turnstile.plans import q_anomaly, q_cdc, q_gold, q_patterns, q_silver, q_store, q_survival  # noqa: F401
+    from turnstile.plans import q_anomaly, q_cdc, q_drift, q_gold, q_patterns, q_silver, q_store, q_survival  # noqa: F401
     return dict(QUERIES)

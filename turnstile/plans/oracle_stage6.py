@@ -113,3 +113,72 @@ FROM v_devices
 UNION ALL
 SELECT device_id, station, 'v4.1.0', gate_type, DATE '2024-02-01', CAST(NULL AS DATE), TRUE
 FROM v_devices WHERE device_id % 13 <> 0 AND device_id % 4 = 3 AND firmware_version <> 'v4.1.0'""", "v_devices"))
+
+# ------------------------------------------------------------------ drift
+MON = ["signal_strength_dbm", "temperature_c", "response_time_ms", "network_latency_ms", "power_voltage",
+       "memory_usage_pct", "cpu_usage_pct", "error_count", "tap_success_rate", "uptime_hours", "health_score",
+       "daily_taps", "signal_strength_dbm_7d_mean", "error_count_7d_mean", "cumulative_errors"]
+CATS = ["top_error_code", "manufacturer", "firmware_version", "gate_type"]
+TAGGED = """
+SELECT *, CASE WHEN date < (SELECT date FROM (SELECT DISTINCT date FROM gold) d ORDER BY date LIMIT 1 OFFSET 20)
+  THEN 'reference' ELSE 'current' END AS period FROM gold
+"""
+LONG = "\nUNION ALL\n".join(
+    f"SELECT period, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM tagged WHERE {c} IS NOT NULL" for c in MON)
+KS = """
+SELECT feature, n_reference, n_current, ks_statistic, lam FROM (
+  SELECT feature, max(n_ref_tot) AS n_reference, max(n_cur_tot) AS n_current, max(abs(f1 - f2)) AS ks_statistic,
+    (sqrt(max(n_ref_tot) * max(n_cur_tot) / (max(n_ref_tot) + max(n_cur_tot))) + 0.12
+     + 0.11 / sqrt(max(n_ref_tot) * max(n_cur_tot) / (max(n_ref_tot) + max(n_cur_tot)))) * max(abs(f1 - f2)) AS lam
+  FROM (
+    SELECT feature, sum(n_ref) OVER (PARTITION BY feature ORDER BY value) / sum(n_ref) OVER (PARTITION BY feature) AS f1,
+      sum(n_cur) OVER (PARTITION BY feature ORDER BY value) / sum(n_cur) OVER (PARTITION BY feature) AS f2,
+      sum(n_ref) OVER (PARTITION BY feature) AS n_ref_tot, sum(n_cur) OVER (PARTITION BY feature) AS n_cur_tot
+    FROM (SELECT feature, value, count(*) FILTER (WHERE period = 'reference') AS n_ref,
+                 count(*) FILTER (WHERE period = 'current') AS n_cur FROM long GROUP BY feature, value) c) x
+  GROUP BY feature) y
+"""
+KSP = """
+SELECT feature, CAST(n_reference AS BIGINT) AS n_reference, CAST(n_current AS BIGINT) AS n_current, ks_statistic,
+  CASE WHEN lam < 0.001 THEN 1.0::DOUBLE ELSE least(1.0::DOUBLE, greatest(0.0::DOUBLE,
+    (SELECT sum(2 * power(-1, j - 1) * exp(-2 * j * j * lam * lam)) FROM range(1, 61) t(j)))) END AS p_value
+FROM ks
+"""
+DRIFT_EXTRA = [("tagged", TAGGED), ("long", LONG), ("ks", KS), ("ksp", KSP)]
+oracle("d1_period_split", with_gold(
+    "SELECT period, count(*) AS rows, min(date) AS first_date, max(date) AS last_date FROM tagged GROUP BY period",
+    extra=DRIFT_EXTRA[:1]))
+oracle("d1_daily_split", with_gold("""
+SELECT CASE WHEN date < (SELECT date FROM (SELECT DISTINCT date FROM gold) d ORDER BY date
+          LIMIT 1 OFFSET (SELECT CAST(floor(count(DISTINCT date) * 0.7) AS BIGINT) FROM gold))
+       THEN 'reference' ELSE 'current' END AS period, count(*) AS rows, min(date) AS first_date
+FROM gold GROUP BY 1"""))
+oracle("d2_ks_drift", with_gold("""
+SELECT feature, n_reference, n_current, round(ks_statistic, 6) AS ks_statistic, round(p_value, 6) AS p_value,
+  'ks' AS method, p_value < 0.05 AS drifted FROM ksp""", extra=DRIFT_EXTRA))
+oracle("d4_drift_share", with_gold("""
+SELECT count(*) AS n_features, count(*) FILTER (WHERE p_value < 0.05) AS n_drifted,
+  round(avg(CAST(p_value < 0.05 AS DOUBLE)), 6) AS drift_share FROM ksp""", extra=DRIFT_EXTRA))
+oracle("d5_retrain_decision", with_gold("""
+SELECT round(s, 6) AS drift_share, 0.3::DOUBLE AS threshold, s > 0.3 AS should_retrain,
+  'Drift share ' || printf('%.1f', s * 100) || '% ' || CASE WHEN s > 0.3 THEN 'exceeds' ELSE 'within' END
+  || ' 30% threshold' AS reason
+FROM (SELECT avg(CAST(p_value < 0.05 AS DOUBLE)) AS s FROM ksp) x""", extra=DRIFT_EXTRA))
+_cl = "\nUNION ALL\n".join(f"SELECT period, '{c}' AS feature, CAST({c} AS VARCHAR) AS category FROM tagged" for c in CATS)
+oracle("d3_chi_square", with_gold("""
+SELECT feature, round(sum(CASE WHEN e_ref > 0 THEN (o_ref - e_ref) ^ 2 / e_ref ELSE 0 END
+                        + CASE WHEN e_cur > 0 THEN (o_cur - e_cur) ^ 2 / e_cur ELSE 0 END), 6) AS chi2,
+  CAST(count(*) - 1 AS INTEGER) AS dof
+FROM (SELECT feature, o_ref, o_cur,
+        (o_ref + o_cur) * sum(o_ref) OVER w / (sum(o_ref) OVER w + sum(o_cur) OVER w) AS e_ref,
+        (o_ref + o_cur) * sum(o_cur) OVER w / (sum(o_ref) OVER w + sum(o_cur) OVER w) AS e_cur
+      FROM (SELECT feature, category, count(*) FILTER (WHERE period = 'reference') AS o_ref,
+                   count(*) FILTER (WHERE period = 'current') AS o_cur FROM cl GROUP BY feature, category) c
+      WINDOW w AS (PARTITION BY feature)) x
+GROUP BY feature""", extra=DRIFT_EXTRA[:1] + [("cl", _cl)]))
+_ds = "\nUNION ALL\n".join(f"SELECT period, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM tagged" for c in MON)
+oracle("d6_data_summary", with_gold("""
+SELECT period, feature, count(*) AS rows, count(*) FILTER (WHERE value IS NULL) AS missing,
+  round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min,
+  round(max(value), 6) AS max
+FROM ds GROUP BY period, feature""", extra=DRIFT_EXTRA[:1] + [("ds", _ds)]))
