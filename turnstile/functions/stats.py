@@ -28,8 +28,11 @@ def _targets_for(n: int, q: float):
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, buckets: int = 1024,
-                    max_fetch: int = 2_000, max_passes: int = 12) -> dict[str, float | None]:
-    """Exact quantile ``q`` of each column (NULLs ignored), pandas/DuckDB semantics."""
+                    max_fetch: int = 2_000, max_passes: int = 12,
+                    rank: int | None = None) -> dict[str, float | None]:
+    """Exact quantile ``q`` of each column (NULLs ignored), pandas/DuckDB semantics.
+
+    With ``rank`` the exact k-th smallest value (0-based) is returned instead."""
     if not cols:
         return {}
     aggs = []
@@ -45,7 +48,13 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, buckets: int
         if not n:
             meta[c] = None
             continue
-        klo, khi, frac = _targets_for(n, q)
+        if rank is not None:
+            if rank >= n:
+                meta[c] = None
+                continue
+            klo, khi, frac = rank, rank, 0.0
+        else:
+            klo, khi, frac = _targets_for(n, q)
         meta[c] = (klo, khi, frac)
         for k in sorted({klo, khi}):
             val = lo if lo == hi else None
@@ -109,6 +118,13 @@ def exact_median(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     return exact_quantiles(df, cols, 0.5)
 
 
+def value_at_rank(df: DataFrame, col: str, k: int, n: int) -> float | None:
+    """The k-th smallest (0-based) non-NULL value of ``col`` given its count ``n``."""
+    if n <= 0 or k < 0 or k >= n:
+        return None
+    return exact_quantiles(df, [col], rank=k)[col]
+
+
 def bucketed_prefix_sums(df: DataFrame, part_cols: list[str], order_col: str, sum_cols: list[str],
                          n_buckets: int = 1024, descending: bool = False, inclusive: bool = True) -> DataFrame:
     """Running sums of ``sum_cols`` per ``part_cols`` in ``order_col`` order (ties summed together

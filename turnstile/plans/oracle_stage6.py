@@ -182,3 +182,44 @@ SELECT period, feature, count(*) AS rows, count(*) FILTER (WHERE value IS NULL)
   round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min,
   round(max(value), 6) AS max
 FROM ds GROUP BY period, feature""", extra=DRIFT_EXTRA[:1] + [("ds", _ds)]))
+
+# ------------------------------------------------------------------ metrics on the rule baseline
+BASE = "SELECT failure_next_3d AS y, 1.0::DOUBLE - health_score / 100 AS s FROM gold"
+oracle("a17_class_balance", with_gold("""
+SELECT failure_next_3d, count(*) AS rows, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM gold GROUP BY failure_next_3d"""))
+oracle("m6_confusion_matrix", with_gold(
+    "SELECT y AS actual, CAST(s >= 0.5 AS INTEGER) AS predicted, count(*) AS count FROM bl GROUP BY 1, 2",
+    extra=[("bl", BASE)]))
+oracle("m5_baseline_metrics", with_gold("""
+SELECT round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy,
+  round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision,
+  round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall,
+  round(CASE WHEN tp > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1,
+  round(auc, 6) AS roc_auc, round(ap, 6) AS average_precision, tp, fp, fn, tn
+FROM (SELECT count(*) FILTER (WHERE y = 1 AND s >= 0.5) AS tp, count(*) FILTER (WHERE y <> 1 AND s >= 0.5) AS fp,
+             count(*) FILTER (WHERE y = 1 AND s < 0.5) AS fn, count(*) FILTER (WHERE y <> 1 AND s < 0.5) AS tn
+      FROM bl) c,
+     (SELECT sum(pos * (coalesce(neg_below, 0) + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc FROM (
+        SELECT pos, neg, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS neg_below
+        FROM (SELECT s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y <> 1) AS neg
+              FROM bl GROUP BY s) g) a) r,
+     (SELECT sum(pos * cp / (cp + cn)) / sum(pos) AS ap FROM (
+        SELECT pos, sum(pos) OVER (ORDER BY s DESC) AS cp, sum(neg) OVER (ORDER BY s DESC) AS cn
+        FROM (SELECT s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y <> 1) AS neg
+              FROM bl GROUP BY s) g) b) p""", extra=[("bl", BASE)]))
+oracle("w16_roc_points", with_gold("""
+SELECT round(s, 6) AS threshold, round(sum(neg) OVER w / sum(neg) OVER (), 6) AS fpr,
+  round(sum(pos) OVER w / sum(pos) OVER (), 6) AS tpr
+FROM (SELECT s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y <> 1) AS neg FROM bl GROUP BY s) g
+WINDOW w AS (ORDER BY s DESC)""", extra=[("bl", BASE)]))
+_hl = "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS treatment,
+  round(round_even(avg(y) FILTER (WHERE x > m) * 10000, 0) / 10000, 6) AS failure_rate_high,
+  round(round_even(avg(y) FILTER (WHERE x <= m) * 10000, 0) / 10000, 6) AS failure_rate_low,
+  round(round_even((avg(y) FILTER (WHERE x > m) - avg(y) FILTER (WHERE x <= m)) * 10000, 0) / 10000, 6) AS difference,
+  round(round_even(avg(y) FILTER (WHERE x > m) / greatest(avg(y) FILTER (WHERE x <= m), 0.001) * 100, 0) / 100, 6) AS risk_ratio
+FROM (SELECT CAST(failure_next_3d AS DOUBLE) AS y, coalesce({c}, 0) AS x,
+             median(coalesce({c}, 0)) OVER () AS m FROM gold) t""" for c in
+    ["error_count", "temperature_c", "signal_strength_dbm", "memory_usage_pct", "age_days", "response_time_ms"])
+oracle("a16_high_low_rates", with_gold(_hl))
