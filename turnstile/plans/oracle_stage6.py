@@ -223,3 +223,65 @@ FROM (SELECT CAST(failure_next_3d AS DOUBLE) AS y, coalesce({c}, 0) AS x,
              median(coalesce({c}, 0)) OVER () AS m FROM gold) t""" for c in
     ["error_count", "temperature_c", "signal_strength_dbm", "memory_usage_pct", "age_days", "response_time_ms"])
 oracle("a16_high_low_rates", with_gold(_hl))
+
+# ------------------------------------------------------------------ streaming as batch, sources, sinks
+TUMBLE = """
+SELECT user_id AS device_id, time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
+  time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end, count(*) AS events,
+  count(*) FILTER (WHERE event_type = 'error') AS errors,
+  round(count(*) FILTER (WHERE event_type = 'error') / count(*), 6) AS error_rate
+FROM events GROUP BY 1, 2
+"""
+oracle("st3_tumbling_counts", with_views(TUMBLE))
+oracle("st3_stream_tumbling", with_views(TUMBLE))
+oracle("st1_ingest_stream", with_views(
+    "SELECT CAST(ts AS DATE) AS date, count(*) AS events, count(DISTINCT user_id) AS devices FROM events GROUP BY 1"))
+oracle("st2_cdc_stream", with_views(
+    "SELECT device_id, date, error_count, round(cpu_usage_pct, 6) AS cpu_usage_pct FROM v_telemetry", "v_telemetry"))
+oracle("st4_dedup_stream", with_views("SELECT event_type, count(*) AS events FROM events GROUP BY 1"))
+oracle("st5_requests_per_minute", with_views("""
+SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, count(*) AS requests,
+  count(*) FILTER (WHERE NOT success) AS failures,
+  round(count(*) FILTER (WHERE NOT success) / count(*), 6) AS error_rate,
+  round(avg(duration_ms), 6) AS avg_ms, round(max(duration_ms), 6) AS max_ms
+FROM v_requests GROUP BY 1""", "v_requests"))
+oracle("st5_hourly_latency", with_views("""
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS requests,
+  round(avg(duration_ms), 6) AS avg_ms, round(max(duration_ms), 6) AS max_ms
+FROM v_requests GROUP BY 1""", "v_requests"))
+oracle("st5_requests_by_name", with_views("""
+SELECT name, count(*) AS requests, round(avg(CAST(NOT success AS DOUBLE)), 6) AS error_rate
+FROM v_requests GROUP BY 1""", "v_requests"))
+oracle("st6_sliding_alerts", with_views("""
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS requests,
+  round(avg(CAST(NOT success AS DOUBLE)), 6) AS error_rate, 'error_rate' AS alerts
+FROM (SELECT r.*, time_bucket(INTERVAL 1 MINUTE, ts) - k * INTERVAL 1 MINUTE AS window_start
+      FROM v_requests r, range(0, 5) t(k)) x
+GROUP BY window_start HAVING avg(CAST(NOT success AS DOUBLE)) > 0.1""", "v_requests"))
+oracle("st7_escalation_stream", with_views("""
+SELECT device_id, "timestamp" AS ts, from_severity, to_severity, from_error, to_error FROM esc""",
+    "v_errors", extra=[("esc", """
+SELECT * FROM (
+  SELECT device_id, "timestamp", severity AS from_severity, error_code AS from_error,
+    CASE severity WHEN 'LOW' THEN 0 WHEN 'MEDIUM' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'CRITICAL' THEN 3 END AS r,
+    lead(severity) OVER w AS to_severity, lead(error_code) OVER w AS to_error,
+    lead(CASE severity WHEN 'LOW' THEN 0 WHEN 'MEDIUM' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'CRITICAL' THEN 3 END) OVER w AS to_r
+  FROM v_errors WINDOW w AS (PARTITION BY device_id ORDER BY "timestamp", event_id)) x
+WHERE to_r > r""")]))
+_tcols = ["device_id", "date", "daily_taps", "tap_success_rate", "signal_strength_dbm", "temperature_c",
+          "response_time_ms", "network_latency_ms", "power_voltage", "memory_usage_pct", "cpu_usage_pct",
+          "error_count", "reboot_count", "uptime_hours", "failure_today"]
+_tint = {"device_id", "date", "daily_taps", "error_count", "reboot_count", "failure_today"}
+oracle("s1_csv_roundtrip", with_views(
+    "SELECT " + ", ".join(c if c in _tint else f"round({c}, 6) AS {c}" for c in _tcols) + " FROM v_telemetry",
+    "v_telemetry"))
+oracle("s4_bronze_ingest", with_views(
+    "SELECT date AS ingest_date, count(*) AS rows, count(DISTINCT device_id) AS devices FROM v_telemetry GROUP BY 1",
+    "v_telemetry"))
+oracle("s6_manifest", with_views("""
+SELECT 'telemetry' AS table_name, count(*) AS rows FROM v_telemetry
+UNION ALL SELECT 'error_logs', count(*) FROM v_errors""", "v_telemetry", "v_errors"))
+oracle("b3_schema_evolution", with_views("""
+SELECT CASE WHEN date < DATE '2024-01-15' THEN NULL WHEN device_id % 2 = 0 THEN 'stable' ELSE 'beta' END
+  AS firmware_channel, count(*) AS rows, 'firmware_channel,part' AS added_columns
+FROM v_telemetry GROUP BY 1""", "v_telemetry"))
