@@ -285,3 +285,4 @@ oracle("b3_schema_evolution", with_views("""
 SELECT CASE WHEN date < DATE '2024-01-15' THEN NULL WHEN device_id % 2 = 0 THEN 'stable' ELSE 'beta' END
   AS firmware_channel, count(*) AS rows, 'firmware_channel,part' AS added_columns
 FROM v_telemetry GROUP BY 1""", "v_telemetry"))
+from turnstile.plans import oracle_stage7  # noqa: E402,F401
