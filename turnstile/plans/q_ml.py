@@ -165,3 +165,49 @@ def d8_decision_matrix(spark, sf_dir):
     _, auc = _champion(spark, sf_dir)
     m = _all_metrics(spark, sf_dir).select("model", "roc_auc").withColumn("drift_share", F.lit(float(share)))
     return round_doubles(dr.decision_matrix(m, "drift_share", "roc_auc"), 4)
+
+
+# ------------------------------------------------------------------ attribution
+def _attr(spark, sf_dir):
+    from turnstile.operators import attribution as at
+
+    f = Fleet(spark, sf_dir)
+    if "attr" not in f._memo:
+        name, _ = _champion(spark, sf_dir)
+        model, inputs = _fit(spark, sf_dir, name)
+        d = _data(spark, sf_dir)
+        f._memo["attr"] = (at.attributions(model, d, ["device_id", "date"], inputs).persist(), inputs)
+    return f._memo["attr"]
+
+
+@register("m17_global_attribution")
+def m17_global_attribution(spark, sf_dir):
+    from turnstile.operators import attribution as at
+
+    a, inputs = _attr(spark, sf_dir)
+    return round_doubles(at.global_importance(a, inputs))
+
+
+@register("m18_local_attribution")
+def m18_local_attribution(spark, sf_dir):
+    from turnstile.operators import attribution as at
+
+    a, inputs = _attr(spark, sf_dir)
+    return round_doubles(at.local_explanation(a, inputs, 5))
+
+
+@register("m19_dependence")
+def m19_dependence(spark, sf_dir):
+    from turnstile.operators import attribution as at
+
+    a, inputs = _attr(spark, sf_dir)
+    top = at.global_importance(a, inputs).orderBy(F.col("mean_abs_attribution").desc(), "feature").first()["feature"]
+    return round_doubles(at.dependence(a, _data(spark, sf_dir), ["device_id", "date"], top, inputs))
+
+
+@register("b15_attribution_drift")
+def b15_attribution_drift(spark, sf_dir):
+    from turnstile.operators import attribution as at
+
+    a, inputs = _attr(spark, sf_dir)
+    return round_doubles(at.attribution_drift(a, inputs))
