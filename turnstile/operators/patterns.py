@@ -114,11 +114,33 @@ def rule_metrics(rules: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- W9 / M13 / M14
+def consecutive_pairs(errors: DataFrame, cols: list[str], order=("timestamp", "event_id")) -> DataFrame:
+    """Each event of a device with the device's next event (``next_<col>``), in time order.
+
+    A per-device window would put a device that sends a third of all events in
+    one task.  Instead the window runs per device-day, and the pairs that cross a
+    day boundary (last event of a day -> first event of the device's next active
+    day) come from a per-device-day table (one row per active day) whose window
+    is bounded by the calendar."""
+    day = F.to_date("timestamp").alias("_day")
+    e = errors.select("device_id", day, *[F.col(c) for c in set(cols) | set(order)])
+    w = Window.partitionBy("device_id", "_day").orderBy(*order)
+    inner = e.select("device_id", *cols, *[F.lead(c).over(w).alias(f"next_{c}") for c in cols],
+                     F.lead(order[-1]).over(w).isNotNull().alias("_has_next")).where("_has_next").drop("_has_next")
+    key = F.struct(*[F.col(c) for c in order])
+    ends = e.groupBy("device_id", "_day").agg(F.min_by(F.struct(*cols), key).alias("first"),
+                                             F.max_by(F.struct(*cols), key).alias("last"))
+    wd = Window.partitionBy("device_id").orderBy("_day")
+    edge = ends.select("device_id", "last", F.lead("first").over(wd).alias("nxt")).where(F.col("nxt").isNotNull())
+    edge = edge.select("device_id", *[F.col(f"last.{c}").alias(c) for c in cols],
+                       *[F.col(f"nxt.{c}").alias(f"next_{c}") for c in cols])
+    return inner.unionByName(edge)
+
+
 def transitions(errors: DataFrame, order=("timestamp", "event_id")) -> DataFrame:
     """(device_id, from_error, to_error) for consecutive errors of a device."""
-    w = Window.partitionBy("device_id").orderBy(*order)
-    return errors.select("device_id", F.col("error_code").alias("from_error"),
-                         F.lead("error_code").over(w).alias("to_error")).where(F.col("to_error").isNotNull())
+    p = consecutive_pairs(errors, ["error_code"], order)
+    return p.select("device_id", F.col("error_code").alias("from_error"), F.col("next_error_code").alias("to_error"))
 
 
 def transition_counts(errors: DataFrame) -> DataFrame:
@@ -177,15 +199,10 @@ def stationary_distribution(errors: DataFrame, max_states: int = 2000) -> DataFr
 # ---------------------------------------------------------------- W10 / A7 / A15
 def escalations(errors: DataFrame, order=("timestamp", "event_id")) -> DataFrame:
     """Consecutive pairs (per device, time order) whose severity rank increases."""
-    w = Window.partitionBy("device_id").orderBy(*order)
-    r = severity_rank("severity")
-    nxt = errors.select(
-        "device_id", "timestamp", "severity", "error_code", r.alias("rank"),
-        F.lead("severity").over(w).alias("to_severity"), F.lead("error_code").over(w).alias("to_error"),
-        F.lead(r).over(w).alias("to_rank"))
-    return nxt.where(F.col("to_rank") > F.col("rank")).select(
-        "device_id", "timestamp", F.col("severity").alias("from_severity"), "to_severity",
-        F.col("error_code").alias("from_error"), "to_error")
+    p = consecutive_pairs(errors, ["timestamp", "severity", "error_code"], order)
+    return p.where(severity_rank("next_severity") > severity_rank("severity")).select(
+        "device_id", "timestamp", F.col("severity").alias("from_severity"), F.col("next_severity").alias("to_severity"),
+        F.col("error_code").alias("from_error"), F.col("next_error_code").alias("to_error"))
 
 
 def escalation_paths(errors: DataFrame) -> DataFrame:
