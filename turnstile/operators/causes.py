@@ -72,11 +72,16 @@ def nearest_opposite(df: DataFrame, treat: str, score: str, value: str, n_bucket
     b = df.withColumn("_b", F.size(F.filter(lits, lambda c: c < F.col(score))))
     arm = F.col(treat) == 1
     sv = F.struct(F.col(score).alias("s"), F.col(value).alias("v"))
-    w = Window.partitionBy("_b").orderBy(score)
-    prev_t = F.last(F.when(arm, sv), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    prev_c = F.last(F.when(~arm, sv), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    next_t = F.first(F.when(arm, sv), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
-    next_c = F.first(F.when(~arm, sv), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    # growing frames only (unbounded preceding .. -1), in both directions: O(n) per bucket;
+    # a frame running to unbounded following would be re-aggregated for every row
+    w_up = Window.partitionBy("_b").orderBy(F.col(score).asc(), F.col(value).asc())
+    w_dn = Window.partitionBy("_b").orderBy(F.col(score).desc(), F.col(value).desc())
+    grow_up = w_up.rowsBetween(Window.unboundedPreceding, -1)
+    grow_dn = w_dn.rowsBetween(Window.unboundedPreceding, -1)
+    prev_t = F.last(F.when(arm, sv), ignorenulls=True).over(grow_up)
+    prev_c = F.last(F.when(~arm, sv), ignorenulls=True).over(grow_up)
+    next_t = F.last(F.when(arm, sv), ignorenulls=True).over(grow_dn)
+    next_c = F.last(F.when(~arm, sv), ignorenulls=True).over(grow_dn)
     inb = b.select("*", prev_t.alias("pt"), prev_c.alias("pc"), next_t.alias("nt"), next_c.alias("nc"))
     # per-bucket extremes of each arm (one row per bucket) carried across bucket edges
     ext = b.groupBy("_b").agg(
@@ -84,13 +89,14 @@ def nearest_opposite(df: DataFrame, treat: str, score: str, value: str, n_bucket
         F.max_by(F.when(~arm, sv), F.when(~arm, F.col(score))).alias("max_c"),
         F.min_by(F.when(arm, sv), F.when(arm, F.col(score))).alias("min_t"),
         F.min_by(F.when(~arm, sv), F.when(~arm, F.col(score))).alias("min_c"))
-    wb = Window.orderBy("_b")  # over <= n_buckets rows
+    wb_up = Window.orderBy(F.col("_b").asc()).rowsBetween(Window.unboundedPreceding, -1)  # <= n_buckets rows
+    wb_dn = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = ext.select(
         "_b",
-        F.last("max_t", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("cpt"),
-        F.last("max_c", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("cpc"),
-        F.first("min_t", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("cnt"),
-        F.first("min_c", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("cnc"))
+        F.last("max_t", ignorenulls=True).over(wb_up).alias("cpt"),
+        F.last("max_c", ignorenulls=True).over(wb_up).alias("cpc"),
+        F.last("min_t", ignorenulls=True).over(wb_dn).alias("cnt"),
+        F.last("min_c", ignorenulls=True).over(wb_dn).alias("cnc"))
     j = inb.join(carry, "_b", "left")
     below = F.when(arm, F.coalesce("pc", "cpc")).otherwise(F.coalesce("pt", "cpt"))
     above = F.when(arm, F.coalesce("nc", "cnc")).otherwise(F.coalesce("nt", "cnt"))
@@ -104,11 +110,15 @@ def nearest_opposite(df: DataFrame, treat: str, score: str, value: str, n_bucket
 def matching_ate(df: DataFrame, treat: str, outcome: str, confounders: list[str]) -> float | None:
     """ATE = mean over all units of (treated outcome - control outcome) with the missing
     potential outcome taken from the nearest opposite-arm unit by propensity."""
-    p = propensity(df.select(treat, outcome, *confounders).fillna(0), treat, confounders)
+    x = df.select(treat, outcome, *confounders).fillna(0).persist()  # read by every optimiser step
+    p = propensity(x, treat, confounders).persist()  # read by the matching passes
     m = nearest_opposite(p, treat, "ps", outcome)
     eff = F.when(F.col(treat) == 1, F.col(outcome) - F.col("matched_outcome")).otherwise(
         F.col("matched_outcome") - F.col(outcome))
-    return m.agg(F.avg(eff.cast("double"))).first()[0]
+    ate = m.agg(F.avg(eff.cast("double"))).first()[0]
+    p.unpersist()
+    x.unpersist()
+    return ate
 
 
 def causal_effects(df: DataFrame, outcome: str, feature_names: list[str], hypotheses=HYPOTHESES) -> DataFrame:

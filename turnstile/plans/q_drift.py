@@ -20,7 +20,8 @@ def _tagged(spark, sf_dir):
 
 def _ks(spark, sf_dir):
     f = Fleet(spark, sf_dir)
-    return f._m("drift_ks", lambda: dr.ks_drift(_tagged(spark, sf_dir)))
+    # one row per feature; several reports read it
+    return f._m("drift_ks", lambda: dr.ks_drift(_tagged(spark, sf_dir)).persist())
 
 
 @register("d1_period_split")
