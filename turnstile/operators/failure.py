@@ -102,7 +102,8 @@ def model_specs(weight_col: str = "class_weight") -> dict:
     """The three candidate models (parameters as in the reference's training)."""
     return {
         "random_forest": RandomForestClassifier(labelCol=TARGET, featuresCol="features", weightCol=weight_col,
-                                                numTrees=200, maxDepth=10, minInstancesPerNode=1, seed=42),
+                                                numTrees=200, maxDepth=10, minInstancesPerNode=1, seed=42,
+                                                maxMemoryInMB=2048),  # more nodes per pass over the data
         "gradient_boosting": GBTClassifier(labelCol=TARGET, featuresCol="features", weightCol=weight_col,
                                            maxIter=200, maxDepth=6, stepSize=0.1, seed=42),
         "boosting_categorical": GBTClassifier(labelCol=TARGET, featuresCol="features", weightCol=weight_col,
