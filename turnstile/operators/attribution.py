@@ -14,7 +14,6 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -156,5 +155,3 @@ def attribution_drift(attr: DataFrame, inputs: list[str], date_col: str = "date"
     r = long.withColumn("rank", F.rank().over(Window.partitionBy("week").orderBy(F.col("importance").desc())))
     return r.withColumn("change", F.col("importance") - F.lag("importance").over(w))
 
-
-_ = pd

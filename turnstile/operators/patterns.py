@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnstile.functions.exprs import SEVERITY_RANK, severity_rank
+from turnstile.functions.exprs import severity_rank
 
 MAX_CODES_DENSE = 40
 
@@ -234,5 +234,3 @@ def daily_code_pairs(errors: DataFrame, day, top: int = 5, codes: list[str] | No
     long = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*").where(F.col("count") > 0)
     return long.orderBy(F.col("count").desc(), "code_a", "code_b").limit(top)
 
-
-SEVERITY_ORDER = SEVERITY_RANK
