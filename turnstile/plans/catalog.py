@@ -24,5 +24,6 @@ def register(name: str):
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # importing the modules fills QUERIES
     from turnstile.plans import (  # noqa: F401
-        q_anomaly, q_cdc, q_drift, q_gold, q_misc, q_ml, q_patterns, q_silver, q_store, q_stream, q_survival)
+        q_anomaly, q_cdc, q_drift, q_extra, q_gold, q_misc, q_ml, q_patterns, q_silver, q_store, q_stream,
+        q_survival)
     return dict(QUERIES)

@@ -121,3 +121,4 @@ SELECT date, count(*) FILTER (WHERE s >= 70) AS critical_devices, count(*) FILTE
   count(*) FILTER (WHERE s >= 30 AND s < 50) AS medium_devices, count(*) FILTER (WHERE s < 30) AS low_devices,
   round(avg(greatest(1, CAST(floor(90 * (1 - s / 100)) AS INTEGER))), 6) AS mean_rul
 FROM (SELECT date, {SLA_S} AS s FROM gold) x GROUP BY date"""))
+from turnstile.plans import oracle_stage8  # noqa: E402,F401
