@@ -52,10 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        try:
+            conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - not readable as a session conf
+            conf_dir = None
+    if not conf_dir:
+        # local runs / tests only: the cluster names a shared folder in spark.checkpoint.dir
+        # (a core config, fixed at start-up, so it is not set here)
         conf_dir = tempfile.mkdtemp(prefix="turnstile-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
