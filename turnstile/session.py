@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,9 +39,31 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application (as ``--py-files`` would).
+
+    Functions are pickled by module name, so executors must be able to import the
+    package wherever the driver was started from.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_turnstile_shipped", None):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="turnstile-py-"), "turnstile.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._turnstile_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -61,6 +84,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not conf_dir:
         # local runs / tests only: the cluster names a shared folder in spark.checkpoint.dir
         # (a core config, fixed at start-up, so it is not set here)
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="turnstile-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
