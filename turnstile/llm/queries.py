@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstile.llm import chat, decontaminate, html_text, packing, quality, secrets, simhash, token_files, unigram
+from turnstile.llm import chat, decontaminate, html_text, packing, quality, repeats, secrets, simhash, token_files, unigram
 
 
 def tokenizer_file(name: str) -> str:
@@ -94,10 +94,17 @@ def op8_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = repeats.remove_repeats(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return made.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_formatting, op2_decontamination, op3_secret_scan, op4_token_counts, op5_html_extraction,
-                            op6_token_files, op7_quality_rules, op8_simhash_neardup, op10_packing)}
+                            op6_token_files, op7_quality_rules, op8_simhash_neardup, op9_repeated_passages, op10_packing)}

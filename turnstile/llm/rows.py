@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Bytes of text that one slice holds, beyond its first row.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(batch: pa.RecordBatch, text_at: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -143,3 +143,16 @@ def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
+
+
+def rolling_hashes(data: np.ndarray, size: int, which: int = 0) -> np.ndarray:
+    """The hash of the ``size`` bytes from each place on."""
+    terms = _BYTES[which][data]
+    terms *= _powers(_STEPS[which], len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(terms, out=sums[1:])
+    h = sums[size:] - sums[:-size]
+    h *= _powers(_BACK[which], len(h))
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
