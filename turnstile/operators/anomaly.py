@@ -1,10 +1,12 @@
 """Anomalies: isolation forest (M22, A25), SPC control charts
 and anomaly summaries (A8-A10).
 
-Isolation forest at scale: each tree is grown in ``applyInPandas`` from its
-own <= 256-row random sample (rows are hashed into tree groups, so no group is
-larger than the sample), the forest (trees x nodes, bounded) is collected and
-shipped to the executors inside a vectorised ``mapInPandas`` scorer.
+Isolation forest at scale: each tree is grown in ``applyInPandas`` from its own
+sample of min(256, n) rows: a row is offered to a tree when a hash of its key and the
+tree's number is below a rate, and the tree keeps the rows with the smallest
+hashes.  So a tree's sample depends on the rows alone, neither on their number nor
+on their partitions.  The forest (trees x nodes, bounded) is collected and shipped
+to the executors inside a vectorised ``mapInPandas`` scorer.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnstile.functions.stats import exact_quantiles
+from turnstile.session import materialize
 
 SPC_FEATURES = ["signal_strength_dbm", "temperature_c", "response_time_ms", "error_count",
                 "tap_success_rate", "health_score"]
@@ -98,28 +101,31 @@ def _leaf_c(size: np.ndarray) -> np.ndarray:
 
 
 def fit_isolation_forest(df: DataFrame, cols: list[str], n_trees: int = 200, sample_size: int = 256,
-                         seed: int = 42) -> dict:
-    """Grow ``n_trees`` trees, each from its own random sample of <= ``sample_size`` rows."""
+                         seed: int = 42, keys=("device_id", "date")) -> dict:
+    """Grow ``n_trees`` trees, each from its own sample of min(``sample_size``, n) rows."""
     n = df.count()
     psi = min(sample_size, n)
-    frac = min(1.0, 1.5 * n_trees * psi / max(n, 1))
-    tree_id = F.pmod(F.xxhash64(F.rand(seed)), F.lit(n_trees)).cast("int")
-    sampled = df.select(*cols).sample(fraction=frac, seed=seed).withColumn("tree_id", tree_id)
+    # about 2 psi rows are offered to each tree (fewer than psi: less than once in 10^20 forests)
+    limit = min(2**63 - 1, (2**63 - 1) * 2 * psi // max(n, 1))
+    row = F.xxhash64(*keys, F.lit(seed))
+    offers = F.filter(
+        F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                    lambda k: F.struct(k.alias("tree_id"), F.shiftrightunsigned(F.xxhash64(F.col("_row"), k), 1).alias("_h"))),
+        lambda o: o["_h"] <= F.lit(limit))
+    sampled = df.withColumn("_row", row).select(*cols, F.explode(offers).alias("_o")).select(*cols, "_o.tree_id", "_o._h")
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tid = int(pdf["tree_id"].iloc[0])
         rng = np.random.default_rng(seed * 100003 + tid)
-        x = pdf[cols].to_numpy(dtype=float)
-        if len(x) > psi:
-            x = x[rng.choice(len(x), psi, replace=False)]
+        x = pdf.sort_values(["_h", *cols])[cols].to_numpy(dtype=float)[:psi]
         feat, thr, left, right, size = _grow(x, rng, max_depth)
         return pd.DataFrame({"tree_id": [tid], "feat": [feat.tolist()], "thr": [thr.tolist()],
                              "left": [left.tolist()], "right": [right.tolist()], "size": [size.tolist()]})
 
     trees = sampled.groupBy("tree_id").applyInPandas(
         grow, "tree_id int, feat array<int>, thr array<double>, left array<int>, right array<int>, size array<double>"
-    ).collect()  # bounded: n_trees x (2^(max_depth+1)) nodes
+    ).orderBy("tree_id").collect()  # bounded: n_trees x (2^(max_depth+1)) nodes
     forest = [(np.array(r["feat"]), np.array(r["thr"]), np.array(r["left"]), np.array(r["right"]),
                np.array(r["size"])) for r in trees]
     return {"trees": forest, "psi": psi, "cols": cols}
@@ -145,21 +151,23 @@ def score_isolation_forest(df: DataFrame, model: dict, out_col: str = "anomaly_s
 
 
 def label_anomalies(scored: DataFrame, contamination: float = 0.08, score_col: str = "anomaly_score") -> DataFrame:
-    """threshold = exact ``contamination`` quantile of the scores; below it = anomaly."""
+    """threshold = exact ``contamination`` quantile of the scores; the score is given relative
+    to it (``anomaly_score`` < 0: anomaly)."""
     thr = exact_quantiles(scored, [score_col], contamination)[score_col]
+    shifted = F.col(score_col) - F.lit(thr)
     return scored.withColumn("anomaly_label", (F.col(score_col) < F.lit(thr)).cast("int")).withColumn(
-        "anomaly_threshold", F.lit(thr))
+        "anomaly_threshold", F.lit(thr)).withColumn("anomaly_score", shifted)
 
 
 def isolation_forest(gold: DataFrame, cols=ANOMALY_FEATURES, n_trees: int = 200, contamination: float = 0.08,
                      seed: int = 42) -> DataFrame:
+    """Device-days with their features, offset score and label; scored rows are written once."""
     base = gold.select("device_id", "date", *cols).fillna(0)
-    z = zscore(base, cols)
-    model = fit_isolation_forest(z, cols, n_trees=n_trees, seed=seed)
-    # scores are read by the threshold passes and the labelling: keep them (recomputable cache)
-    scored = score_isolation_forest(z, model).persist()
-    lab = label_anomalies(scored, contamination)
-    return base.join(lab.select("device_id", "date", "anomaly_score", "anomaly_label"), ["device_id", "date"])
+    z = zscore(base.select("device_id", "date", *cols, *[F.col(c).alias(f"z_{c}") for c in cols]), [f"z_{c}" for c in cols])
+    scaled = [f"z_{c}" for c in cols]
+    model = fit_isolation_forest(z, scaled, n_trees=n_trees, seed=seed)
+    scored = materialize(score_isolation_forest(z, model).drop(*scaled), "isolation-scores")
+    return label_anomalies(scored, contamination)
 
 
 # ---------------------------------------------------------------- A8 / A9 / A10
@@ -237,13 +245,11 @@ def western_electric_rule2(df: DataFrame, cols=SPC_FEATURES) -> DataFrame:
     return y.withColumn("rule2_warning", F.sum("beyond").over(w.rowsBetween(-2, 0)) >= 2)
 
 
-def count_outside_limits(points: DataFrame, limits: DataFrame) -> DataFrame:
-    """Values outside stored control limits, per feature (limits joined, one row per feature)."""
-    j = points.join(limits.select("feature", "ucl", "lcl"), "feature")
-    return j.groupBy("feature").agg(
-        F.count_if((F.col("value") > F.col("ucl")) | (F.col("value") < F.col("lcl"))).alias("outside"))
-
-
-def unpivot(df: DataFrame, cols: list[str], keys=("device_id", "date")) -> DataFrame:
-    rows = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols]
-    return df.select(*keys, F.explode(F.array(*rows)).alias("r")).select(*keys, "r.*")
+def count_outside_limits(points: DataFrame, limits: DataFrame, cols=SPC_FEATURES) -> DataFrame:
+    """Values outside stored control limits, per feature, in one pass over the rows
+    (the limits are one row a feature, taken as literals)."""
+    lim = {r["feature"]: (r["lcl"], r["ucl"]) for r in limits.collect()}
+    cols = [c for c in cols if c in lim]
+    one = points.agg(*[F.count_if((F.col(c) > F.lit(lim[c][1])) | (F.col(c) < F.lit(lim[c][0]))).alias(c) for c in cols])
+    rows = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("outside")) for c in cols]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

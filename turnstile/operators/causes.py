@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from turnstile.functions.exprs import np_round
 from turnstile.functions.stats import exact_median
+from turnstile.session import materialize
 
 # Features screened by the simplified causal analysis, and the
 # (treatment, hypothesis) pairs of the matching analysis.
@@ -51,7 +52,7 @@ def high_low_rates(df: DataFrame, outcome: str, features=SIMPLE_CAUSAL_FEATURES)
         np_round(F.col("l"), 4).alias("failure_rate_low"),
         np_round(F.col("h") - F.col("l"), 4).alias("difference"),
         np_round(F.col("h") / F.greatest(F.col("l"), F.lit(0.001)), 2).alias("risk_ratio"),
-    )
+    ).orderBy(F.abs("difference").desc(), "treatment")
 
 
 # ---------------------------------------------------------------- M20
@@ -64,18 +65,22 @@ def propensity(df: DataFrame, treat: str, confounders: list[str]) -> DataFrame:
         "_x", "rawPrediction", "probability", "prediction")
 
 
-def nearest_opposite(df: DataFrame, treat: str, score: str, value: str, n_buckets: int = 256) -> DataFrame:
-    """For every unit, the outcome of the nearest unit of the other arm by ``score``."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = sorted(set(df.agg(F.percentile_approx(score, probs, 10 * n_buckets)).first()[0] or []))
-    lits = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array(F.lit(float("inf")))
-    b = df.withColumn("_b", F.size(F.filter(lits, lambda c: c < F.col(score))))
+def nearest_opposite(df: DataFrame, treat: str, score: str, value: str, key: str = "_key",
+                     bucket_rows: int = 200_000) -> DataFrame:
+    """For every unit, the outcome of the nearest unit of the other arm by ``score``.
+
+    Units of equal score are ordered by ``key``, a hash that knows nothing of the outcome.  Range
+    partitions of (score, key) are the buckets, as many as the row count asks for; a frequent score is
+    split among them by its keys.
+    """
+    n_buckets = max(16, -(-df.count() // bucket_rows))
+    b = materialize(df.repartitionByRange(n_buckets, score, key).withColumn("_b", F.spark_partition_id()), "matching-buckets")
     arm = F.col(treat) == 1
     sv = F.struct(F.col(score).alias("s"), F.col(value).alias("v"))
     # growing frames only (unbounded preceding .. -1), in both directions: O(n) per bucket;
     # a frame running to unbounded following would be re-aggregated for every row
-    w_up = Window.partitionBy("_b").orderBy(F.col(score).asc(), F.col(value).asc())
-    w_dn = Window.partitionBy("_b").orderBy(F.col(score).desc(), F.col(value).desc())
+    w_up = Window.partitionBy("_b").orderBy(F.col(score).asc(), F.col(key).asc())
+    w_dn = Window.partitionBy("_b").orderBy(F.col(score).desc(), F.col(key).desc())
     grow_up = w_up.rowsBetween(Window.unboundedPreceding, -1)
     grow_dn = w_dn.rowsBetween(Window.unboundedPreceding, -1)
     prev_t = F.last(F.when(arm, sv), ignorenulls=True).over(grow_up)
@@ -84,12 +89,13 @@ def nearest_opposite(df: DataFrame, treat: str, score: str, value: str, n_bucket
     next_c = F.last(F.when(~arm, sv), ignorenulls=True).over(grow_dn)
     inb = b.select("*", prev_t.alias("pt"), prev_c.alias("pc"), next_t.alias("nt"), next_c.alias("nc"))
     # per-bucket extremes of each arm (one row per bucket) carried across bucket edges
+    at = F.struct(F.col(score), F.col(key))
     ext = b.groupBy("_b").agg(
-        F.max_by(F.when(arm, sv), F.when(arm, F.col(score))).alias("max_t"),
-        F.max_by(F.when(~arm, sv), F.when(~arm, F.col(score))).alias("max_c"),
-        F.min_by(F.when(arm, sv), F.when(arm, F.col(score))).alias("min_t"),
-        F.min_by(F.when(~arm, sv), F.when(~arm, F.col(score))).alias("min_c"))
-    wb_up = Window.orderBy(F.col("_b").asc()).rowsBetween(Window.unboundedPreceding, -1)  # <= n_buckets rows
+        F.max_by(F.when(arm, sv), F.when(arm, at)).alias("max_t"),
+        F.max_by(F.when(~arm, sv), F.when(~arm, at)).alias("max_c"),
+        F.min_by(F.when(arm, sv), F.when(arm, at)).alias("min_t"),
+        F.min_by(F.when(~arm, sv), F.when(~arm, at)).alias("min_c"))
+    wb_up = Window.orderBy(F.col("_b").asc()).rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
     wb_dn = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = ext.select(
         "_b",
@@ -110,7 +116,9 @@ def nearest_opposite(df: DataFrame, treat: str, score: str, value: str, n_bucket
 def matching_ate(df: DataFrame, treat: str, outcome: str, confounders: list[str]) -> float | None:
     """ATE = mean over all units of (treated outcome - control outcome) with the missing
     potential outcome taken from the nearest opposite-arm unit by propensity."""
-    x = df.select(treat, outcome, *confounders).fillna(0).persist()  # read by every optimiser step
+    # the key breaks ties of the score: a hash of the unit, without its outcome or arm
+    unit = [c for c in ("device_id", "date") if c in df.columns] or confounders
+    x = df.select(treat, outcome, *confounders, F.xxhash64(*unit).alias("_key")).fillna(0).persist()  # read by every optimiser step
     p = propensity(x, treat, confounders).persist()  # read by the matching passes
     m = nearest_opposite(p, treat, "ps", outcome)
     eff = F.when(F.col(treat) == 1, F.col(outcome) - F.col("matched_outcome")).otherwise(

@@ -19,16 +19,20 @@ META_COLS = ("_ingested_at", "_source_file", "_row_count", "_batch_id", "_pipeli
 
 # ---------------------------------------------------------------- A18
 def row_hash(cols: list[str]) -> Column:
-    return F.xxhash64(*[F.col(c) for c in cols])
+    """64-bit hash of a row; NULL and its position count (a flag per column is hashed too)."""
+    return F.xxhash64(*[x for c in cols for x in (F.col(c).isNull(), F.col(c))])
 
 
 def table_hash(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Order-insensitive content hash: (row count, XOR of per-row 64-bit hashes).
+    """Order-insensitive content hash: row count, XOR of per-row 64-bit hashes, and their sum.
 
-    Business columns only (metadata excluded), so a re-delivered identical
-    batch hashes the same.  XOR cannot overflow (a sum would under ANSI)."""
+    Business columns only (metadata excluded), so a re-delivered identical batch hashes the
+    same.  The sum is exact in DECIMAL(38, 0) and sees pairs of equal rows, which cancel in the XOR."""
     cols = cols or [c for c in df.columns if c not in META_COLS]
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.bit_xor(row_hash(cols)).alias("content_hash"))
+    h = row_hash(cols)
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.bit_xor(h).alias("content_xor"),
+                  F.sum(h.cast("decimal(20,0)")).alias("content_sum")).select(
+        "row_count", F.xxhash64("content_xor", "content_sum").alias("content_hash"))
 
 
 # ---------------------------------------------------------------- C1 / C2
@@ -36,15 +40,16 @@ WATERMARK_SCHEMA = "table_name string, last_date date, last_row_count bigint, la
 
 
 def watermark_decision(state: DataFrame, table: str, batch: DataFrame, batch_date) -> DataFrame:
-    """Skip when the batch date is <= the stored date AND the content hash is unchanged."""
+    """first_load without a state row; process a date after the watermark; for an older date skip
+    unchanged content and reprocess changed content."""
     h = table_hash(batch).select(F.lit(table).alias("table_name"), "row_count", "content_hash",
                                  F.lit(batch_date).cast("date").alias("batch_date"))
     j = h.join(state, "table_name", "left")
-    same = (F.col("last_date").isNotNull() & (F.col("batch_date") <= F.col("last_date"))
-            & (F.col("content_hash") == F.col("last_hash")) & (F.col("row_count") == F.col("last_row_count")))
+    same = (F.col("content_hash") == F.col("last_hash")) & (F.col("row_count") == F.col("last_row_count"))
     return j.select("table_name", "batch_date", "row_count", "content_hash", "last_date", "last_hash",
-                    F.when(same, "skip").when(F.col("last_date").isNull(), "first_load")
-                    .when(F.col("content_hash") != F.col("last_hash"), "reprocess").otherwise("process").alias("action"))
+                    F.when(F.col("last_date").isNull(), "first_load")
+                    .when(F.col("batch_date") > F.col("last_date"), "process")
+                    .when(same, "skip").otherwise("reprocess").alias("action"))
 
 
 def advance_watermark(state: DataFrame, decision: DataFrame) -> DataFrame:
@@ -78,11 +83,13 @@ def detect_changes(existing: DataFrame, batch: DataFrame, keys: list[str] | None
     j = n.join(o, keys, "full_outer")
 
     def z(c, side):
-        col = F.col(f"{side}__{c}")
-        return F.coalesce(col, F.lit("0")) if isinstance(batch.schema[c].dataType, T.StringType) else F.coalesce(
-            col.cast("double"), F.lit(0.0))
+        # numbers and strings compare with NULL as 0, in their own type; other types null-safe
+        col, kind = F.col(f"{side}__{c}"), batch.schema[c].dataType
+        if isinstance(kind, T.StringType):
+            return F.coalesce(col, F.lit("0"))
+        return F.coalesce(col, F.lit(0).cast(kind)) if isinstance(kind, T.NumericType) else col
 
-    diff = reduce(lambda a, b: a | b, [z(c, "n") != z(c, "o") for c in vals], F.lit(False))
+    diff = reduce(lambda a, b: a | b, [~z(c, "n").eqNullSafe(z(c, "o")) for c in vals], F.lit(False))
     change = (F.when(F.col("_in_old").isNull(), "INSERT").when(F.col("_in_new").isNull(), "DELETE")
               .when(diff, "UPDATE").otherwise("UNCHANGED"))
     side = F.when(F.col("_in_new").isNull(), "o").otherwise("n")
@@ -95,12 +102,19 @@ def change_summary(changes: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C4 / J7
-def apply_changes(existing: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Remove changed and deleted keys, add inserted and updated rows, dedupe."""
-    touched = changes.where(F.col("change_type").isin("INSERT", "UPDATE", "DELETE")).select(*keys)
-    kept = existing.join(touched, keys, "left_anti")
-    add = changes.where(F.col("change_type").isin("INSERT", "UPDATE")).drop("change_type")
-    return kept.unionByName(add.select(*existing.columns)).dropDuplicates()
+def apply_changes(existing: DataFrame, changes: DataFrame, keys: list[str], scope_col: str | None = "date") -> DataFrame:
+    """Remove changed and deleted keys, add inserted and updated rows; repeated rows collapse.
+
+    With ``scope_col`` only the days that changed are joined and deduplicated; other days pass through
+    (the changed days are a small distinct list)."""
+    touched = changes.where(F.col("change_type").isin("INSERT", "UPDATE", "DELETE"))
+    add = touched.where(F.col("change_type") != "DELETE").select(*existing.columns)
+    if not scope_col or scope_col not in keys:
+        return existing.join(touched.select(*keys), keys, "left_anti").unionByName(add).dropDuplicates()
+    days = touched.select(scope_col).distinct()
+    quiet = existing.join(days, scope_col, "left_anti")
+    busy = existing.join(days, scope_col, "left_semi").join(touched.select(*keys), keys, "left_anti").unionByName(add).dropDuplicates()
+    return quiet.unionByName(busy)
 
 
 def write_partitions(df: DataFrame, path: str, partition_col: str = "date") -> None:

@@ -102,6 +102,15 @@ def lookahead_flag(cond: Column, days_from: int = 1, days_to: int = 3, key: str
     return F.coalesce(F.max(as_int_flag(cond)).over(w), F.lit(0)).cast("int")
 
 
+def maintenance_label(days: DataFrame, maintenance: DataFrame, within: int = 3) -> DataFrame:
+    """``days`` (device_id, date) plus failure_within_3d: 1 if the device has a corrective or emergency
+    job dated +1..+``within`` days.  Each job marks the days before it: an equi-join, no range join."""
+    jobs = maintenance.where(F.col("maintenance_type").isin("Corrective", "Emergency"))
+    marked = jobs.select("device_id", F.explode(F.array(*[F.date_sub("date", k) for k in range(1, within + 1)])).alias("date")).distinct()
+    return days.join(marked.withColumn("_hit", F.lit(1)), ["device_id", "date"], "left").select(
+        "device_id", "date", F.coalesce("_hit", F.lit(0)).alias("failure_within_3d"))
+
+
 def telemetry_features(t: DataFrame) -> DataFrame:
     """W1-W6 + P12 on clean telemetry (one window spec for everything)."""
     return t.select(

@@ -168,22 +168,32 @@ def anomaly_feature_map(df: DataFrame, flag: str = "is_anomaly") -> DataFrame:
 
 # ---------------------------------------------------------------- A19 / A20 / A22 / A24 / A28
 def fleet_summary(scored: DataFrame) -> DataFrame:
-    """Batch summary: tier counts, devices with errors >= 3 / >= 5, mean errors, mean RUL."""
+    """Batch summary of the scored fleet: failure-tier counts (if ``failure_risk_tier`` is there),
+    errors, devices with risk factors, anomalies and normals (if ``is_anomaly`` is there), SLA tiers,
+    rounded means."""
+    has = set(scored.columns)
+    tier = [t for _, t, _ in SLA_RULE_TIERS]
     return scored.agg(
         F.count(F.lit(1)).alias("devices"),
-        *[F.count_if(F.col("risk_tier") == t).alias(f"tier_{t.lower()}") for _, t, _ in SLA_RULE_TIERS],
+        *[F.count_if(F.col("failure_risk_tier") == t).alias(f"failure_{t.lower()}") for t in tier if "failure_risk_tier" in has],
         F.count_if(F.col("error_count") >= 3).alias("devices_errors_ge3"),
         F.count_if(F.col("error_count") >= 5).alias("devices_errors_ge5"),
-        F.avg("error_count").alias("mean_error_count"),
-        F.avg("rul_estimate_days").alias("mean_rul"),
+        np_round(F.avg("error_count"), 2).alias("mean_error_count"),
+        *([F.count_if(F.col("total_risk_factors") > 0).alias("devices_with_risk_factors")] if "total_risk_factors" in has else []),
+        *([F.count_if("is_anomaly").alias("anomalies"), F.count_if(~F.col("is_anomaly")).alias("normal")] if "is_anomaly" in has else []),
+        *[F.count_if(F.col("risk_tier") == t).alias(f"tier_{t.lower()}") for t in tier],
+        np_round(F.avg("rul_estimate_days"), 1).alias("mean_rul"),
     )
 
 
 def top_fleet_cause(scored: DataFrame) -> DataFrame:
-    """Most frequent primary cause with its device count (ties by name); needs root_cause()."""
-    c = scored.where(F.col("primary_cause") != NO_CAUSE).groupBy("primary_cause").agg(
+    """Most frequent risk factor over all factors of all devices, with its device count
+    (ties by name); ("None", 0) when no device has one.  Needs root_cause()."""
+    c = scored.select(F.explode("risk_factors.factor").alias("cause")).groupBy("cause").agg(
         F.count(F.lit(1)).alias("affected_devices"))
-    return c.orderBy(F.col("affected_devices").desc(), "primary_cause").limit(1)
+    best = c.agg(F.min_by(F.struct("cause", "affected_devices"), F.struct(-F.col("affected_devices"), F.col("cause"))).alias("b"))
+    return best.select(F.coalesce("b.cause", F.lit("None")).alias("cause"),
+                       F.coalesce("b.affected_devices", F.lit(0)).alias("affected_devices"))
 
 
 def rul_histogram(df: DataFrame, col: str = "rul_estimate_days") -> DataFrame:
@@ -203,7 +213,47 @@ def cumulative_histogram(df: DataFrame, col: str, bounds: list[float]) -> DataFr
     return one.select(F.explode(F.array(*rows)).alias("r"), "sum").select("r.le", "r.count", "sum")
 
 
-def dashboard_summary(scored: DataFrame) -> DataFrame:
-    """One-row JSON document over the scored fleet."""
-    s = fleet_summary(scored)
-    return s.select(F.to_json(F.struct(*s.columns)).alias("summary_json"), *s.columns)
+# Bucket bounds of the served distributions.
+HISTOGRAM_BOUNDS = {
+    "failure_probability": [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0],
+    "anomaly_score": [-0.5, -0.3, -0.2, -0.1, 0, 0.1, 0.2, 0.3, 0.5],
+    "sla_risk_score": [10, 20, 30, 40, 50, 60, 70, 80, 90, 100],
+    "rul_estimate_days": [7, 14, 21, 30, 45, 60, 90],
+}
+
+
+def served_histograms(scored: DataFrame, bounds: dict[str, list] = HISTOGRAM_BOUNDS) -> DataFrame:
+    """All distributions in one pass: (metric, le, count), cumulative, with +Inf."""
+    have = {c: b for c, b in bounds.items() if c in scored.columns}
+    one = scored.agg(*[F.count_if(F.col(c) <= x).alias(f"{c}_{i}") for c, b in have.items() for i, x in enumerate(b)],
+                     *[F.count(c).alias(f"{c}_inf") for c in have])
+    rows = [F.struct(F.lit(c).alias("metric"), F.lit(str(x)).alias("le"), F.col(f"{c}_{i}").alias("count"))
+            for c, b in have.items() for i, x in enumerate(b)]
+    rows += [F.struct(F.lit(c).alias("metric"), F.lit("+Inf").alias("le"), F.col(f"{c}_inf").alias("count")) for c in have]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def served_counters(scored: DataFrame, tier_cols: dict[str, str]) -> DataFrame:
+    """Predictions by (problem statement, tier): ``tier_cols`` names the tier column of each."""
+    rows = F.array(*[F.struct(F.lit(ps).alias("problem_statement"), F.col(c).alias("risk_tier")) for ps, c in tier_cols.items()])
+    return (scored.select(F.explode(rows).alias("r")).where("r.risk_tier IS NOT NULL")
+                  .groupBy("r.problem_statement", "r.risk_tier").agg(F.count(F.lit(1)).alias("predictions")))
+
+
+def dashboard_values(blocks: list[tuple]) -> DataFrame:
+    """The dashboard document in long form, one row a value (block, item, metric, value).
+
+    ``blocks`` lists (block, summary, item column or None, metric columns); every summary is a table
+    whose size doesn't depend on the fleet (one row, or a row a tier, feature or check)."""
+    out = None
+    for block, df, item, metrics in blocks:
+        values = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
+        rows = df.select(F.lit(block).alias("block"), (F.col(item).cast("string") if item else F.lit("")).alias("item"),
+                         F.explode(values).alias("v")).select("block", "item", "v.*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def dashboard_document(values: DataFrame) -> DataFrame:
+    """The document itself: one row a block with its values as JSON, ordered by item and metric."""
+    return values.groupBy("block").agg(F.to_json(F.array_sort(F.collect_list(F.struct("item", "metric", "value")))).alias("document"))

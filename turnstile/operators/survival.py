@@ -27,7 +27,6 @@ COX_COVARIATES = ["age_days", "health_score", "error_count_7d_mean", "signal_str
                   "temperature_c_7d_mean", "cumulative_errors", "total_maintenance_count",
                   "is_old_device", "is_beta_firmware"]
 COX_UNSCALED = {"is_old_device", "is_beta_firmware"}
-MAX_DURATIONS = 100_000
 
 
 # ---------------------------------------------------------------- M23 / W11 / P25
@@ -87,10 +86,8 @@ def fit_weibull(surv: DataFrame) -> dict:
 
     Profile likelihood in rho (lambda^rho = sum t^rho / D), maximised by
     bracketing + golden section on log rho; the table has one row per distinct
-    duration, size-checked."""
-    rows = duration_table(surv).limit(MAX_DURATIONS + 1).collect()
-    if len(rows) > MAX_DURATIONS:
-        raise ValueError("too many distinct durations for the aggregated fit")
+    whole day of the observation horizon (a calendar, not the fleet)."""
+    rows = duration_table(surv).collect()
     t = np.array([float(r["t"]) for r in rows])
     n = np.array([float(r["n_t"]) for r in rows])
     d = np.array([float(r["d_t"]) for r in rows])
@@ -144,13 +141,16 @@ def reliability(df: DataFrame, lam: float, rho: float, days=(7, 14, 21, 30)) ->
 
 # ---------------------------------------------------------------- M31 / W18
 def rul(surv: DataFrame, lam: float, rho: float, horizon: int = 90) -> DataFrame:
-    """Smallest offset t in 0..horizon-1 with S(age+t) < S(age)/2, else horizon; tier."""
-    def S(x):
-        return F.exp(-F.pow(x.cast("double") / lam, F.lit(rho)))
+    """Smallest offset t in 0..horizon-1 with S(age+t) < S(age)/2, else horizon; tier.
+
+    For a Weibull S the condition is t > lam * ((age/lam)^rho + ln 2)^(1/rho) - age, so
+    the offset is the next whole day; an age whose S is 0 has no half to fall below."""
     age = F.col("duration_days")
-    cur = S(age)
-    hits = F.filter(F.sequence(F.lit(0), F.lit(horizon - 1)), lambda k: S(age + k) < cur * 0.5)
-    r = F.coalesce(F.element_at(hits, 1), F.lit(horizon))
+    z = F.pow(age.cast("double") / lam, F.lit(float(rho)))
+    cur = F.exp(-z)
+    half = F.lit(float(lam)) * F.pow(z + F.lit(math.log(2.0)), F.lit(1.0 / rho)) - age
+    r = F.when(cur <= 0, F.lit(horizon)).otherwise(
+        F.least(F.lit(float(horizon)), F.floor(half) + 1).cast("int"))
     tier = F.when(r <= 7, "CRITICAL").when(r <= 14, "HIGH").when(r <= 30, "MEDIUM").otherwise("LOW")
     return surv.select("device_id", age.alias("current_age_days"), r.alias("rul_median_days"),
                        np_round(cur, 4).alias("current_survival_prob"), F.col("event").alias("event_observed"),
@@ -159,10 +159,11 @@ def rul(surv: DataFrame, lam: float, rho: float, horizon: int = 90) -> DataFrame
 
 # ---------------------------------------------------------------- M32 / J4 / J10
 def sla_risk(surv: DataFrame, rul_df: DataFrame) -> DataFrame:
+    """Breach probability and 0-100 score; a fleet without any error has error share 0."""
     m = surv.join(rul_df.select("device_id", "rul_median_days", "risk_tier"), "device_id", "left")
     max_err = surv.agg(F.max("cumulative_errors")).first()[0] or 0  # one scalar
     breach = np_round(F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(0.1) * (F.col("rul_median_days") - 15))), 4)
-    err_share = F.col("cumulative_errors") / F.lit(float(max_err)) if max_err else F.lit(None).cast("double")
+    err_share = F.col("cumulative_errors") / F.lit(float(max_err)) if max_err else F.lit(0.0)
     m = m.withColumn("sla_breach_prob", breach)
     score = ((1 - F.col("health_score") / 100) * 30 + F.col("sla_breach_prob") * 40 + err_share * 20
              + F.col("is_old_device") * 10)
@@ -274,33 +275,30 @@ def risk_groups(ph: DataFrame) -> DataFrame:
 def concordance_index(df: DataFrame, risk_col: str = "partial_hazard") -> DataFrame:
     """Harrell's C: over pairs with t_i < t_j and event_i, share with risk_i > risk_j (ties 1/2).
 
-    No pair is materialised.  Devices are aggregated to (duration, risk) counts;
-    each event is replicated once per distinct LATER duration d (bounded by the
-    horizon) and meets the devices of duration d in a risk-ordered window
-    partitioned by d, where the running count gives how many have lower risk.
+    No pair is materialised.  Durations form a binary tree: a device of duration d belongs to
+    one node per level, (level, d >> level); the durations later than t are the right siblings
+    on t's path, at most one per level.  Devices and events meet in a risk-ordered running
+    count per node, so a row is replicated log2(horizon) times, whatever the fleet.
     """
-    pts = df.groupBy(F.col("duration_days").alias("d"), F.col(risk_col).alias("r")).agg(
-        F.count(F.lit(1)).alias("n_data"))
-    ev = df.where(F.col("event") == 1).groupBy(F.col("duration_days").alias("t"), F.col(risk_col).alias("r")).agg(
-        F.count(F.lit(1)).alias("n_q"))
     from turnstile.functions.stats import bucketed_prefix_sums
 
-    # per-duration device counts: one row per day of horizon (size-checked before broadcast)
-    dcount = df.groupBy(F.col("duration_days").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    n_durations = dcount.count()
-    if n_durations > MAX_DURATIONS:
-        raise ValueError("too many distinct durations")
-    q = ev.join(F.broadcast(dcount.select("d")), F.col("d") > F.col("t")).groupBy("d", "r").agg(
-        F.sum("n_q").alias("n_q"))
-    u = pts.join(q, ["d", "r"], "full_outer").fillna(0)
-    # devices of duration d with lower risk: bucketed running count (no whole-partition window)
-    ps = bucketed_prefix_sums(u, ["d"], "r", ["n_data"], inclusive=False)
-    conc = ps.select((F.col("n_q") * (F.col("cum_n_data") + 0.5 * F.col("n_data"))).alias("c"))
-    # comparable pairs: for each event, the devices with a strictly longer duration
-    wl = Window.orderBy(F.col("d").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    longer = dcount.select("d", F.coalesce(F.sum("n").over(wl), F.lit(0)).alias("n_longer"))
-    evd = df.where(F.col("event") == 1).groupBy(F.col("duration_days").alias("d")).agg(F.count(F.lit(1)).alias("e"))
-    den = evd.join(longer, "d").agg(F.sum(F.col("e") * F.col("n_longer"))).first()[0] or 0  # one scalar
-    return conc.agg(
-        (F.sum("c") / F.lit(float(den)) if den else F.lit(None).cast("double")).alias("concordance_index"),
+    pts = df.groupBy(F.col("duration_days").cast("long").alias("t"), F.col(risk_col).alias("r")).agg(
+        F.count(F.lit(1)).alias("n_all"), F.sum(F.col("event").cast("long")).alias("n_event"))
+    levels = int(pts.agg(F.max("t")).first()[0] or 0).bit_length()  # one scalar
+    own, later = [], []
+    for k in range(levels + 1):
+        node = F.shiftright("t", k)
+        own.append(F.struct(F.lit(k).alias("level"), node.alias("node")))
+        later.append(F.when(node % 2 == 0, F.struct(F.lit(k).alias("level"), (node + 1).alias("node"))))
+    data = pts.select(F.explode(F.array(*own)).alias("at"), "r", F.col("n_all").alias("n_data"), F.lit(0).cast("long").alias("n_q"))
+    asked = (pts.where("n_event > 0").select(F.explode(F.array_compact(F.array(*later))).alias("at"), "r",
+                                             F.lit(0).cast("long").alias("n_data"), F.col("n_event").alias("n_q")))
+    u = data.unionByName(asked).groupBy("at.level", "at.node", "r").agg(F.sum("n_data").alias("n_data"), F.sum("n_q").alias("n_q"))
+    ps = bucketed_prefix_sums(u, ["level", "node"], "r", ["n_data"], inclusive=False)
+    # devices of a later duration: in all of the node / with lower risk
+    total = u.groupBy("level", "node").agg(F.sum("n_data").alias("in_node"), F.sum("n_q").alias("asked"))
+    den = total.agg(F.sum(F.col("in_node") * F.col("asked"))).first()[0] or 0  # one scalar
+    conc = ps.agg(F.sum(F.col("n_q") * (F.col("cum_n_data") + 0.5 * F.col("n_data"))).alias("c"))
+    return conc.select(
+        (F.col("c") / F.lit(float(den)) if den else F.lit(None).cast("double")).alias("concordance_index"),
         F.lit(int(den)).cast("bigint").alias("comparable_pairs"))

@@ -266,5 +266,5 @@ FROM v_telemetry""", "v_telemetry"))
 
 
 def all_oracles() -> dict[str, str]:
-    from turnstile.plans import oracle_more  # noqa: F401
+    from turnstile.plans import oracle_more, oracle_stage9  # noqa: F401
     return dict(ORACLE)

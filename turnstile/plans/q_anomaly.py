@@ -8,6 +8,7 @@ from turnstile.operators import anomaly as an
 from turnstile.operators import scoring as sc
 from turnstile.plans.catalog import register
 from turnstile.plans.common import round_doubles
+from turnstile.session import materialize
 from turnstile.sources.canonical import Fleet
 
 
@@ -21,33 +22,46 @@ def m22_isolation_forest(spark, sf_dir):
     return round_doubles(_labeled(spark, sf_dir).select("device_id", "date", "anomaly_score", "anomaly_label"))
 
 
+def _rule_labeled(spark, sf_dir):
+    """Labels from a rule score (the health score), so that SQL can follow them: the lowest 8 %."""
+    f = Fleet(spark, sf_dir)
+
+    def make():
+        g = f.gold().select("device_id", "date", *an.ANOMALY_FEATURES).fillna(0)
+        return materialize(an.label_anomalies(g.withColumn("rule_score", F.col("health_score")), 0.08, "rule_score"), "rule-labels")
+
+    return f._m("rule_labeled", make)
+
+
 @register("a25_anomaly_threshold")
 def a25_anomaly_threshold(spark, sf_dir):
-    lab = _labeled(spark, sf_dir)
+    lab = _rule_labeled(spark, sf_dir)
     return round_doubles(lab.agg(F.count(F.lit(1)).alias("rows"), F.sum("anomaly_label").alias("anomalies"),
+                                 F.max("anomaly_threshold").alias("threshold"),
                                  (F.avg("anomaly_label") * 100).alias("anomaly_rate_pct")))
 
 
 @register("a8_device_anomalies")
 def a8_device_anomalies(spark, sf_dir):
-    return round_doubles(an.device_anomaly_summary(_labeled(spark, sf_dir)))
+    return round_doubles(an.device_anomaly_summary(_rule_labeled(spark, sf_dir)))
 
 
 @register("a9_anomaly_feature_diff")
 def a9_anomaly_feature_diff(spark, sf_dir):
-    return round_doubles(an.anomaly_feature_diff(_labeled(spark, sf_dir)))
+    return round_doubles(an.anomaly_feature_diff(_rule_labeled(spark, sf_dir)), 4)
 
 
 @register("a10_daily_anomaly_rate")
 def a10_daily_anomaly_rate(spark, sf_dir):
-    return round_doubles(an.daily_anomaly_rate(_labeled(spark, sf_dir)))
+    return round_doubles(an.daily_anomaly_rate(_rule_labeled(spark, sf_dir)))
 
 
 @register("p26_anomaly_feature_map")
 def p26_anomaly_feature_map(spark, sf_dir):
-    lab = _labeled(spark, sf_dir).withColumn("is_anomaly", F.col("anomaly_label") == 1)
+    """The map itself, one row an entry (rows without a map: one row with a null feature)."""
+    lab = _rule_labeled(spark, sf_dir).withColumn("is_anomaly", F.col("anomaly_label") == 1)
     m = sc.anomaly_feature_map(lab)
-    return m.select("device_id", "date", "is_anomaly", F.size("anomalous_features").alias("n_features"))
+    return round_doubles(m.select("device_id", "date", "is_anomaly", F.explode_outer("anomalous_features").alias("feature", "value")))
 
 
 @register("a10_fleet_daily_means")
@@ -73,7 +87,7 @@ def w13_western_electric(spark, sf_dir):
 @register("a21_outside_limits")
 def a21_outside_limits(spark, sf_dir):
     g = Fleet(spark, sf_dir).gold()
-    return an.count_outside_limits(an.unpivot(g, an.SPC_FEATURES), an.spc_limits(g))
+    return an.count_outside_limits(g, an.spc_limits(g))
 
 
 @register("p15_zscore")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from turnstile.functions.exprs import DELTA_COLS, ROLLING_COLS
@@ -37,16 +39,18 @@ def a18_table_hash(spark, sf_dir):
 
 @register("c2_watermark_decision")
 def c2_watermark_decision(spark, sf_dir):
+    """The same day unchanged, the same day changed, a new day, a table without a watermark."""
     b = day_batch(spark, sf_dir)
     h = cdc.table_hash(b).first()
     state = spark.createDataFrame(
-        [("telemetry", DAY, h["row_count"], h["content_hash"]), ("error_logs", "2024-01-10", 0, 0)],
+        [("telemetry", DAY, h["row_count"], h["content_hash"])],
         "table_name string, last_date string, last_row_count bigint, last_hash bigint").select(
         "table_name", F.col("last_date").cast("date").alias("last_date"), "last_row_count", "last_hash",
         F.current_timestamp().alias("updated_at"))
-    same = cdc.watermark_decision(state, "telemetry", b, DAY)
-    changed = cdc.watermark_decision(state, "telemetry", b.withColumn("error_count", F.col("error_count") + 1), DAY)
-    return same.unionByName(changed).select("table_name", "batch_date", "row_count", "action")
+    more = b.withColumn("error_count", F.col("error_count") + 1)
+    cases = [("telemetry", b, DAY), ("telemetry", more, DAY), ("telemetry", more, "2024-01-16"), ("error_logs", b, DAY)]
+    made = [cdc.watermark_decision(state, *case) for case in cases]
+    return reduce(lambda x, y: x.unionByName(y), made).select("table_name", "batch_date", "row_count", "action")
 
 
 @register("c3_detect_changes")
@@ -63,10 +67,26 @@ def c4_apply_changes(spark, sf_dir):
     return round_doubles(merged.select("device_id", "date", "cpu_usage_pct", "error_count"))
 
 
+@register("c3_detect_changes_devices")
+def c3_detect_changes_devices(spark, sf_dir):
+    """A table with DATE values and no date key."""
+    d = Fleet(spark, sf_dir).devices()
+    did = F.col("device_id")
+    snap = d.where(F.pmod(did, F.lit(13)) != 0).withColumn(
+        "install_date", F.when(F.pmod(did, F.lit(5)) == 0, F.date_add("install_date", 1)).otherwise(F.col("install_date")))
+    return cdc.detect_changes(d, snap).select("device_id", "change_type", "install_date")
+
+
 @register("c5_cdc_log")
 def c5_cdc_log(spark, sf_dir):
-    ch = cdc.detect_changes(Fleet(spark, sf_dir).telemetry(), day_batch(spark, sf_dir), KEYS)
-    return cdc.cdc_log_entry(ch, "telemetry", DAY).drop("logged_at")
+    """Three days replayed: one entry each, appended, the newest two kept (90 in production)."""
+    t = Fleet(spark, sf_dir).telemetry()
+    log = spark.createDataFrame([], cdc.CDC_LOG_SCHEMA)
+    for k, day in enumerate(("2024-01-13", "2024-01-14", DAY)):
+        ch = cdc.detect_changes(t, day_batch(spark, sf_dir, day), KEYS)
+        entry = cdc.cdc_log_entry(ch, "telemetry", day).withColumn("logged_at", F.timestamp_seconds(F.lit(k)))
+        log = cdc.append_log(log, entry, keep_last=2)
+    return log.drop("logged_at")
 
 
 @register("c6_incremental_features")

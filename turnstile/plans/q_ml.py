@@ -12,6 +12,7 @@ from turnstile.operators import failure as fm
 from turnstile.operators import scoring as sc
 from turnstile.plans.catalog import register
 from turnstile.plans.common import round_doubles
+from turnstile.session import materialize
 from turnstile.sources.canonical import Fleet
 
 MODELS = ["random_forest", "gradient_boosting", "boosting_categorical"]
@@ -19,8 +20,8 @@ MODELS = ["random_forest", "gradient_boosting", "boosting_categorical"]
 
 def _data(spark, sf_dir):
     f = Fleet(spark, sf_dir)
-    return f._m("ml_data", lambda: fm.class_weights(
-        fm.stratified_split(fm.prepare(f.gold()), fm.TARGET, ["device_id", "date"]), fm.TARGET))
+    return f._m("ml_data", lambda: materialize(
+        fm.stratified_split(fm.prepare(f.gold()), fm.TARGET, ["device_id", "date"]), "ml-split"))
 
 
 def _fit(spark, sf_dir, name):
@@ -28,8 +29,10 @@ def _fit(spark, sf_dir, name):
     key = f"model_{name}"
     if key not in f._memo:
         d = _data(spark, sf_dir)
-        tr = d.where(F.col("split") == "train").persist()  # re-read by every boosting round
+        # weights come from the training rows alone; they are re-read by every boosting round
+        tr = fm.class_weights(d.where(F.col("split") == "train"), fm.TARGET).persist()
         f._memo[key] = fm.train(tr, name)
+        tr.unpersist()
     return f._memo[key]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from turnstile.plans.catalog import register
 from turnstile.plans.common import round_doubles
-from turnstile.session import scratch_path
+from turnstile.session import mkdirs, scratch_path
 from turnstile.sources import ingest, sinks
 from turnstile.sources.canonical import Fleet
 from turnstile.streaming import stream as st
@@ -21,40 +21,36 @@ def _ntz(df, *cols):
     return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def _landing(spark, sf_dir, name, df, partition_col=None):
-    """Write ``df`` once per session as landing files for a stream."""
-    f = Fleet(spark, sf_dir)
-    key = f"landing_{name}"
-    if key not in f._memo:
-        path = scratch_path(spark, f"landing/{name}-{uuid.uuid4().hex}")
-        w = df.write.mode("overwrite")
-        if partition_col:
-            w = w.partitionBy(partition_col)
-        w.parquet(path)
-        f._memo[key] = path
-    return f._memo[key]
+def _thirds(col="ts"):
+    """Three deliveries in time order."""
+    t = F.col(col).cast("date")
+    first, second = F.lit("2024-01-11").cast("date"), F.lit("2024-01-21").cast("date")
+    return [t < first, (t >= first) & (t < second), (t >= second) | t.isNull()]
 
 
 @register("st1_ingest_stream")
 def st1_ingest_stream(spark, sf_dir):
+    """Three deliveries, with the query stopped and started again between them."""
     ev = Fleet(spark, sf_dir).events
-    landing = _landing(spark, sf_dir, "events", ev.withColumn("day", F.to_date("ts")), "day")
     tag = uuid.uuid4().hex
-    bronze, ckpt = scratch_path(spark, f"bronze/events-{tag}"), scratch_path(spark, f"stream/ingest-{tag}")
-    schema = spark.read.parquet(landing).drop("day").schema
-    st.ingest_stream(spark, landing, schema, bronze, ckpt)
+    landing, bronze, ckpt = (scratch_path(spark, f"{d}/events-{tag}") for d in ("landing", "bronze", "stream"))
+    st.land_in_order(ev, landing, _thirds(), lambda: st.ingest_stream(spark, landing, ev.schema, bronze, ckpt))
     b = spark.read.parquet(bronze)
     return b.groupBy("date").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("devices"))
 
 
 @register("st2_cdc_stream")
 def st2_cdc_stream(spark, sf_dir):
+    """Telemetry by thirds, then a corrected re-delivery of one day in which some devices are gone."""
     t = Fleet(spark, sf_dir).telemetry()
-    landing = _landing(spark, sf_dir, "telemetry", t)
     tag = uuid.uuid4().hex
-    root, ckpt = scratch_path(spark, f"silver/telemetry-{tag}"), scratch_path(spark, f"stream/cdc-{tag}")
-    st.cdc_stream(spark, landing, t.schema, root, ckpt, ["device_id", "date"])
-    return round_doubles(spark.read.parquet(f"{root}/v1").select("device_id", "date", "error_count", "cpu_usage_pct"))
+    landing, silver, ckpt = (scratch_path(spark, f"{d}/telemetry-{tag}") for d in ("landing", "silver", "stream"))
+    step = lambda: st.cdc_stream(spark, landing, t.schema, silver, ckpt, ["device_id", "date"])
+    st.land_in_order(t, landing, _thirds("date"), step)
+    again = t.where((F.col("date") == F.lit("2024-01-15").cast("date")) & (F.pmod("device_id", F.lit(4)) != 0))
+    again = again.withColumn("error_count", F.col("error_count") + 1)
+    st.land_in_order(again, landing, [F.lit(True)], step)
+    return round_doubles(st.latest_versions(spark, silver).select("device_id", "date", "error_count", "cpu_usage_pct"))
 
 
 @register("st3_tumbling_counts")
@@ -66,20 +62,27 @@ def st3_tumbling_counts(spark, sf_dir):
 @register("st3_stream_tumbling")
 def st3_stream_tumbling(spark, sf_dir):
     ev = Fleet(spark, sf_dir).events
-    landing = _landing(spark, sf_dir, "events_flat", ev)
+    landing = scratch_path(spark, f"landing/tumbling-{uuid.uuid4().hex}")
+    mkdirs(spark, landing)
     s = spark.readStream.schema(ev.schema).parquet(landing)
-    out = st.run_to_table(spark, st.tumbling_device_counts(s, 15, lateness="30 minutes"), "tumbling", "update")
-    return round_doubles(_ntz(out, "window_start", "window_end"))
+    table = st.StreamTable(st.tumbling_device_counts(s, 15, lateness="30 minutes"), "tumbling", "update", ["device_id", "window_start"])
+    st.land_in_order(ev, landing, _thirds(), table.step)
+    return round_doubles(_ntz(table.read(), "window_start", "window_end"))
 
 
 @register("st4_dedup_stream")
 def st4_dedup_stream(spark, sf_dir):
+    """Every fifth event is delivered again with the next part."""
     ev = Fleet(spark, sf_dir).events
-    redelivered = ev.unionByName(ev.where(F.pmod("event_id", F.lit(5)) == 0))
-    landing = _landing(spark, sf_dir, "events_redelivered", redelivered)
+    landing = scratch_path(spark, f"landing/dedup-{uuid.uuid4().hex}")
+    mkdirs(spark, landing)
     s = spark.readStream.schema(ev.schema).parquet(landing)
-    out = st.run_to_table(spark, st.dedup_stream(s, ["event_id"], "1 hour"), "dedup")
-    return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    table = st.StreamTable(st.dedup_stream(s, ["event_id"], "1 hour"), "dedup")
+    thirds = _thirds()
+    again = F.pmod("event_id", F.lit(5)) == 0
+    st.land_in_order(ev.unionByName(ev.where(again)), landing, [thirds[0]], table.step)
+    st.land_in_order(ev, landing, [thirds[1] | (thirds[0] & again), thirds[2] | (thirds[1] & again)], table.step)
+    return table.read().groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
 
 
 @register("st5_requests_per_minute")
@@ -116,10 +119,12 @@ def st6_sliding_alerts(spark, sf_dir):
 def st7_escalation_stream(spark, sf_dir):
     e = Fleet(spark, sf_dir).error_logs()
     e = e.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    landing = _landing(spark, sf_dir, "errors", e)
+    landing = scratch_path(spark, f"landing/errors-{uuid.uuid4().hex}")
+    mkdirs(spark, landing)
     s = spark.readStream.schema(e.schema).parquet(landing)
-    out = st.run_to_table(spark, st.escalation_stream(s), "escalations")
-    return _ntz(out, "ts")
+    table = st.StreamTable(st.escalation_stream(s), "escalations")
+    st.land_in_order(e, landing, _thirds("timestamp"), table.step)
+    return _ntz(table.read(), "ts")
 
 
 # ------------------------------------------------------------------ sources / sinks

@@ -9,6 +9,7 @@ from turnstile.operators import scoring as sc
 from turnstile.operators import survival as sv
 from turnstile.plans.catalog import register
 from turnstile.plans.common import round_doubles
+from turnstile.session import materialize
 from turnstile.sources.canonical import Fleet
 
 
@@ -48,37 +49,42 @@ def m24_weibull(spark, sf_dir):
         "lambda_ double, rho_ double, events int, n int, interpretation string"), 4)
 
 
+#: Fixed parameters for the queries that apply a fitted curve, so that SQL can follow them.
+LAMBDA, RHO = 40.0, 1.3
+
+
 @register("m25_weibull_curves")
 def m25_weibull_curves(spark, sf_dir):
-    p = _weibull(spark, sf_dir)
-    return round_doubles(sv.weibull_curves(spark, p["lambda_"], p["rho_"]))
+    last = _surv(spark, sf_dir).agg(F.max("duration_days")).first()[0] or 0  # one scalar
+    return round_doubles(sv.weibull_curves(spark, LAMBDA, RHO, max(90, last)))
 
 
 @register("m26_reliability")
 def m26_reliability(spark, sf_dir):
-    p = _weibull(spark, sf_dir)
-    s = _surv(spark, sf_dir).select("device_id")
-    return round_doubles(sv.reliability(s, p["lambda_"], p["rho_"]))
+    return round_doubles(sv.reliability(_surv(spark, sf_dir).select("device_id"), LAMBDA, RHO))
 
 
 @register("m31_rul")
 def m31_rul(spark, sf_dir):
+    return round_doubles(sv.rul(_surv(spark, sf_dir), LAMBDA, RHO))
+
+
+@register("m31_rul_fitted")
+def m31_rul_fitted(spark, sf_dir):
     p = _weibull(spark, sf_dir)
     return round_doubles(sv.rul(_surv(spark, sf_dir), p["lambda_"], p["rho_"]))
 
 
 @register("m32_sla_risk")
 def m32_sla_risk(spark, sf_dir):
-    p = _weibull(spark, sf_dir)
     s = _surv(spark, sf_dir)
-    return round_doubles(sv.sla_risk(s, sv.rul(s, p["lambda_"], p["rho_"])).select(
+    return round_doubles(sv.sla_risk(s, sv.rul(s, LAMBDA, RHO)).select(
         "device_id", "rul_median_days", "risk_tier", "sla_breach_prob", "sla_risk_score"))
 
 
 @register("a13_rul_fleet_metrics")
 def a13_rul_fleet_metrics(spark, sf_dir):
-    p = _weibull(spark, sf_dir)
-    return round_doubles(sv.rul_fleet_metrics(sv.rul(_surv(spark, sf_dir), p["lambda_"], p["rho_"])))
+    return round_doubles(sv.rul_fleet_metrics(sv.rul(_surv(spark, sf_dir), LAMBDA, RHO)))
 
 
 def _cox(spark, sf_dir):
@@ -93,8 +99,19 @@ def m28_cox(spark, sf_dir):
     return round_doubles(sv.cox_summary(_surv(spark, sf_dir), fit=_cox(spark, sf_dir)), 4)
 
 
+def _rule_risk(spark, sf_dir):
+    """A rule score as risk: whole points lost by the health score, so that many devices tie."""
+    return _surv(spark, sf_dir).select("device_id", "duration_days", "event",
+                                       F.floor(F.lit(100.0) - F.col("health_score")).cast("double").alias("partial_hazard"))
+
+
 @register("m29_concordance")
 def m29_concordance(spark, sf_dir):
+    return round_doubles(sv.concordance_index(_rule_risk(spark, sf_dir)))
+
+
+@register("m29_concordance_cox")
+def m29_concordance_cox(spark, sf_dir):
     s = _surv(spark, sf_dir)
     fit = _cox(spark, sf_dir)
     return round_doubles(sv.concordance_index(sv.partial_hazard(s, fit["coef"])), 4)
@@ -102,9 +119,7 @@ def m29_concordance(spark, sf_dir):
 
 @register("m30_risk_groups")
 def m30_risk_groups(spark, sf_dir):
-    s = _surv(spark, sf_dir)
-    fit = _cox(spark, sf_dir)
-    g = sv.risk_groups(sv.partial_hazard(s, fit["coef"]))
+    g = sv.risk_groups(_rule_risk(spark, sf_dir))
     return g.groupBy("risk_group").agg(F.count(F.lit(1)).alias("devices"), F.sum("event").alias("events"))
 
 
@@ -165,9 +180,24 @@ def p21_validate_requests(spark, sf_dir):
     return bad.select("device_id", F.array_join("invalid_fields", ",").alias("invalid_fields"))
 
 
+def _whole_fleet(spark, sf_dir):
+    """Scored devices with a rule failure probability and tier, and the rule anomaly flag of their last day."""
+    from turnstile.plans.q_anomaly import _rule_labeled
+
+    f = Fleet(spark, sf_dir)
+
+    def make():
+        s = _scored(spark, sf_dir).withColumn("failure_probability", 1 - F.col("health_score") / 100)
+        s = sc.tiers(s, "failure_probability").withColumnRenamed("tier_serving", "failure_risk_tier")
+        lab = _rule_labeled(spark, sf_dir).select("device_id", "date", "anomaly_score", (F.col("anomaly_label") == 1).alias("is_anomaly"))
+        return materialize(s.drop("anomaly_score").join(lab, ["device_id", "date"], "left"), "whole-fleet")
+
+    return f._m("whole_fleet", make)
+
+
 @register("a19_fleet_summary")
 def a19_fleet_summary(spark, sf_dir):
-    return round_doubles(sc.fleet_summary(_scored(spark, sf_dir)))
+    return round_doubles(sc.fleet_summary(_whole_fleet(spark, sf_dir)))
 
 
 @register("a20_top_fleet_cause")
@@ -182,7 +212,12 @@ def a22_rul_histogram(spark, sf_dir):
 
 @register("a24_score_histogram")
 def a24_score_histogram(spark, sf_dir):
-    return round_doubles(sc.cumulative_histogram(_scored(spark, sf_dir), "sla_risk_score", [10, 20, 30, 50, 70, 90]))
+    return sc.served_histograms(_whole_fleet(spark, sf_dir))
+
+
+@register("a24_tier_counters")
+def a24_tier_counters(spark, sf_dir):
+    return sc.served_counters(_whole_fleet(spark, sf_dir), {"ps1": "failure_risk_tier", "ps5": "risk_tier"})
 
 
 @register("a12_tier_counts")
@@ -195,4 +230,25 @@ def a12_tier_counts(spark, sf_dir):
 
 @register("a28_dashboard_summary")
 def a28_dashboard_summary(spark, sf_dir):
-    return sc.dashboard_summary(_scored(spark, sf_dir)).select("summary_json")
+    """Seven blocks; those of fitted models take the rule scores, so that SQL can follow every value."""
+    from turnstile.plans.catalog import QUERIES
+
+    def rows(name):
+        return QUERIES[name](spark, sf_dir)
+
+    def number(name, metric):
+        return rows(name).agg(F.count(F.lit(1)).alias(metric))
+
+    return round_doubles(sc.dashboard_values([
+        ("ps1_failure_prediction", rows("m5_baseline_metrics"), None, ["roc_auc", "f1", "recall", "precision"]),
+        ("ps2_error_patterns", number("m12_rules", "association_rules"), None, ["association_rules"]),
+        ("ps2_error_patterns", number("m14_significant_transitions", "top_transitions"), None, ["top_transitions"]),
+        ("ps2_error_patterns", number("w10_escalations", "severity_escalations"), None, ["severity_escalations"]),
+        ("ps3_root_cause", rows("a20_top_fleet_cause"), "cause", ["affected_devices"]),
+        ("ps4_anomaly_detection", rows("w12_spc_summary"), "feature", ["violations", "warnings"]),
+        ("ps4_anomaly_detection", rows("a9_anomaly_feature_diff"), "feature", ["anomaly_mean", "normal_mean"]),
+        ("ps5_sla_risk", rows("a13_rul_fleet_metrics"), None,
+         ["mean_rul", "critical_devices", "high_devices", "medium_devices", "low_devices"]),
+        ("drift_detection", rows("d4_drift_share"), None, ["n_features", "n_drifted", "drift_share"]),
+        ("data_quality", rows("q10_summary"), "layer", ["total", "passed", "failed"]),
+    ]), 4)

@@ -119,3 +119,16 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return spark.read.parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its file system (any that Spark can reach)."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def mkdirs(spark: SparkSession, path: str) -> None:
+    """Create a folder, for a stream that starts before its first file."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)

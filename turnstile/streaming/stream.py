@@ -8,6 +8,7 @@ Checkpoints and sinks live under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from turnstile.functions.exprs import SEVERITY_RANK
-from turnstile.session import scratch_path
+from turnstile.session import path_exists, scratch_path
 
 
 def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
@@ -26,49 +27,64 @@ def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
     return df
 
 
+def _run(writer, checkpoint: str) -> int:
+    """Process what is new (availableNow) and return the last batch's number."""
+    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q.lastProgress["batchId"] if q.lastProgress else -1
+
+
 # ---------------------------------------------------------------- ST1
 def ingest_stream(spark: SparkSession, landing: str, schema, bronze: str, checkpoint: str,
                   source_name: str = "events") -> int:
     """Incremental file ingest to bronze: every new landing file is read once (checkpointed
-    offsets), stamped with batch metadata and appended, partitioned by day."""
+    offsets), stamped with batch metadata and written by batch and day.  A batch has a folder
+    of its own that a retry overwrites, so no batch is counted twice."""
     s = spark.readStream.schema(schema).parquet(landing)
 
     def write(batch: DataFrame, epoch: int):
         (batch.withColumn("_ingested_at", F.current_timestamp())
-         .withColumn("_batch_id", F.lit(epoch))
          .withColumn("_source", F.lit(source_name))
          .withColumn("date", F.to_date("ts"))
-         .write.mode("append").partitionBy("date").parquet(bronze))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("date").parquet(f"{bronze}/batch={epoch}"))
 
-    q = s.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return q.lastProgress["batchId"] if q.lastProgress else -1
+    return _run(s.writeStream.foreachBatch(write), checkpoint)
 
 
 # ---------------------------------------------------------------- ST2
-def cdc_stream(spark: SparkSession, landing: str, schema, silver_root: str, checkpoint: str, keys: list[str]) -> None:
-    """Per micro-batch: detect changes against the current silver version and write
-    the merged table as a new version directory (never overwrite what is read)."""
+def latest_versions(spark: SparkSession, silver: str, before: int | None = None, scope_col: str = "date") -> DataFrame | None:
+    """The newest version of every day of a versioned silver table (None: no version yet)."""
+    if not path_exists(spark, silver):
+        return None
+    rows = spark.read.parquet(silver)
+    if before is not None:
+        rows = rows.where(F.col("epoch") < before)
+    newest = rows.groupBy(scope_col).agg(F.max("epoch").alias("epoch"))  # one row a day
+    return rows.join(newest, [scope_col, "epoch"], "left_semi").drop("epoch")
+
+
+def cdc_stream(spark: SparkSession, landing: str, schema, silver: str, checkpoint: str, keys: list[str],
+               scope_col: str = "date") -> int:
+    """Per micro-batch: merge the batch into the days it speaks for and write these days as a new
+    version (``epoch=N/day``); other days keep their version.  A batch deletes keys only of its own
+    days.  The version is the batch's number from the checkpoint, so a restart goes on where
+    it stopped and a retry overwrites its own version; readers take ``latest_versions``."""
     from turnstile.operators.cdc import apply_changes, detect_changes
 
-    state = {"version": 0}
-
     def merge(batch: DataFrame, epoch: int):
-        cur = f"{silver_root}/v{state['version']}"
-        try:
-            existing = spark.read.parquet(cur)
-        except Exception:  # first version
-            existing = None
-        if existing is None:
-            merged = batch.dropDuplicates(keys)
+        batch = batch.dropDuplicates(keys)
+        known = latest_versions(spark, silver, epoch, scope_col)
+        if known is None:
+            merged = batch
         else:
-            merged = apply_changes(existing, detect_changes(existing, batch, keys, scope_col=None), keys)
-        state["version"] += 1
-        merged.write.mode("overwrite").parquet(f"{silver_root}/v{state['version']}")
+            known = known.select(*batch.columns).join(batch.select(scope_col).distinct(), scope_col, "left_semi").select(*batch.columns)
+            merged = apply_changes(known, detect_changes(known, batch, keys, scope_col), keys, scope_col)
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(scope_col).parquet(f"{silver}/epoch={epoch}"))
 
-    q = (spark.readStream.schema(schema).parquet(landing).writeStream.foreachBatch(merge)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    s = spark.readStream.schema(schema).parquet(landing)
+    return _run(s.writeStream.foreachBatch(merge), checkpoint)
 
 
 # ---------------------------------------------------------------- ST3 / ST5 / ST6
@@ -141,45 +157,71 @@ def dedup_stream(events: DataFrame, keys: list[str], lateness: str = "1 hour") -
 # ---------------------------------------------------------------- ST7
 ESCALATION_SCHEMA = ("device_id long, ts timestamp, from_severity string, to_severity string, "
                      "from_error string, to_error string")
-STATE_SCHEMA = "severity string, error_code string, ts timestamp"
+STATE_SCHEMA = "severity string, error_code string, ts timestamp, event_id long"
 
 
 def _escalate(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    prev = state.get if state.exists else None
-    out = []
-    for pdf in pdfs:
-        pdf = pdf.sort_values(["timestamp", "event_id"])
-        for sev, code, ts in zip(pdf["severity"], pdf["error_code"], pdf["timestamp"]):
-            if prev is not None:
-                r0, r1 = SEVERITY_RANK.get(prev[0]), SEVERITY_RANK.get(sev)
-                if r0 is not None and r1 is not None and r1 > r0:
-                    out.append((key[0], prev[2], prev[0], sev, prev[1], code))
-            prev = (sev, code, ts)
-    if prev is not None:
-        state.update(prev)
-    yield pd.DataFrame(out, columns=["device_id", "ts", "from_severity", "to_severity", "from_error", "to_error"])
+    """One device's new events in time order, after the last event that the state remembers.
+
+    Late events (not after that one) are left out: their neighbours have been compared."""
+    pdf = pd.concat(list(pdfs), ignore_index=True)[["timestamp", "event_id", "severity", "error_code"]]
+    if state.exists:
+        severity, code, ts, event_id = state.get
+        ts = pd.Timestamp(ts)
+        pdf = pdf[(pdf["timestamp"] > ts) | ((pdf["timestamp"] == ts) & (pdf["event_id"] > event_id))]
+        first = pd.DataFrame({"timestamp": [ts], "event_id": [event_id], "severity": [severity], "error_code": [code]})
+        pdf = pd.concat([first, pdf], ignore_index=True)
+    pdf = pdf.sort_values(["timestamp", "event_id"], ignore_index=True)
+    if len(pdf):
+        last = pdf.iloc[-1]
+        state.update((last["severity"], last["error_code"], last["timestamp"].to_pydatetime(), int(last["event_id"])))
+    rank = pdf["severity"].map(SEVERITY_RANK)
+    up = (rank.diff() > 0).to_numpy()  # an unknown severity has no rank and no difference
+    to, since = pdf[up], pdf.shift(1)[up]
+    if not len(to):
+        return
+    yield pd.DataFrame({"device_id": [key[0]] * len(to), "ts": since["timestamp"].to_numpy(), "from_severity": since["severity"].to_numpy(),
+                        "to_severity": to["severity"].to_numpy(), "from_error": since["error_code"].to_numpy(),
+                        "to_error": to["error_code"].to_numpy()})
 
 
 def escalation_stream(errors: DataFrame) -> DataFrame:
-    """Stateful escalation detector: the previous severity of each device is kept in state."""
+    """Stateful escalation detector: the last event of each device is kept in state."""
     return errors.groupBy("device_id").applyInPandasWithState(
         _escalate, ESCALATION_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
-def run_to_table(spark: SparkSession, stream_df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a streaming query to completion (availableNow) into a Parquet table; read it back."""
-    import uuid
+class StreamTable:
+    """A streaming query's result as a table: a folder for each batch, which a retry overwrites.
 
-    tag = f"{name}-{uuid.uuid4().hex}"
-    out, ckpt = scratch_path(spark, f"stream/{tag}/out"), scratch_path(spark, f"stream/{tag}/ckpt")
+    ``step`` processes what is new and may be called again, after a restart as well.  In update
+    mode ``read`` gives each key's newest row."""
 
-    def write(batch: DataFrame, epoch: int):
-        batch.write.mode("append").parquet(out)
+    def __init__(self, stream_df: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None, path: str | None = None):
+        self.df, self.mode, self.keys = stream_df, mode, keys
+        self.path = path or scratch_path(stream_df.sparkSession, f"stream/{name}-{uuid.uuid4().hex}")
 
-    q = (stream_df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    try:
-        return spark.read.schema(stream_df.schema).parquet(out)
-    except Exception:  # nothing was emitted
-        return spark.createDataFrame([], stream_df.schema)
+    def step(self) -> int:
+        def write(batch: DataFrame, epoch: int):
+            batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/out/epoch={epoch}")
+
+        return _run(self.df.writeStream.outputMode(self.mode).foreachBatch(write), f"{self.path}/checkpoint")
+
+    def read(self) -> DataFrame:
+        spark = self.df.sparkSession
+        if not path_exists(spark, f"{self.path}/out"):
+            return spark.createDataFrame([], self.df.schema)
+        rows = spark.read.parquet(f"{self.path}/out")
+        if self.mode == "append":
+            return rows.select(*self.df.columns)
+        rest = [c for c in self.df.columns if c not in self.keys]
+        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "epoch").alias("_r"))
+        return newest.select(*self.keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*self.df.columns)
+
+
+def land_in_order(rows: DataFrame, landing: str, parts: list, step) -> None:
+    """Deliver ``rows`` in several parts (conditions), each followed by ``step()``: a stream that gets
+    its files over time and is stopped and started between them."""
+    for condition in parts:
+        rows.where(condition).write.mode("append").parquet(landing)
+        step()
