@@ -94,27 +94,31 @@ def clip_keep_null(c: Column | str, lo, hi) -> Column:
 
 
 def title_case(c: Column | str) -> Column:
-    """Python ``str.title()`` for ASCII words joined by ``_``/space/``-``.
+    """Python ``str.title()`` for Latin text: a letter after anything but a letter is upper-cased, every
+    other letter lower-cased (``wide_entry`` -> ``Wide_Entry``, ``b-12a`` -> ``B-12A``, ``o'neil`` -> ``O'Neil``)."""
+    c = F.col(c) if isinstance(c, str) else c
+    # a mark before each letter that begins a word; the parts between marks are capitalised one by one
+    marked = F.regexp_replace(F.lower(c), r"(?<!\p{L})(?=\p{L})", "\u0000")
+    return F.array_join(F.transform(F.split(marked, "\u0000"), lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 2147483647))), "")
 
-    ``initcap`` only capitalises after spaces, so ``wide_entry`` would become
-    ``Wide_entry``; here every letter that follows a non-letter is upper-cased
-    and every other letter lower-cased.
-    """
+
+#: White space that Python's strip() takes off, beyond the blank.
+_SPACE = r"[\s\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
+
+def strip(c: Column | str) -> Column:
+    """Python ``str.strip()``."""
     c = F.col(c) if isinstance(c, str) else c
-    lowered = F.lower(c)
-    # split on '_' then initcap each part (initcap handles spaces), join back
-    parts = F.split(lowered, "_")
-    return F.array_join(F.transform(parts, lambda p: F.initcap(p)), "_")
+    return F.regexp_replace(c, f"^{_SPACE}|{_SPACE}$", "")
 
 
 def std_title(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return title_case(F.trim(c))
+    return title_case(strip(c))
 
 
 def std_upper(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.trim(F.upper(c))
+    return strip(F.upper(c))
 
 
 def severity_rank(c: Column | str, sql_model: bool = False) -> Column:

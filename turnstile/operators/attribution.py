@@ -5,8 +5,9 @@ node value at each split is credited to the split feature (path / "Saabas"
 attribution).  Contributions plus the base value reproduce the model output
 exactly: class-1 probability for random forests, log-odds margin for boosted
 trees.  Tree structure is read from the model's own saved node table (a
-bounded table: trees x nodes), and rows are scored in ``mapInPandas`` with
-vectorised numpy traversal -- every row, no sampling.
+bounded table: trees x nodes).  A row's contributions in a tree depend on its leaf alone,
+so each (tree, leaf) gets one vector; the model writes the row's leaf ids, and rows are
+scored in ``mapInArrow`` by looking the vectors up -- every row, no sampling.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,24 +67,21 @@ def export_forest(spark, ensemble) -> dict:
     return {"trees": trees, "kind": kind}
 
 
-def _tree_contrib(x: np.ndarray, t: dict, p: int) -> tuple[np.ndarray, np.ndarray]:
-    n = len(x)
-    contrib = np.zeros((n, p))
-    idx = np.zeros(n, dtype=np.int64)
-    active = t["feat"][idx] >= 0
-    while active.any():
-        rows = np.where(active)[0]
-        node = idx[rows]
-        f = t["feat"][node]
-        v = x[rows, f]
-        go_left = v <= t["thr"][node]
-        for k in np.where([t["cats"][j] is not None for j in node])[0]:
-            go_left[k] = v[k] in t["cats"][node[k]]
-        nxt = np.where(go_left, t["left"][node], t["right"][node])
-        np.add.at(contrib, (rows, f), t["value"][nxt] - t["value"][node])
-        idx[rows] = nxt
-        active = t["feat"][idx] >= 0
-    return contrib, t["value"][idx]
+def leaf_vectors(t: dict, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """(contributions, values) of a tree's leaves, left to right (the model's order of leaf ids)."""
+    contrib, values = [], []
+    todo = [(0, np.zeros(p))]
+    while todo:
+        i, c = todo.pop()
+        if t["left"][i] < 0:
+            contrib.append(c)
+            values.append(t["value"][i])
+            continue
+        for child in (t["right"][i], t["left"][i]):  # the left one is taken first
+            down = c.copy()
+            down[t["feat"][i]] += t["value"][child] - t["value"][i]
+            todo.append((child, down))
+    return np.array(contrib), np.array(values)
 
 
 def attributions(pipeline_model, df: DataFrame, key_cols: list[str], inputs: list[str]) -> DataFrame:
@@ -96,28 +95,29 @@ def attributions(pipeline_model, df: DataFrame, key_cols: list[str], inputs: lis
     p = len(inputs)
     base = (sum(t["value"][0] for t in trees) / len(trees)) if kind == "rf" else sum(
         t["weight"] * t["value"][0] for t in trees)
-    x = prep.select(*key_cols, vector_to_array("features").alias("_x"))
+    model = pipeline_model.stages[-1].copy()
+    model.setLeafCol("_leaf")
+    x = model.transform(prep).select(*key_cols, vector_to_array("_leaf").alias("_leaf"))
     schema = T.StructType([x.schema[c] for c in key_cols] + [
         T.StructField("base", T.DoubleType()), T.StructField("output", T.DoubleType()),
         T.StructField("attr", T.ArrayType(T.DoubleType()))])
-
-    def run(it):
-        for pdf in it:
-            xs = np.array(pdf["_x"].tolist(), dtype=float).reshape(len(pdf), p)
-            tot = np.zeros((len(pdf), p))
-            out = np.zeros(len(pdf))
-            for t in trees:
-                c, leaf = _tree_contrib(xs, t, p)
-                w = (1.0 / len(trees)) if kind == "rf" else t["weight"]
-                tot += w * c
-                out += w * leaf
-            res = pdf[key_cols].copy()
-            res["base"] = base
-            res["output"] = out
-            res["attr"] = list(tot)
-            yield res
-
-    return x.mapInPandas(run, schema)
+    weights = [(1.0 / len(trees)) if kind == "rf" else t["weight"] for t in trees]
+    vectors = [tuple(w * v for v in leaf_vectors(t, p)) for t, w in zip(trees, weights)]
+    sent = spark.sparkContext.broadcast(vectors)  # trees x leaves x inputs: bounded by the model
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            leaf = batch.column(len(key_cols)).flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.int64)
+            tot, out = np.zeros((n, p)), np.zeros(n)
+            for k, (c, v) in enumerate(sent.value):
+                tot += c[leaf[:, k]]
+                out += v[leaf[:, k]]
+            attr = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * p, pa.int32()), pa.array(tot.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(key_cols))]
+                                             + [pa.array(np.full(n, base)), pa.array(out), attr], names=schema.names)
+
+    return x.mapInArrow(run, schema)
 
 
 def global_importance(attr: DataFrame, inputs: list[str]) -> DataFrame:

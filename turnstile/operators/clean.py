@@ -22,6 +22,7 @@ from turnstile.functions.exprs import (
     std_upper,
 )
 from turnstile.functions.stats import exact_median
+from turnstile.session import materialize
 
 
 # ---------------------------------------------------------------- P1
@@ -104,6 +105,8 @@ def clean_telemetry(df: DataFrame, medians: dict | None = None) -> DataFrame:
     d = dedup_latest(df, ["device_id", "date"]) if "_ingested_at" in df.columns else df
     d = drop_meta(d)
     d = clip_ranges(d, TELEMETRY_RANGES)
+    if medians is None:
+        d = materialize(d, "telemetry-clipped")  # read by every pass of the medians and by the result
     return fill_median(d, numeric_columns(d, exclude=("device_id",)), medians)
 
 

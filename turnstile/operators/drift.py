@@ -150,10 +150,18 @@ def data_summary(tagged: DataFrame, features: list[str]) -> DataFrame:
         .select("period", "r.*")
     return long.groupBy("period", "feature").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value").isNull()).alias("missing"),
+        F.count_distinct("value").alias("distinct"),
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
 
 
+def duplicate_summary(tagged: DataFrame, keys: list[str]) -> DataFrame:
+    """Per period: rows, distinct keys, duplicate rows."""
+    g = tagged.groupBy("period", *keys).agg(F.count(F.lit(1)).alias("n"))  # combined map-side, then one row a key
+    return g.groupBy("period").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct_keys"),
+                                   (F.sum("n") - F.count(F.lit(1))).alias("duplicates"))
+
+
 # ---------------------------------------------------------------- D7 / D8
 def retrain_rule(state: DataFrame, interval_days: int = RETRAIN_INTERVAL_DAYS) -> DataFrame:
     """state: current_date, last_retrain_date (nullable), force, drift_retrain, drift_share."""
@@ -172,12 +180,14 @@ def retrain_rule(state: DataFrame, interval_days: int = RETRAIN_INTERVAL_DAYS) -
 
 
 def decision_matrix(df: DataFrame, share_col: str = "drift_share", auc_col: str = "auc") -> DataFrame:
+    """Action by drift share and AUC.  A share of exactly 0.3 is minor drift and an AUC of exactly 0.85 good;
+    without drift an AUC of 0.85 to 0.90 is watched."""
     s, a = F.col(share_col), F.col(auc_col)
     action = (F.when(s > 0.5, "Emergency retrain + alert team")
               .when((s > 0.3) & (a < 0.85), "Urgent retrain + root cause")
-              .when((s > 0.3) & (a >= 0.85), "Retrain (proactive)")
-              .when((s < 0.3) & (a < 0.85), "Investigate features, retrain")
-              .when((s >= 0.1) & (s <= 0.3) & (a > 0.85), "Monitor, retrain next month")
-              .when((s < 0.3) & (a > 0.90), "Do nothing")
+              .when(s > 0.3, "Retrain (proactive)")
+              .when(a < 0.85, "Investigate features, retrain")
+              .when(s >= 0.1, "Monitor, retrain next month")
+              .when(a > 0.90, "Do nothing")
               .otherwise("Monitor"))
     return df.select("*", action.alias("action"))

@@ -1,42 +1,31 @@
 """Error patterns: baskets, co-occurrence itemsets and rules, Markov transitions,
 stationary distribution and severity escalations (A6, A7, A14, A15, M11-M16, W9, W10).
 
-Co-occurrence is counted without emitting pairs per basket: each basket becomes
-a 0/1 indicator per code (the code vocabulary is a short, size-checked list),
-and the support of an itemset is a plain ``sum`` of the product of its
-indicators -- one map-side combined aggregation.  When the vocabulary is too
-large for that, itemsets come from Spark ML's distributed FP-Growth.
+A basket is the sorted list of a device-day's distinct codes.  Itemsets come from Spark
+ML's distributed FP-Growth, whatever the number of codes.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.functions.exprs import severity_rank
+from turnstile.session import materialize
 
-MAX_CODES_DENSE = 40
-
-
-def code_vocabulary(errors: DataFrame, col: str = "error_code", limit: int = 10_000) -> list[str]:
-    """Distinct codes (a short code list); refuses to pull an unbounded column."""
-    codes = [r[0] for r in errors.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(codes) > limit:
-        raise ValueError(f"{col} has more than {limit} distinct values; not a code list")
-    return sorted(codes)
+def code_vocabulary(errors: DataFrame, col: str = "error_code") -> list[str]:
+    """The distinct codes: the error catalogue of a device type, for columns and states."""
+    return sorted(r[0] for r in errors.select(col).where(F.col(col).isNotNull()).distinct().collect())
 
 
 # ---------------------------------------------------------------- A6
-def baskets(errors: DataFrame, codes: list[str], min_raw: int = 2) -> DataFrame:
+def baskets(errors: DataFrame, min_raw: int = 2) -> DataFrame:
     """One row per device-day with >= ``min_raw`` raw errors (before dedup, as executed):
-    indicator column ``i_<k>`` per code, plus the distinct item array."""
-    g = errors.groupBy("device_id", F.to_date("timestamp").alias("date")).agg(
-        F.count(F.lit(1)).alias("n_raw"),
-        *[F.max(F.when(F.col("error_code") == c, 1).otherwise(0)).alias(f"i_{k}") for k, c in enumerate(codes)],
-    )
+    n_raw and items, the sorted distinct codes.  Codes are counted first (map-side combined), so a busy
+    device-day reaches the second aggregate as one row a code."""
+    codes = errors.groupBy("device_id", F.to_date("timestamp").alias("date"), "error_code").agg(F.count(F.lit(1)).alias("n"))
+    g = codes.groupBy("device_id", "date").agg(F.sum("n").alias("n_raw"), F.sort_array(F.collect_list("error_code")).alias("items"))
     return g.where(F.col("n_raw") >= min_raw)
 
 
@@ -44,38 +33,15 @@ def baskets(errors: DataFrame, codes: list[str], min_raw: int = 2) -> DataFrame:
 def frequent_itemsets(errors: DataFrame, min_support: float = 0.05, max_len: int = 3,
                       min_transactions: int = 10) -> DataFrame:
     """(items array<string> sorted, size, count, support) for support >= min_support."""
-    spark = errors.sparkSession
-    schema = "items array<string>, size int, count bigint, support double"
-    codes = code_vocabulary(errors)
-    if len(codes) > MAX_CODES_DENSE:
-        return _fpgrowth_itemsets(errors, min_support, max_len, min_transactions)
-    b = baskets(errors, codes)
-    combos = [c for n in range(1, max_len + 1) for c in combinations(range(len(codes)), n)]
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for c in combos:
-        prod = None
-        for k in c:
-            prod = F.col(f"i_{k}") if prod is None else prod * F.col(f"i_{k}")
-        aggs.append(F.sum(prod).alias("c_" + "_".join(map(str, c))))
-    one = b.agg(*aggs)
-    rows = [F.struct(F.array(*[F.lit(codes[k]) for k in c]).alias("items"), F.lit(len(c)).alias("size"),
-                     F.col("c_" + "_".join(map(str, c))).alias("count")) for c in combos]
-    if not rows:
-        return spark.createDataFrame([], schema)
-    long = one.select("n", F.explode(F.array(*rows)).alias("r")).select("n", "r.*")
-    return long.where((F.col("n") >= min_transactions) & (F.col("count") / F.col("n") >= min_support)).select(
-        "items", "size", F.col("count").cast("bigint").alias("count"), (F.col("count") / F.col("n")).alias("support"))
-
-
-def _fpgrowth_itemsets(errors, min_support, max_len, min_transactions):
     from pyspark.ml.fpm import FPGrowth
-    t = errors.groupBy("device_id", F.to_date("timestamp").alias("date")).agg(
-        F.count(F.lit(1)).alias("n_raw"), F.collect_set("error_code").alias("items")).where(F.col("n_raw") >= 2)
+
+    t = materialize(baskets(errors).select("items"), "baskets")
     n = t.count()
     if n < min_transactions:
         return errors.sparkSession.createDataFrame([], "items array<string>, size int, count bigint, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(t.select("items"))
-    fi = model.freqItemsets.where(F.size("items") <= max_len)
+    # a hair under the bound, whose product with n may round up; the exact test follows
+    model = FPGrowth(itemsCol="items", minSupport=min_support * (1 - 1e-9)).fit(t)
+    fi = model.freqItemsets.where((F.size("items") <= max_len) & (F.col("freq") / F.lit(n) >= min_support))
     return fi.select(F.array_sort("items").alias("items"), F.size("items").alias("size"),
                      F.col("freq").alias("count"), (F.col("freq") / F.lit(n)).alias("support"))
 
@@ -175,11 +141,11 @@ def significant_transitions(errors: DataFrame, threshold: float = 0.1) -> DataFr
 
 
 # ---------------------------------------------------------------- M15
-def stationary_distribution(errors: DataFrame, max_states: int = 2000) -> DataFrame:
+def stationary_distribution(errors: DataFrame) -> DataFrame:
     """Left eigenvector of the transition matrix for the eigenvalue nearest 1,
-    normalised to sum 1, absolute values.  The K x K matrix is an aggregate
-    (size-checked), the eigen-solve is a driver-side K x K computation."""
-    codes = code_vocabulary(errors, limit=max_states)
+    normalised to sum 1, absolute values.  The K x K matrix is an aggregate over the
+    error catalogue, the eigen-solve a driver-side K x K computation."""
+    codes = code_vocabulary(errors)
     tc = transition_counts(errors).collect()
     idx = {c: i for i, c in enumerate(codes)}
     m = np.zeros((len(codes), len(codes)))
@@ -218,19 +184,16 @@ def daily_escalation_count(errors: DataFrame, day) -> DataFrame:
     return x.agg(F.count_if(F.col("to_rank") > F.col("rank")).alias("escalations"))
 
 
-def daily_code_pairs(errors: DataFrame, day, top: int = 5, codes: list[str] | None = None) -> DataFrame:
-    """Per device, the distinct codes of the day; count devices per unordered code pair
-    (sum of indicator products, no pair rows); top ``top`` by count, ties by pair."""
-    codes = codes or code_vocabulary(errors)
-    d = errors.where(F.to_date("timestamp") == F.lit(day).cast("date"))
-    ind = d.groupBy("device_id").agg(
-        *[F.max(F.when(F.col("error_code") == c, 1).otherwise(0)).alias(f"i_{k}") for k, c in enumerate(codes)])
-    pairs = list(combinations(range(len(codes)), 2))
-    if not pairs:
-        return errors.sparkSession.createDataFrame([], "code_a string, code_b string, count bigint")
-    one = ind.agg(*[F.sum(F.col(f"i_{a}") * F.col(f"i_{b}")).alias(f"p_{a}_{b}") for a, b in pairs])
-    rows = [F.struct(F.lit(codes[a]).alias("code_a"), F.lit(codes[b]).alias("code_b"),
-                     F.col(f"p_{a}_{b}").cast("bigint").alias("count")) for a, b in pairs]
-    long = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*").where(F.col("count") > 0)
-    return long.orderBy(F.col("count").desc(), "code_a", "code_b").limit(top)
+def daily_code_pairs(errors: DataFrame, day, top: int = 5) -> DataFrame:
+    """Devices per unordered pair of distinct codes on one day; top ``top`` by count, ties by pair.
 
+    A device's pairs come from its distinct codes of the day, a part of the error catalogue, whatever its
+    number of events; they are combined map-side."""
+    d = errors.where(F.to_date("timestamp") == F.lit(day).cast("date"))
+    codes = (d.groupBy("device_id", "error_code").agg(F.lit(1)).groupBy("device_id")
+              .agg(F.sort_array(F.collect_list("error_code")).alias("codes")))
+    after = lambda a, i: F.transform(
+        F.slice("codes", i + 2, F.greatest(F.size("codes") - i - 1, F.lit(0))), lambda b: F.struct(a.alias("code_a"), b.alias("code_b")))
+    pairs = codes.select(F.explode(F.flatten(F.transform("codes", after))).alias("p"))
+    return (pairs.groupBy("p.code_a", "p.code_b").agg(F.count(F.lit(1)).alias("count"))
+                 .orderBy(F.col("count").desc(), "code_a", "code_b").limit(top))

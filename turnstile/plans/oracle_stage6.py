@@ -179,7 +179,7 @@ GROUP BY feature""", extra=DRIFT_EXTRA[:1] + [("cl", _cl)]))
 _ds = "\nUNION ALL\n".join(f"SELECT period, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM tagged" for c in MON)
 oracle("d6_data_summary", with_gold("""
 SELECT period, feature, count(*) AS rows, count(*) FILTER (WHERE value IS NULL) AS missing,
-  round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min,
+  count(DISTINCT value) AS "distinct", round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min,
   round(max(value), 6) AS max
 FROM ds GROUP BY period, feature""", extra=DRIFT_EXTRA[:1] + [("ds", _ds)]))
 

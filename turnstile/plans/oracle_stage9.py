@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from turnstile.plans.oracle import ORACLE, oracle, with_gold
-from turnstile.plans.oracle_stage5 import LATEST, SC_EXTRA, SURV_EXTRA, _RULE_ORDER
+from turnstile.plans.oracle_stage5 import LATEST, SC_EXTRA, SLA_S, SURV_EXTRA, _RULE_ORDER
 from turnstile.plans.oracle_stage6 import CDC_EXTRA
 from turnstile.plans.oracle_views import with_views
 
@@ -171,3 +171,107 @@ SELECT device_id, date, CASE WHEN date = DATE '2024-01-15' THEN error_count + 1
   round(cpu_usage_pct, 6) AS cpu_usage_pct
 FROM v_telemetry WHERE date <> DATE '2024-01-15' OR device_id % 4 <> 0""", "v_telemetry"))
 oracle("a28_dashboard_summary", dashboard(["n_features", "n_drifted", "drift_share"]))
+
+# ------------------------------------------------------------------ patterns, top-k
+oracle("t2_top_rules", "SELECT antecedents, consequents, confidence, lift FROM (" + ORACLE["m12_rules"]
+       + ") ORDER BY lift DESC, confidence DESC, antecedents, consequents LIMIT 20")
+oracle("t2_top_escalations", "SELECT * FROM (" + ORACLE["a7_escalation_paths"] + ") ORDER BY count DESC, from_severity, to_severity LIMIT 5")
+oracle("t2_top_anomalous_devices", "SELECT * FROM (" + ORACLE["a8_device_anomalies"] + ") ORDER BY anomaly_count DESC, device_id LIMIT 5")
+oracle("m16_rule_metrics", "SELECT *, (SELECT count(DISTINCT event_type) FROM events) AS states FROM (" + ORACLE["m16_rule_metrics"] + ")")
+
+# ------------------------------------------------------------------ sources and sinks
+oracle("s6_manifest", with_views("""
+SELECT 'telemetry' AS table_name, count(DISTINCT date) AS files, count(*) AS rows FROM v_telemetry
+UNION ALL SELECT 'error_logs', count(DISTINCT CAST("timestamp" AS DATE)), count(*) FROM v_errors""", "v_telemetry", "v_errors"))
+oracle("s7_watermarked_ingest", with_views("""
+SELECT 'telemetry' AS table_name, count(*) AS rows, 'first_load,process,skip,reprocess' AS actions FROM v_telemetry
+WHERE date = DATE '2024-01-14' OR date = DATE '2024-01-15' AND device_id % 5 <> 0
+UNION ALL SELECT 'error_logs', count(*), 'first_load,process,skip,reprocess' FROM v_errors
+WHERE CAST("timestamp" AS DATE) = DATE '2024-01-14' OR CAST("timestamp" AS DATE) = DATE '2024-01-15' AND device_id % 5 <> 0""",
+    "v_telemetry", "v_errors"))
+_total = " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for _, c in _RULE_ORDER)
+_primary = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in _RULE_ORDER) + " ELSE 'No significant risk factors' END"
+oracle("s10_json_roundtrip", with_gold(
+    f"SELECT device_id, CAST({_total} AS INTEGER) AS total_risk_factors, {_primary} AS primary_cause, CAST({_total} AS INTEGER) AS n_factors FROM latest",
+    extra=[("latest", LATEST)]))
+oracle("s11_export", with_gold("""
+SELECT s AS feature_set, count(*) AS rows, n AS columns, count(DISTINCT device_id) AS devices
+FROM gold, (VALUES ('ps1_failure_prediction', 39), ('ps4_anomaly_detection', 13), ('ps5_sla_risk', 16)) v(s, n) GROUP BY s, n"""))
+oracle("s12_prediction_snapshot", with_gold("""
+SELECT w.device_id, round(failure_probability, 6) AS failure_probability, failure_risk_tier, CAST(is_anomaly AS INTEGER) AS anomaly_label,
+  round(anomaly_score, 6) AS anomaly_score, rul_median_days, w.risk_tier AS sla_risk_tier, round(sla_risk_score, 6) AS sla_risk_score
+FROM whole w JOIN rul r ON w.device_id = r.device_id""", extra=WHOLE_EXTRA + RUL_EXTRA[1:]))
+oracle("s13_serving_read", with_gold("""
+SELECT device_id, date, round(coalesce(signal_strength_dbm_7d_std, 0), 6) AS signal_strength_dbm_7d_std,
+  coalesce(error_count_delta, 0) AS error_count_delta, 0.0::DOUBLE AS ratio FROM gold"""))
+oracle("b2_batch_manifest", with_views(
+    "SELECT count(*) AS row_count, DATE '2024-01-14' AS watermark_before, max(date) AS watermark_after FROM batch",
+    "v_telemetry", extra=CDC_EXTRA))
+
+# ------------------------------------------------------------------ streams as batch
+oracle("st5_anomalies_per_hour", with_views("""
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS requests, count(*) FILTER (WHERE duration_ms > 90) AS anomalies,
+  round(count(*) FILTER (WHERE duration_ms > 90) / count(*), 6) AS anomaly_rate FROM v_requests GROUP BY 1""", "v_requests"))
+_P = "list_sort(list(duration_ms))[CAST(greatest(1, ceil({q} * count(*))) AS BIGINT)]"
+oracle("st5_latency_percentiles", with_views(f"""
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, round({_P.format(q=0.5)}, 6) AS p50_ms, round({_P.format(q=0.95)}, 6) AS p95_ms,
+  round({_P.format(q=0.99)}, 6) AS p99_ms FROM v_requests GROUP BY 1""", "v_requests"))
+oracle("st6_latency_alerts", with_views(f"""
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS requests, round({_P.format(q=0.99)}, 6) AS p99_ms,
+  'p99_latency' AS alerts
+FROM (SELECT r.*, time_bucket(INTERVAL 1 MINUTE, ts) - k * INTERVAL 1 MINUTE AS window_start FROM v_requests r, range(0, 5) t(k)) x
+GROUP BY window_start HAVING {_P.format(q=0.99)} > 60""", "v_requests"))
+oracle("st6_metric_alerts", f"""
+SELECT metric, round(value, 6) AS value FROM (
+  SELECT 'drift_share' AS metric, drift_share::DOUBLE AS value FROM ({ORACLE["d4_drift_share"]})
+  UNION ALL SELECT 'quality_pass_rate', passed / total * 100 FROM ({ORACLE["q10_summary"]}) WHERE layer = 'overall'
+  UNION ALL SELECT 'devices_at_risk', (critical_devices + high_devices)::DOUBLE FROM ({ORACLE["a13_rul_fleet_metrics"]})) v
+WHERE metric = 'drift_share' AND value > 0.3 OR metric = 'quality_pass_rate' AND value < 90 OR metric = 'devices_at_risk' AND value > 20""")
+
+# ------------------------------------------------------------------ retrain rules (D6-D8, C7), models by rule
+_DRIFT = f"(SELECT should_retrain FROM ({ORACLE['d5_retrain_decision']}))"
+_SHARE = f"(SELECT printf('%.1f', drift_share * 100) FROM ({ORACLE['d4_drift_share']}))"
+oracle("d7_retrain_rule", f"""
+SELECT current_date_ AS "current_date", forced OR days >= 15 OR drift AS retrain,
+  CASE WHEN forced THEN 'Forced retraining' WHEN days >= 15 THEN 'Scheduled retrain (' || days || ' days since last)'
+       WHEN drift THEN 'Drift detected (' || share || '% > 30%)' ELSE 'Not due (' || days || '/15 days, no drift)' END AS reason
+FROM (SELECT d AS current_date_, day(d) = 1 AS forced, datediff('day', (SELECT min(CAST(ts AS DATE)) FROM events) - 20, d) AS days,
+        {_DRIFT} AS drift, {_SHARE} AS share FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) x) y""")
+oracle("c7_training_log", f"""
+SELECT run_date, reason, 3 AS models FROM (
+  SELECT DATE '2024-01-01' AS run_date, 'First training (no previous record)' AS reason, true AS trains
+  UNION ALL SELECT DATE '2024-01-08', 'Drift detected (' || {_SHARE} || '% > 30%)', {_DRIFT}
+  UNION ALL SELECT DATE '2024-01-16', CASE WHEN {_DRIFT} THEN 'Drift detected (' || {_SHARE} || '% > 30%)'
+    ELSE 'Scheduled retrain (15 days since last)' END, true) x WHERE trains""")
+oracle("d8_decision_grid", with_views("""
+SELECT device_id, round(s, 6) AS drift_share, round(a, 6) AS auc,
+  CASE WHEN s > 0.5 THEN 'Emergency retrain + alert team'
+       WHEN s > 0.3 THEN CASE WHEN a < 0.85 THEN 'Urgent retrain + root cause' ELSE 'Retrain (proactive)' END
+       WHEN a < 0.85 THEN 'Investigate features, retrain' WHEN s >= 0.1 THEN 'Monitor, retrain next month'
+       WHEN a > 0.9 THEN 'Do nothing' ELSE 'Monitor' END AS action
+FROM (SELECT device_id, (device_id % 7)::DOUBLE / 10 AS s, round((device_id % 16)::DOUBLE / 100 + 0.8::DOUBLE, 2) AS a FROM v_devices) x""", "v_devices"))
+oracle("m9_batch_summary", with_gold("""
+SELECT count(*) AS devices, count(*) FILTER (WHERE p >= 0.4) AS high_risk_devices,
+  count(*) FILTER (WHERE p > 0.7) AS tier_critical, count(*) FILTER (WHERE p > 0.4 AND p <= 0.7) AS tier_high,
+  count(*) FILTER (WHERE p > 0.2 AND p <= 0.4) AS tier_medium, count(*) FILTER (WHERE p <= 0.2) AS tier_low
+FROM (SELECT failure_probability AS p FROM whole) x""", extra=WHOLE_EXTRA))
+oracle("m7_champion_rule", with_gold("""
+SELECT model AS champion, roc_auc FROM (SELECT manufacturer AS model, round(avg(health_score) / 100, 3) AS roc_auc FROM gold GROUP BY 1) x
+ORDER BY roc_auc DESC, model DESC LIMIT 1"""))
+oracle("b14_rul_within_7d", with_gold(f"""
+SELECT risk_tier, count(*) AS predictions, round(avg(CAST(abs(rul - days) <= 7 AS DOUBLE)), 6) AS within_7d
+FROM (SELECT CASE WHEN s >= 70 THEN 'CRITICAL' WHEN s >= 50 THEN 'HIGH' WHEN s >= 30 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier,
+        greatest(1, CAST(floor(90 * (1 - s / 100)) AS INTEGER)) AS rul, days
+      FROM (SELECT g.*, {SLA_S} AS s, datediff('day', g.date,
+              (SELECT min(h.date) FROM gold h WHERE h.device_id = g.device_id AND h.date > g.date AND h.failure_today = 1)) AS days FROM gold g) x
+      WHERE days IS NOT NULL) y GROUP BY risk_tier"""))
+_DELIVERED = """
+SELECT device_id, date FROM v_telemetry
+UNION ALL SELECT device_id, date FROM v_telemetry WHERE (device_id * 31 + day(date)) % 5 = 0
+"""
+oracle("d6_duplicates", with_views("""
+SELECT period, CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys, CAST(sum(n) - count(*) AS BIGINT) AS duplicates
+FROM (SELECT CASE WHEN date < (SELECT date FROM (SELECT DISTINCT date FROM delivered) d ORDER BY date
+          LIMIT 1 OFFSET (SELECT CAST(floor(count(DISTINCT date) * 0.7) AS BIGINT) FROM delivered))
+        THEN 'reference' ELSE 'current' END AS period, device_id, date, count(*) AS n
+      FROM delivered GROUP BY 1, 2, 3) x GROUP BY period""", "v_telemetry", extra=[("delivered", _DELIVERED)]))

@@ -67,6 +67,21 @@ def d6_data_summary(spark, sf_dir):
     return round_doubles(dr.data_summary(_tagged(spark, sf_dir), dr.MONITOR_FEATURES))
 
 
+@register("d6_duplicates")
+def d6_duplicates(spark, sf_dir):
+    """Duplicate device-days per period of the telemetry as delivered."""
+    t = dr.split_at_share(Fleet(spark, sf_dir).dirty_telemetry().select("device_id", "date"), 0.7, 10)
+    return dr.duplicate_summary(t, ["device_id", "date"])
+
+
+@register("d8_decision_grid")
+def d8_decision_grid(spark, sf_dir):
+    """The matrix over shares and AUCs spread over the devices, edges included."""
+    d = Fleet(spark, sf_dir).devices().select(
+        "device_id", (F.pmod("device_id", F.lit(7)) / 10).alias("drift_share"), (F.pmod("device_id", F.lit(16)) / 100 + 0.80).alias("auc"))
+    return round_doubles(dr.decision_matrix(d.withColumn("auc", F.round("auc", 2))))
+
+
 @register("d7_retrain_rule")
 def d7_retrain_rule(spark, sf_dir):
     """The retrain rule for every day of the history, with the last retrain 20 days

@@ -147,11 +147,20 @@ def m33_annotated_anomalies(spark, sf_dir):
 
 @register("c7_training_log")
 def c7_training_log(spark, sf_dir):
-    """Retrain decisions per day appended to the training log (only days that retrain)."""
-    from turnstile.plans.q_drift import d7_retrain_rule
-
-    r = d7_retrain_rule(spark, sf_dir).where("retrain")
-    return r.select(F.col("current_date").alias("run_date"), "reason", F.lit(3).alias("models"))
+    """Three daily runs replayed: each reads the log's last training, decides, and appends if it trains."""
+    from turnstile.operators import drift as dr
+    from turnstile.plans.q_drift import _ks
+
+    dec = dr.retrain_decision(dr.drift_share(_ks(spark, sf_dir))).first()  # one decision row
+    log = spark.createDataFrame([], "run_date date, reason string, models int, logged_at timestamp")
+    for day in ("2024-01-01", "2024-01-08", "2024-01-16"):
+        last = log.agg(F.max("run_date").alias("last_retrain_date"))
+        state = last.select(F.lit(day).cast("date").alias("current_date"), "last_retrain_date", F.lit(False).alias("force"),
+                            F.lit(bool(dec["should_retrain"])).alias("drift_retrain"), F.lit(float(dec["drift_share"])).alias("drift_share"))
+        r = dr.retrain_rule(state).first()  # one decision row
+        if r["retrain"]:
+            log = log.unionByName(cdc.training_log_entry(spark, day, r["reason"], 3))
+    return log.drop("logged_at")
 
 
 @register("c10_idempotent_write")
@@ -170,23 +179,28 @@ def c10_idempotent_write(spark, sf_dir):
 def b2_batch_manifest(spark, sf_dir):
     from turnstile.plans.q_cdc import day_batch
 
-    return ingest.batch_manifest(day_batch(spark, sf_dir), "2024-01-14")
+    return ingest.batch_manifest(day_batch(spark, sf_dir), "2024-01-14").drop("content_hash")
 
 
 @register("s7_watermarked_ingest")
 def s7_watermarked_ingest(spark, sf_dir):
-    """Day-by-day watermarked ingest: first load, re-delivery skipped, corrected day reprocessed."""
-    t = Fleet(spark, sf_dir).telemetry()
-    empty = spark.createDataFrame([], cdc.WATERMARK_SCHEMA)
-    day = "2024-01-15"
-    batch = t.where(F.col("date") == F.lit(day).cast("date"))
-    d1 = cdc.watermark_decision(empty, "telemetry", batch, day)
-    s1 = cdc.advance_watermark(empty, d1)
-    d2 = cdc.watermark_decision(s1, "telemetry", batch, day)
-    fixed = batch.withColumn("cpu_usage_pct", F.col("cpu_usage_pct") + 1)
-    d3 = cdc.watermark_decision(s1, "telemetry", fixed, day)
-    return d1.select(F.lit(1).alias("run"), "action").unionByName(d2.select(F.lit(2).alias("run"), "action")) \
-        .unionByName(d3.select(F.lit(3).alias("run"), "action"))
+    """Both tables ingested day by day with a persisted watermark: two days, a re-delivery (skipped) and a
+    corrected day (reprocessed).  Returns what the bronze tables hold and how often each was written."""
+    f = Fleet(spark, sf_dir)
+    tag = uuid.uuid4().hex
+    state_path = scratch_path(spark, f"state/watermarks-{tag}")
+    out = None
+    for table, df, col in (("telemetry", f.telemetry(), "date"), ("error_logs", f.error_logs(), "timestamp")):
+        path = scratch_path(spark, f"bronze/{table}-{tag}")
+        first = df.where(F.to_date(col) == F.lit("2024-01-14").cast("date"))
+        second = df.where(F.to_date(col) == F.lit("2024-01-15").cast("date"))
+        fixed = second.where(F.pmod("device_id", F.lit(5)) != 0)
+        done = [ingest.ingest_watermarked(spark, table, batch, path, state_path, col, day)
+                for batch, day in ((first, "2024-01-14"), (second, "2024-01-15"), (second, "2024-01-15"), (fixed, "2024-01-15"))]
+        r = spark.read.parquet(path).agg(F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+                                         F.lit(",".join(done)).alias("actions"))
+        out = r if out is None else out.unionByName(r)
+    return out
 
 
 @register("b14_predictions_vs_outcomes")
@@ -202,6 +216,28 @@ def b14_predictions_vs_outcomes(spark, sf_dir):
                                                     F.avg(F.col("failed_within_7d").cast("double")).alias("precision")))
 
 
+@register("b14_rul_within_7d")
+def b14_rul_within_7d(spark, sf_dir):
+    """Rule RUL of each device-day against the days to the device's next failure, per tier: share within 7 days."""
+    g = Fleet(spark, sf_dir).gold()
+    s = sc.sla_rule_score(g.select("device_id", "date", "health_score", "cumulative_errors", "age_days",
+                                   "total_maintenance_count", "emergency_count", "failure_today"))
+    # the next failure: a growing frame over the device's days from the last to the first
+    w = Window.partitionBy("device_id").orderBy(F.col("date").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    nxt = F.min(F.when(F.col("failure_today") == 1, F.col("date"))).over(w)
+    o = s.select("risk_tier", "rul_estimate_days", F.datediff(nxt, "date").alias("days")).where("days IS NOT NULL")
+    return round_doubles(o.groupBy("risk_tier").agg(
+        F.count(F.lit(1)).alias("predictions"),
+        F.avg((F.abs(F.col("rul_estimate_days") - F.col("days")) <= 7).cast("double")).alias("within_7d")))
+
+
+@register("t2_top_anomalous_devices")
+def t2_top_anomalous_devices(spark, sf_dir):
+    from turnstile.plans.q_anomaly import a8_device_anomalies
+
+    return a8_device_anomalies(spark, sf_dir).orderBy(F.col("anomaly_count").desc(), "device_id").limit(5)
+
+
 @register("b16_monthly_report")
 def b16_monthly_report(spark, sf_dir):
     g = Fleet(spark, sf_dir).gold()

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from turnstile.functions.exprs import np_round
-from turnstile.operators import anomaly as an
 from turnstile.operators import causes as cz
 from turnstile.operators import drift as dr
 from turnstile.operators import failure as fm
@@ -134,6 +133,23 @@ def m9_batch_scoring(spark, sf_dir):
                                   "risk_tier", "high_risk"), 4)
 
 
+@register("m9_batch_summary")
+def m9_batch_summary(spark, sf_dir):
+    """Summary of a batch scored by rule: devices, high-risk devices, devices per tier."""
+    from turnstile.plans.q_survival import _whole_fleet
+
+    s = _whole_fleet(spark, sf_dir).select(F.col("failure_probability").alias("score"))
+    return fm.score_summary(fm.batch_scores(s))
+
+
+@register("m7_champion_rule")
+def m7_champion_rule(spark, sf_dir):
+    """The selection on fixed metrics for each manufacturer's rule score: the best AUC, ties by name."""
+    g = Fleet(spark, sf_dir).gold()
+    m = g.groupBy(F.col("manufacturer").alias("model")).agg(F.round(F.avg("health_score") / 100, 3).alias("roc_auc"))
+    return fm.select_champion(m)
+
+
 @register("m10_combined_scoring")
 def m10_combined_scoring(spark, sf_dir):
     """All five analyses for every device's latest row, in one DataFrame."""
@@ -144,7 +160,9 @@ def m10_combined_scoring(spark, sf_dir):
     rules = sc.root_cause(sc.error_indicators(sc.sla_rule_score(latest))).select(
         "device_id", "error_rate_per_day", "error_severity", "likely_escalation", "total_risk_factors",
         "primary_cause", "sla_risk_score", F.col("risk_tier").alias("sla_tier"), "rul_estimate_days")
-    lab = an.isolation_forest(f.gold())
+    from turnstile.plans.q_anomaly import _labeled
+
+    lab = _labeled(spark, sf_dir)
     anom = sc.latest_per_device(lab.select("device_id", "date", "anomaly_score", "anomaly_label")).drop("date")
     return round_doubles(pred.join(rules, "device_id").join(anom, "device_id", "left"), 4)
 

@@ -7,36 +7,46 @@ from pyspark.sql import functions as F
 from turnstile.operators import patterns as pt
 from turnstile.plans.catalog import register
 from turnstile.plans.common import round_doubles
+from turnstile.session import materialize
 from turnstile.sources.canonical import Fleet
 
 DAY = "2024-01-15"
 
 
+def _itemsets(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    return f._m("itemsets", lambda: materialize(pt.frequent_itemsets(f.error_logs()), "itemsets"))
+
+
 @register("a6_baskets")
 def a6_baskets(spark, sf_dir):
-    e = Fleet(spark, sf_dir).error_logs()
-    codes = pt.code_vocabulary(e)
-    b = pt.baskets(e, codes)
-    n_items = sum((F.col(f"i_{k}") for k in range(len(codes))), F.lit(0))
-    return b.select("device_id", "date", "n_raw", n_items.cast("bigint").alias("n_items"))
+    b = pt.baskets(Fleet(spark, sf_dir).error_logs())
+    return b.select("device_id", "date", "n_raw", F.size("items").cast("bigint").alias("n_items"))
 
 
 @register("m11_itemsets")
 def m11_itemsets(spark, sf_dir):
-    fi = pt.frequent_itemsets(Fleet(spark, sf_dir).error_logs())
-    return round_doubles(fi.select(F.array_join("items", ", ").alias("items"), "size", "count", "support"))
+    return round_doubles(_itemsets(spark, sf_dir).select(F.array_join("items", ", ").alias("items"), "size", "count", "support"))
 
 
 @register("m12_rules")
 def m12_rules(spark, sf_dir):
-    fi = pt.frequent_itemsets(Fleet(spark, sf_dir).error_logs())
-    return round_doubles(pt.association_rules(fi, 0.3))
+    return round_doubles(pt.association_rules(_itemsets(spark, sf_dir), 0.3))
+
+
+@register("t2_top_rules")
+def t2_top_rules(spark, sf_dir):
+    """The 20 rules of the highest lift, ties by confidence and names."""
+    r = m12_rules(spark, sf_dir)
+    return r.orderBy(F.col("lift").desc(), F.col("confidence").desc(), "antecedents", "consequents").limit(20).select(
+        "antecedents", "consequents", "confidence", "lift")
 
 
 @register("m16_rule_metrics")
 def m16_rule_metrics(spark, sf_dir):
-    fi = pt.frequent_itemsets(Fleet(spark, sf_dir).error_logs())
-    return round_doubles(pt.rule_metrics(pt.association_rules(fi, 0.3)))
+    """Rule count, max lift, mean confidence and the number of states of the transition chain."""
+    states = Fleet(spark, sf_dir).error_logs().select("error_code").distinct().count()  # one scalar
+    return round_doubles(pt.rule_metrics(pt.association_rules(_itemsets(spark, sf_dir), 0.3)).withColumn("states", F.lit(states).cast("bigint")))
 
 
 @register("w9_transitions")
@@ -77,3 +87,10 @@ def a15_daily_escalations(spark, sf_dir):
 @register("a14_daily_code_pairs")
 def a14_daily_code_pairs(spark, sf_dir):
     return pt.daily_code_pairs(Fleet(spark, sf_dir).error_logs(), DAY, 5)
+
+
+@register("t2_top_escalations")
+def t2_top_escalations(spark, sf_dir):
+    """The 5 most frequent escalation paths."""
+    return pt.escalation_paths(Fleet(spark, sf_dir).error_logs()).orderBy(
+        F.col("count").desc(), "from_severity", "to_severity").limit(5)

@@ -156,7 +156,7 @@ def s6_manifest(spark, sf_dir):
         p = scratch_path(spark, f"bronze/{name}-{tag}")
         ingest.ingest_full(df, p, f"{name}.csv", col)
         tables[name] = p
-    return ingest.manifest(spark, tables).select("table_name", "rows")
+    return ingest.manifest(spark, tables)
 
 
 @register("s10_json_roundtrip")
@@ -173,21 +173,68 @@ def s10_json_roundtrip(spark, sf_dir):
 
 @register("s12_prediction_snapshot")
 def s12_prediction_snapshot(spark, sf_dir):
-    from turnstile.operators import scoring as sc
+    from turnstile.operators import survival as sv
+    from turnstile.plans.q_survival import LAMBDA, RHO, _surv, _whole_fleet
 
-    latest = sc.latest_per_device(Fleet(spark, sf_dir).gold())
-    preds = sc.sla_rule_score(latest).select("device_id", "date", "sla_risk_score",
-                                             F.col("risk_tier").alias("sla_tier"), "rul_estimate_days")
-    return sinks.prediction_snapshot(preds, scratch_path(spark, f"predictions/{uuid.uuid4().hex}"), "2024-01-30")
+    rul = sv.rul(_surv(spark, sf_dir), LAMBDA, RHO).select("device_id", "rul_median_days")
+    preds = _whole_fleet(spark, sf_dir).join(rul, "device_id").select(
+        "device_id", "date", "failure_probability", "failure_risk_tier", F.col("is_anomaly").cast("int").alias("anomaly_label"),
+        "anomaly_score", "rul_median_days", F.col("risk_tier").alias("sla_risk_tier"), "sla_risk_score")
+    return round_doubles(sinks.prediction_snapshot(preds, scratch_path(spark, f"predictions/{uuid.uuid4().hex}"), "2024-01-30"))
 
 
 @register("s13_serving_read")
 def s13_serving_read(spark, sf_dir):
+    """A ratio to zero as IEEE gives it: infinities, NaN and NULL all reach the reader as 0."""
     g = Fleet(spark, sf_dir).gold().select("device_id", "date", "signal_strength_dbm_7d_std", "error_count_delta")
-    x = g.withColumn("ratio", F.try_divide(F.col("error_count_delta").cast("double"), F.lit(0.0)))
+    d, inf = F.col("error_count_delta"), F.lit(float("inf"))
+    x = g.withColumn("ratio", F.when(d > 0, inf).when(d < 0, -inf).when(F.pmod("device_id", F.lit(2)) == 0, F.lit(float("nan"))))
     return round_doubles(sinks.serving_read(x))
 
 
+@register("s11_export")
+def s11_export(spark, sf_dir):
+    """All three feature sets written and read back: rows, columns, devices."""
+    root = scratch_path(spark, f"feature-sets/{uuid.uuid4().hex}")
+    made = sinks.export_feature_sets(Fleet(spark, sf_dir).gold(), root)
+    out = None
+    for name, path in made.items():
+        t = spark.read.parquet(path)
+        r = t.agg(F.lit(name).alias("feature_set"), F.count(F.lit(1)).alias("rows"), F.lit(len(t.columns)).alias("columns"),
+                  F.count_distinct("device_id").alias("devices"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("st5_anomalies_per_hour")
+def st5_anomalies_per_hour(spark, sf_dir):
+    """Hourly share of anomalous requests (slower than 90 ms)."""
+    r = Fleet(spark, sf_dir).requests().withColumn("is_anomaly", F.col("duration_ms") > 90)
+    return round_doubles(_ntz(st.anomaly_rate(r, 60), "window_start"))
+
+
+@register("st6_latency_alerts")
+def st6_latency_alerts(spark, sf_dir):
+    """The latency rule alone, at a limit that windows break."""
+    a = st.sliding_alerts(Fleet(spark, sf_dir).requests(), "5 minutes", "1 minute", 2.0, 60.0)
+    return round_doubles(_ntz(a.select("window_start", "window_end", "requests", "p99_ms",
+                                       F.array_join("alerts", ",").alias("alerts")), "window_start", "window_end"))
+
+
+@register("st6_metric_alerts")
+def st6_metric_alerts(spark, sf_dir):
+    """Scalar alerts over the fleet's own drift share, quality pass rate and devices at risk."""
+    from turnstile.plans.catalog import QUERIES
+
+    q = lambda name: QUERIES[name](spark, sf_dir)
+    values = q("d4_drift_share").select(F.lit("drift_share").alias("metric"), F.col("drift_share").alias("value"))
+    values = values.unionByName(q("q10_summary").where("layer = 'overall'").select(
+        F.lit("quality_pass_rate").alias("metric"), (F.col("passed") / F.col("total") * 100).alias("value")))
+    values = values.unionByName(q("a13_rul_fleet_metrics").select(
+        F.lit("devices_at_risk").alias("metric"), (F.col("critical_devices") + F.col("high_devices")).cast("double").alias("value")))
+    return round_doubles(st.metric_alerts(values))
+
+
 @register("b3_schema_evolution")
 def b3_schema_evolution(spark, sf_dir):
     t = Fleet(spark, sf_dir).telemetry()

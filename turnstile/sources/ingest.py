@@ -69,6 +69,25 @@ def ingest_incremental(df: DataFrame, path: str, date_col: str, target_date, sou
     return day
 
 
+# ---------------------------------------------------------------- S7 / C1
+def ingest_watermarked(spark: SparkSession, table: str, batch: DataFrame, path: str, state_path: str, date_col: str, day) -> str:
+    """Decide by the stored watermark, replace the day's partition unless it is skipped, store the new
+    watermark; returns the action.  The state has a version a step, so what is read is never overwritten."""
+    from turnstile.operators import cdc
+    from turnstile.session import path_exists
+
+    known = spark.read.parquet(state_path) if path_exists(spark, state_path) else None
+    state = (spark.createDataFrame([], cdc.WATERMARK_SCHEMA) if known is None else
+             known.where(F.col("version") == known.agg(F.max("version")).first()[0]).drop("version"))
+    decision = cdc.watermark_decision(state, table, batch, day)
+    action = decision.first()["action"]  # one row
+    if action != "skip":
+        ingest_incremental(batch, path, date_col, day, f"{table}.csv")
+        version = 0 if known is None else known.agg(F.max("version")).first()[0] + 1
+        cdc.advance_watermark(state, decision).coalesce(1).write.parquet(f"{state_path}/version={version}")  # one row a table
+    return action
+
+
 # ---------------------------------------------------------------- S6 / B2
 def manifest(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """Files and rows per bronze table (file names from the scan itself)."""

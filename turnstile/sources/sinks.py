@@ -47,22 +47,24 @@ def export_feature_sets(gold: DataFrame, root: str) -> dict[str, str]:
     return out
 
 
-LATEST_COLUMNS = ["device_id", "date", "failure_probability", "failure_tier", "sla_risk_score", "sla_tier",
-                  "rul_estimate_days", "anomaly_label"]
+# Columns of the daily snapshot.
+LATEST_COLUMNS = ["device_id", "failure_probability", "failure_risk_tier", "anomaly_label", "anomaly_score",
+                  "rul_median_days", "sla_risk_tier", "sla_risk_score"]
 
 
 def prediction_snapshot(preds: DataFrame, root: str, run_date) -> DataFrame:
-    """Full predictions partitioned by run date, the 8-column 'latest' CSV, a JSON summary."""
-    day = preds.withColumn("run_date", F.lit(run_date).cast("date"))
-    write_parquet(day, f"{root}/history", ["run_date"])
-    latest = preds.select(*[c for c in LATEST_COLUMNS if c in preds.columns])
-    write_csv(latest.coalesce(1), f"{root}/latest")  # one file for the dashboard; the table is per device
+    """Full predictions by run date, the 8-column 'latest' CSV, a JSON summary; the CSV read back."""
+    missing = [c for c in LATEST_COLUMNS if c not in preds.columns]
+    if missing:
+        raise ValueError(f"predictions lack {missing}")
+    write_parquet(preds.withColumn("run_date", F.lit(run_date).cast("date")), f"{root}/history", ["run_date"])
+    latest = preds.select(*LATEST_COLUMNS)
+    write_csv(latest, f"{root}/latest")
     summary = preds.agg(F.count(F.lit(1)).alias("devices"),
-                        *([F.count_if(F.col("failure_tier").isin("HIGH", "CRITICAL")).alias("high_risk")]
-                          if "failure_tier" in preds.columns else []),
-                        *([F.avg("rul_estimate_days").alias("mean_rul")] if "rul_estimate_days" in preds.columns else []))
+                        F.count_if(F.col("failure_risk_tier").isin("HIGH", "CRITICAL")).alias("high_risk"),
+                        F.avg("rul_median_days").alias("mean_rul"))
     write_json(to_json_document(summary.withColumn("run_date", F.lit(str(run_date)))), f"{root}/summary")
-    return summary
+    return preds.sparkSession.read.schema(latest.schema).option("header", "true").csv(f"{root}/latest")
 
 
 def serving_read(df: DataFrame) -> DataFrame:

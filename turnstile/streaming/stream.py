@@ -114,6 +114,17 @@ def request_metrics(requests: DataFrame, minutes: int = 1, lateness: str | None
                     F.col("p")[0].alias("p50_ms"), F.col("p")[1].alias("p95_ms"), F.col("p")[2].alias("p99_ms"))
 
 
+def anomaly_rate(requests: DataFrame, minutes: int = 60, lateness: str | None = None) -> DataFrame:
+    """Per time bin: requests, anomalies (flag ``is_anomaly``) and their share."""
+    r = event_time(requests)
+    if lateness and r.isStreaming:
+        r = r.withWatermark("ts", lateness)
+    g = r.groupBy(F.window("ts", f"{minutes} minutes").alias("w")).agg(
+        F.count(F.lit(1)).alias("requests"), F.count_if("is_anomaly").alias("anomalies"))
+    return g.select(F.col("w.start").alias("window_start"), "requests", "anomalies",
+                    (F.col("anomalies") / F.col("requests")).alias("anomaly_rate"))
+
+
 def requests_by_name(requests: DataFrame) -> DataFrame:
     return requests.groupBy("name").agg(F.count(F.lit(1)).alias("requests"),
                                         F.avg((~F.col("success")).cast("double")).alias("error_rate"))
