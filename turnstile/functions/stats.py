@@ -19,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnstile.session import materialize
+
 
 def _targets_for(n: int, q: float):
     pos = q * (n - 1)
@@ -28,7 +30,7 @@ def _targets_for(n: int, q: float):
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, buckets: int = 1024,
-                    max_fetch: int = 2_000, max_passes: int = 12,
+                    max_fetch: int = 2_000,
                     rank: int | None = None) -> dict[str, float | None]:
     """Exact quantile ``q`` of each column (NULLs ignored), pandas/DuckDB semantics.
 
@@ -59,7 +61,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, buckets: int
         for k in sorted({klo, khi}):
             val = lo if lo == hi else None
             targets.append({"col": c, "k": k, "lo": lo, "hi": hi, "below": 0, "cnt": n, "val": val})
-    for _ in range(max_passes):
+    while True:  # each pass narrows every open range to one bin of it, or ends it
         open_t = [t for t in targets if t["val"] is None]
         if not open_t:
             break
@@ -126,58 +128,32 @@ def value_at_rank(df: DataFrame, col: str, k: int, n: int) -> float | None:
 
 
 def bucketed_prefix_sums(df: DataFrame, part_cols: list[str], order_col: str, sum_cols: list[str],
-                         n_buckets: int | None = None, descending: bool = False,
+                         bucket_rows: int = 500_000, descending: bool = False,
                          inclusive: bool = True) -> DataFrame:
     """Running sums of ``sum_cols`` per ``part_cols`` in ``order_col`` order (ties summed together
     when the caller pre-aggregates to distinct order values).
 
-    Rows are cut into ~``n_buckets`` value ranges per partition with approximate
-    quantile cut points (a bounded array); the running sum is the total of all
-    earlier buckets (a tiny per-bucket table) plus a window inside the bucket.
-    No window spans a whole partition, so one hot partition key does not
-    serialise into one task.
+    The buckets are range partitions of (``part_cols``, ``order_col``), as many as the row count asks
+    for, written once; the running sum is the total of all earlier buckets (a table with one row
+    a bucket) plus a window inside the bucket.  No window spans a whole partition key, so one
+    hot key does not serialise into one task, and no bucket grows with the data.
     """
-    if n_buckets is None:
-        # about 500k rows per bucket, between 16 and 1024 buckets (one count job)
-        n_buckets = int(min(1024, max(16, df.count() // 500_000)))
     sign = -1.0 if descending else 1.0
-    o = F.col(order_col).cast("double") * F.lit(sign)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    if part_cols:
-        cuts = df.groupBy(*part_cols).agg(F.percentile_approx(o, probs, 4 * n_buckets).alias("_cuts"))
-        cuts = cuts.select(*part_cols, F.array_distinct("_cuts").alias("_cuts"))
-        withc = df.join(cuts, part_cols, "inner")
-    else:
-        # a single bounded array of <= n_buckets cut points becomes a literal
-        got = df.agg(F.percentile_approx(o, probs, 4 * n_buckets).alias("_cuts")).first()[0] or []
-        lits = [F.lit(float(x)) for x in sorted(set(got))] or [F.lit(float("inf"))]
-        withc = df.withColumn("_cuts", F.array(*lits))
-    # bucket = number of cut points strictly below the value (monotone in the value), found by
-    # a fixed-depth binary search over the sorted cut array (log2(n_buckets) codegen'd steps)
-    withc = withc.withColumn("_o", o).withColumn("_bucket", F.lit(0)).withColumn("_n", F.size("_cuts"))
-    step = 1
-    while step * 2 <= n_buckets:
-        step *= 2
-    while step >= 1:
-        nxt = F.col("_bucket") + F.lit(step)
-        ok = (nxt <= F.col("_n")) & (F.element_at("_cuts", F.least(nxt, F.greatest(F.col("_n"), F.lit(1)))) < F.col("_o"))
-        withc = withc.withColumn("_bucket", F.when(ok, nxt).otherwise(F.col("_bucket")))
-        step //= 2
-    # the bucketed rows feed both the bucket totals and the final window: keep them
-    # (recomputable cache) instead of evaluating the cut-point plan twice
-    withc = withc.drop("_cuts", "_n").persist()
-    totals = withc.groupBy(*part_cols, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    n_buckets = max(16, -(-df.count() // bucket_rows))
+    o = (F.col(order_col).cast("double") * F.lit(sign)).alias("_o")
+    rows = materialize(df.select("*", o).repartitionByRange(n_buckets, *part_cols, "_o")
+                         .withColumn("_bucket", F.spark_partition_id()), "prefix-buckets")
+    totals = rows.groupBy(*part_cols, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     wb = Window.partitionBy(*part_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part_cols, "_bucket",
                             *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    j = withc.join(offsets, part_cols + ["_bucket"], "inner")
+    j = rows.join(offsets, part_cols + ["_bucket"], "inner")
     wi = Window.partitionBy(*part_cols, "_bucket").orderBy("_o")
     frame = wi.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    out = j.select(
-        *[c for c in df.columns],
+    return j.select(
+        *df.columns,
         *[(F.col(f"_off_{c}") + F.coalesce(F.sum(c).over(frame), F.lit(0))).alias(f"cum_{c}") for c in sum_cols],
     )
-    return out
 
 
 # ----------------------------------------------------------- scalar helpers

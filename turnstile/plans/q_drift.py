@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from turnstile.operators import drift as dr
 from turnstile.plans.catalog import register
 from turnstile.plans.common import round_doubles
+from turnstile.session import materialize
 from turnstile.sources.canonical import Fleet
 
 CATEGORICAL = ["top_error_code", "manufacturer", "firmware_version", "gate_type"]
@@ -21,7 +22,7 @@ def _tagged(spark, sf_dir):
 def _ks(spark, sf_dir):
     f = Fleet(spark, sf_dir)
     # one row per feature; several reports read it
-    return f._m("drift_ks", lambda: dr.ks_drift(_tagged(spark, sf_dir)).persist())
+    return f._m("drift_ks", lambda: materialize(dr.ks_drift(_tagged(spark, sf_dir)), "drift-ks"))
 
 
 @register("d1_period_split")

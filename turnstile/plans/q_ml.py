@@ -197,7 +197,7 @@ def _attr(spark, sf_dir):
         name, _ = _champion(spark, sf_dir)
         model, inputs = _fit(spark, sf_dir, name)
         d = _data(spark, sf_dir)
-        f._memo["attr"] = (at.attributions(model, d, ["device_id", "date"], inputs).persist(), inputs)
+        f._memo["attr"] = (materialize(at.attributions(model, d, ["device_id", "date"], inputs), "attributions"), inputs)
     return f._memo["attr"]
 
 
