@@ -275,3 +275,16 @@ FROM (SELECT CASE WHEN date < (SELECT date FROM (SELECT DISTINCT date FROM deliv
           LIMIT 1 OFFSET (SELECT CAST(floor(count(DISTINCT date) * 0.7) AS BIGINT) FROM delivered))
         THEN 'reference' ELSE 'current' END AS period, device_id, date, count(*) AS n
       FROM delivered GROUP BY 1, 2, 3) x GROUP BY period""", "v_telemetry", extra=[("delivered", _DELIVERED)]))
+oracle("a18_table_hash", with_views("""
+SELECT count(*) AS row_count, true AS same_in_other_order, true AS sees_a_value, true AS sees_a_null, true AS sees_repeated_rows
+FROM v_telemetry""", "v_telemetry"))
+oracle("m33_annotated_anomalies", with_gold("""
+SELECT device_id, date, round(health_score, 6) AS health_score, round(health_score - thr, 6) AS anomaly_score, anomaly_label FROM labeled""", extra=LAB))
+# the chain run 400 steps from an even start
+oracle("m15_stationary", "WITH RECURSIVE " + with_views("""
+SELECT code AS error_code, round(p, 4) AS stationary_probability FROM chain WHERE k = 400""", "v_errors", extra=[
+    ("tr", """SELECT error_code AS a, lead(error_code) OVER (PARTITION BY device_id ORDER BY "timestamp", event_id) AS b FROM v_errors"""),
+    ("tp", "SELECT a, b, count(*) / sum(count(*)) OVER (PARTITION BY a) AS p FROM tr WHERE b IS NOT NULL GROUP BY a, b"),
+    ("chain", """SELECT 0 AS k, code, 1.0::DOUBLE / count(*) OVER () AS p FROM (SELECT DISTINCT error_code AS code FROM v_errors) c
+       UNION ALL SELECT k + 1, b, sum(chain.p * tp.p)::DOUBLE FROM chain JOIN tp ON chain.code = tp.a WHERE k < 400 GROUP BY k, b"""),
+])[len("WITH "):])

@@ -34,7 +34,23 @@ def day_batch(spark, sf_dir, day: str = DAY):
 
 @register("a18_table_hash")
 def a18_table_hash(spark, sf_dir):
-    return cdc.table_hash(Fleet(spark, sf_dir).telemetry())
+    """The content hash and whether it sees what it must: not the order of rows, but a value, a moved
+    NULL and a repeated row."""
+    t = Fleet(spark, sf_dir).telemetry()
+    h = cdc.table_hash(t).select("row_count", "content_hash")
+    some = F.pmod("device_id", F.lit(50)) == 0
+    moved = F.when(some, F.lit(None)).otherwise
+    cases = {
+        "same_in_other_order": (t.repartition(7, "date").sortWithinPartitions(F.col("device_id").desc()), True),
+        "sees_a_value": (t.withColumn("error_count", F.when(some, F.col("error_count") + 1).otherwise(F.col("error_count"))), False),
+        "sees_a_null": (t.withColumn("cpu_usage_pct", moved(F.col("cpu_usage_pct"))), False),
+        "sees_repeated_rows": (t.unionByName(t.where(some)).unionByName(t.where(some)), False),
+    }
+    out = h
+    for name, (other, same) in cases.items():
+        o = cdc.table_hash(other).select(F.col("content_hash").alias("_other"))
+        out = out.join(o).withColumn(name, (F.col("content_hash") == F.col("_other")) == F.lit(same)).drop("_other")  # one row each
+    return out.drop("content_hash")
 
 
 @register("c2_watermark_decision")

@@ -136,13 +136,14 @@ def q13_dbt_tests(spark, sf_dir):
 
 @register("m33_annotated_anomalies")
 def m33_annotated_anomalies(spark, sf_dir):
-    from turnstile.plans.q_anomaly import _labeled
+    """Annotated rows written by day and read back (rule labels, so that SQL can follow them)."""
+    from turnstile.plans.q_anomaly import _rule_labeled
     from turnstile.sources.sinks import write_parquet
 
     path = scratch_path(spark, f"gold/anomalies-{uuid.uuid4().hex}")
-    write_parquet(_labeled(spark, sf_dir), path, ["date"])
+    write_parquet(_rule_labeled(spark, sf_dir), path, ["date"])
     back = spark.read.parquet(path)
-    return back.groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.sum("anomaly_label").alias("anomalies"))
+    return round_doubles(back.select("device_id", "date", "health_score", "anomaly_score", "anomaly_label"))
 
 
 @register("c7_training_log")
