@@ -122,6 +122,12 @@ def prepare(gold: DataFrame) -> DataFrame:
     return gold.select(*cols).fillna(0, subset=num)
 
 
+def sized(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
+    """Partitions of about ``rows_per_partition`` rows: every tree level of every boosting round is a job over
+    all partitions, so small ones cost more to schedule than to read."""
+    return df.repartition(max(1, -(-df.count() // rows_per_partition)))
+
+
 def train(train_df: DataFrame, name: str, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES):
     stages, inputs = _prep_stages(train_df, numeric, categorical)
     est = model_specs()[name]

@@ -288,3 +288,25 @@ SELECT code AS error_code, round(p, 4) AS stationary_probability FROM chain WHER
     ("chain", """SELECT 0 AS k, code, 1.0::DOUBLE / count(*) OVER () AS p FROM (SELECT DISTINCT error_code AS code FROM v_errors) c
        UNION ALL SELECT k + 1, b, sum(chain.p * tp.p)::DOUBLE FROM chain JOIN tp ON chain.code = tp.a WHERE k < 400 GROUP BY k, b"""),
 ])[len("WITH "):])
+
+_J5 = """SELECT w.device_id, failure_probability, failure_risk_tier AS risk_tier, r.rul_median_days, r.risk_tier AS rul_risk_tier
+FROM whole w LEFT JOIN rul r ON w.device_id = r.device_id"""
+J5_EXTRA = WHOLE_EXTRA + RUL_EXTRA[1:] + [("joined", _J5)]
+oracle("j5_predictions_with_rul", with_gold(
+    "SELECT * REPLACE (round(failure_probability, 6) AS failure_probability) FROM joined", extra=J5_EXTRA))
+oracle("a26_rul_tier_summary", with_gold("SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE rul_risk_tier = '{t}') AS {t.lower()}_devices" for t in ("CRITICAL", "HIGH", "MEDIUM", "LOW"))
+    + ", round_even(avg(rul_median_days) * 10, 0) / 10 AS mean_rul FROM joined", extra=J5_EXTRA))
+
+
+def _slice(name, query, key, value, k):
+    return f"""SELECT '{name}' AS slice, CAST(row_number() OVER (ORDER BY value DESC, key) AS INTEGER) AS rank, key, round(value, 4) AS value
+      FROM (SELECT {key} AS key, {value}::DOUBLE AS value FROM ({ORACLE[query]}) ORDER BY value DESC, key LIMIT {k})"""
+
+
+oracle("t4_dashboard_slices", " UNION ALL ".join([
+    _slice("transitions", "m14_significant_transitions", "from_error || '>' || to_error", "probability", 10),
+    _slice("anomalous_devices", "a8_device_anomalies", "CAST(device_id AS VARCHAR)", "anomaly_count", 10),
+    _slice("sla_devices", "m32_sla_risk", "CAST(device_id AS VARCHAR)", "sla_risk_score", 10),
+    _slice("causes", "a16_high_low_rates", "treatment", "risk_ratio", 15),
+    _slice("rules", "m12_rules", "antecedents || '>' || consequents", "lift", 20)]))

@@ -29,7 +29,7 @@ def _fit(spark, sf_dir, name):
     if key not in f._memo:
         d = _data(spark, sf_dir)
         # weights come from the training rows alone; they are re-read by every boosting round
-        tr = fm.class_weights(d.where(F.col("split") == "train"), fm.TARGET).persist()
+        tr = fm.sized(fm.class_weights(d.where(F.col("split") == "train"), fm.TARGET)).persist()
         f._memo[key] = fm.train(tr, name)
         tr.unpersist()
     return f._memo[key]

@@ -9,6 +9,7 @@ from turnstile.operators import scoring as sc
 from turnstile.operators import survival as sv
 from turnstile.plans.catalog import register
 from turnstile.plans.common import round_doubles
+from turnstile.functions.exprs import np_round
 from turnstile.session import materialize
 from turnstile.sources.canonical import Fleet
 
@@ -228,6 +229,47 @@ def a12_tier_counts(spark, sf_dir):
     return round_doubles(c.select("risk_tier", "devices", (F.col("devices") / n).alias("share")))
 
 
+def _with_rul(spark, sf_dir):
+    """The day's failure predictions, left-joined with the survival model's RUL and tier under names of their own."""
+    rul = sv.rul(_surv(spark, sf_dir), LAMBDA, RHO).select("device_id", "rul_median_days", F.col("risk_tier").alias("rul_risk_tier"))
+    preds = _whole_fleet(spark, sf_dir).select("device_id", "failure_probability", F.col("failure_risk_tier").alias("risk_tier"))
+    return preds.join(rul, "device_id", "left")
+
+
+@register("j5_predictions_with_rul")
+def j5_predictions_with_rul(spark, sf_dir):
+    return round_doubles(_with_rul(spark, sf_dir))
+
+
+@register("a26_rul_tier_summary")
+def a26_rul_tier_summary(spark, sf_dir):
+    """Devices per RUL tier and mean RUL of the day's joined predictions."""
+    return round_doubles(_with_rul(spark, sf_dir).agg(
+        *[F.count_if(F.col("rul_risk_tier") == t).alias(f"{t.lower()}_devices") for t in ("CRITICAL", "HIGH", "MEDIUM", "LOW")],
+        np_round(F.avg("rul_median_days"), 1).alias("mean_rul")))
+
+
+@register("t4_dashboard_slices")
+def t4_dashboard_slices(spark, sf_dir):
+    """The first rows of the dashboard's sorted tables, each a TakeOrdered: (slice, rank, key, value)."""
+    from turnstile.plans.catalog import QUERIES
+
+    q = lambda name: QUERIES[name](spark, sf_dir)
+    tables = [
+        ("transitions", q("m14_significant_transitions"), F.concat_ws(">", "from_error", "to_error"), "probability", 10),
+        ("anomalous_devices", q("a8_device_anomalies"), F.col("device_id").cast("string"), "anomaly_count", 10),
+        ("sla_devices", q("m32_sla_risk"), F.col("device_id").cast("string"), "sla_risk_score", 10),
+        ("causes", q("a16_high_low_rates"), F.col("treatment"), "risk_ratio", 15),
+        ("rules", q("m12_rules"), F.concat_ws(">", "antecedents", "consequents"), "lift", 20),
+    ]
+    out = None
+    for name, df, key, value, k in tables:
+        best = df.select(key.alias("key"), F.col(value).cast("double").alias("value")).orderBy(F.col("value").desc(), "key").limit(k)
+        rows = best.select(F.lit(name).alias("slice"), F.row_number().over(Window.orderBy(F.col("value").desc(), "key")).alias("rank"), "key", "value")
+        out = rows if out is None else out.unionByName(rows)
+    return round_doubles(out, 4)
+
+
 @register("a28_dashboard_summary")
 def a28_dashboard_summary(spark, sf_dir):
     """Seven blocks; those of fitted models take the rule scores, so that SQL can follow every value."""
