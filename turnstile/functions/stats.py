@@ -128,8 +128,8 @@ def value_at_rank(df: DataFrame, col: str, k: int, n: int) -> float | None:
 
 
 def bucketed_prefix_sums(df: DataFrame, part_cols: list[str], order_col: str, sum_cols: list[str],
-                         bucket_rows: int = 500_000, descending: bool = False,
-                         inclusive: bool = True) -> DataFrame:
+                         n_buckets: int | None = None, descending: bool = False,
+                         inclusive: bool = True, bucket_rows: int = 500_000) -> DataFrame:
     """Running sums of ``sum_cols`` per ``part_cols`` in ``order_col`` order (ties summed together
     when the caller pre-aggregates to distinct order values).
 
@@ -139,7 +139,8 @@ def bucketed_prefix_sums(df: DataFrame, part_cols: list[str], order_col: str, su
     hot key does not serialise into one task, and no bucket grows with the data.
     """
     sign = -1.0 if descending else 1.0
-    n_buckets = max(16, -(-df.count() // bucket_rows))
+    if n_buckets is None:
+        n_buckets = max(16, -(-df.count() // bucket_rows))
     o = (F.col(order_col).cast("double") * F.lit(sign)).alias("_o")
     rows = materialize(df.select("*", o).repartitionByRange(n_buckets, *part_cols, "_o")
                          .withColumn("_bucket", F.spark_partition_id()), "prefix-buckets")

@@ -101,8 +101,11 @@ def _leaf_c(size: np.ndarray) -> np.ndarray:
 
 
 def fit_isolation_forest(df: DataFrame, cols: list[str], n_trees: int = 200, sample_size: int = 256,
-                         seed: int = 42, keys=("device_id", "date")) -> dict:
-    """Grow ``n_trees`` trees, each from its own sample of min(``sample_size``, n) rows."""
+                         seed: int = 42, keys: list[str] | None = None) -> dict:
+    """Grow ``n_trees`` trees, each from its own sample of min(``sample_size``, n) rows.
+
+    ``keys`` tell rows apart: by default device_id and date where they are there, else all columns."""
+    keys = keys or [c for c in ("device_id", "date") if c in df.columns] or df.columns
     n = df.count()
     psi = min(sample_size, n)
     # about 2 psi rows are offered to each tree (fewer than psi: less than once in 10^20 forests)

@@ -110,11 +110,11 @@ def apply_changes(existing: DataFrame, changes: DataFrame, keys: list[str], scop
     touched = changes.where(F.col("change_type").isin("INSERT", "UPDATE", "DELETE"))
     add = touched.where(F.col("change_type") != "DELETE").select(*existing.columns)
     if not scope_col or scope_col not in keys:
-        return existing.join(touched.select(*keys), keys, "left_anti").unionByName(add).dropDuplicates()
+        return existing.join(touched.select(*keys), keys, "left_anti").unionByName(add).dropDuplicates().select(*existing.columns)
     days = touched.select(scope_col).distinct()
     quiet = existing.join(days, scope_col, "left_anti")
     busy = existing.join(days, scope_col, "left_semi").join(touched.select(*keys), keys, "left_anti").unionByName(add).dropDuplicates()
-    return quiet.unionByName(busy)
+    return quiet.unionByName(busy).select(*existing.columns)
 
 
 def write_partitions(df: DataFrame, path: str, partition_col: str = "date") -> None:
