@@ -13,18 +13,22 @@ anchor on a window has at least ``LENGTH - REACH`` bytes, its phrase.
    occur once in the corpus end here: no window with such a phrase can be repeated.  A name shared by
    chance only means a needless look in the next step.
 2. Parse.  Consecutive windows with one anchor are a run: at most ``HALF`` windows, with a key of
-   ``LENGTH - HALF`` bytes that all of them hold.  Runs with repeated phrases go, each distinct run
-   of a block once, to the bucket of their key.
-3. Corpus order.  A bucket holds all suffixes of the corpus that begin with its keys, left by up to ``HALF``
-   bytes.  It sorts what follows the anchors (the parse's suffix order) with the longest common
+   ``LENGTH - HALF`` bytes that all of them hold.  Of runs with repeated phrases the names of run and key
+   are gathered by key.  A run that occurs again, as copies do, is repeated as a whole.  A key with one run
+   alone ends here.  For the others one block is asked for the bytes of each distinct run.
+3. Corpus order.  A bucket of keys holds all distinct suffixes of the corpus that begin with its keys, left by up
+   to ``HALF`` bytes.  It sorts what follows the anchors (the parse's suffix order) with the longest common
    prefixes of neighbours, then takes in the bytes before the anchors one by one (the dictionary's
    suffixes): rows with the same bytes before, in the order of what follows, are neighbours in the
    corpus order.  A window is repeated if and only if a neighbour shares ``LENGTH`` bytes with it.  This
    compares real bytes, no hashes.
 
+Two runs count as equal if their keys' names and their own names are, two 64-bit hashes of which one covers
+all bytes; only runs with one key are ever compared so.
+
 So the one suffix array of a whole corpus becomes sorted pieces of it, one a bucket, cut to the depth that
-matters.  A passage that a third of all texts hold is one row a block, so it doesn't weigh on its
-bucket; keys near a varied place are many.
+matters.  A passage that a third of all texts hold is one name a block and one row of bytes, so it doesn't
+weigh on its bucket; keys near a varied place are many.
 
 Texts are written once, with their blocks, and read by each step; blocks take what they need of the
 bucket's answers from a table in the shared folder, one folder a block, so texts are never shuffled.
@@ -42,20 +46,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnstile.llm.rows import joined, rolling_hashes, slices, span_hashes
+from turnstile.llm.rows import SpanHashes, joined, slices
 from turnstile.llm.token_files import _file_system
 from turnstile.session import materialize, scratch_path
 
 LENGTH = 200
 GRAM, REACH, HALF = 16, 100, 50
-#: One byte in so many begins a phrase, and one in so many of the denser triggers.
+#: One byte in so many begins a phrase, and one in so many of the denser triggers: powers of two.
 EVERY, DENSE = 32, 8
 #: Rows of a block: a power of two.
 BLOCK_BITS = 13
 #: Bytes of text for each bucket, beyond the session's number of shuffle partitions.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 16 << 20
 #: Bytes that a task gathers from a block before it hands them on.
-HELD_BYTES = 64 << 20
+HELD_BYTES = 32 << 20
 
 
 class Runs:
@@ -71,6 +75,7 @@ class Runs:
         reach, gram = length * REACH // LENGTH, max(1, length * GRAM // LENGTH)
         self.first = self.n = self.anchor = self.origin = np.zeros(0, np.int64)
         self.phrase = np.zeros(0, np.uint64)
+        self.hashes: list[SpanHashes] = []
         windows = np.maximum(np.diff(text_at) - length, 0)  # a byte that is no part of it ends each text
         some = windows > 0
         if not some.any():
@@ -79,13 +84,16 @@ class Runs:
         live[text_at[:-1][some]] += 1
         live[(text_at[:-1] + windows)[some]] -= 1
         at = np.flatnonzero(np.cumsum(live[:-1], dtype=np.int8))
-        h = rolling_hashes(data, gram) >> np.uint64(40)
+        self.hashes = [SpanHashes(data, k) for k in (0, 1)]
+        h = self.hashes[0].rolling(gram) >> np.uint64(40)
         anchor = at.copy()
         todo = np.arange(len(at))
         for every in (EVERY, DENSE):
-            marks = np.append(np.flatnonzero(h % np.uint64(every) == 0), 1 << 60)
-            after = marks[np.searchsorted(marks, at[todo])]
-            near = after - at[todo] < reach
+            flag = h & np.uint64(every - 1) == 0
+            marks = np.append(np.flatnonzero(flag), 1 << 60)
+            own = at[todo]
+            after = marks[np.cumsum(flag)[own] - flag[own]]  # as many marks lie before
+            near = after - own < reach
             anchor[todo[near]] = after[near]
             todo = todo[~near]
         # a new run begins where the anchor changes, or its nearer half
@@ -95,15 +103,17 @@ class Runs:
         begin = np.flatnonzero(new)
         self.first, self.n, self.origin = at[begin], np.diff(np.append(begin, len(at))), anchor[begin]
         self.anchor = self.origin - np.where(far[begin], half, 0)
-        self.phrase = span_hashes(data, self.origin, self.origin + length - reach, 1)
+        self.phrase = self.hashes[1].of(self.origin, self.origin + length - reach)
 
     def keys(self, which: np.ndarray) -> np.ndarray:
         """Names of what all windows of a run hold."""
-        return span_hashes(self.data, self.anchor[which], self.anchor[which] + self.length - self.half, 1)
+        return self.hashes[1].of(self.anchor[which], self.anchor[which] + self.length - self.half)
 
     def names(self, which: np.ndarray) -> np.ndarray:
         """Names of whole runs: their bytes, and where the anchor is."""
-        h = span_hashes(self.data, self.first[which], self.first[which] + self.n[which] + self.length - 1, 0)
+        if not len(which):
+            return np.zeros(0, np.uint64)
+        h = self.hashes[0].of(self.first[which], self.first[which] + self.n[which] + self.length - 1)
         return h ^ ((self.anchor - self.first)[which].astype(np.uint64) * np.uint64(0x94D049BB133111EB))
 
 
@@ -230,33 +240,97 @@ def _answer(table: pa.Table, row, columns, kept, names) -> pa.Table:
     return pa.Table.from_arrays([pa.array(table.column("block").to_numpy()[some], pa.int64()), *made], names=["block", *names])
 
 
-def _candidates(batches, length: int, n: int, phrases: str):
-    """Distinct runs of each block whose phrases are repeated, by bucket of their keys."""
+def _parse(batches, length: int, n: int, phrases: str):
+    """Names and keys of the distinct runs of each block whose phrases are repeated, by bucket of their keys."""
     answers = Answers(phrases, ["names"])
-    held: list[list] = [[], [], [], [], []]
+    held: list[list] = [[], []]
     block, size = None, 0
 
     def flush():
         names, first, more = _distinct(np.concatenate(held[0]))
-        keys, lead, windows = (np.concatenate(x)[first] for x in held[1:4])
-        texts = [held[4][i] for i in first.tolist()]
+        keys = np.concatenate(held[1])[first]
+        return pa.RecordBatch.from_arrays(_blobs(block, _bucket(keys, n), [names, keys, more]), names=["bucket", "block", "names", "keys", "more"])
+
+    for at, _, runs in _by_block(batches, length):
+        if held[0] and (at != block or size > HELD_BYTES):
+            yield flush()
+            held, size = [[], []], 0
+        block = at
+        which = np.flatnonzero(_member(answers.of(block)[0], runs.phrase) >= 0)
+        if len(which):
+            held[0].append(runs.names(which))
+            held[1].append(runs.keys(which))
+            size += 16 * len(which)
+    if held[0]:
+        yield flush()
+
+
+#: What a block is told of a run: it occurs again as a whole; its bytes are asked for; both.
+WHOLE, ASKED = 1, 2
+
+
+def _equal_runs(table: pa.Table) -> pa.Table:
+    """For each block what it should know of its runs."""
+    names, row = _joined_column(table, "names", np.uint64)
+    keys, _ = _joined_column(table, "keys", np.uint64)
+    more, _ = _joined_column(table, "more", bool)
+    order = np.lexsort((row, names, keys))
+    k, r = keys[order], names[order]
+    new_key = np.ones(len(order), bool)
+    new_key[1:] = k[1:] != k[:-1]
+    new_run = new_key.copy()
+    new_run[1:] |= r[1:] != r[:-1]
+    run_at = np.flatnonzero(new_run)
+    key_of, run_of = np.cumsum(new_key) - 1, np.cumsum(new_run) - 1
+    several = np.add.reduceat(1 + more[order], run_at) > 1 if len(run_at) else np.zeros(0, bool)
+    runs_of_key = np.bincount(key_of[run_at], minlength=1)
+    told = np.where(several[run_of], WHOLE, 0)
+    told[run_at] += np.where(runs_of_key[key_of[run_at]] > 1, ASKED, 0)  # the first block that has it
+    out = np.zeros(len(order), np.uint64)
+    out[order] = told
+    return _answer(table, row, [names, out], out > 0, ["names", "told"])
+
+
+def _bytes_of_runs(batches, length: int, n: int, told: str):
+    """The bytes of the runs that a block is asked for, by bucket of their keys."""
+    answers = Answers(told, ["names", "told"])
+    held: list[list] = [[], [], [], [], [], []]
+    block, size = None, 0
+
+    def flush():
+        names, first, _ = _distinct(np.concatenate(held[0]))
+        keys, lead, windows, more = (np.concatenate(x)[first] for x in held[1:5])
+        texts = [held[5][i] for i in first.tolist()]
         return pa.RecordBatch.from_arrays(_blobs(block, _bucket(keys, n), [names, lead, windows, more], texts),
                                           names=["bucket", "block", "names", "lead", "windows", "more", "texts"])
 
+    sent = np.zeros(0, np.uint64)
     for at, _, runs in _by_block(batches, length):
         if held[0] and (at != block or size > HELD_BYTES):
             yield flush()
-            held, size = [[], [], [], [], []], 0
+            held, size = [[], [], [], [], [], []], 0
+        if at != block:
+            known, what = answers.of(at)
+            sent = np.zeros(len(known), bool)
         block = at
-        which = np.flatnonzero(_member(answers.of(block)[0], runs.phrase) >= 0)
+        names = runs.names(np.arange(len(runs.first)))
+        place = _member(known, names)
+        which = np.flatnonzero(place >= 0)
+        place = place[which]
+        asked = (what[place] >= ASKED) & ~sent[place]
+        which, place = which[asked], place[asked]
+        place, once = np.unique(place, return_index=True)
+        which = which[once]
         if len(which):
+            sent[place] = True
             whole = runs.data.tobytes()
             first, m = runs.first[which], runs.n[which]
-            held[0].append(runs.names(which))
+            held[0].append(names[which])
             held[1].append(runs.keys(which))
             held[2].append((runs.anchor[which] - first).astype(np.uint8))
             held[3].append(m.astype(np.uint8))
-            held[4] += [whole[a:b] for a, b in zip(first.tolist(), (first + m + length - 1).tolist(), strict=True)]
+            held[4].append(what[place] & np.uint64(WHOLE) > 0)
+            held[5] += [whole[a:b] for a, b in zip(first.tolist(), (first + m + length - 1).tolist(), strict=True)]
             size += int(m.sum()) + length * len(m)
     if held[0]:
         yield flush()
@@ -327,24 +401,28 @@ def _resolve(table: pa.Table, length: int) -> pa.Table:
     more, _ = _joined_column(table, "more", bool)
     text, _ = _joined_column(table, "texts", np.uint8)
     bits = repeated_windows(lead, windows, more, text, length, length * HALF // LENGTH)
-    return _answer(table, row, [names, bits], bits > 0, ["names", "bits"])
+    return _answer(table, row, [names, bits], (bits > 0) & ~more, ["names", "bits"])
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _apply(batches, length: int, found: str, schema_names: list[str]):
+def _apply(batches, length: int, told: str, found: str, schema_names: list[str]):
     """The rows with their spans and the bytes that stay."""
-    answers = Answers(found, ["names", "bits"])
+    whole, partly = Answers(told, ["names", "told"]), Answers(found, ["names", "bits"])
     for block, part, runs in _by_block(batches, length):
-        names, bits = answers.of(block)
         texts = part.column(part.num_columns - 1)
         data, text_at = joined(texts)
         cover = np.zeros(len(data) + 1, np.int32)
-        which = np.arange(len(runs.first))
-        place = _member(names, runs.names(which))
-        own = bits[place[place >= 0]]
-        anchor = runs.anchor[place >= 0]
+        names = runs.names(np.arange(len(runs.first)))
+        known, what = whole.of(block)
+        place = _member(known, names)
+        full = (place >= 0) & (what[place] & np.uint64(WHOLE) > 0) if len(known) else np.zeros(len(names), bool)
+        np.add.at(cover, runs.first[full], 1)
+        np.add.at(cover, runs.first[full] + runs.n[full] + length - 1, -1)
+        known, bits = partly.of(block)
+        place = _member(known, names)
+        own, anchor = bits[place[place >= 0]], runs.anchor[place >= 0]
         for k in range(runs.half if len(own) else 0):
             begin = anchor[(own >> np.uint64(k)) & np.uint64(1) > 0] - k
             np.add.at(cover, begin, 1)
@@ -387,8 +465,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
 
     made = texts.mapInArrow(lambda batches: _phrases(batches, length, n), "bucket int, block long, names binary, more binary")
     phrases = _write_answers(by_bucket(made, _repeated_phrases, "block long, names binary"), spark, "repeats-phrases")
-    made = texts.mapInArrow(lambda batches: _candidates(batches, length, n, phrases),
+    made = texts.mapInArrow(lambda batches: _parse(batches, length, n, phrases),
+                            "bucket int, block long, names binary, keys binary, more binary")
+    told = _write_answers(by_bucket(made, _equal_runs, "block long, names binary, told binary"), spark, "repeats-told")
+    made = texts.mapInArrow(lambda batches: _bytes_of_runs(batches, length, n, told),
                             "bucket int, block long, names binary, lead binary, windows binary, more binary, texts binary")
     found = _write_answers(by_bucket(made, lambda table: _resolve(table, length), "block long, names binary, bits binary"), spark, "repeats-runs")
     schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in keep] + fields)
-    return rows.mapInArrow(lambda batches: _apply(batches, length, found, schema.names), schema)
+    return rows.mapInArrow(lambda batches: _apply(batches, length, told, found, schema.names), schema)

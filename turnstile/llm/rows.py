@@ -130,29 +130,31 @@ def _powers(base: int, n: int) -> np.ndarray:
     return kept[:n]
 
 
+class SpanHashes:
+    """64-bit hashes of any spans of bytes, whatever their place; ``which``: one of two independent ones."""
+
+    def __init__(self, data: np.ndarray, which: int = 0):
+        self.which = which
+        terms = _BYTES[which][data]
+        terms *= _powers(_STEPS[which], len(data))
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(terms, out=self.sums[1:])
+
+    def _mixed(self, h: np.ndarray, back: np.ndarray) -> np.ndarray:
+        h *= back
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(32)
+        return h
+
+    def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return self._mixed(self.sums[end] - self.sums[begin], _powers(_BACK[self.which], len(self.sums))[begin])
+
+    def rolling(self, size: int) -> np.ndarray:
+        """The hash of the ``size`` bytes from each place on."""
+        h = self.sums[size:] - self.sums[:-size]
+        return self._mixed(h, _powers(_BACK[self.which], len(h)))
+
+
 def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of each span's bytes, whatever its place; ``which``: one of two independent ones."""
-    step = _STEPS[which]
-    terms = _BYTES[which][data]
-    terms *= _powers(step, len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(terms, out=sums[1:])
-    h = sums[end]
-    h -= sums[begin]
-    h *= _powers(_BACK[which], len(data) + 1)[begin]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
-
-
-def rolling_hashes(data: np.ndarray, size: int, which: int = 0) -> np.ndarray:
-    """The hash of the ``size`` bytes from each place on."""
-    terms = _BYTES[which][data]
-    terms *= _powers(_STEPS[which], len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(terms, out=sums[1:])
-    h = sums[size:] - sums[:-size]
-    h *= _powers(_BACK[which], len(h))
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+    return SpanHashes(data, which).of(begin, end)
