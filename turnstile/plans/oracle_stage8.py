@@ -20,7 +20,7 @@ SELECT device_id, date, error_count, round(cpu_usage_pct, 6) AS cpu_usage_pct FR
 WHERE date = DATE '2024-01-15'""", "v_telemetry"))
 oracle("p10_trailing_window", with_views("""
 SELECT date, count(*) AS rows FROM v_telemetry
-WHERE date >= DATE '2024-01-30' - INTERVAL 30 DAY AND date <= DATE '2024-01-30' GROUP BY 1""", "v_telemetry"))
+WHERE date >= DATE '2024-02-14' - INTERVAL 30 DAY GROUP BY 1""", "v_telemetry"))
 oracle("p11_device_flags", with_views("""
 SELECT device_id, CASE WHEN age_days > 1000 THEN 1 ELSE 0 END AS is_old_device,
   CASE WHEN firmware_version = 'v4.0.0-beta' THEN 1 ELSE 0 END AS is_beta_firmware,

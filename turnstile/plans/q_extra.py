@@ -60,9 +60,10 @@ def p9_target_date(spark, sf_dir):
 
 @register("p10_trailing_window")
 def p10_trailing_window(spark, sf_dir):
+    """The 30 days before a target date in the middle of what they cover, so that the cutoff acts."""
     t = Fleet(spark, sf_dir).telemetry()
-    d = F.lit("2024-01-30").cast("date")
-    w = t.where((F.col("date") >= F.date_sub(d, 30)) & (F.col("date") <= d))
+    d = F.lit("2024-02-14").cast("date")
+    w = t.where(F.col("date") >= F.date_sub(d, 30))
     return w.groupBy("date").agg(F.count(F.lit(1)).alias("rows"))
 
 
