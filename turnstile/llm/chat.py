@@ -9,7 +9,7 @@ Events of a conversation, by sequence number:
 
 Everything is DataFrame functions: windows over one conversation find the last replacement of
 each message and the messages that a later regeneration dropped, an aggregate joins the rest.
-One exchange by conversation serves all windows and both aggregates.
+Rows are exchanged by conversation once; all windows and aggregates keep that partitioning.
 
 Template: ``### {role}\\n{text}</turn>\\n`` for each message.  In roles and texts a backslash is
 doubled, then ``</turn>`` becomes ``<\\/turn>`` and ``###`` + space ``#\\## ``; a role's line break
@@ -115,18 +115,29 @@ def format_chats(events: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)
 
 
 def read_turns(formatted: DataFrame) -> DataFrame:
-    """Rendered rows (conv_id, formatted, loss_spans) read back: one row a turn (conv_id, at, role, text, loss).
+    """Rendered rows (conv_id, formatted, loss_spans) read back: one row a turn (conv_id, at, role, text, loss,
+    formatted_chars).
 
-    A turn is under the loss mask if a loss span ends where its body ends.
+    A turn is under the loss mask if a loss span ends where its body ends.  The spans' ends are rows
+    beside the turns, so that no turn carries its conversation's spans.
     """
     pieces = F.split("formatted", CLOSE, -1)
     pieces = F.slice(pieces, 1, F.size(pieces) - 1)  # nothing follows the last mark
     head = len(OPEN) + 1
-    cut = F.transform(pieces, lambda p: F.struct(
-        _unescape_role(F.substring_index(F.substr(p, F.lit(head)), "\n", 1)).alias("role"),
-        unescape(F.substr(p, F.locate("\n", p) + 1)).alias("text"), F.length(p).alias("size")))
-    rows = formatted.select("conv_id", "loss_spans", F.posexplode(cut).alias("at", "cut"))
+
+    def row(at, role, text, size, stop):
+        return F.struct(at.cast("int").alias("at"), role.cast("string").alias("role"), text.cast("string").alias("text"),
+                        size.cast("long").alias("size"), stop.cast("long").alias("stop"))
+
+    none = F.lit(None)
+    turns = F.transform(pieces, lambda p, i: row(
+        i, _unescape_role(F.substring_index(F.substr(p, F.lit(head)), "\n", 1)), unescape(F.substr(p, F.locate("\n", p) + 1)), F.length(p), none))
+    ends = F.transform("loss_spans", lambda s: row(none, none, none, F.lit(0), s["end"]))
+    rows = formatted.select("conv_id", F.length("formatted").cast("long").alias("formatted_chars"), F.explode(F.concat(turns, ends)).alias("r"))
+    rows = rows.select("conv_id", "formatted_chars", "r.*")
     so_far = Window.partitionBy("conv_id").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    stop = F.sum(F.col("cut.size") + len(CLOSE)).over(so_far) - len(CLOSE)
-    return rows.select("conv_id", "at", "cut.role", "cut.text",
-                       F.array_contains(F.col("loss_spans.end"), stop).alias("loss"))
+    before = F.coalesce(F.sum(F.when(F.col("at").isNotNull(), F.col("size") + len(CLOSE))).over(so_far), F.lit(0))
+    rows = rows.withColumn("stop", F.coalesce("stop", before - len(CLOSE)))
+    here = Window.partitionBy("conv_id", "stop")
+    rows = rows.withColumn("loss", F.max(F.col("at").isNull()).over(here)).where("at IS NOT NULL")
+    return rows.select("conv_id", "at", "role", "text", "loss", "formatted_chars")

@@ -34,17 +34,13 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(EXTRA_TEXT).alias("text"))
     events = turns.unionByName(extra).select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"),
                                              F.lit(None).cast("string").alias("message_id"), "role", "text")
-    done = chat.format_chats(events)
-    sizes = done.select("conv_id", F.length("formatted").cast("long").alias("formatted_chars"))
     said = F.struct("at", F.concat("role", F.lit("\n"), "text", F.lit("\n")).alias("said"))
     taught = F.when(F.col("loss"), F.struct("at", "text"))
     text = {c: F.array_join(F.sort_array(F.collect_list(x))[c], "") for c, x in (("said", said), ("text", taught))}
-    digest = chat.read_turns(done).groupBy("conv_id").agg(
+    return chat.read_turns(chat.format_chats(events)).groupBy("conv_id").agg(
         F.count("*").alias("n_turns"), F.sha2(text["said"], 256).alias("turns_sha256"),
         F.sum(F.when(F.col("loss"), F.length("text")).otherwise(0)).cast("long").alias("loss_chars"),
-        F.sha2(text["text"], 256).alias("loss_sha256"))
-    a, b = digest.alias("a"), sizes.alias("b")
-    return a.join(b, F.col("a.conv_id").eqNullSafe(F.col("b.conv_id"))).select("a.*", "b.formatted_chars")
+        F.sha2(text["text"], 256).alias("loss_sha256"), F.max("formatted_chars").alias("formatted_chars"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
