@@ -84,19 +84,19 @@ def consecutive_pairs(errors: DataFrame, cols: list[str], order=("timestamp", "e
     """Each event of a device with the device's next event (``next_<col>``), in time order.
 
     A per-device window would put a device that sends a third of all events in
-    one task.  Instead the window runs per device-day, and the pairs that cross a
-    day boundary (last event of a day -> first event of the device's next active
-    day) come from a per-device-day table (one row per active day) whose window
+    one task.  Instead the window runs per device and hour, and the pairs that cross
+    an hour's end (its last event -> first event of the device's next active
+    hour) come from a table with one row per active hour, whose window
     is bounded by the calendar."""
-    day = F.to_date("timestamp").alias("_day")
-    e = errors.select("device_id", day, *[F.col(c) for c in set(cols) | set(order)])
-    w = Window.partitionBy("device_id", "_day").orderBy(*order)
+    hour = F.date_trunc("hour", "timestamp").alias("_hour")
+    e = errors.select("device_id", hour, *[F.col(c) for c in set(cols) | set(order)])
+    w = Window.partitionBy("device_id", "_hour").orderBy(*order)
     inner = e.select("device_id", *cols, *[F.lead(c).over(w).alias(f"next_{c}") for c in cols],
                      F.lead(order[-1]).over(w).isNotNull().alias("_has_next")).where("_has_next").drop("_has_next")
     key = F.struct(*[F.col(c) for c in order])
-    ends = e.groupBy("device_id", "_day").agg(F.min_by(F.struct(*cols), key).alias("first"),
+    ends = e.groupBy("device_id", "_hour").agg(F.min_by(F.struct(*cols), key).alias("first"),
                                              F.max_by(F.struct(*cols), key).alias("last"))
-    wd = Window.partitionBy("device_id").orderBy("_day")
+    wd = Window.partitionBy("device_id").orderBy("_hour")
     edge = ends.select("device_id", "last", F.lead("first").over(wd).alias("nxt")).where(F.col("nxt").isNotNull())
     edge = edge.select("device_id", *[F.col(f"last.{c}").alias(c) for c in cols],
                        *[F.col(f"nxt.{c}").alias(f"next_{c}") for c in cols])
