@@ -4,7 +4,8 @@ Documents are encoded, end id included, and only those longer than a sequence ar
 sequences one by one.  With N(g) open sequences of residual gap g, a piece of size s goes where the
 sum of all N(g)^2 becomes smallest: to a gap h >= s (N(h) loses one, N(h - s) gains one; a full
 sequence counts no more) or to a new sequence (N(capacity - s) gains one).  Ties: the smallest such gap,
-an open sequence before a new one.  Large pieces come first, so that small ones fill what is left.
+an open sequence before a new one.  Pieces of an eighth of a sequence or more come first, the largest
+ahead; the smaller ones then come in the order of their checksums, a mixture of sizes that fills what is left.
 
 Pieces are dealt by hash into groups of about ``GROUP`` pieces, each packed by one task: the work of
 a group is bounded, groups are independent, and a repeated task gives the same sequences.  A group
@@ -96,7 +97,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
     def run(table: pa.Table) -> pa.Table:
         size = table.column(at).to_numpy()
         start = table.column("start").to_numpy()
-        order = np.lexsort((table.column("ids_crc32").to_numpy(), start, -size))
+        crc = table.column("ids_crc32").to_numpy()
+        small = size < capacity // 8
+        order = np.lexsort((start, crc, np.where(small, 0, -size), small))
         where, offset = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
         where[order], offset[order] = sum_of_squares(size[order], capacity)
         where += int(table.column("_group")[0].as_py()) << 40
