@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -66,13 +67,19 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.hint = [""], [-1], [0]
         self.open = [0]
+        self.n_open: Counter[str] = Counter()  # of open elements by tag: most look-ups end here
         self.texts: list[tuple[int, str]] = []
+        self.seen: set[str] = set()
 
     def _close_to(self, depth: int) -> None:
+        for i in self.open[depth:]:
+            self.n_open[self.tag[i]] -= 1
         del self.open[depth:]
 
     def _close_open(self, tags, until) -> None:
         """Ends the outermost open element of ``tags`` above the nearest of ``until``."""
+        if not any(self.n_open[t] for t in tags):
+            return
         found = 0
         for depth in range(len(self.open) - 1, 0, -1):
             tag = self.tag[self.open[depth]]
@@ -88,9 +95,11 @@ class Tree(HTMLParser):
             self._close_open(("p",), ("td", "th", "table", "button", "article", "div", "section", "body", "li", "blockquote"))
         if tag in ENDS:
             self._close_open(*ENDS[tag])
-        if tag == "body" and "body" in self.tag or tag == "html" and "html" in self.tag:
-            return
-        if tag not in IN_HEAD:
+        if tag in ("body", "html"):
+            if tag in self.seen:
+                return
+            self.seen.add(tag)
+        if tag not in IN_HEAD and self.n_open["head"]:
             for depth, i in enumerate(self.open):
                 if self.tag[i] == "head":
                     self._close_to(depth)
@@ -103,11 +112,12 @@ class Tree(HTMLParser):
         self.hint.append(self._hint(tag, attrs))
         if tag not in VOID:
             self.open.append(at)
+            self.n_open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag in ("svg", "path", "use") and self.open[-1] == len(self.tag) - 1:
-            self.open.pop()
+            self._close_to(len(self.open) - 1)
 
     @staticmethod
     def _hint(tag: str, attrs) -> int:
@@ -130,6 +140,8 @@ class Tree(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self.texts.append((-1, " "))
+        if not self.n_open[tag]:
+            return
         for depth in range(len(self.open) - 1, 0, -1):
             if self.tag[self.open[depth]] == tag:
                 self._close_to(depth)
@@ -219,28 +231,21 @@ def _select(tree: Tree, by_hint: bool) -> str:
             least = min(least, density[i])
         i = parent[i]
     least = 0.0 if least is math.inf else least
+    article = [0] * n  # the outermost article or main around each node, itself included
+    for i in range(1, n):
+        article[i] = article[parent[i]] or (i if tag[i] in ("article", "main") else 0)
     marked = [False] * n
     reached = [True] + [False] * (n - 1)
     for i in range(n):
         if i:
             reached[i] = reached[parent[i]] and not gone[i] and (density[i] >= least or tag[i] in ("html", "body"))
         if reached[i] and (density[i] >= least or i == 0) and c[best[i]]:
-            marked[_article(best[i], tag, parent, gone)] = True
+            marked[article[best[i]] or best[i]] = True
     for i in range(1, n):
         marked[i] = (marked[i] or marked[parent[i]]) and not gone[i]
     return " ".join("".join(data for at, data in tree.texts if at < 0 or marked[at]).split())
 
 
-def _article(i: int, tag: list, parent: list, gone: list) -> int:
-    """The outermost article or main around i that isn't dropped, or i itself."""
-    found, at = i, i
-    while at > 0:
-        if tag[at] in ("article", "main"):
-            found = at
-        at = parent[at]
-    return found
-
-
 def _extract(texts: pa.Array) -> list:
     return [pa.array([main_text(x) for x in texts.to_pylist()], pa.string())]
 
