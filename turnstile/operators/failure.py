@@ -103,14 +103,16 @@ def _prep_stages(df: DataFrame, numeric, categorical):
 def model_specs() -> dict:
     """The three candidate models (parameters as in the reference's training).
 
+    A node of fewer than 5 rows isn't split there; Spark bounds the children instead, and 2 rows a child
+    come closest.
     The forest and the boosting with categorical handling take balanced class weights, the other
     boosting weights positives by negatives / positives."""
     return {
         "random_forest": RandomForestClassifier(labelCol=TARGET, featuresCol="features", weightCol="class_weight",
-                                                numTrees=200, maxDepth=10, minInstancesPerNode=5, seed=42,
+                                                numTrees=200, maxDepth=10, minInstancesPerNode=2, seed=42,
                                                 maxMemoryInMB=2048),  # more nodes per pass over the data
         "gradient_boosting": GBTClassifier(labelCol=TARGET, featuresCol="features", weightCol="positive_weight",
-                                           maxIter=200, maxDepth=6, stepSize=0.1, subsamplingRate=0.8, seed=42),
+                                           maxIter=200, maxDepth=6, stepSize=0.1, seed=42),
         "boosting_categorical": GBTClassifier(labelCol=TARGET, featuresCol="features", weightCol="class_weight",
                                               maxIter=200, maxDepth=6, stepSize=0.1, seed=42, maxBins=64),
     }
