@@ -124,10 +124,13 @@ def prepare(gold: DataFrame) -> DataFrame:
     return gold.select(*cols).fillna(0, subset=num)
 
 
-def sized(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
-    """Partitions of about ``rows_per_partition`` rows: every tree level of every boosting round is a job over
-    all partitions, so small ones cost more to schedule than to read."""
-    return df.repartition(max(1, -(-df.count() // rows_per_partition)))
+def sized(df: DataFrame, rows_per_partition: int = 50_000, least_rows: int = 8_000) -> DataFrame:
+    """Partitions of about ``rows_per_partition`` rows; a smaller table goes to as many cores as get
+    ``least_rows`` each.  Every tree level of every boosting round is a job over all partitions, so
+    small ones cost more to schedule than to read."""
+    n = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, -(-n // rows_per_partition), min(cores, -(-n // least_rows))))
 
 
 def train(train_df: DataFrame, name: str, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES):
