@@ -121,6 +121,40 @@ def test_repeats(spark, monkeypatch, length, bits):
     assert repeats.remove_repeats(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("length,bits,sampled", [(200, 13, 1), (200, 3, 4), (20, 3, 2)])
+def test_repeats_of_hot_phrases(spark, monkeypatch, length, bits, sampled):
+    monkeypatch.setattr(repeats, "SAMPLE_BITS", 0)
+    monkeypatch.setattr(repeats, "SAMPLED", sampled)
+    test_repeats(spark, monkeypatch, length, bits)
+
+
+def test_repeats_gather_no_hot_key():
+    """A passage between other words in many texts: no bucket gets the bytes of all runs around it."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choices("abcdefghij ", k=n))
+    passage = word(600)
+    some = [word(150) + passage + word(150) for _ in range(12000)]
+    blocks = [pa.RecordBatch.from_arrays([pa.array([b] * 2000, pa.int64()), pa.array(some[b * 2000:(b + 1) * 2000])], names=["_block", "_text"]) for b in range(6)]
+    sample = repeats.SAMPLE_BITS, repeats.SAMPLED
+    told = repeats._repeated_phrases(pa.Table.from_batches(list(repeats._phrases(blocks, 200, 1, sample))), sample[1]).to_pylist()
+
+    class Told:
+        def __init__(self, path, columns):
+            self.columns = columns
+
+        def of(self, block):
+            made = [np.frombuffer(b"".join(r[c] for r in told if r["block"] == block), np.uint64) for c in self.columns]
+            return [m[np.argsort(made[0])] for m in made]
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(repeats, "Answers", Told)
+        parsed = pa.Table.from_batches(list(repeats._parse(blocks, 200, 1, "")))
+    keys = Counter(repeats._joined_column(parsed, "keys", np.uint64)[0].tolist())
+    assert max(keys.values(), default=0) < 10000
+    windows = Counter(repeats._joined_column(parsed, "windows", np.uint64)[0].tolist())
+    assert len(windows) > 100000 and max(windows.values()) == 6  # each once a block
+
+
 def test_repeats_random():
     """The order within a bucket, on random runs of a small alphabet, against direct comparison."""
     from turnstile.llm.rows import joined

@@ -16,6 +16,11 @@ anchor on a window has at least ``LENGTH - REACH`` bytes, its phrase.
    ``LENGTH - HALF`` bytes that all of them hold.  Of runs with repeated phrases the names of run and key
    are gathered by key.  A run that occurs again, as copies do, is repeated as a whole.  A key with one run
    alone ends here.  For the others one block is asked for the bytes of each distinct run.
+   Hot phrases, which many distinct runs hold (as around a passage that a third of all texts quote, each between
+   other words), would bring all these runs to one bucket.  Their windows are settled one by one: a block
+   gives each window's name once, to the bucket of that name; of windows whose name occurs again it then
+   sends the bytes, each once, and those are compared.  A sample of the runs' names tells which phrases
+   are hot, at most ``SAMPLED`` a phrase and block; both ways give the same windows.
 3. Corpus order.  A bucket of keys holds all distinct suffixes of the corpus that begin with its keys, left by up
    to ``HALF`` bytes.  It sorts what follows the anchors (the parse's suffix order) with the longest common
    prefixes of neighbours, then takes in the bytes before the anchors one by one (the dictionary's
@@ -24,7 +29,7 @@ anchor on a window has at least ``LENGTH - REACH`` bytes, its phrase.
    compares real bytes, no hashes.
 
 Two runs count as equal if their keys' names and their own names are, two 64-bit hashes of which one covers
-all bytes; only runs with one key are ever compared so.
+all bytes; only runs with one key are ever compared so.  A block is told of its repeated windows by name.
 
 So the one suffix array of a whole corpus becomes sorted pieces of it, one a bucket, cut to the depth that
 matters.  A passage that a third of all texts hold is one name a block and one row of bytes, so it doesn't
@@ -58,6 +63,8 @@ EVERY, DENSE = 32, 8
 BLOCK_BITS = 13
 #: Bytes of text for each bucket, beyond the session's number of shuffle partitions.
 BUCKET_BYTES = 16 << 20
+#: A phrase is hot if SAMPLED distinct runs of one in 2^SAMPLE_BITS hold it: about 4,096 in all.
+SAMPLE_BITS, SAMPLED = 6, 64
 #: Bytes that a task gathers from a block before it hands them on.
 HELD_BYTES = 32 << 20
 
@@ -116,6 +123,14 @@ class Runs:
         h = self.hashes[0].of(self.first[which], self.first[which] + self.n[which] + self.length - 1)
         return h ^ ((self.anchor - self.first)[which].astype(np.uint64) * np.uint64(0x94D049BB133111EB))
 
+    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and name of each window of some runs."""
+        n = self.n[which]
+        if not len(n):
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        begin = np.repeat(self.first[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return begin, self.hashes[0].of(begin, begin + self.length)
+
 
 def _distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct names, the place of the first of each, and whether there are more."""
@@ -154,13 +169,20 @@ def _blobs(block: int, bucket: np.ndarray, columns: list[np.ndarray], texts=None
     order = np.argsort(bucket, kind="stable")
     ordered = bucket[order]
     begin = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(order) else np.zeros(0, int)
-    ends = np.append(begin[1:], len(order))
+    ends = np.append(begin[1:], len(order))[:len(begin)]
     made = [[c[order[a:b]].tobytes() for a, b in zip(begin, ends, strict=True)] for c in columns]
     if texts is not None:
         made.append([b"".join(texts[i] for i in order[a:b]) for a, b in zip(begin, ends, strict=True)])
     return [pa.array(ordered[begin], pa.int32()), pa.array(np.full(len(begin), block), pa.int64()), *[pa.array(m, pa.binary()) for m in made]]
 
 
+def _batch(arrays: list, names: list[str], every: list[str]) -> pa.RecordBatch:
+    """A batch of all columns, those not given without entries."""
+    given = dict(zip(names, arrays, strict=True))
+    blank = pa.array([b""] * len(arrays[0]), pa.binary())
+    return pa.RecordBatch.from_arrays([given.get(c, blank) for c in every], names=every)
+
+
 class Answers:
     """What buckets answered to a block: binary columns of the rows in the block's folder, joined."""
 
@@ -192,27 +214,49 @@ def _write_answers(rows: DataFrame, spark, name: str) -> str:
     return path
 
 
-def _phrases(batches, length: int, n: int):
-    """Distinct phrase names of each block, by bucket, with flags of those it has more than once."""
-    held: list[np.ndarray] = []
+_PHRASES = ["bucket", "block", "names", "more", "held", "runs"]
+
+
+def _phrases(batches, length: int, n: int, sample: tuple[int, int]):
+    """Distinct phrase names of each block, by bucket, with flags of those it has more than once; and of a
+    sample (1 in 2^bits) of the distinct runs that hold each phrase the first few names."""
+    bits, most = sample
+    held: list[list] = [[], [], []]
     block, size = None, 0
 
     def flush():
-        names, _, more = _distinct(np.concatenate(held))
-        return pa.RecordBatch.from_arrays(_blobs(block, _bucket(names, n), [names, more]), names=["bucket", "block", "names", "more"])
+        names, _, more = _distinct(np.concatenate(held[0]))
+        yield _batch(_blobs(block, _bucket(names, n), [names, more]), _PHRASES[:4], _PHRASES)
+        phrase, run = _first_runs(np.concatenate(held[1]), np.concatenate(held[2]), most)
+        yield _batch(_blobs(block, _bucket(phrase, n), [phrase, run]), [*_PHRASES[:2], *_PHRASES[4:]], _PHRASES)
 
     for at, _, runs in _by_block(batches, length):
-        if held and (at != block or size > HELD_BYTES):
-            yield flush()
-            held, size = [], 0
+        if held[0] and (at != block or size > HELD_BYTES):
+            yield from flush()
+            held, size = [[], [], []], 0
         block = at
         if len(runs.phrase):
             kept = np.ones(len(runs.phrase), bool)
             kept[1:] = runs.origin[1:] != runs.origin[:-1]  # both halves have one phrase
-            held.append(runs.phrase[kept])
-            size += held[-1].nbytes
-    if held:
-        yield flush()
+            held[0].append(runs.phrase[kept])
+            names = runs.names(np.arange(len(runs.first)))
+            some = names & np.uint64((1 << bits) - 1) == 0
+            held[1].append(runs.phrase[some])
+            held[2].append(names[some])
+            size += held[0][-1].nbytes + 2 * held[1][-1].nbytes
+    if held[0]:
+        yield from flush()
+
+
+def _first_runs(phrase: np.ndarray, run: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs in order, ``most`` a phrase."""
+    order = np.lexsort((run, phrase))
+    phrase, run = phrase[order], run[order]
+    fresh = np.ones(len(phrase), bool)
+    fresh[1:] = (phrase[1:] != phrase[:-1]) | (run[1:] != run[:-1])
+    phrase, run = phrase[fresh], run[fresh]
+    near = np.arange(len(phrase)) - np.searchsorted(phrase, phrase) < most
+    return phrase[near], run[near]
 
 
 def _joined_column(table: pa.Table, column: str, kind) -> tuple[np.ndarray, np.ndarray]:
@@ -221,48 +265,74 @@ def _joined_column(table: pa.Table, column: str, kind) -> tuple[np.ndarray, np.n
     return np.concatenate([np.zeros(0, kind), *parts]), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
 
 
-def _repeated_phrases(table: pa.Table) -> pa.Table:
-    """For each block its names that occur twice or more in all."""
-    names, row = _joined_column(table, "names", np.uint64)
-    more, _ = _joined_column(table, "more", bool)
+def _again(names: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Flags of names that occur twice or more in all."""
     order = np.argsort(names, kind="stable")
     same = names[order][1:] == names[order][:-1]
     again = more.copy()
     again[order[1:][same]] = again[order[:-1][same]] = True
-    return _answer(table, row, [names], again, ["names"])
+    return again
+
+
+def _repeated_phrases(table: pa.Table, most: int) -> pa.Table:
+    """For each block its names that occur twice or more in all, and which of them are hot."""
+    names, row = _joined_column(table, "names", np.uint64)
+    more, _ = _joined_column(table, "more", bool)
+    phrase, _ = _joined_column(table, "held", np.uint64)
+    run, _ = _joined_column(table, "runs", np.uint64)
+    several, count = np.unique(_first_runs(phrase, run, most)[0], return_counts=True)
+    hot = _member(several[count >= most], names) >= 0
+    return _answer(table, row, [names, hot.astype(np.uint64)], _again(names, more), ["names", "hot"])
 
 
-def _answer(table: pa.Table, row, columns, kept, names) -> pa.Table:
+def _answer(table: pa.Table, row, columns, kept, names, every=None) -> pa.Table:
     which = np.flatnonzero(kept)
     begin = np.searchsorted(row[which], np.arange(table.num_rows + 1))
     some = np.flatnonzero(begin[1:] > begin[:-1])
     made = [pa.array([c[which[begin[k]:begin[k + 1]]].tobytes() for k in some.tolist()], pa.binary()) for c in columns]
-    return pa.Table.from_arrays([pa.array(table.column("block").to_numpy()[some], pa.int64()), *made], names=["block", *names])
+    block = pa.array(table.column("block").to_numpy()[some], pa.int64())
+    return pa.Table.from_batches([_batch([block, *made], ["block", *names], ["block", *(every or names)])])
+
+
+def _repeated_runs(runs: Runs, answer: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs with repeated phrases: those whose phrases are not hot, and the hot ones."""
+    known, hot = answer
+    place = _member(known, runs.phrase)
+    which = np.flatnonzero(place >= 0)
+    warm = hot[place[which]] > 0
+    return which[~warm], which[warm]
+
+
+_PARSE = ["bucket", "block", "names", "keys", "more", "windows", "often"]
 
 
 def _parse(batches, length: int, n: int, phrases: str):
-    """Names and keys of the distinct runs of each block whose phrases are repeated, by bucket of their keys."""
-    answers = Answers(phrases, ["names"])
-    held: list[list] = [[], []]
+    """Names and keys of the distinct runs of each block whose phrases are repeated, by bucket of their keys;
+    for hot phrases names of the distinct windows, by bucket of these."""
+    answers = Answers(phrases, ["names", "hot"])
+    held: list[list] = [[], [], []]
     block, size = None, 0
 
     def flush():
         names, first, more = _distinct(np.concatenate(held[0]))
         keys = np.concatenate(held[1])[first]
-        return pa.RecordBatch.from_arrays(_blobs(block, _bucket(keys, n), [names, keys, more]), names=["bucket", "block", "names", "keys", "more"])
+        yield _batch(_blobs(block, _bucket(keys, n), [names, keys, more]), _PARSE[:5], _PARSE)
+        names, _, more = _distinct(np.concatenate(held[2]))
+        yield _batch(_blobs(block, _bucket(names, n), [names, more]), [*_PARSE[:2], *_PARSE[5:]], _PARSE)
 
     for at, _, runs in _by_block(batches, length):
         if held[0] and (at != block or size > HELD_BYTES):
-            yield flush()
-            held, size = [[], []], 0
+            yield from flush()
+            held, size = [[], [], []], 0
         block = at
-        which = np.flatnonzero(_member(answers.of(block)[0], runs.phrase) >= 0)
-        if len(which):
+        which, hot = _repeated_runs(runs, answers.of(block))
+        if len(which) or len(hot):
             held[0].append(runs.names(which))
-            held[1].append(runs.keys(which))
-            size += 16 * len(which)
+            held[1].append(runs.keys(which) if len(which) else np.zeros(0, np.uint64))
+            held[2].append(runs.windows(hot)[1])
+            size += 16 * len(which) + 8 * len(held[2][-1])
     if held[0]:
-        yield flush()
+        yield from flush()
 
 
 #: What a block is told of a run: it occurs again as a whole; its bytes are asked for; both.
@@ -270,7 +340,11 @@ WHOLE, ASKED = 1, 2
 
 
 def _equal_runs(table: pa.Table) -> pa.Table:
-    """For each block what it should know of its runs."""
+    """For each block what it should know of its runs, and its windows of hot phrases whose names occur again."""
+    every = ["names", "told", "windows"]
+    windows, own = _joined_column(table, "windows", np.uint64)
+    often, _ = _joined_column(table, "often", bool)
+    hot = _answer(table, own, [windows], _again(windows, often), ["windows"], every)
     names, row = _joined_column(table, "names", np.uint64)
     keys, _ = _joined_column(table, "keys", np.uint64)
     more, _ = _joined_column(table, "more", bool)
@@ -288,27 +362,50 @@ def _equal_runs(table: pa.Table) -> pa.Table:
     told[run_at] += np.where(runs_of_key[key_of[run_at]] > 1, ASKED, 0)  # the first block that has it
     out = np.zeros(len(order), np.uint64)
     out[order] = told
-    return _answer(table, row, [names, out], out > 0, ["names", "told"])
+    return pa.concat_tables([hot, _answer(table, row, [names, out], out > 0, ["names", "told"], every)])
+
 
+def _distinct_windows(data: np.ndarray, begin: np.ndarray, names: np.ndarray, length: int) -> dict[tuple[int, bytes], bool]:
+    """Names and bytes of the distinct windows, and whether there are more of one."""
+    own, first, more = _distinct(names)
+    like = first[np.searchsorted(own, names)]
+    view = np.lib.stride_tricks.sliding_window_view(data, length)
+    other = np.concatenate([np.zeros(0, np.int64)] + [a + np.flatnonzero((view[begin[a:a + 8192]] != view[begin[like[a:a + 8192]]]).any(axis=1))
+                                                      for a in range(0, len(begin), 8192)])
+    more &= np.bincount(np.searchsorted(own, np.delete(names, other)), minlength=len(own)) > 1
+    found = {(x, view[at].tobytes()): m for x, at, m in zip(own.tolist(), begin[first].tolist(), more.tolist(), strict=True)}
+    for i in other.tolist():  # another window of that name
+        x = int(names[i]), view[begin[i]].tobytes()
+        found[x] = x in found
+    return found
 
-def _bytes_of_runs(batches, length: int, n: int, told: str):
-    """The bytes of the runs that a block is asked for, by bucket of their keys."""
-    answers = Answers(told, ["names", "told"])
+
+_BYTES = ["bucket", "block", "names", "lead", "windows", "more", "texts", "hot", "often", "strings"]
+
+
+def _bytes_of_runs(batches, length: int, n: int, phrases: str, told: str):
+    """The bytes of the runs that a block is asked for, by bucket of their keys; and of the windows, by bucket of their names."""
+    answers, warm, again = Answers(told, ["names", "told"]), Answers(phrases, ["names", "hot"]), Answers(told, ["windows"])
     held: list[list] = [[], [], [], [], [], []]
+    strings: dict[tuple[int, bytes], bool] = {}
     block, size = None, 0
 
     def flush():
+        if strings:
+            names = np.array([x for x, _ in strings], np.uint64)
+            yield _batch(_blobs(block, _bucket(names, n), [names, np.array(list(strings.values()))], [x for _, x in strings]), [*_BYTES[:2], *_BYTES[7:]], _BYTES)
+        if not held[0]:
+            return
         names, first, _ = _distinct(np.concatenate(held[0]))
         keys, lead, windows, more = (np.concatenate(x)[first] for x in held[1:5])
         texts = [held[5][i] for i in first.tolist()]
-        return pa.RecordBatch.from_arrays(_blobs(block, _bucket(keys, n), [names, lead, windows, more], texts),
-                                          names=["bucket", "block", "names", "lead", "windows", "more", "texts"])
+        yield _batch(_blobs(block, _bucket(keys, n), [names, lead, windows, more], texts), _BYTES[:7], _BYTES)
 
     sent = np.zeros(0, np.uint64)
     for at, _, runs in _by_block(batches, length):
-        if held[0] and (at != block or size > HELD_BYTES):
-            yield flush()
-            held, size = [[], [], [], [], [], []], 0
+        if (held[0] or strings) and (at != block or size > HELD_BYTES):
+            yield from flush()
+            held, strings, size = [[], [], [], [], [], []], {}, 0
         if at != block:
             known, what = answers.of(at)
             sent = np.zeros(len(known), bool)
@@ -332,8 +429,14 @@ def _bytes_of_runs(batches, length: int, n: int, told: str):
             held[4].append(what[place] & np.uint64(WHOLE) > 0)
             held[5] += [whole[a:b] for a, b in zip(first.tolist(), (first + m + length - 1).tolist(), strict=True)]
             size += int(m.sum()) + length * len(m)
-    if held[0]:
-        yield flush()
+        begin, names = runs.windows(_repeated_runs(runs, warm.of(at))[1])
+        some = _member(again.of(at)[0], names) >= 0
+        if some.any():
+            for x, more in _distinct_windows(runs.data, begin[some], names[some], length).items():
+                size += 0 if x in strings else length
+                strings[x] = more or x in strings
+    if held[0] or strings:
+        yield from flush()
 
 
 def repeated_windows(lead: np.ndarray, windows: np.ndarray, more: np.ndarray, text: np.ndarray, length: int, half: int) -> np.ndarray:
@@ -394,22 +497,32 @@ def repeated_windows(lead: np.ndarray, windows: np.ndarray, more: np.ndarray, te
 
 
 def _resolve(table: pa.Table, length: int) -> pa.Table:
-    """For each block the names and bits of its runs with repeated windows."""
+    """For each block the names and bits of its runs with repeated windows, and the names of repeated windows of hot phrases."""
+    every = ["names", "bits", "windows"]
+    hot, own = _joined_column(table, "hot", np.uint64)
+    often, _ = _joined_column(table, "often", bool)
+    strings, _ = _joined_column(table, "strings", np.uint8)
+    strings = np.column_stack((strings.reshape(-1, length), np.ones(len(hot), np.uint8)))  # no zero at the end, which would not count
+    order = np.argsort(strings.view(f"S{length + 1}").ravel(), kind="stable")
+    same = (strings[order[1:]] == strings[order[:-1]]).all(axis=1)
+    often[order[1:][same]] = often[order[:-1][same]] = True
+    settled = _answer(table, own, [hot], often, ["windows"], every)
     names, row = _joined_column(table, "names", np.uint64)
     lead, _ = _joined_column(table, "lead", np.uint8)
     windows, _ = _joined_column(table, "windows", np.uint8)
     more, _ = _joined_column(table, "more", bool)
     text, _ = _joined_column(table, "texts", np.uint8)
     bits = repeated_windows(lead, windows, more, text, length, length * HALF // LENGTH)
-    return _answer(table, row, [names, bits], (bits > 0) & ~more, ["names", "bits"])
+    return pa.concat_tables([settled, _answer(table, row, [names, bits], (bits > 0) & ~more, ["names", "bits"], every)])
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _apply(batches, length: int, told: str, found: str, schema_names: list[str]):
+def _apply(batches, length: int, phrases: str, told: str, found: str, schema_names: list[str]):
     """The rows with their spans and the bytes that stay."""
     whole, partly = Answers(told, ["names", "told"]), Answers(found, ["names", "bits"])
+    warm, settled = Answers(phrases, ["names", "hot"]), Answers(found, ["windows"])
     for block, part, runs in _by_block(batches, length):
         texts = part.column(part.num_columns - 1)
         data, text_at = joined(texts)
@@ -427,6 +540,10 @@ def _apply(batches, length: int, told: str, found: str, schema_names: list[str])
             begin = anchor[(own >> np.uint64(k)) & np.uint64(1) > 0] - k
             np.add.at(cover, begin, 1)
             np.add.at(cover, begin + length, -1)
+        begin, names = runs.windows(_repeated_runs(runs, warm.of(block))[1])
+        begin = begin[_member(settled.of(block)[0], names) >= 0]
+        np.add.at(cover, begin, 1)
+        np.add.at(cover, begin + length, -1)
         gone = np.cumsum(cover[:-1]) > 0  # no byte that ends a text is covered
         edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
         start, end = edge[::2], edge[1::2]
@@ -463,13 +580,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
     def by_bucket(made: DataFrame, fn, schema: str) -> DataFrame:
         return made.repartition(n, "bucket").groupBy("bucket").applyInArrow(fn, schema)
 
-    made = texts.mapInArrow(lambda batches: _phrases(batches, length, n), "bucket int, block long, names binary, more binary")
-    phrases = _write_answers(by_bucket(made, _repeated_phrases, "block long, names binary"), spark, "repeats-phrases")
-    made = texts.mapInArrow(lambda batches: _parse(batches, length, n, phrases),
-                            "bucket int, block long, names binary, keys binary, more binary")
-    told = _write_answers(by_bucket(made, _equal_runs, "block long, names binary, told binary"), spark, "repeats-told")
-    made = texts.mapInArrow(lambda batches: _bytes_of_runs(batches, length, n, told),
-                            "bucket int, block long, names binary, lead binary, windows binary, more binary, texts binary")
-    found = _write_answers(by_bucket(made, lambda table: _resolve(table, length), "block long, names binary, bits binary"), spark, "repeats-runs")
+    def columns(names: list[str]) -> str:
+        return ", ".join(f"{c} {dict(bucket='int', block='long').get(c, 'binary')}" for c in names)
+
+    sample = SAMPLE_BITS, SAMPLED
+    made = texts.mapInArrow(lambda batches: _phrases(batches, length, n, sample), columns(_PHRASES))
+    phrases = _write_answers(by_bucket(made, lambda table: _repeated_phrases(table, sample[1]), columns(["block", "names", "hot"])), spark, "repeats-phrases")
+    made = texts.mapInArrow(lambda batches: _parse(batches, length, n, phrases), columns(_PARSE))
+    told = _write_answers(by_bucket(made, _equal_runs, columns(["block", "names", "told", "windows"])), spark, "repeats-told")
+    made = texts.mapInArrow(lambda batches: _bytes_of_runs(batches, length, n, phrases, told), columns(_BYTES))
+    found = _write_answers(by_bucket(made, lambda table: _resolve(table, length), columns(["block", "names", "bits", "windows"])), spark, "repeats-runs")
     schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in keep] + fields)
-    return rows.mapInArrow(lambda batches: _apply(batches, length, told, found, schema.names), schema)
+    return rows.mapInArrow(lambda batches: _apply(batches, length, phrases, told, found, schema.names), schema)
