@@ -113,6 +113,37 @@ def brute_base(text):
     return sorted(out, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
 
 
+def test_structural_secrets_in_context():
+    key = rsa_key()
+    ssh = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + (1).to_bytes(4, "big") \
+        + b"".join(len(x).to_bytes(4, "big") + x for x in (b"p" * 51, b"q" * 136))
+    head, body, plain = b64(b'{"alg":"HS256","typ":"JWT"}', True), b64(b'{"sub":"1"}', True), b64(b'{"alg":"none"}', True)
+    token = f"{head}.{body}.{b64(b's' * 32, True)}"
+    for text, part in ((f"use {token}. Then", token), (f"use {token}.", token), (f"use {token}...", token), (f"it ends.{token} u", token),
+                       (f"sentences.{token}.", token), (f"sentences.{plain}.{body}.", f"{plain}.{body}.")):
+        assert [text[a:b] for k, a, b in secrets.structural_spans(text) if k == "jwt"] == [part], text
+    for text in (f"{token}.more", f"{token}.-", f"sentences.{head}.{body}.", f"x{token}"):
+        assert not [s for s in secrets.structural_spans(text) if s[0] == "jwt"], text
+
+    def block(headers, data, width=64, end="\n"):
+        run = b64(data)
+        lines = ["-----BEGIN RSA PRIVATE KEY-----", *headers, *[run[i:i + width] for i in range(0, len(run), width)], "-----END RSA PRIVATE KEY-----"]
+        return end.join(lines)
+
+    sealed = bytes(i * 37 % 251 for i in range(608))
+    proc, aes, des = "Proc-Type: 4,ENCRYPTED", f"DEK-Info: AES-128-CBC,{'0A' * 16}", f"DEK-Info: DES-EDE3-CBC,{'0A' * 8}"
+    for text in (block([proc, aes, ""], sealed), block([proc, des, ""], sealed), block([proc, aes, ""], sealed, end="\r\n"), block([proc, aes, ""], sealed, end="\\n"),
+                 block([proc, aes], sealed, end=" "), block([proc, aes, ""], sealed, end="\n    "), block([proc, f"DEK-Info: AES-128-CFB,{'0A' * 16}", ""], sealed[:-3]),
+                 block(["Comment: a long", "  comment - it goes on", ""], key), block(["Comment: one \\", "two"], ssh), block([], key)):
+        assert secrets.structural_spans(f"é {text} y") == [("pem", 2, 2 + len(text))], text[:90]
+        assert secrets.masked(f"é {text} y", secrets.spans_of(f"é {text} y")) == f"é {secrets.MASK} y"
+    for text in (block([proc, aes, ""], sealed[:-3]), block([aes, ""], sealed), block([proc, ""], sealed), block([proc, aes, ""], b"ab"), block(["DEK-Info: x", ""], sealed)):
+        assert not secrets.structural_spans(text), text[:90]
+    for run in (ssh.hex(), ssh.hex().upper()):
+        assert secrets.structural_spans(f"x {run} y") == [("openssh", 2, 2 + len(run))]
+        assert not secrets.structural_spans(f"x {run}00 y")
+
+
 def test_secret_spans(spark):
     rng = random.Random(2)
     parts = ["token", "PassWord", "ſecret", "api_key", "apikey", "toKen", "=", ":", " ", '"', "'", "abc123", "AKIA", "ABCDEFGHIJ0123456", "0a" * 13, "é", "\n", "."]

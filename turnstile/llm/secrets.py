@@ -7,10 +7,12 @@ after they have been taken apart:
              that begins as private keys do: version 0 or 1, then an integer of 32 bytes or more
              (RSA, DSA), an algorithm sequence with an object identifier and an octet string
              (PKCS#8) or an octet string of 20 to 66 bytes (EC); PKCS#8's encrypted form likewise
-``openssh``  base64 of ``openssh-key-v1`` with the length-prefixed cipher, key derivation and keys
-``pem``      a ``BEGIN ... PRIVATE KEY`` block whose body is one of the two
+``openssh``  base64 or hex of ``openssh-key-v1`` with the length-prefixed cipher, key derivation and keys
+``pem``      a ``BEGIN ... PRIVATE KEY`` block whose body, after any header lines, is one of the two, or
+             that names a cipher (``DEK-Info``) with an initial vector and has a body that fits it
 ``jwt``      three base64url parts, of which the first is a JSON object with a string ``alg`` and
-             the second a JSON object; the third may be empty only if ``alg`` is ``none``
+             the second a JSON object; the third may be empty only if ``alg`` is ``none``; a full stop
+             may stand before or after, no fourth part
 
 A candidate is a maximal run; it is decoded whole, whatever its length.  Spans are code points,
 end exclusive.  Null text: empty, no spans.
@@ -44,8 +46,10 @@ ASSIGN_MARK = re.compile(r"[:=]")
 #: 40 digits: the shortest DER private key is longer.
 RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 LONG_HEX = re.compile(r"[0-9a-f]{60,}|[0-9A-F]{60,}")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}PRIVATE KEY)-----([^-]*)-----END \1-----")
-JWT = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
+PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}PRIVATE KEY)-----((?:[^-]++|-(?!----))*+)-----END \1-----")
+PEM_HEADER = re.compile(r"\s*([A-Za-z][A-Za-z0-9-]*):(.*)")
+DEK_INFO = re.compile(r"([A-Za-z0-9-]+),\s*((?:[0-9A-Fa-f]{16}){1,2})")
+JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,}+)\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+)(?!\.[A-Za-z0-9_-])")
 
 SPANS = [T.StructField("spans", T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]), False))]
@@ -129,6 +133,43 @@ def is_openssh_key(data: bytes) -> bool:
     return at == len(data)
 
 
+def pem_parts(body: str) -> tuple[dict[str, str], str]:
+    """Header lines by name (lower case) and the base64 after them, without white space.
+
+    A line that is indented more than its header, or that follows a backslash, continues it."""
+    body = body.replace("\\n", "\n")
+    if "DEK-Info:" in body:  # lines may have been joined
+        body = re.sub(r"\s+(?=DEK-Info:)", "\n", body)
+        body = re.sub(r"(DEK-Info:\s*[A-Za-z0-9-]+,\s*[0-9A-Fa-f]+)[^\S\n]+", r"\1\n", body)
+    lines = body.strip("\r\n").splitlines()
+    headers: dict[str, str] = {}
+    name, indent, at = "", 0, 0
+    for at, line in enumerate([*lines, ""]):  # noqa: B007
+        depth = len(line) - len(line.lstrip())
+        if m := PEM_HEADER.match(line):
+            name, indent = m[1].lower(), depth
+            headers[name] = m[2].strip()
+        elif name and line.strip() and (depth > indent or headers[name].endswith("\\")):
+            headers[name] = headers[name].removesuffix("\\") + line.strip()
+        elif line.strip() or headers:
+            break
+    return headers, "".join("".join(lines[at:]).split())
+
+
+def is_pem_key(body: str) -> bool:
+    headers, run = pem_parts(body)
+    data = _decode64(run)
+    if not data:
+        return False
+    if is_private_key(data) or is_openssh_key(data):
+        return True
+    cipher = DEK_INFO.fullmatch(headers.get("dek-info", ""))
+    if not cipher or "ENCRYPTED" not in headers.get("proc-type", "").upper():
+        return False
+    stream = cipher[1].upper().endswith(("CFB", "CFB1", "CFB8", "OFB", "CTR"))
+    return len(data) >= 32 and (stream or len(data) % (len(cipher[2]) // 2) == 0)
+
+
 def is_token_header(head: str, body: str, sign: str) -> bool:
     try:
         header, claims = (json.loads(_decode64(x) or b"") for x in (head, body))
@@ -157,15 +198,23 @@ def structural_spans(text: str) -> list[tuple[str, int, int]]:
         elif data and is_openssh_key(data):
             out.append(("openssh", *m.span()))
     for m in LONG_HEX.finditer(text):
-        if m[0][:2] == "30" and len(m[0]) % 2 == 0 and is_private_key(bytes.fromhex(m[0])):
+        if len(m[0]) % 2:
+            continue
+        if m[0][:2] == "30" and is_private_key(bytes.fromhex(m[0])):
             out.append(("der", *m.span()))
+        elif m[0][:4].lower() == "6f70" and is_openssh_key(bytes.fromhex(m[0])):
+            out.append(("openssh", *m.span()))
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            data = _decode64(re.sub(r"\s+", "", m[2].replace("\\n", "\n")))
-            if data and (is_private_key(data) or is_openssh_key(data)):
+            if is_pem_key(m[2]):
                 out.append(("pem", *m.span()))
     if "eyJ" in text or "ey" in text and "." in text:
-        out += [("jwt", *m.span()) for m in JWT.finditer(text) if is_token_header(*m.groups())]
+        at = 0
+        while m := JWT.search(text, at):
+            found = is_token_header(*m.groups())
+            at = m.end() if found else m.end(1)  # a token may begin with the second part
+            if found:
+                out.append(("jwt", *m.span()))
     return out
 
 
