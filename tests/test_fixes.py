@@ -180,3 +180,23 @@ def test_restarted_update_stream_has_one_row_a_window(spark):
     got = table.read()
     assert got.groupBy("device_id", "window_start").count().where("count > 1").count() == 0
     assert got.agg(F.sum("events")).first()[0] == spark.read.parquet(landing).count()
+
+
+# ---- one day's escalations
+
+def test_daily_escalations_window_by_device_and_hour(spark, capsys):
+    from turnstile.operators import patterns as pt
+
+    names = ["Low", "Medium", "High", "Critical", "odd", "low", "medium", "high", "critical", "LOW", "MEDIUM", "HIGH", "CRITICAL", None]
+    rows = [(d, dt.datetime(2024, 1, 1 + (i > 190), i % 191 // 8, i % 8 * 7), i, names[(i * i * 7 + i // 3 + (d or 0)) % len(names)]) for d in (1, 2, None) for i in range(200)]
+    df = spark.createDataFrame(rows, "device_id long, timestamp timestamp, event_id long, severity string").repartition(5)
+    ranked = df.select("device_id", "timestamp", "event_id", F.coalesce(pt.severity_rank("severity"), F.lit(0)).alias("rank")).collect()
+    want = 0
+    for d in (1, 2, None):
+        ranks = [r["rank"] for r in sorted((r for r in ranked if r.device_id == d and r.timestamp.day == 1), key=lambda r: (r.timestamp, r.event_id))]
+        want += sum(b > a for a, b in zip(ranks, ranks[1:]))
+    got = pt.daily_escalation_count(df, "2024-01-01")
+    assert want > 50 and got.first()[0] == want
+    got.explain()
+    plan = capsys.readouterr().out
+    assert "lead(rank" in plan and "_hour" in plan  # no window over all of a device's events

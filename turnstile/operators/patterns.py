@@ -178,10 +178,9 @@ def escalation_paths(errors: DataFrame) -> DataFrame:
 def daily_escalation_count(errors: DataFrame, day) -> DataFrame:
     """Escalations among one day's errors (time order; unknown severity ranks 0)."""
     d = errors.where(F.to_date("timestamp") == F.lit(day).cast("date"))
-    w = Window.partitionBy("device_id").orderBy("timestamp", "event_id")
     r = F.coalesce(severity_rank("severity"), F.lit(0))
-    x = d.select(r.alias("rank"), F.lead(r).over(w).alias("to_rank"))
-    return x.agg(F.count_if(F.col("to_rank") > F.col("rank")).alias("escalations"))
+    x = consecutive_pairs(d.select("device_id", "timestamp", "event_id", r.alias("rank")), ["rank"])
+    return x.agg(F.count_if(F.col("next_rank") > F.col("rank")).alias("escalations"))
 
 
 def daily_code_pairs(errors: DataFrame, day, top: int = 5) -> DataFrame:
