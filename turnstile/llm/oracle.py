@@ -37,4 +37,23 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM docs LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
     """,
+    "op11_url_filters": """
+        WITH parts AS (
+            SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+        pages_cut AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+        rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+            ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+        words(word, i) AS (VALUES ('adult-', 0), ('ads-', 1), ('casino', 2), ('-bets', 3), ('-pills', 4), ('spam-', 5)),
+        judged AS (
+            SELECT p.page_id, p.host, p.path,
+                (SELECT max_by({'rule': r.host || r.path, 'verdict': r.verdict}, length(r.host || r.path)) FROM rules r
+                 WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)) AS r,
+                (SELECT max_by('*' || word || '*', 100 * length(word) - i) FROM words WHERE contains(p.host, word)) AS host_glob
+            FROM pages_cut p)
+        SELECT page_id, host, path, r.rule AS rule, coalesce(r.verdict, CASE WHEN host_glob IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+            CASE WHEN r IS NULL THEN host_glob END AS host_glob
+        FROM judged
+    """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstile.llm import chat, decontaminate, html_text, packing, quality, repeats, secrets, simhash, token_files, unigram
+from turnstile.llm import chat, decontaminate, html_text, packing, quality, repeats, secrets, simhash, token_files, unigram, url_filters
 
 
 def tokenizer_file(name: str) -> str:
@@ -101,6 +101,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+#: The contract's rules, and words of hosts that no training page should come from.
+URL_RULES = [url_filters.host_rule(host, path, verdict) for host, path, verdict in (
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))]
+URL_WORDS = [url_filters.host_words(word, "block") for word in ("adult-", "ads-", "casino", "-bets", "-pills", "spam-")]
+
+
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's rules first; where none fits, blocked words in the host, else allowed."""
+    made = url_filters.judge_urls(read(spark, sf_dir, "pages"), [URL_RULES, URL_WORDS], keep=["page_id"])
+    return made.select("page_id", "host", "path", F.when(F.col("tier") == 0, F.col("rule")).alias("rule"), "verdict",
+                       F.when(F.col("tier") == 1, F.col("rule")).alias("host_glob"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_formatting, op2_decontamination, op3_secret_scan, op4_token_counts, op5_html_extraction,
-                            op6_token_files, op7_quality_rules, op8_simhash_neardup, op9_repeated_passages, op10_packing)}
+                            op6_token_files, op7_quality_rules, op8_simhash_neardup, op9_repeated_passages, op10_packing, op11_url_filters)}
