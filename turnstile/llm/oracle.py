@@ -56,4 +56,30 @@ ORACLES: dict[str, str] = {
             CASE WHEN r IS NULL THEN host_glob END AS host_glob
         FROM judged
     """,
+    "op12_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format(t="text")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        lists AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lists GROUP BY lang),
+        grams AS (
+            SELECT lang, m, w[i:i + m - 1] AS w, count(*) AS f
+            FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM lists, range(1, 5) AS s(m) WHERE len(w) >= m)
+            GROUP BY ALL HAVING count(*) >= 30),
+        cuts AS (
+            SELECT lang, m, w, f AS a, k, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1:m], ' ') AS q
+            FROM grams, range(1, 4) AS s(k) WHERE m >= 2 AND k < m),
+        parts AS (SELECT lang, array_to_string(w, ' ') AS part, f FROM grams),
+        scored AS (
+            SELECT c.lang, array_to_string(w, ' ') AS phrase, a, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+            FROM cuts c JOIN parts x ON x.lang = c.lang AND x.part = c.p JOIN parts y ON y.lang = c.lang AND y.part = c.q),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inside AS (
+            SELECT lang, array_to_string(w[i:i + n - 1], ' ') AS phrase, max(f) AS longer
+            FROM grams, range(2, 4) AS s(n), range(1, 4) AS t(i) WHERE m >= 3 AND n < m AND i + n - 1 <= m GROUP BY ALL),
+        kept AS (
+            SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+            WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+    """,
 }

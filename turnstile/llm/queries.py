@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstile.llm import chat, decontaminate, html_text, packing, quality, repeats, secrets, simhash, token_files, unigram, url_filters
+from turnstile.llm import chat, collocations, decontaminate, html_text, packing, quality, repeats, secrets, simhash, token_files, unigram, url_filters
 
 
 def tokenizer_file(name: str) -> str:
@@ -114,6 +114,10 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.when(F.col("tier") == 1, F.col("rule")).alias("host_glob"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_formatting, op2_decontamination, op3_secret_scan, op4_token_counts, op5_html_extraction,
-                            op6_token_files, op7_quality_rules, op8_simhash_neardup, op9_repeated_passages, op10_packing, op11_url_filters)}
+                            op6_token_files, op7_quality_rules, op8_simhash_neardup, op9_repeated_passages, op10_packing, op11_url_filters, op12_collocations)}
