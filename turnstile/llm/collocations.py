@@ -4,11 +4,11 @@ Only the longest windows are counted: a word and the words that follow it in its
 the empty string where the piece ends.  Every shorter phrase is a prefix of the windows that begin at it, so one Spark
 ``ROLLUP`` over the counted windows sums all shorter lengths and each language's words, with no n-gram explosion per length.
 
-A candidate needs ``min_count`` occurrences, and so does every part of it.  A first pass counts neighbouring pairs by 32 bits of a hash;
-a pair whose bucket has fewer than ``min_count`` is surely rare, and a window ends (is padded) before such a pair.  That leaves
-every phrase with ``min_count`` occurrences its full count and spares the windows that can't matter.  What is
-sent to the tasks is a mask of ``2**MASK_BITS`` bits (4 MB) whatever the input; in a corpus so large that the mask fills up, more
-windows stay long, and results are the same.
+A candidate needs ``min_count`` occurrences, and so does every part of it.  First, places are counted by 32 bits of a hash of the next two words,
+then of the next three (up to ``MASKED``): words whose bucket has fewer than ``min_count`` places are surely rare, and a window ends (is padded)
+before them.  That leaves every phrase with ``min_count`` occurrences its full count and spares the windows that can't
+matter.  What is sent to the tasks is a mask of ``2**MASK_BITS`` bits (4 MB) a length, whatever the input; in a corpus so large that the
+masks fill up, more windows stay long, and results are the same.
 
 Windows of a slice of texts are counted in the task (numpy), merged per task and then by key over all tasks by Spark, so frequent
 words, pairs or passages reach the shuffle as few rows.  The counts of candidates' parts are looked up by joins; one-word parts, of which very many
@@ -33,9 +33,10 @@ from turnstile.operators.store import top_k_per_group
 from turnstile.session import materialize
 
 #: Bytes of text whose windows are counted at once in a task.
-COUNT_BYTES = 4 << 20
-#: Bits of the mask of pairs that may be frequent.
+COUNT_BYTES = 2 << 20
+#: Bits of a mask of words that may be frequent, and the longest phrases that get one.
 MASK_BITS = 25
+MASKED = 3
 #: Keys over which candidates that share a one-word part are spread.
 SALTS = 16
 
@@ -70,20 +71,32 @@ class _Slice:
         text = np.searchsorted(at, begin, side="right") - 1
         self.lang = coded.indices.to_numpy().astype(np.int64)[text]
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Places of words with a next one, which distinct pair each begins, the pairs' buckets, and how often each occurs."""
-        at = np.flatnonzero(self.linked)
-        n = len(self.words)
-        key, which, count = np.unique((self.lang[at] * n + self.ids[at]) * n + self.ids[at + 1], return_inverse=True, return_counts=True)
         data, ends = joined(self.words, "")
-        word = span_hashes(data, ends[:-1], ends[1:])
-        lang = np.array([zlib.crc32(x.encode()) for x in self.langs], np.uint64)
-        first, second = key // max(n, 1), key % max(n, 1)
-        h = word[first % max(n, 1)] * np.uint64(0x9E3779B97F4A7C15) + word[second] * np.uint64(0xC2B2AE3D27D4EB4F)
-        h += lang[first // max(n, 1)] * np.uint64(0x165667B19E3779F9)
+        self.hashes = span_hashes(data, ends[:-1], ends[1:])[self.ids]
+
+    def buckets(self, at: np.ndarray, m: int) -> np.ndarray:
+        """32 bits of a hash of the language and the ``m`` words from each place on."""
+        h = np.array([zlib.crc32(x.encode()) for x in self.langs], np.uint64)[self.lang[at]]
+        for k in range(m):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + self.hashes[at + k]
         h ^= h >> np.uint64(31)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-        return at, which, (h >> np.uint64(32)).astype(np.int64), count
+        return (h >> np.uint64(32)).astype(np.int64)
+
+    def may(self, masks: list[np.ndarray], size: int) -> list[np.ndarray]:
+        """For 2 .. ``size`` words, at each place: whether that many follow in the piece and no mask says that they, or words of theirs, are rare."""
+        out, may = [], self.linked
+        for m in range(2, size + 1):
+            if m > 2:
+                may = may & np.concatenate((may[1:], [False]))[:len(may)]
+            if m - 2 < len(masks):
+                at = np.flatnonzero(may)
+                mask = masks[m - 2]
+                bit = (self.buckets(at, m) & (64 * len(mask) - 1)).astype(np.uint64)
+                may = may.copy()
+                may[at] = (mask[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+            out.append(may)
+        return out
 
 
 def _slices(batches):
@@ -92,11 +105,12 @@ def _slices(batches):
             yield _Slice(part.column(1), part.column(0))
 
 
-def _pair_mask(texts: DataFrame, min_count: int) -> np.ndarray:
-    """One bit for each bucket of pairs, modulo 2**MASK_BITS: set if the bucket has ``min_count`` pairs."""
+def _mask(texts: DataFrame, sent, m: int, min_count: int) -> np.ndarray:
+    """One bit for each bucket of ``m`` words, modulo 2**MASK_BITS: set if ``min_count`` places or more fall into the bucket."""
     def count(batches):
         for part in _slices(batches):
-            _, _, bucket, n = part.pairs()
+            may = part.may(sent.value if sent else [], m)[-1]
+            bucket, n = np.unique(part.buckets(np.flatnonzero(may), m), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n, pa.int64())], names=["bucket", "n"])
 
     often = texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
@@ -110,28 +124,22 @@ def _pair_mask(texts: DataFrame, min_count: int) -> np.ndarray:
 
 def lead_windows(texts: DataFrame, size: int, min_count: int) -> DataFrame:
     """lang, w1 .. w<size> (padded with the empty string) and n: windows of ``texts`` (lang, text), counted a slice at a time."""
-    sent = texts.sparkSession.sparkContext.broadcast(_pair_mask(texts, min_count))
+    sc = texts.sparkSession.sparkContext
+    sent, masks = None, []
+    for m in range(2, min(size, MASKED) + 1):
+        masks.append(_mask(texts, sent, m, min_count))
+        sent = sc.broadcast(list(masks))
     schema = T.StructType([T.StructField("lang", T.StringType()), *[T.StructField(f"w{k + 1}", T.StringType()) for k in range(size)],
                            T.StructField("n", T.LongType())])
 
     def count(batches):
-        mask = sent.value
         for part in _slices(batches):
-            at, which, bucket, _ = part.pairs()
-            bit = (bucket & ((1 << MASK_BITS) - 1)).astype(np.uint64)
-            on = np.zeros(len(part.ids), bool)  # the next word follows, in a pair that may be frequent
-            on[at] = ((mask[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0)[which]
             pad = len(part.words)
-            columns, reach, ids = [part.ids], np.ones(len(on), bool), np.concatenate((part.ids, np.full(size, pad)))
-            on = np.concatenate((on, np.zeros(size, bool)))
-            for k in range(1, size):
-                reach = reach & on[k - 1:k - 1 + len(reach)]
-                columns.append(np.where(reach, ids[k:k + len(reach)], pad))
-            key = part.lang
-            for column in columns:
-                key = key * (pad + 1) + column
-                if column is not columns[-1]:
-                    _, key = np.unique(key, return_inverse=True)
+            ids = np.concatenate((part.ids, np.full(size, pad)))
+            columns = [part.ids] + [np.where(may, ids[k:k + len(may)], pad) for k, may in enumerate(part.may(sent.value, size), 1)]
+            key = part.lang * pad + columns[0]
+            for column in columns[1:]:
+                _, key = np.unique(key * (pad + 1) + column, return_inverse=True)
             _, first, n = np.unique(key, return_index=True, return_counts=True)
             words = pa.concat_arrays([part.words, pa.array([""], pa.large_string())]).cast(pa.string())
             made = [pa.array(part.langs, pa.string()).take(pa.array(part.lang[first]))]
