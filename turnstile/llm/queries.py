@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstile.llm import chat, collocations, decontaminate, html_text, packing, quality, repeats, secrets, simhash, token_files, unigram, url_filters
+from turnstile.llm import chat, collocations, decontaminate, html_text, packing, periodic, quality, repeats, secrets, simhash, token_files, unigram, url_filters
 
 
 def tokenizer_file(name: str) -> str:
@@ -118,6 +118,28 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth document by its id's hash ends in a repeated stretch of its own words, of a length that follows from the hash."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.withColumn("g", F.expr("crc32(cast(cast(doc_id as string) as binary)) div 10")).withColumn(
+        "words", F.when(h % 10 == 0, F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")))
+    size = F.size("words")
+    docs = docs.withColumn("a", F.when(size > 0, F.pmod("g", F.greatest(size, F.lit(1)))).cast("int"))
+    p = F.expr("cast(1 + (size(words) - a) div (3 + g % 8) as int)")
+    docs = docs.withColumn("p", p).withColumn("rest", size - F.col("a"))
+    cycle = F.flatten(F.array_repeat(F.expr("slice(words, a + 1, p)"), F.ceil(F.col("rest") / F.col("p")).cast("int")))
+    text = F.when(F.col("a").isNull(), F.col("text")).otherwise(
+        F.array_join(F.concat(F.expr("slice(words, 1, a)"), F.slice(cycle, F.lit(1), F.col("rest"))), " "))
+    made = periodic.periodic_runs(docs.select("doc_id", text.alias("text")), keep=["doc_id"])
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return made.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"), F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_formatting, op2_decontamination, op3_secret_scan, op4_token_counts, op5_html_extraction,
-                            op6_token_files, op7_quality_rules, op8_simhash_neardup, op9_repeated_passages, op10_packing, op11_url_filters, op12_collocations)}
+                            op6_token_files, op7_quality_rules, op8_simhash_neardup, op9_repeated_passages, op10_packing, op11_url_filters, op12_collocations, op13_periodic_runs)}
