@@ -82,4 +82,33 @@ ORACLES: dict[str, str] = {
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
         FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
     """,
+    "op13_periodic_runs": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+                xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+                    lambda h, b: list_reduce(list_prepend(xor(h, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) AS h
+            FROM documents),
+        sized AS (SELECT r, doc_id, w, len(w) AS n, h % 10 = 0 AS hit, (h // 10) % greatest(len(w), 1) AS a, h // 10 AS g FROM docs),
+        cycled AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM sized),
+        planted AS (
+            SELECT r, doc_id, n, CASE WHEN hit THEN list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE w END AS w
+            FROM cycled),
+        words AS (SELECT r, n, unnest(range(n)) AS i, unnest(w) AS word FROM planted),
+        same AS (SELECT x.r, y.i - x.i AS q, x.i FROM words x JOIN words y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+        stretches AS (
+            SELECT r, q, min(i) AS s, count(*) + q AS len
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM same)
+            GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+        runs AS (SELECT r, s, len, min(q) AS q FROM stretches GROUP BY r, s, len),
+        listed AS (
+            SELECT r, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+                arg_min({'s': s, 'len': len, 'q': q}, (-len, s, q)) AS best
+            FROM runs GROUP BY r),
+        gone AS (SELECT DISTINCT r, unnest(range(s + q, s + len)) AS i FROM runs),
+        kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+        SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.len::BIGINT AS length, best.q::BIGINT AS period,
+            (1000 * best.len // best.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+            sha256(coalesce(t, '')) AS collapsed_sha256, n::BIGINT AS n_words
+        FROM planted LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+    """,
 }
