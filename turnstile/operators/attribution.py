@@ -1,127 +1,221 @@
-"""Tree-path feature attribution for Spark tree ensembles.
-
-For every row, each tree is walked from the root to its leaf; the change in
-node value at each split is credited to the split feature (path / "Saabas"
-attribution).  Contributions plus the base value reproduce the model output
-exactly: class-1 probability for random forests, log-odds margin for boosted
-trees.  Tree structure is read from the model's own saved node table (a
-bounded table: trees x nodes).  A row's contributions in a tree depend on its leaf alone,
-so each (tree, leaf) gets one vector; the model writes the row's leaf ids, and rows are
-scored in ``mapInArrow`` by looking the vectors up -- every row, no sampling.
+"""Shapley values of tree ensembles.
+
+For every row and feature: the feature's Shapley value in the game where a set of known features is worth the expected model output, a tree
+being followed to both children, by their shares of training rows, where the split's feature isn't known.  The values and the expected output add up to
+the model's output exactly: class-1 probability for forests, log-odds margin for boosted trees.
+
+A leaf's share of a value depends only on which of the d distinct features on its path the row satisfies (their splits joined to one interval or set each).
+For such a pattern o and the shares z of training rows that satisfy each feature's splits, with value v at the leaf:
+
+    phi_j = v (o_j - z_j) sum_s  s! (d - 1 - s)! / d!  [y^s] prod_{k != j} (z_k + o_k y)
+
+So a leaf needs one small table over its patterns: over all 2^d for up to ``TABLE_FEATURES`` features, made once a task, over
+those that a batch of rows has on longer paths.  Rows are scored in ``mapInArrow``, all of them, no sampling; trees are sent
+to the tasks (bounded by the model: trees x nodes).
 """
 
 from __future__ import annotations
 
+import math
 import uuid
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnstile.operators.boosting import Booster
+from turnstile.operators.failure import BoostedModel
 from turnstile.session import scratch_path
 
+TABLE_FEATURES = 6
+
+
+class Nodes(NamedTuple):
+    """A tree, root first: ``feat`` is -1 at leaves; left where the value is <= ``thr``, or in the set ``cats`` if there is one.
+
+    ``value``: what a leaf adds to the output; ``cover``: training rows (or their weight) at each node."""
+
+    feat: np.ndarray
+    thr: np.ndarray
+    cats: list
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    cover: np.ndarray
+
 
-def export_forest(spark, ensemble) -> dict:
-    """Node arrays per tree from the ensemble's saved form, plus tree weights and kind."""
+class Leaf(NamedTuple):
+    """A path: its distinct features, what each must satisfy, the share of training rows that do, and the leaf's value."""
+
+    feats: np.ndarray
+    tests: list
+    z: np.ndarray
+    value: float
+
+
+def forest_of_spark(spark, ensemble) -> tuple[list[Nodes], float]:
+    """Trees of a Spark forest of two classes, from its saved form."""
     path = scratch_path(spark, f"models/{uuid.uuid4().hex}")
     ensemble.write().overwrite().save(path)
-    kind = "gbt" if "GBT" in type(ensemble).__name__ else "rf"
     rows = spark.read.parquet(f"{path}/data").select(
-        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats", "nodeData.leftChild",
-        "nodeData.rightChild", "nodeData.split.featureIndex", "nodeData.split.leftCategoriesOrThreshold",
-        "nodeData.split.numCategories").collect()  # trees x nodes: bounded by the model size
-    weights = {r[0]: r[2] for r in spark.read.parquet(f"{path}/treesMetadata").collect()}
+        "treeID", "nodeData.id", "nodeData.impurityStats", "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
+        "nodeData.split.leftCategoriesOrThreshold", "nodeData.split.numCategories").collect()  # trees x nodes: bounded by the model size
     by_tree: dict[int, list] = {}
     for r in rows:
         by_tree.setdefault(r["treeID"], []).append(r)
-    trees = []
-    for tid in sorted(by_tree):
-        nodes = sorted(by_tree[tid], key=lambda r: r["id"])
-        n = len(nodes)
-        feat = np.full(n, -1, dtype=np.int64)
-        thr = np.zeros(n)
-        cats = [None] * n
-        left = np.full(n, -1, dtype=np.int64)
-        right = np.full(n, -1, dtype=np.int64)
-        value = np.zeros(n)
-        pos = {r["id"]: i for i, r in enumerate(nodes)}
-        for i, r in enumerate(nodes):
-            if kind == "rf":
-                st = r["impurityStats"] or [0.0]
-                tot = sum(st)
-                value[i] = (st[1] / tot) if tot and len(st) > 1 else 0.0
-            else:
-                value[i] = r["prediction"]
-            if r["leftChild"] >= 0:
-                feat[i] = r["featureIndex"]
-                left[i], right[i] = pos[r["leftChild"]], pos[r["rightChild"]]
-                if r["numCategories"] == -1:
-                    thr[i] = r["leftCategoriesOrThreshold"][0]
-                else:
-                    cats[i] = np.array(r["leftCategoriesOrThreshold"])
-        trees.append({"feat": feat, "thr": thr, "cats": cats, "left": left, "right": right, "value": value,
-                      "weight": float(weights.get(tid, 1.0))})
-    return {"trees": trees, "kind": kind}
-
-
-def leaf_vectors(t: dict, p: int) -> tuple[np.ndarray, np.ndarray]:
-    """(contributions, values) of a tree's leaves, left to right (the model's order of leaf ids)."""
-    contrib, values = [], []
-    todo = [(0, np.zeros(p))]
+    out = []
+    for some in by_tree.values():
+        some.sort(key=lambda r: r["id"])
+        place = {r["id"]: i for i, r in enumerate(some)}
+        inner = [r["leftChild"] >= 0 for r in some]
+        cover = np.array([sum(r["impurityStats"]) for r in some])
+        positive = np.array([r["impurityStats"][1] if len(r["impurityStats"]) > 1 else 0.0 for r in some])
+        out.append(Nodes(
+            np.array([r["featureIndex"] if i else -1 for r, i in zip(some, inner)]),
+            np.array([r["leftCategoriesOrThreshold"][0] if i and r["numCategories"] == -1 else 0.0 for r, i in zip(some, inner)]),
+            [frozenset(r["leftCategoriesOrThreshold"]) if i and r["numCategories"] != -1 else None for r, i in zip(some, inner)],
+            np.array([place.get(r["leftChild"], -1) for r in some]), np.array([place.get(r["rightChild"], -1) for r in some]),
+            positive / np.maximum(cover, 1e-300) / len(by_tree), cover))
+    return out, 0.0
+
+
+def forest_of_booster(model: Booster) -> tuple[list[Nodes], float]:
+    return [Nodes(t.feat, t.thr, [None] * len(t.feat), t.left, t.right, t.value, c) for t, c in zip(model.trees, model.covers)], model.base
+
+
+def leaves(t: Nodes) -> list[Leaf]:
+    """All paths that training rows reach."""
+    out = []
+    todo = [(0, {}, {})]
     while todo:
-        i, c = todo.pop()
-        if t["left"][i] < 0:
-            contrib.append(c)
-            values.append(t["value"][i])
+        i, tests, z = todo.pop()
+        if t.feat[i] < 0:
+            feats = sorted(tests)
+            out.append(Leaf(np.array(feats, np.int64), [tests[f] for f in feats], np.array([z[f] for f in feats]), float(t.value[i])))
             continue
-        for child in (t["right"][i], t["left"][i]):  # the left one is taken first
-            down = c.copy()
-            down[t["feat"][i]] += t["value"][child] - t["value"][i]
-            todo.append((child, down))
-    return np.array(contrib), np.array(values)
-
-
-def attributions(pipeline_model, df: DataFrame, key_cols: list[str], inputs: list[str]) -> DataFrame:
-    """Rows: keys, ``base``, ``output`` (model value), ``attr`` array in ``inputs`` order."""
+        f = int(t.feat[i])
+        for child, on_left in ((t.left[i], True), (t.right[i], False)):
+            low, high, inside, outside = tests.get(f, (None, None, (), ()))
+            if t.cats[i] is not None:
+                inside, outside = (inside + (t.cats[i],), outside) if on_left else (inside, outside + (t.cats[i],))
+            elif on_left:
+                high = float(t.thr[i]) if high is None else min(high, float(t.thr[i]))
+            else:
+                low = float(t.thr[i]) if low is None else max(low, float(t.thr[i]))
+            if t.cover[child] > 0:
+                todo.append((int(child), tests | {f: (low, high, inside, outside)}, z | {f: z.get(f, 1.0) * t.cover[child] / t.cover[i]}))
+    return out
+
+
+def satisfied(test: tuple, x: np.ndarray) -> np.ndarray:
+    low, high, inside, outside = test
+    on = np.ones(len(x), bool)
+    if high is not None:
+        on &= x <= high
+    if low is not None:
+        on &= ~(x <= low)
+    for some in inside:
+        on &= np.isin(x, list(some))
+    for some in outside:
+        on &= ~np.isin(x, list(some))
+    return on
+
+
+def expected(t: Nodes) -> float:
+    """The mean of the leaves' values over training rows."""
+    leaf = t.feat < 0
+    return float((t.value[leaf] * t.cover[leaf]).sum() / t.cover[0])
+
+
+def shapley_weights(o: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """phi / v of each feature for rows of patterns ``o`` (0 or 1) and shares ``z``, both of shape (rows, features)."""
+    m, d = o.shape
+    c = np.zeros((d + 1, m))
+    c[0] = 1
+    for k in range(d):  # times (z_k + o_k y)
+        c[1:] = c[1:] * z[:, k] + c[:-1] * o[:, k]
+        c[0] *= z[:, k]
+    share = [math.factorial(s) * math.factorial(d - 1 - s) / math.factorial(d) for s in range(d)]
+    out = np.empty((m, d))
+    for j in range(d):  # divided by (z_j + o_j y): from the top if o_j is 1, by z_j if not
+        on = o[:, j] > 0
+        top, rest, total = np.zeros(m), 1 / np.where(on, 1, z[:, j]), np.zeros(m)
+        for s in range(d - 1, -1, -1):
+            top = c[s + 1] - z[:, j] * top
+            total += share[s] * np.where(on, top, c[s] * rest)
+        out[:, j] = total * (o[:, j] - z[:, j])
+    return out
+
+
+class Explainer:
+    """Shapley values of batches of rows; keeps the tables of short paths."""
+
+    def __init__(self, forest: list[Nodes], base: float):
+        self.trees = [leaves(t) for t in forest]
+        self.base = base + sum(expected(t) for t in forest)
+        self.start = base
+        self._tables: dict[tuple[int, int], np.ndarray] = {}
+
+    def explain(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(values by feature and row, output by row) of ``x``, features first."""
+        out, output = np.zeros(x.shape), np.full(x.shape[1], self.start)
+        for number, tree in enumerate(self.trees):
+            asked: dict[int, list] = {}
+            for at, leaf in enumerate(tree):
+                d = len(leaf.feats)
+                code = np.zeros(x.shape[1], np.int64)
+                for k, (f, test) in enumerate(zip(leaf.feats.tolist(), leaf.tests)):
+                    code |= satisfied(test, x[f]).astype(np.int64) << k
+                output += np.where(code == (1 << d) - 1, leaf.value, 0.0)
+                if 0 < d <= TABLE_FEATURES:
+                    if (number, at) not in self._tables:
+                        o = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1
+                        self._tables[number, at] = (leaf.value * shapley_weights(o, np.broadcast_to(leaf.z, o.shape))).T.copy()
+                    out[leaf.feats] += self._tables[number, at][:, code]
+                elif d:
+                    asked.setdefault(d, []).append((leaf, *np.unique(code, return_inverse=True)))
+            for d, some in asked.items():  # paths of one length together
+                o = (np.concatenate([codes for _, codes, _ in some])[:, None] >> np.arange(d)) & 1
+                z = np.concatenate([np.broadcast_to(leaf.z, (len(codes), d)) for leaf, codes, _ in some])
+                made = np.split(shapley_weights(o, z).T, np.cumsum([len(codes) for _, codes, _ in some])[:-1], axis=1)
+                for (leaf, _, row), phi in zip(some, made):
+                    out[leaf.feats] += leaf.value * phi[:, row]
+        return out, output
+
+
+def attributions(model, df: DataFrame, key_cols: list[str], inputs: list[str]) -> DataFrame:
+    """Rows: keys, ``base`` (the expected output), ``output`` (the model's value), ``attr`` array in ``inputs`` order."""
     spark = df.sparkSession
-    prep = df
-    for stage in pipeline_model.stages[:-1]:
-        prep = stage.transform(prep)
-    forest = export_forest(spark, pipeline_model.stages[-1])
-    trees, kind = forest["trees"], forest["kind"]
-    p = len(inputs)
-    base = (sum(t["value"][0] for t in trees) / len(trees)) if kind == "rf" else sum(
-        t["weight"] * t["value"][0] for t in trees)
-    model = pipeline_model.stages[-1].copy()
-    model.setLeafCol("_leaf")
-    x = model.transform(prep).select(*key_cols, vector_to_array("_leaf").alias("_leaf"))
-    schema = T.StructType([x.schema[c] for c in key_cols] + [
-        T.StructField("base", T.DoubleType()), T.StructField("output", T.DoubleType()),
-        T.StructField("attr", T.ArrayType(T.DoubleType()))])
-    weights = [(1.0 / len(trees)) if kind == "rf" else t["weight"] for t in trees]
-    vectors = [tuple(w * v for v in leaf_vectors(t, p)) for t, w in zip(trees, weights)]
-    sent = spark.sparkContext.broadcast(vectors)  # trees x leaves x inputs: bounded by the model
+    if isinstance(model, BoostedModel):
+        prep, (forest, start) = model.encode(df), forest_of_booster(model.booster)
+    else:
+        prep = df
+        for stage in model.stages[:-2]:  # the assembler only puts the inputs in order
+            prep = stage.transform(prep)
+        forest, start = forest_of_spark(spark, model.stages[-1])
+    sent = spark.sparkContext.broadcast((forest, start))  # trees x nodes: bounded by the model
+    rows = prep.select(*key_cols, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(inputs)])
+    schema = T.StructType([rows.schema[c] for c in key_cols] + [
+        T.StructField("base", T.DoubleType()), T.StructField("output", T.DoubleType()), T.StructField("attr", T.ArrayType(T.DoubleType()))])
+    n_keys, p = len(key_cols), len(inputs)
 
     def run(batches):
+        explainer = Explainer(*sent.value)
         for batch in batches:
             n = batch.num_rows
-            leaf = batch.column(len(key_cols)).flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.int64)
-            tot, out = np.zeros((n, p)), np.zeros(n)
-            for k, (c, v) in enumerate(sent.value):
-                tot += c[leaf[:, k]]
-                out += v[leaf[:, k]]
-            attr = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * p, pa.int32()), pa.array(tot.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(key_cols))]
-                                             + [pa.array(np.full(n, base)), pa.array(out), attr], names=schema.names)
+            x = np.stack([batch.column(n_keys + i).to_numpy(zero_copy_only=False).astype(np.float64) for i in range(p)])
+            values, output = explainer.explain(x)
+            attr = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * p, pa.int32()), pa.array(values.T.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n_keys], pa.array(np.full(n, explainer.base)), pa.array(output), attr], names=schema.names)
 
-    return x.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def global_importance(attr: DataFrame, inputs: list[str]) -> DataFrame:
-    """Mean |attribution| per feature over all rows (one aggregation)."""
+    """Mean |Shapley value| per feature over all rows (one aggregation)."""
     one = attr.agg(*[F.avg(F.abs(F.col("attr")[i])).alias(f"f{i}") for i in range(len(inputs))])
     rows = [F.struct(F.lit(n).alias("feature"), F.col(f"f{i}").alias("mean_abs_attribution"))
             for i, n in enumerate(inputs)]
@@ -129,7 +223,7 @@ def global_importance(attr: DataFrame, inputs: list[str]) -> DataFrame:
 
 
 def local_explanation(attr: DataFrame, inputs: list[str], top: int = 5) -> DataFrame:
-    """The row with the highest model output, its top features by |attribution|."""
+    """The row with the highest model output, its top features by |Shapley value|."""
     worst = attr.agg(F.max_by(F.struct(*attr.columns), F.col("output")).alias("w")).select("w.*")
     rows = [F.struct(F.lit(n).alias("feature"), F.col("attr")[i].alias("attribution")) for i, n in enumerate(inputs)]
     long = worst.select(*[c for c in worst.columns if c not in ("attr",)], F.explode(F.array(*rows)).alias("r")) \
@@ -138,15 +232,15 @@ def local_explanation(attr: DataFrame, inputs: list[str], top: int = 5) -> DataF
 
 
 def dependence(attr: DataFrame, df: DataFrame, key_cols: list[str], feature: str, inputs: list[str]) -> DataFrame:
-    """Feature value vs its attribution for every row."""
-    i = inputs.index(feature) if feature in inputs else inputs.index(f"{feature}__idx")
-    base_col = feature if feature in df.columns else feature.replace("__idx", "")
-    return attr.select(*key_cols, F.col("attr")[i].alias("attribution")).join(
-        df.select(*key_cols, F.col(base_col).alias("value")), key_cols)
+    """Feature value vs its Shapley value for every row; encoded inputs (``<column>__idx``, ``<column>__mean``) show the column's value."""
+    column = feature if feature in df.columns else feature.rsplit("__", 1)[0]
+    at = next(i for i, name in enumerate(inputs) if name == feature or name.rsplit("__", 1)[0] == feature)
+    return attr.select(*key_cols, F.col("attr")[at].alias("attribution")).join(
+        df.select(*key_cols, F.col(column).cast("string").alias("value") if column != feature else F.col(column).alias("value")), key_cols)
 
 
 def attribution_drift(attr: DataFrame, inputs: list[str], date_col: str = "date") -> DataFrame:
-    """Mean |attribution| per feature and week, with the change from the previous week."""
+    """Mean |Shapley value| per feature and week, with the change from the previous week."""
     wk = attr.withColumn("week", F.date_trunc("week", F.col(date_col)).cast("date"))
     one = wk.groupBy("week").agg(*[F.avg(F.abs(F.col("attr")[i])).alias(f"f{i}") for i in range(len(inputs))])
     rows = [F.struct(F.lit(n).alias("feature"), F.col(f"f{i}").alias("importance")) for i, n in enumerate(inputs)]
@@ -154,4 +248,3 @@ def attribution_drift(attr: DataFrame, inputs: list[str], date_col: str = "date"
     w = Window.partitionBy("feature").orderBy("week")  # one row per week per feature
     r = long.withColumn("rank", F.rank().over(Window.partitionBy("week").orderBy(F.col("importance").desc())))
     return r.withColumn("change", F.col("importance") - F.lag("importance").over(w))
-

@@ -1,6 +1,6 @@
 """Failure prediction (M1-M10, A17, W16): split, train, evaluate, pick a champion, score.
 
-Models are Spark ML estimators (distributed training); evaluation metrics are
+The forest is Spark ML's; the two boosted models grow over binned features (``boosting``).  Evaluation metrics are
 aggregations over (label, score) pairs pre-aggregated to distinct scores, with
 running sums from bucketed prefix sums, so no window spans the prediction set.
 """
@@ -8,7 +8,7 @@ running sums from bucketed prefix sums, so no window spans the prediction set.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from turnstile.functions.exprs import failure_tier_batch
 from turnstile.functions.stats import bucketed_prefix_sums, value_at_rank
+from turnstile.operators import boosting
 
 # Model inputs (same names as the feature store's failure set).
 NUMERIC_FEATURES = [
@@ -84,38 +85,53 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- M2-M4
-def _prep_stages(df: DataFrame, numeric, categorical):
-    stages, inputs = [], []
-    for c in categorical:
-        if c not in df.columns:
-            continue
-        if isinstance(df.schema[c].dataType, T.StringType):
-            stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetAsc",
-                                        handleInvalid="keep"))
-            inputs.append(f"{c}__idx")
-        else:
-            inputs.append(c)
-    inputs = [c for c in numeric if c in df.columns] + inputs
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
+def _indexers(df: DataFrame, numeric, categorical):
+    """Stages that number the text categories in alphabetical order, and the names of all inputs."""
+    text = [c for c in categorical if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)]
+    stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetAsc", handleInvalid="keep") for c in text]
+    inputs = [c for c in numeric if c in df.columns] + [f"{c}__idx" if c in text else c for c in categorical if c in df.columns]
     return stages, inputs
 
 
-def model_specs() -> dict:
-    """The three candidate models (parameters as in the reference's training).
+class BoostedModel:
+    """A boosted model and the encoding of its inputs."""
+
+    def __init__(self, encode, booster: boosting.Booster):
+        self.encode, self.booster = encode, booster
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        added = [c for c in self.booster.inputs if c not in df.columns]
+        return self.booster.score(self.encode(df)).drop(*added)
+
+
+def _fit_forest(train_df: DataFrame, numeric, categorical):
+    stages, inputs = _indexers(train_df, numeric, categorical)
+    # a node of fewer than 5 rows isn't split in the reference; Spark bounds the children, and 2 rows a child come closest
+    forest = RandomForestClassifier(labelCol=TARGET, featuresCol="features", weightCol="class_weight", numTrees=200, maxDepth=10,
+                                    minInstancesPerNode=2, seed=42, maxMemoryInMB=2048)  # more nodes per pass over the data
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[*stages, assembler, forest]).fit(train_df), inputs
+
+
+def _fit_boosting(train_df: DataFrame, numeric, categorical):
+    """Categories by number, the best split of each node; positives weigh negatives / positives."""
+    stages, inputs = _indexers(train_df, numeric, categorical)
+    encoder = Pipeline(stages=stages).fit(train_df)
+    booster = boosting.fit(encoder.transform(train_df), inputs, TARGET, "positive_weight", rounds=200, depth=6, rate=0.1)
+    return BoostedModel(encoder.transform, booster), inputs
+
+
+def _fit_boosting_categorical(train_df: DataFrame, numeric, categorical):
+    """Categories by ordered target means, one split a level; balanced class weights."""
+    text = [c for c in categorical if c in train_df.columns and isinstance(train_df.schema[c].dataType, T.StringType)]
+    targets = boosting.OrderedTargets(text, TARGET, ["device_id", "date"])
+    rows = sized(targets.fit(train_df))
+    inputs = [c for c in numeric if c in train_df.columns] + [targets.name(c) if c in text else c for c in categorical if c in train_df.columns]
+    booster = boosting.fit(rows, inputs, TARGET, "class_weight", rounds=200, depth=6, rate=0.1, l2=3.0, symmetric=True)
+    return BoostedModel(targets.transform, booster), inputs
+
 
-    A node of fewer than 5 rows isn't split there; Spark bounds the children instead, and 2 rows a child
-    come closest.
-    The forest and the boosting with categorical handling take balanced class weights, the other
-    boosting weights positives by negatives / positives."""
-    return {
-        "random_forest": RandomForestClassifier(labelCol=TARGET, featuresCol="features", weightCol="class_weight",
-                                                numTrees=200, maxDepth=10, minInstancesPerNode=2, seed=42,
-                                                maxMemoryInMB=2048),  # more nodes per pass over the data
-        "gradient_boosting": GBTClassifier(labelCol=TARGET, featuresCol="features", weightCol="positive_weight",
-                                           maxIter=200, maxDepth=6, stepSize=0.1, seed=42),
-        "boosting_categorical": GBTClassifier(labelCol=TARGET, featuresCol="features", weightCol="class_weight",
-                                              maxIter=200, maxDepth=6, stepSize=0.1, seed=42, maxBins=64),
-    }
+MODELS = {"random_forest": _fit_forest, "gradient_boosting": _fit_boosting, "boosting_categorical": _fit_boosting_categorical}
 
 
 def prepare(gold: DataFrame) -> DataFrame:
@@ -134,13 +150,14 @@ def sized(df: DataFrame, rows_per_partition: int = 50_000, least_rows: int = 8_0
 
 
 def train(train_df: DataFrame, name: str, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES):
-    stages, inputs = _prep_stages(train_df, numeric, categorical)
-    est = model_specs()[name]
-    model = Pipeline(stages=stages + [est]).fit(train_df)
-    return model, inputs
+    """(model, names of its inputs) of one of ``MODELS``; ``train_df`` has the columns of ``class_weights``."""
+    return MODELS[name](train_df, numeric, categorical)
 
 
 def predict(model, df: DataFrame) -> DataFrame:
+    """``df`` plus score, the probability of failure."""
+    if isinstance(model, BoostedModel):
+        return model.transform(df)
     p = model.transform(df)
     return p.withColumn("score", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability")
 
@@ -205,7 +222,11 @@ def select_champion(metrics: DataFrame) -> DataFrame:
 
 
 def feature_importance(model, inputs: list[str], top: int = 15) -> list[tuple[str, float]]:
-    imp = model.stages[-1].featureImportances.toArray()  # one value per input column
+    """The inputs with the largest shares of the impurity (forest) or loss (boosting) that splits took away."""
+    if isinstance(model, BoostedModel):
+        imp = model.booster.gains / max(model.booster.gains.sum(), 1e-300)
+    else:
+        imp = model.stages[-1].featureImportances.toArray()  # one value per input column
     pairs = sorted(zip(inputs, imp.tolist()), key=lambda x: (-x[1], x[0]))
     return pairs[:top]
 
