@@ -148,3 +148,29 @@ def test_stratified_split_exact_share(spark):
     s = failure.stratified_split(df, "y", ["id"], 0.2)
     c = {(r.split, r.y): r["count"] for r in s.groupBy("split", "y").count().collect()}
     assert c[("test", 1)] == 20 and c[("test", 0)] == 180
+
+
+def test_itemsets_equal_brute_force(spark):
+    import itertools
+    from collections import Counter
+
+    rng = np.random.default_rng(11)
+    rows, want = [], Counter()
+    for i in range(60):
+        items = sorted({f"c{int(x):02d}" for x in rng.geometric(0.2, 8)})
+        n = int(rng.integers(1, 4))
+        rows.append((i, items, n))
+        for k in (1, 2, 3, 4):
+            want.update({s: n for s in itertools.combinations(items, k)})
+    total = sum(r[2] for r in rows)
+    t = spark.createDataFrame(rows, "basket long, items array<string>, n long")
+    for size in (1, 2, 3, 4):
+        got = {tuple(r["items"]): r["count"] for r in patterns.itemsets(t, 0.1, size).collect()}
+        assert got == {s: c for s, c in want.items() if len(s) <= size and c / total >= 0.1}
+    assert patterns.itemsets(t.limit(0), 0.1, 3).count() == 0
+
+
+def test_itemsets_of_wide_baskets_stay_small(spark):
+    """Sixteen codes in every basket have 65,535 frequent sets, 696 of up to three items."""
+    t = spark.createDataFrame([(0, [f"c{i:02d}" for i in range(16)], 12)], "basket long, items array<string>, n long")
+    assert patterns.itemsets(t, 0.05, 3).count() == 16 + 120 + 560

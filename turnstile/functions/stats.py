@@ -32,63 +32,75 @@ def _targets_for(n: int, q: float):
 def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, buckets: int = 1024,
                     max_fetch: int = 2_000,
                     rank: int | None = None) -> dict[str, float | None]:
-    """Exact quantile ``q`` of each column (NULLs ignored), pandas/DuckDB semantics.
+    """Exact quantile ``q`` of each column, linearly interpolated.
 
-    With ``rank`` the exact k-th smallest value (0-based) is returned instead."""
+    NULL and NaN are missing values.  Infinities are values at the ends of the order; between an infinite and a
+    finite neighbour the quantile is the infinite one, between the two infinities NaN.  No values: None.  With ``rank`` the exact k-th smallest
+    value (0-based) is returned instead."""
     if not cols:
         return {}
+
+    def value(c):  # missing unless a number
+        x = F.col(c).cast("double")
+        return F.when(~F.isnan(x), x)
+
+    def finite(c):
+        return F.when(F.abs(value(c)) != F.lit(math.inf), value(c))
+
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        aggs += [F.count(finite(c)).alias(f"n{i}"), F.min(finite(c)).alias(f"lo{i}"), F.max(finite(c)).alias(f"hi{i}"),
+                 F.count_if(value(c) == F.lit(-math.inf)).alias(f"below{i}"), F.count_if(value(c) == F.lit(math.inf)).alias(f"above{i}")]
     row = df.agg(*aggs).first()
     # one target per (column, rank); state: [col, rank, lo, hi, below, count_in_range, value]
     targets = []
     meta = {}
     for i, c in enumerate(cols):
-        n, lo, hi = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]
-        if not n:
+        n, lo, hi, below = row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], row[f"below{i}"]
+        total = n + below + row[f"above{i}"]
+        if not total or (rank is not None and rank >= total):
             meta[c] = None
             continue
-        if rank is not None:
-            if rank >= n:
-                meta[c] = None
-                continue
-            klo, khi, frac = rank, rank, 0.0
-        else:
-            klo, khi, frac = _targets_for(n, q)
+        klo, khi, frac = (rank, rank, 0.0) if rank is not None else _targets_for(total, q)
         meta[c] = (klo, khi, frac)
         for k in sorted({klo, khi}):
-            val = lo if lo == hi else None
-            targets.append({"col": c, "k": k, "lo": lo, "hi": hi, "below": 0, "cnt": n, "val": val})
+            if k < below or k >= below + n:
+                val = -math.inf if k < below else math.inf
+            else:
+                val = lo if lo == hi else None
+            targets.append({"col": c, "k": k, "lo": lo, "hi": hi, "below": below, "cnt": n, "val": val})
     while True:  # each pass narrows every open range to one bin of it, or ends it
         open_t = [t for t in targets if t["val"] is None]
         if not open_t:
             break
-        small = [t for t in open_t if t["cnt"] <= max_fetch]
+        for t in open_t:
+            t["width"] = t["hi"] / buckets - t["lo"] / buckets
+        # a range too narrow to be cut has few different numbers in it
+        small = [t for t in open_t if t["cnt"] <= max_fetch or not t["lo"] + t["width"] > t["lo"]]
         if small:
-            # one pass fetches the (bounded) in-range values of every small target
-            items = []
-            for j, t in enumerate(small):
-                x = F.col(t["col"]).cast("double")
-                items.append(F.when(x.between(t["lo"], t["hi"]), F.struct(F.lit(j).alias("t"), x.alias("v"))))
+            # one pass fetches the (bounded) different in-range values of every small target
+            items = [F.when(finite(t["col"]).between(t["lo"], t["hi"]), F.struct(F.lit(j).alias("t"), finite(t["col"]).alias("v")))
+                     for j, t in enumerate(small)]
             rows = (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull())
-                    .select("s.t", "s.v").collect())
+                    .groupBy("s.t", "s.v").count().collect())
             per: dict[int, list] = {}
             for r in rows:
-                per.setdefault(r[0], []).append(r[1])
+                per.setdefault(r[0], []).append((r[1], r[2]))
             for j, t in enumerate(small):
-                vals = sorted(per.get(j, []))
-                t["val"] = vals[t["k"] - t["below"]]
+                left = t["k"] - t["below"]
+                for v, n in sorted(per[j]):
+                    if left < n:
+                        t["val"] = v
+                        break
+                    left -= n
         big = [t for t in open_t if t["val"] is None]
         if not big:
             break
         # one histogram pass for all unresolved targets
         items = []
         for j, t in enumerate(big):
-            x = F.col(t["col"]).cast("double")
-            width = (t["hi"] - t["lo"]) / buckets
-            b = F.least(F.floor((x - F.lit(t["lo"])) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+            x, width = finite(t["col"]), t["width"]
+            b = F.least(F.floor(x / F.lit(width) - F.lit(t["lo"] / width)), F.lit(buckets - 1)).cast("int")
             items.append(F.when(x.between(t["lo"], t["hi"]), F.struct(F.lit(j).alias("t"), b.alias("b"), x.alias("v"))))
         hist = (df.select(F.explode(F.array(*items)).alias("s")).where(F.col("s").isNotNull())
                 .groupBy(F.col("s.t").alias("t"), F.col("s.b").alias("b"))
@@ -101,6 +113,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, buckets: int
                .where((F.col("before") <= want) & (want < F.col("upto"))).collect())
         for r in hit:
             t = big[r["t"]]
+            if (r["mn"], r["mx"]) == (t["lo"], t["hi"]) and r["mn"] != r["mx"]:
+                raise ArithmeticError(f"bins of {t['width']} don't part the values of {t['col']}")  # can't be: lo and hi differ by more than a bin
             t.update(lo=r["mn"], hi=r["mx"], below=t["below"] + r["before"], cnt=r["c"])
             if r["mn"] == r["mx"]:
                 t["val"] = r["mn"]
@@ -112,7 +126,12 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, buckets: int
         klo, khi, frac = meta[c]
         vlo = next(t["val"] for t in targets if t["col"] == c and t["k"] == klo)
         vhi = next(t["val"] for t in targets if t["col"] == c and t["k"] == khi)
-        out[c] = vlo + (vhi - vlo) * frac
+        if not frac or vlo == vhi:
+            out[c] = vlo
+        elif math.isinf(vlo) or math.isinf(vhi):
+            out[c] = vlo + vhi
+        else:
+            out[c] = vlo + (vhi - vlo) * frac if math.isfinite(vhi - vlo) else vlo * (1 - frac) + vhi * frac
     return out
 
 

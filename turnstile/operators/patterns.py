@@ -1,8 +1,8 @@
 """Error patterns: baskets, co-occurrence itemsets and rules, Markov transitions,
 stationary distribution and severity escalations (A6, A7, A14, A15, M11-M16, W9, W10).
 
-A basket is the sorted list of a device-day's distinct codes.  Itemsets come from Spark
-ML's distributed FP-Growth, whatever the number of codes.
+A basket is the sorted list of a device-day's distinct codes.  Itemsets are counted level by
+level up to the wanted size, so work is bounded by that size, not by the largest basket.
 """
 
 from __future__ import annotations
@@ -33,17 +33,36 @@ def baskets(errors: DataFrame, min_raw: int = 2) -> DataFrame:
 def frequent_itemsets(errors: DataFrame, min_support: float = 0.05, max_len: int = 3,
                       min_transactions: int = 10) -> DataFrame:
     """(items array<string> sorted, size, count, support) for support >= min_support."""
-    from pyspark.ml.fpm import FPGrowth
-
-    t = materialize(baskets(errors).select("items"), "baskets")
-    n = t.count()
-    if n < min_transactions:
-        return errors.sparkSession.createDataFrame([], "items array<string>, size int, count bigint, support double")
-    # a hair under the bound, whose product with n may round up; the exact test follows
-    model = FPGrowth(itemsCol="items", minSupport=min_support * (1 - 1e-9)).fit(t)
-    fi = model.freqItemsets.where((F.size("items") <= max_len) & (F.col("freq") / F.lit(n) >= min_support))
-    return fi.select(F.array_sort("items").alias("items"), F.size("items").alias("size"),
-                     F.col("freq").alias("count"), (F.col("freq") / F.lit(n)).alias("support"))
+    t = baskets(errors).groupBy("items").agg(F.count(F.lit(1)).alias("n"))  # equal baskets are counted once
+    t = materialize(t.withColumn("basket", F.monotonically_increasing_id()), "baskets")
+    return itemsets(t, min_support, max_len, min_transactions)
+
+
+def itemsets(t: DataFrame, min_support: float, max_len: int, min_transactions: int = 1) -> DataFrame:
+    """Frequent sets of up to ``max_len`` items of weighted baskets (basket, items sorted and distinct, n).
+
+    A set of k + 1 items is counted in the baskets where two frequent sets of k items share all but their last
+    item.  Sets are counted per task first, then over all; a basket is spread over its sets, no task holds more of it
+    than the last items that follow one set."""
+    total = t.agg(F.sum("n")).first()[0] or 0
+    schema = "items array<string>, size int, count bigint, support double"
+    if total < min_transactions or max_len < 1:
+        return t.sparkSession.createDataFrame([], schema)
+    support = F.col("count") / F.lit(total)
+    rows = t.select("basket", "n", F.array().cast("array<string>").alias("prefix"), F.explode("items").alias("last"))
+    out = None
+    for size in range(1, max_len + 1):
+        counted = rows.groupBy("prefix", "last").agg(F.sum("n").alias("count")).where(support >= min_support)
+        frequent = materialize(counted, "itemsets")
+        found = frequent.select(F.concat("prefix", F.array("last")).alias("items"), F.lit(size).alias("size"), "count", support.alias("support"))
+        out = found if out is None else out.unionByName(found)
+        if size < max_len:
+            tails = (rows.join(frequent, ["prefix", "last"], "left_semi").groupBy("basket", "prefix")
+                         .agg(F.array_sort(F.collect_list("last")).alias("tails"), F.first("n").alias("n")).where(F.size("tails") > 1))
+            each = tails.select("basket", "n", "prefix", "tails", F.explode(F.sequence(F.lit(1), F.size("tails") - 1)).alias("i"))
+            rows = each.select("basket", "n", F.concat("prefix", F.array(F.expr("tails[i - 1]"))).alias("prefix"),
+                               F.explode(F.expr("slice(tails, i + 1, size(tails))")).alias("last"))
+    return out
 
 
 # ---------------------------------------------------------------- M12
