@@ -130,43 +130,6 @@ def _paths(spark, name):
     return made
 
 
-def test_second_batch_deletes_only_its_own_days(spark):
-    landing, silver, ckpt = _paths(spark, "cdc")
-    schema = "device_id long, date date, v int"
-
-    def deliver(rows):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
-        st.cdc_stream(spark, landing, spark.createDataFrame([], schema).schema, silver, ckpt, ["device_id", "date"])
-        return sorted((r.device_id, r.date.day, r.v) for r in st.latest_versions(spark, silver).collect())
-
-    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
-    assert deliver([(1, d1, 1), (2, d1, 1)]) == [(1, 1, 1), (2, 1, 1)]
-    assert deliver([(3, d2, 1)]) == [(1, 1, 1), (2, 1, 1), (3, 2, 1)]  # another day: nothing goes
-    assert deliver([(2, d1, 9), (4, d1, 1)]) == [(2, 1, 9), (3, 2, 1), (4, 1, 1)]  # day 1 again: 1 is gone
-    st.cdc_stream(spark, landing, spark.createDataFrame([], schema).schema, silver, ckpt, ["device_id", "date"])  # nothing new
-    assert st.latest_versions(spark, silver).count() == 3
-
-
-def test_escalations_across_batches_and_arrow_chunks(spark):
-    """One device with 30,000 events, in three deliveries, against a plain pass."""
-    landing, out, _ = _paths(spark, "esc")
-    levels = ["LOW", "MEDIUM", "HIGH", "CRITICAL", "OTHER"]
-    lit = F.array(*[F.lit(x) for x in levels])
-    e = spark.range(30000).select(
-        F.lit(7).cast("long").alias("device_id"), F.timestamp_seconds(F.lit(1704067200) + F.floor(F.col("id") / 3)).alias("timestamp"),
-        F.col("id").alias("event_id"), F.element_at(lit, F.pmod(F.xxhash64("id"), F.lit(5)).cast("int") + 1).alias("severity"),
-        F.concat(F.lit("E"), "id").alias("error_code"))
-    s = spark.readStream.schema(e.schema).parquet(landing)
-    table = st.StreamTable(st.escalation_stream(s), "esc", path=out)
-    k = F.col("event_id")
-    shuffled = e.orderBy(F.xxhash64("event_id", F.lit(3)))
-    st.land_in_order(shuffled, landing, [k < 12000, (k >= 12000) & (k < 12001), k >= 12001], table.step)
-    rows = [(r.event_id, r.severity) for r in e.orderBy("event_id").collect()]
-    want = [(f"E{a}", f"E{b}") for (a, x), (b, y) in zip(rows, rows[1:]) if "OTHER" not in (x, y) and levels.index(y) > levels.index(x)]
-    got = sorted(((r.from_error, r.to_error) for r in table.read().collect()), key=lambda x: int(x[0][1:]))
-    assert got == want
-
-
 def test_restarted_update_stream_has_one_row_a_window(spark):
     landing, out, _ = _paths(spark, "tumble")
     e = spark.range(400).select(F.pmod("id", F.lit(3)).alias("user_id"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 60).alias("ts"),

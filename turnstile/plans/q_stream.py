@@ -5,6 +5,7 @@ Spark writes from the driver tables under the shared checkpoint folder."""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from turnstile.plans.common import round_doubles
 from turnstile.session import mkdirs, scratch_path
 from turnstile.sources import ingest, sinks
 from turnstile.sources.canonical import Fleet
+from turnstile.streaming import changes as ch
 from turnstile.streaming import stream as st
 
 
@@ -41,16 +43,23 @@ def st1_ingest_stream(spark, sf_dir):
 
 @register("st2_cdc_stream")
 def st2_cdc_stream(spark, sf_dir):
-    """Telemetry by thirds, then a corrected re-delivery of one day in which some devices are gone."""
+    """Telemetry as changes that come in parts, twice and out of order: a correction of one day, in which some
+    devices are deleted, overtakes most of the rows that it corrects."""
     t = Fleet(spark, sf_dir).telemetry()
     tag = uuid.uuid4().hex
-    landing, silver, ckpt = (scratch_path(spark, f"{d}/telemetry-{tag}") for d in ("landing", "silver", "stream"))
-    step = lambda: st.cdc_stream(spark, landing, t.schema, silver, ckpt, ["device_id", "date"])
-    st.land_in_order(t, landing, _thirds("date"), step)
-    again = t.where((F.col("date") == F.lit("2024-01-15").cast("date")) & (F.pmod("device_id", F.lit(4)) != 0))
-    again = again.withColumn("error_count", F.col("error_count") + 1)
-    st.land_in_order(again, landing, [F.lit(True)], step)
-    return round_doubles(st.latest_versions(spark, silver).select("device_id", "date", "error_count", "cpu_usage_pct"))
+    landing, path = (scratch_path(spark, f"{d}/telemetry-{tag}") for d in ("landing", "silver"))
+    mkdirs(spark, landing)
+    table = ch.ChangeTable(spark, path, t.schema, ["device_id", "date"])
+    day, part = F.col("date") == F.lit("2024-01-15").cast("date"), F.pmod("device_id", F.lit(3))
+    first = t.withColumn(ch.SEQ, F.lit(1).cast("long")).withColumn(ch.DELETED, F.lit(False))
+    again = (t.where(day).withColumn("error_count", F.col("error_count") + 1).withColumn(ch.SEQ, F.lit(2).cast("long"))
+              .withColumn(ch.DELETED, F.pmod("device_id", F.lit(4)) == 0))
+    for rows, compact in ((first.where((part == 0) | ~day & (part == 1)), False), (again, True), (first.where(part > 0), True), (first.where(part < 2), False)):
+        rows.write.mode("append").parquet(landing)
+        table.step(landing)
+        if compact:
+            table.compact()
+    return round_doubles(table.read().select("device_id", "date", "error_count", "cpu_usage_pct"))
 
 
 @register("st3_tumbling_counts")
@@ -117,13 +126,18 @@ def st6_sliding_alerts(spark, sf_dir):
 
 @register("st7_escalation_stream")
 def st7_escalation_stream(spark, sf_dir):
+    """Three deliveries; every third event of the last hours of one comes late, with the next, in the order it likes."""
     e = Fleet(spark, sf_dir).error_logs()
     e = e.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    landing = scratch_path(spark, f"landing/errors-{uuid.uuid4().hex}")
+    landing, path = (scratch_path(spark, f"{d}/errors-{uuid.uuid4().hex}") for d in ("landing", "stream"))
     mkdirs(spark, landing)
-    s = spark.readStream.schema(e.schema).parquet(landing)
-    table = st.StreamTable(st.escalation_stream(s), "escalations")
-    st.land_in_order(e, landing, _thirds("timestamp"), table.step)
+    table = ch.EscalationTable(spark.readStream.schema(e.schema).parquet(landing), "6 hours", path)
+    thirds = _thirds("timestamp")
+    soon = F.col("timestamp") + F.expr("INTERVAL 5 HOURS")
+    late = F.coalesce((F.pmod("event_id", F.lit(3)) == 0) & (F.to_date(soon) != F.to_date("timestamp"))
+                      & F.to_date(soon).isin(dt.date(2024, 1, 11), dt.date(2024, 1, 21)), F.lit(False))
+    st.land_in_order(e, landing, [thirds[0] & ~late, thirds[0] & late | thirds[1] & ~late, thirds[1] & late | thirds[2]], table.step)
+    table.finish()
     return _ntz(table.read(), "ts")
 
 

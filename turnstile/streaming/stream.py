@@ -1,4 +1,4 @@
-"""Structured Streaming variants (ST1-ST7).
+"""Structured Streaming variants (ST1, ST3-ST6; ST2 and ST7 are in ``changes``).
 
 Every aggregation here is written once as a DataFrame -> DataFrame function
 that works on a batch DataFrame and on a streaming one (``window`` +
@@ -9,14 +9,10 @@ Checkpoints and sinks live under the shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from turnstile.functions.exprs import SEVERITY_RANK
 from turnstile.session import path_exists, scratch_path
 
 
@@ -52,41 +48,6 @@ def ingest_stream(spark: SparkSession, landing: str, schema, bronze: str, checkp
     return _run(s.writeStream.foreachBatch(write), checkpoint)
 
 
-# ---------------------------------------------------------------- ST2
-def latest_versions(spark: SparkSession, silver: str, before: int | None = None, scope_col: str = "date") -> DataFrame | None:
-    """The newest version of every day of a versioned silver table (None: no version yet)."""
-    if not path_exists(spark, silver):
-        return None
-    rows = spark.read.parquet(silver)
-    if before is not None:
-        rows = rows.where(F.col("epoch") < before)
-    newest = rows.groupBy(scope_col).agg(F.max("epoch").alias("epoch"))  # one row a day
-    return rows.join(newest, [scope_col, "epoch"], "left_semi").drop("epoch")
-
-
-def cdc_stream(spark: SparkSession, landing: str, schema, silver: str, checkpoint: str, keys: list[str],
-               scope_col: str = "date") -> int:
-    """Per micro-batch: merge the batch into the days it speaks for and write these days as a new
-    version (``epoch=N/day``); other days keep their version.  A batch deletes keys only of its own
-    days.  The version is the batch's number from the checkpoint, so a restart goes on where
-    it stopped and a retry overwrites its own version; readers take ``latest_versions``."""
-    from turnstile.operators.cdc import apply_changes, detect_changes
-
-    def merge(batch: DataFrame, epoch: int):
-        batch = batch.dropDuplicates(keys)
-        known = latest_versions(spark, silver, epoch, scope_col)
-        if known is None:
-            merged = batch
-        else:
-            known = known.select(*batch.columns).join(batch.select(scope_col).distinct(), scope_col, "left_semi").select(*batch.columns)
-            merged = apply_changes(known, detect_changes(known, batch, keys, scope_col), keys, scope_col)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(scope_col).parquet(f"{silver}/epoch={epoch}"))
-
-    s = spark.readStream.schema(schema).parquet(landing)
-    return _run(s.writeStream.foreachBatch(merge), checkpoint)
-
-
 # ---------------------------------------------------------------- ST3 / ST5 / ST6
 def tumbling_device_counts(events: DataFrame, minutes: int = 15, lateness: str | None = None) -> DataFrame:
     """Per device and tumbling window: events, errors, error rate."""
@@ -165,43 +126,6 @@ def dedup_stream(events: DataFrame, keys: list[str], lateness: str = "1 hour") -
     return e.dropDuplicates(keys)
 
 
-# ---------------------------------------------------------------- ST7
-ESCALATION_SCHEMA = ("device_id long, ts timestamp, from_severity string, to_severity string, "
-                     "from_error string, to_error string")
-STATE_SCHEMA = "severity string, error_code string, ts timestamp, event_id long"
-
-
-def _escalate(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One device's new events in time order, after the last event that the state remembers.
-
-    Late events (not after that one) are left out: their neighbours have been compared."""
-    pdf = pd.concat(list(pdfs), ignore_index=True)[["timestamp", "event_id", "severity", "error_code"]]
-    if state.exists:
-        severity, code, ts, event_id = state.get
-        ts = pd.Timestamp(ts)
-        pdf = pdf[(pdf["timestamp"] > ts) | ((pdf["timestamp"] == ts) & (pdf["event_id"] > event_id))]
-        first = pd.DataFrame({"timestamp": [ts], "event_id": [event_id], "severity": [severity], "error_code": [code]})
-        pdf = pd.concat([first, pdf], ignore_index=True)
-    pdf = pdf.sort_values(["timestamp", "event_id"], ignore_index=True)
-    if len(pdf):
-        last = pdf.iloc[-1]
-        state.update((last["severity"], last["error_code"], last["timestamp"].to_pydatetime(), int(last["event_id"])))
-    rank = pdf["severity"].map(SEVERITY_RANK)
-    up = (rank.diff() > 0).to_numpy()  # an unknown severity has no rank and no difference
-    to, since = pdf[up], pdf.shift(1)[up]
-    if not len(to):
-        return
-    yield pd.DataFrame({"device_id": [key[0]] * len(to), "ts": since["timestamp"].to_numpy(), "from_severity": since["severity"].to_numpy(),
-                        "to_severity": to["severity"].to_numpy(), "from_error": since["error_code"].to_numpy(),
-                        "to_error": to["error_code"].to_numpy()})
-
-
-def escalation_stream(errors: DataFrame) -> DataFrame:
-    """Stateful escalation detector: the last event of each device is kept in state."""
-    return errors.groupBy("device_id").applyInPandasWithState(
-        _escalate, ESCALATION_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-
-
 class StreamTable:
     """A streaming query's result as a table: a folder for each batch, which a retry overwrites.
 
