@@ -195,52 +195,80 @@ def standardize(surv: DataFrame, cols=COX_COVARIATES, skip=COX_UNSCALED) -> tupl
     return surv.fillna(0).select(*out), params
 
 
+def _efron(rows, beta: np.ndarray, penalizer: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log likelihood, gradient and second derivatives from sums by duration, the longest first (running sums are the risk sets).
+
+    Of d events on one day, each takes a further d-th of the day's events out of the risk set: with a = 0, 1/d, ... (d - 1)/d the risk set is
+    S - a D.  The sums over a are five numbers, so many ties cost no more than few."""
+    p = len(beta)
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+
+    def sums(r, kind):
+        s2 = np.zeros((p, p))
+        for i, j in pairs:
+            s2[i, j] = s2[j, i] = r[f"{kind}2_{i}_{j}"]
+        return np.array([r[f"{kind}0"]]), np.array([r[f"{kind}1_{i}"] for i in range(p)]), s2
+
+    ll, grad, hess = 0.0, np.zeros(p), np.zeros((p, p))
+    risk = (np.zeros(1), np.zeros(p), np.zeros((p, p)))
+    for r in rows:
+        risk = tuple(x + y for x, y in zip(risk, sums(r, "s")))
+        d = int(r["d"])
+        if not d:
+            continue
+        (s0, s1, s2), (t0, t1, t2) = risk, sums(r, "t")
+        share = np.arange(d) / d
+        left = s0[0] - share * t0[0]
+        one, part = (1 / left).sum(), (share / left).sum()
+        xe = np.array([r[f"xe_{i}"] for i in range(p)])
+        ll += float(xe @ beta) - d * r["shift"] - float(np.log(left).sum())
+        grad += xe - s1 * one + t1 * part
+        cross = np.outer(s1, t1)
+        hess -= s2 * one - t2 * part - (np.outer(s1, s1) * (1 / left ** 2).sum() - (cross + cross.T) * (share / left ** 2).sum()
+                                        + np.outer(t1, t1) * (share ** 2 / left ** 2).sum())
+    return ll - 0.5 * penalizer * float(beta @ beta), grad - penalizer * beta, hess - penalizer * np.eye(p)
+
+
 def fit_cox(surv: DataFrame, cols=COX_COVARIATES, penalizer: float = 0.1, max_iter: int = 50,
             tol: float = 1e-7) -> dict:
-    """Cox PH with ridge penalty (0.5 * penalizer * |beta|^2), Breslow ties.
+    """Cox PH with ridge penalty (0.5 * penalizer * |beta|^2), Efron ties.
 
     Each Newton step is one aggregation by duration of exp(x.b), x exp(x.b) and
-    x x' exp(x.b) (p*p sums), plus event sums; the risk sets are reverse
-    cumulative sums over the (small) per-duration result."""
+    x x' exp(x.b) (p*p sums), over all devices and over those with an event; only the small per-duration result
+    reaches the driver.  x.b is taken less its maximum where exp could overflow.  A step that lowers the
+    likelihood is halved."""
     x, _ = standardize(surv, cols)
     # the per-device design is re-read by every Newton step: keep it (recomputable cache)
     x = x.select("duration_days", "event", *cols).persist()
-    p = len(cols)
-    beta = np.zeros(p)
-    for _ in range(max_iter):
+    largest = x.agg(*[F.max(F.abs(F.col(c))).alias(c) for c in cols]).first()
+    largest = np.array([float(largest[c] or 0.0) for c in cols])
+
+    def evaluate(beta):
         eta = sum((F.col(c) * float(b) for c, b in zip(cols, beta)), F.lit(0.0))
-        w = F.exp(eta)
-        aggs = [F.sum(w).alias("s0"), F.sum("event").alias("d")]
-        aggs += [F.sum(F.col(c) * w).alias(f"s1_{i}") for i, c in enumerate(cols)]
-        aggs += [F.sum(F.col(a) * F.col(b) * w).alias(f"s2_{i}_{j}")
-                 for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
+        shift = float(x.agg(F.max(eta)).first()[0] or 0.0) if float(np.abs(beta) @ largest) > 300 else 0.0
+        w = F.exp(eta - F.lit(shift))
+        aggs = [F.sum("event").alias("d"), F.lit(shift).alias("shift")]
+        for kind, v in (("s", w), ("t", F.when(F.col("event") == 1, w).otherwise(F.lit(0.0)))):
+            aggs += [F.sum(v).alias(f"{kind}0"), *[F.sum(F.col(c) * v).alias(f"{kind}1_{i}") for i, c in enumerate(cols)]]
+            aggs += [F.sum(F.col(a) * F.col(b) * v).alias(f"{kind}2_{i}_{j}")
+                     for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
         aggs += [F.sum(F.col(c) * F.col("event")).alias(f"xe_{i}") for i, c in enumerate(cols)]
         rows = x.groupBy("duration_days").agg(*aggs).orderBy(F.col("duration_days").desc()).collect()
-        s0 = s1 = s2 = None
-        grad = np.zeros(p)
-        hess = np.zeros((p, p))
-        ll = 0.0
-        for r in rows:  # descending durations: running sums are the risk sets
-            r_s1 = np.array([r[f"s1_{i}"] for i in range(p)])
-            r_s2 = np.zeros((p, p))
-            for i in range(p):
-                for j in range(i, p):
-                    r_s2[i, j] = r_s2[j, i] = r[f"s2_{i}_{j}"]
-            s0 = r["s0"] + (s0 or 0.0)
-            s1 = r_s1 + (s1 if s1 is not None else 0.0)
-            s2 = r_s2 + (s2 if s2 is not None else 0.0)
-            dk = r["d"]
-            if dk:
-                xe = np.array([r[f"xe_{i}"] for i in range(p)])
-                mean = s1 / s0
-                grad += xe - dk * mean
-                hess -= dk * (s2 / s0 - np.outer(mean, mean))
-                ll += float(xe @ beta) - dk * math.log(s0)
-        grad -= penalizer * beta
-        hess -= penalizer * np.eye(p)
-        step = np.linalg.solve(hess, grad)
-        beta = beta - step
-        if np.max(np.abs(step)) < tol:
+        return _efron(rows, beta, penalizer)
+
+    beta = np.zeros(len(cols))
+    ll, grad, hess = evaluate(beta)
+    step = -np.linalg.solve(hess, grad)
+    for _ in range(max_iter):
+        trial = evaluate(beta + step)
+        if trial[0] < ll - 1e-9 * max(1.0, abs(ll)):
+            step = step / 2
+        else:
+            beta, (ll, grad, hess) = beta + step, trial
+            if np.max(np.abs(step)) < tol:
+                break
+            step = -np.linalg.solve(hess, grad)
+        if np.max(np.abs(step)) < tol * 1e-3:
             break
     x.unpersist()
     cov = np.linalg.inv(-hess)
@@ -248,7 +276,7 @@ def fit_cox(surv: DataFrame, cols=COX_COVARIATES, penalizer: float = 0.1, max_it
     z = beta / se
     pvals = [2 * normal_sf(abs(v)) for v in z]
     return {"coef": dict(zip(cols, beta.tolist())), "se": dict(zip(cols, se.tolist())),
-            "p": dict(zip(cols, pvals)), "loglik": ll}
+            "p": dict(zip(cols, pvals)), "loglik": ll + 0.5 * penalizer * float(beta @ beta)}
 
 
 def cox_summary(surv: DataFrame, penalizer: float = 0.1, fit: dict | None = None) -> DataFrame:
@@ -266,7 +294,7 @@ def partial_hazard(surv: DataFrame, coef: dict) -> DataFrame:
 
 
 def risk_groups(ph: DataFrame) -> DataFrame:
-    """High risk = partial hazard above the (exact, distributed) median."""
+    """High risk = partial hazard above the (exact, distributed) median; a missing hazard is no high risk."""
     med = exact_median(ph, ["partial_hazard"])["partial_hazard"]
     return ph.withColumn("risk_group", F.when(F.col("partial_hazard") > F.lit(med), "High Risk").otherwise("Low Risk"))
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from turnstile.operators import anomaly as an
 from turnstile.operators import scoring as sc
 from turnstile.plans.catalog import register
 from turnstile.plans.common import round_doubles
-from turnstile.session import materialize
+from turnstile.session import materialize, scratch_path
 from turnstile.sources.canonical import Fleet
+from turnstile.sources.sinks import write_parquet
 
 
 def _labeled(spark, sf_dir):
@@ -33,12 +36,19 @@ def _rule_labeled(spark, sf_dir):
     return f._m("rule_labeled", make)
 
 
+def _threshold_summary(lab):
+    return lab.agg(F.count(F.lit(1)).alias("rows"), F.sum("anomaly_label").alias("anomalies"), F.max("anomaly_threshold").alias("threshold"),
+                   (F.avg("anomaly_label") * 100).alias("anomaly_rate_pct"))
+
+
+def _feature_map(lab):
+    m = sc.anomaly_feature_map(lab.withColumn("is_anomaly", F.col("anomaly_label") == 1))
+    return m.select("device_id", "date", "is_anomaly", F.explode_outer("anomalous_features").alias("feature", "value"))
+
+
 @register("a25_anomaly_threshold")
 def a25_anomaly_threshold(spark, sf_dir):
-    lab = _rule_labeled(spark, sf_dir)
-    return round_doubles(lab.agg(F.count(F.lit(1)).alias("rows"), F.sum("anomaly_label").alias("anomalies"),
-                                 F.max("anomaly_threshold").alias("threshold"),
-                                 (F.avg("anomaly_label") * 100).alias("anomaly_rate_pct")))
+    return round_doubles(_threshold_summary(_rule_labeled(spark, sf_dir)))
 
 
 @register("a8_device_anomalies")
@@ -59,9 +69,47 @@ def a10_daily_anomaly_rate(spark, sf_dir):
 @register("p26_anomaly_feature_map")
 def p26_anomaly_feature_map(spark, sf_dir):
     """The map itself, one row an entry (rows without a map: one row with a null feature)."""
-    lab = _rule_labeled(spark, sf_dir).withColumn("is_anomaly", F.col("anomaly_label") == 1)
-    m = sc.anomaly_feature_map(lab)
-    return round_doubles(m.select("device_id", "date", "is_anomaly", F.explode_outer("anomalous_features").alias("feature", "value")))
+    return round_doubles(_feature_map(_rule_labeled(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ the same on the isolation forest's labels
+def _stored_labels(spark, sf_dir):
+    """The forest's scores and labels, written once a session."""
+    f = Fleet(spark, sf_dir)
+    return f._m("if_labeled_table", lambda: materialize(_labeled(spark, sf_dir), "forest-labels"))
+
+
+@register("a25_anomaly_threshold_fitted")
+def a25_anomaly_threshold_fitted(spark, sf_dir):
+    return round_doubles(_threshold_summary(_stored_labels(spark, sf_dir)))
+
+
+@register("a8_device_anomalies_fitted")
+def a8_device_anomalies_fitted(spark, sf_dir):
+    return round_doubles(an.device_anomaly_summary(_stored_labels(spark, sf_dir)))
+
+
+@register("a9_anomaly_feature_diff_fitted")
+def a9_anomaly_feature_diff_fitted(spark, sf_dir):
+    return round_doubles(an.anomaly_feature_diff(_stored_labels(spark, sf_dir)), 4)
+
+
+@register("a10_daily_anomaly_rate_fitted")
+def a10_daily_anomaly_rate_fitted(spark, sf_dir):
+    return round_doubles(an.daily_anomaly_rate(_stored_labels(spark, sf_dir)))
+
+
+@register("p26_anomaly_feature_map_fitted")
+def p26_anomaly_feature_map_fitted(spark, sf_dir):
+    return round_doubles(_feature_map(_stored_labels(spark, sf_dir)))
+
+
+@register("m33_annotated_anomalies_fitted")
+def m33_annotated_anomalies_fitted(spark, sf_dir):
+    """The forest's annotated rows written by day and read back."""
+    path = scratch_path(spark, f"gold/anomalies-{uuid.uuid4().hex}")
+    write_parquet(_stored_labels(spark, sf_dir), path, ["date"])
+    return round_doubles(spark.read.parquet(path).select("device_id", "date", "health_score", "anomaly_score", "anomaly_label"))
 
 
 @register("a10_fleet_daily_means")

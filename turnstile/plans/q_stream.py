@@ -197,6 +197,27 @@ def s12_prediction_snapshot(spark, sf_dir):
     return round_doubles(sinks.prediction_snapshot(preds, scratch_path(spark, f"predictions/{uuid.uuid4().hex}"), "2024-01-30"))
 
 
+@register("s12_prediction_snapshot_fitted")
+def s12_prediction_snapshot_fitted(spark, sf_dir):
+    """The daily snapshot from the fitted models: the champion's probability, the forest's label and score, the Weibull RUL and its SLA risk."""
+    from turnstile.functions.exprs import np_round
+    from turnstile.operators import failure as fm
+    from turnstile.operators import scoring as sc
+    from turnstile.operators import survival as sv
+    from turnstile.plans.q_anomaly import _stored_labels
+    from turnstile.plans.q_ml import _latest_pred
+    from turnstile.plans.q_survival import _fitted_rul, _surv
+
+    failure = fm.batch_scores(_latest_pred(spark, sf_dir)).select(
+        "device_id", "date", np_round(F.col("score"), 4).alias("failure_probability"), F.col("risk_tier").alias("failure_risk_tier"))
+    labels = sc.latest_per_device(_stored_labels(spark, sf_dir).select("device_id", "date", "anomaly_label", "anomaly_score")).drop("date")
+    sla = sv.sla_risk(_surv(spark, sf_dir), _fitted_rul(spark, sf_dir)).select(
+        "device_id", "rul_median_days", F.col("risk_tier").alias("sla_risk_tier"), "sla_risk_score")
+    preds = failure.join(labels, "device_id").join(sla, "device_id").select(
+        "device_id", "date", "failure_probability", "failure_risk_tier", "anomaly_label", "anomaly_score", "rul_median_days", "sla_risk_tier", "sla_risk_score")
+    return round_doubles(sinks.prediction_snapshot(preds, scratch_path(spark, f"predictions/{uuid.uuid4().hex}"), "2024-01-30"))
+
+
 @register("s13_serving_read")
 def s13_serving_read(spark, sf_dir):
     """A ratio to zero as IEEE gives it: infinities, NaN and NULL all reach the reader as 0."""

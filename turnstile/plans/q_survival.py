@@ -50,6 +50,46 @@ def m24_weibull(spark, sf_dir):
         "lambda_ double, rho_ double, events int, n int, interpretation string"), 4)
 
 
+def _stored_weibull(spark, sf_dir):
+    """(lambda, rho) from the stored fit."""
+    f = Fleet(spark, sf_dir)
+    r = f._m("weibull_table", lambda: materialize(sv.weibull_params(_surv(spark, sf_dir)), "weibull")).first()
+    return r["lambda_"], r["rho_"]
+
+
+def _fitted_rul(spark, sf_dir):
+    return sv.rul(_surv(spark, sf_dir), *_stored_weibull(spark, sf_dir))
+
+
+@register("m25_weibull_curves_fitted")
+def m25_weibull_curves_fitted(spark, sf_dir):
+    last = _surv(spark, sf_dir).agg(F.max("duration_days")).first()[0] or 0  # one scalar
+    return round_doubles(sv.weibull_curves(spark, *_stored_weibull(spark, sf_dir), max(90, last)))
+
+
+@register("m26_reliability_fitted")
+def m26_reliability_fitted(spark, sf_dir):
+    return round_doubles(sv.reliability(_surv(spark, sf_dir).select("device_id"), *_stored_weibull(spark, sf_dir)))
+
+
+@register("m32_sla_risk_fitted")
+def m32_sla_risk_fitted(spark, sf_dir):
+    return round_doubles(sv.sla_risk(_surv(spark, sf_dir), _fitted_rul(spark, sf_dir)).select(
+        "device_id", "rul_median_days", "risk_tier", "sla_breach_prob", "sla_risk_score"))
+
+
+@register("a13_rul_fleet_metrics_fitted")
+def a13_rul_fleet_metrics_fitted(spark, sf_dir):
+    return round_doubles(sv.rul_fleet_metrics(_fitted_rul(spark, sf_dir)))
+
+
+@register("m30_risk_groups_fitted")
+def m30_risk_groups_fitted(spark, sf_dir):
+    """Groups by the fitted Cox model's partial hazard."""
+    g = sv.risk_groups(sv.partial_hazard(_surv(spark, sf_dir), _cox(spark, sf_dir)["coef"]))
+    return g.groupBy("risk_group").agg(F.count(F.lit(1)).alias("devices"), F.sum("event").alias("events"))
+
+
 #: Fixed parameters for the queries that apply a fitted curve, so that SQL can follow them.
 LAMBDA, RHO = 40.0, 1.3
 
@@ -72,8 +112,7 @@ def m31_rul(spark, sf_dir):
 
 @register("m31_rul_fitted")
 def m31_rul_fitted(spark, sf_dir):
-    p = _weibull(spark, sf_dir)
-    return round_doubles(sv.rul(_surv(spark, sf_dir), p["lambda_"], p["rho_"]))
+    return round_doubles(_fitted_rul(spark, sf_dir))
 
 
 @register("m32_sla_risk")
