@@ -123,3 +123,35 @@ def test_escalations_of_nothing(spark):
     table.step()
     table.finish()
     assert table.read().count() == 0 and table.late().count() == 0
+
+
+def test_merged_latency_sketches(spark):
+    """Heavily skewed latencies in one window, far more distinct values than a sketch keeps; the exact way beside it."""
+    from turnstile.streaming import stream as st
+
+    n = 40000
+    r = spark.range(n).select(F.timestamp_seconds(F.lit(1704067200) + F.pmod("id", F.lit(1500))).alias("ts"), (F.pmod("id", F.lit(7)) != 0).alias("success"),
+                              F.pow(F.pmod(F.xxhash64("id"), F.lit(100003)).cast("double"), F.lit(2.0)).alias("duration_ms"))
+    r = r.unionByName(r.limit(0)).withColumn("duration_ms", F.when(F.col("duration_ms") > 10, F.col("duration_ms")))
+    values = sorted(x[0] for x in r.select("duration_ms").collect() if x[0] is not None)
+    got = st.merged_windows(st.minute_sketches(r), "1 hour").first()
+    assert got.requests == n and got.max_ms == values[-1] and abs(got.avg_ms - sum(values) / len(values)) < 1e-3
+    for q, v in ((0.5, got.p50_ms), (0.95, got.p95_ms), (0.99, got.p99_ms)):
+        rank = sum(x <= v for x in values) / len(values)
+        assert abs(rank - q) < 2 * st.RANK_ERROR
+    exact = st.request_metrics(r, 60).first()
+    import math
+
+    assert [exact.p50_ms, exact.p95_ms, exact.p99_ms] == [values[math.ceil(q * len(values)) - 1] for q in (0.5, 0.95, 0.99)]
+    assert st.merged_windows(st.minute_sketches(r), "10 minutes", "5 minutes").count() == 6
+
+
+def test_stationary_by_joins_equals_dense(spark):
+    from turnstile.operators import patterns
+
+    rng = random.Random(9)
+    rows = [(i % 7, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i, f"c{min(rng.randint(0, 9), rng.randint(0, 9))}") for i in range(600)]
+    e = spark.createDataFrame(rows, "device_id long, timestamp timestamp, event_id long, error_code string")
+    dense = {r.error_code: r.stationary_probability for r in patterns.stationary_distribution(e).collect()}
+    sparse = {r.error_code: r.stationary_probability for r in patterns.stationary_distribution(e, dense_codes=3).collect()}
+    assert dense.keys() == sparse.keys() and all(abs(dense[c] - sparse[c]) < 1e-6 for c in dense)

@@ -7,12 +7,15 @@ level up to the wanted size, so work is bounded by that size, not by the largest
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.functions.exprs import severity_rank
-from turnstile.session import materialize
+from turnstile.session import drop_path, materialize, scratch_path
+
 
 def code_vocabulary(errors: DataFrame, col: str = "error_code") -> list[str]:
     """The distinct codes: the error catalogue of a device type, for columns and states."""
@@ -160,10 +163,14 @@ def significant_transitions(errors: DataFrame, threshold: float = 0.1) -> DataFr
 
 
 # ---------------------------------------------------------------- M15
-def stationary_distribution(errors: DataFrame) -> DataFrame:
-    """Left eigenvector of the transition matrix for the eigenvalue nearest 1,
-    normalised to sum 1, absolute values.  The K x K matrix is an aggregate over the
-    error catalogue, the eigen-solve a driver-side K x K computation."""
+#: Up to so many codes the chain is solved as a dense matrix (2 MB); beyond it by joins.
+DENSE_CODES = 512
+
+
+def stationary_distribution(errors: DataFrame, dense_codes: int = DENSE_CODES) -> DataFrame:
+    """Left eigenvector of the transition matrix for the eigenvalue nearest 1, of sum 1, absolute values."""
+    if errors.select("error_code").where(F.col("error_code").isNotNull()).distinct().count() > dense_codes:
+        return stationary_by_joins(transition_counts(errors), errors.select(F.col("error_code").alias("code")).where("code is not null").distinct())
     codes = code_vocabulary(errors)
     tc = transition_counts(errors).collect()
     idx = {c: i for i, c in enumerate(codes)}
@@ -181,6 +188,34 @@ def stationary_distribution(errors: DataFrame) -> DataFrame:
     return errors.sparkSession.createDataFrame(rows, "error_code string, stationary_probability double")
 
 
+def stationary_by_joins(counts: DataFrame, codes: DataFrame, tol: float = 1e-9, max_steps: int = 1000) -> DataFrame:
+    """The same by power iteration over the transitions that occur: (from_error, to_error, count), codes (code).
+
+    A step is a join of the present shares with the transitions and a sum by code; half the shares stay, so a chain that
+    alternates settles too.  It ends when the shares move by less than ``tol`` in all, or after ``max_steps``.  Each step's shares are
+    written and the ones before removed, so the lineage stays short and the folder small."""
+    spark = counts.sparkSession
+    whole = counts.groupBy("from_error").agg(F.sum("count").alias("whole"))  # no window: a busy code's row sum is pre-aggregated
+    moves = materialize(counts.join(whole, "from_error").select(F.col("from_error").alias("code"), "to_error", (F.col("count") / F.col("whole")).alias("p")), "transitions")
+    n = codes.count()
+    base = scratch_path(spark, f"stationary/{uuid.uuid4().hex}")
+    shares = codes.select("code", F.lit(1.0 / max(n, 1)).alias("x"))
+    for step in range(max_steps):
+        arrived = moves.join(shares, "code").groupBy(F.col("to_error").alias("code")).agg(F.sum(F.col("p") * F.col("x")).alias("y"))
+        after = shares.join(arrived, "code", "left").select("code", "x", (0.5 * F.col("x") + 0.5 * F.coalesce("y", F.lit(0.0))).alias("next"))
+        after.write.parquet(f"{base}/{step}")
+        after = spark.read.parquet(f"{base}/{step}")
+        total = after.agg(F.sum("next")).first()[0] or 0.0  # codes that nothing follows lose their share
+        if not total:
+            break
+        moved = after.agg(F.sum(F.abs(F.col("next") / total - F.col("x")))).first()[0]
+        shares = after.select("code", (F.col("next") / total).alias("x"))
+        drop_path(spark, f"{base}/{step - 1}")
+        if moved < tol:
+            break
+    return shares.select(F.col("code").alias("error_code"), F.col("x").alias("stationary_probability"))
+
+
 # ---------------------------------------------------------------- W10 / A7 / A15
 def escalations(errors: DataFrame, order=("timestamp", "event_id")) -> DataFrame:
     """Consecutive pairs (per device, time order) whose severity rank increases."""

@@ -216,6 +216,10 @@ _P = "list_sort(list(duration_ms))[CAST(greatest(1, ceil({q} * count(*))) AS BIG
 oracle("st5_latency_percentiles", with_views(f"""
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, round({_P.format(q=0.5)}, 6) AS p50_ms, round({_P.format(q=0.95)}, 6) AS p95_ms,
   round({_P.format(q=0.99)}, 6) AS p99_ms FROM v_requests GROUP BY 1""", "v_requests"))
+oracle("st5_sketched_percentiles", with_views("""
+SELECT m AS minutes, time_bucket(to_minutes(m), ts, TIMESTAMP '2000-01-01') AS window_start, count(*) AS requests,
+  true AS p50_within, true AS p95_within, true AS p99_within
+FROM v_requests, (VALUES (5), (60), (1440)) t(m) GROUP BY 1, 2""", "v_requests"))
 oracle("st6_latency_alerts", with_views(f"""
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS requests, round({_P.format(q=0.99)}, 6) AS p99_ms,
   'p99_latency' AS alerts

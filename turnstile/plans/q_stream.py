@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from turnstile.plans.catalog import register
 from turnstile.plans.common import round_doubles
-from turnstile.session import mkdirs, scratch_path
+from turnstile.session import materialize, mkdirs, scratch_path
 from turnstile.sources import ingest, sinks
 from turnstile.sources.canonical import Fleet
 from turnstile.streaming import changes as ch
@@ -112,6 +112,25 @@ def st5_latency_percentiles(spark, sf_dir):
     return round_doubles(_ntz(m.select("window_start", "p50_ms", "p95_ms", "p99_ms"), "window_start"))
 
 
+@register("st5_sketched_percentiles")
+def st5_sketched_percentiles(spark, sf_dir):
+    """Latency sketches stored by minute, merged to 5 minutes, hours and days: does each percentile lie
+    within the stated rank error of the requests of its window, counted one by one?"""
+    r = Fleet(spark, sf_dir).requests()
+    minutes = materialize(st.minute_sketches(r), "latency-sketches")
+    out = None
+    for size, window in ((5, "5 minutes"), (60, "1 hour"), (1440, "1 day")):
+        m = st.merged_windows(minutes, window).select("window_start", "requests", "p50_ms", "p95_ms", "p99_ms")
+        each = st.event_time(r).select(F.window("ts", window)["start"].alias("window_start"), F.col("duration_ms").cast("double").alias("v")).join(m, "window_start")
+        within = []
+        for name, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+            below, upto = F.avg((F.col("v") < F.col(f"{name}_ms")).cast("double")), F.avg((F.col("v") <= F.col(f"{name}_ms")).cast("double"))
+            within.append(((below <= q + 2 * st.RANK_ERROR) & (upto >= q - 2 * st.RANK_ERROR)).alias(f"{name}_within"))
+        checked = each.groupBy("window_start", "requests").agg(*within).select(F.lit(size).alias("minutes"), "*")
+        out = checked if out is None else out.unionByName(checked)
+    return _ntz(out, "window_start")
+
+
 @register("st5_requests_by_name")
 def st5_requests_by_name(spark, sf_dir):
     return round_doubles(st.requests_by_name(Fleet(spark, sf_dir).requests()))
