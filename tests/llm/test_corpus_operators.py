@@ -325,6 +325,77 @@ def test_html(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def plain_densities(tree, gone):
+    """Each node's sums by walking its whole subtree."""
+    import math
+
+    n = len(tree.tag)
+
+    def below(i):
+        out = []
+        for k in range(n):
+            j = k
+            while j > i:
+                j = tree.parent[j]
+            if j == i and not gone[k]:
+                out.append(k)
+        return out
+
+    def chars(nodes):
+        return sum(len(" ".join(d.split())) for at, d in tree.texts if at in nodes)
+
+    def linked(k):
+        while k > 0 and tree.tag[k] != "a":
+            k = tree.parent[k]
+        return k > 0
+
+    c0, lc0 = chars(set(below(0))), chars({k for k in below(0) if linked(k)})
+    density = []
+    for i in range(n):
+        nodes = below(i) if not gone[i] else []
+        c, lc = chars(set(nodes)), chars({k for k in nodes if linked(k)})
+        t, lt = max(len(nodes) - 1, 1), max(sum(tree.tag[k] == "a" for k in nodes if k != i), 1)
+        if not c:
+            density.append(0.0)
+            continue
+        inner = math.log(c / max(c - lc, 1) * lc + (lc0 / c0 if c0 else 0) * c + math.e)
+        ratio = max(c / max(lc, 1) * t / lt, 1.0)
+        density.append(c / t * math.log(ratio) / (math.log(inner) if inner > 1 + 1e-12 else 1.0))
+    return density, [sum(density[k] for k in range(1, n) if tree.parent[k] == i) for i in range(n)]
+
+
+LINKS = "<div>" + "".join(f"<div><a href=x{i}>Some link {i}</a> | </div>" for i in range(30)) + "</div>"
+UNNAMED = f"<html><body>{LINKS}<div><h1>T</h1><p>{ARTICLE} {ARTICLE}</p><p>{ARTICLE}</p><p>{ARTICLE}</p></div>{LINKS}</body></html>"
+
+
+def test_densities_by_walking_every_subtree():
+    import random
+
+    from turnstile.llm.html_text import Tree, _never, densities
+
+    rng = random.Random(2)
+    pages = [*PAGES, UNNAMED[:900]]
+    for _ in range(25):
+        parts = [rng.choice(["<div>", "</div>", "<p>", "<a href=x>", "</a>", "<b>", "</b>", "<nav>", "</nav>", "<script>", "</script>", "some words ", ARTICLE]) for _ in range(40)]
+        pages.append("".join(parts))
+    for page in pages:
+        tree = Tree()
+        tree.feed(page)
+        tree.close()
+        gone = _never(tree)
+        _, density, sums = densities(tree, gone)
+        want, want_sums = plain_densities(tree, gone)
+        assert all(abs(a - b) < 1e-9 for a, b in zip(density + sums, want + want_sums)), page[:80]
+
+
+def test_density_decides_where_nothing_is_named(monkeypatch):
+    """Link lists without any class, role or kind of their own go by their density alone."""
+    want = f"T {ARTICLE} {ARTICLE} {ARTICLE} {ARTICLE}"
+    assert html_text.main_text(UNNAMED) == want
+    monkeypatch.setattr(html_text, "_marks", lambda tree, gone: [True] * len(tree.tag))
+    assert html_text.main_text(UNNAMED) != want
+
+
 # ---- pipeline
 
 def test_pipeline(spark, tmp_path):

@@ -1,9 +1,7 @@
 """HTML extraction: composite text density (Sun, Song and Liao, 2011).
 
-A page is parsed to a tree (browsers' rules for void elements and implied end tags).  What can't be
-the article goes first: elements by kind (scripts, styles, navigation, forms, footers, ...), by
-role, hidden ones, and by class or id words (adverts, sidebars, notices, comments, ...) unless they
-hold the article themselves.  For every node that stays, with C characters, T tags, LC characters
+A page is parsed to a tree (browsers' rules for void elements and implied end tags).  What is never text goes first: elements by
+kind (scripts, styles, forms, ...) and hidden ones.  For every node that stays, with C characters, T tags, LC characters
 and LT tags of links in its subtree (0 counts as 1 in a divisor, b: the body):
 
     density = C/T * log(C/LC * T/LT) / log(ln(C/(C-LC) * LC + LCb/Cb * C + e))
@@ -11,11 +9,15 @@ and LT tags of links in its subtree (0 counts as 1 in a divisor, b: the body):
 (on a page without links the divisor is 1).  A node's density sum adds up its children's.  The
 node with the largest sum is the article's core; the least density on its path up to the body is the
 threshold.  From the body down, every node of at least that density has the largest-sum node
-of its subtree marked.  A mark within an ``article`` or ``main`` extends to all of it, and
-the marked subtrees' text, in page order, is the result.
+of its subtree marked.  A mark within an ``article`` or ``main`` extends to all of it.
+
+Density can't tell an article from other dense prose (reader comments, a notice, a long footer), so what it marked is then rid of page
+furniture, known by kind (navigation, footers, asides), by role, and by class or id words (adverts, sidebars, notices, comments, ...)
+unless it holds the article itself.  The text left in the marked subtrees, in page order, is the result.
 
 Text: character references are decoded, white space within a block becomes one space, blocks are
-joined by one space.  Null or empty html, or none left: empty text.
+joined by one space.  Null or empty html, or none left: empty text.  Equal rows are all kept; a column named text is replaced, others are
+kept as asked.
 """
 
 from __future__ import annotations
@@ -47,6 +49,8 @@ ENDS = {"li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), ("dl"
 DROPPED = frozenset(
     "script style noscript template head title nav footer aside form button select option textarea input label fieldset iframe object embed "
     "svg canvas video audio map menu dialog search datalist".split())
+#: Of these, page furniture: its text counts in the densities.
+FURNITURE = frozenset("nav footer aside menu search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 HINT = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|newsletter|subscri\w*|signup|"
@@ -171,8 +175,16 @@ def main_text(html: str | None) -> str:
     return _select(tree, by_hint=True) or _select(tree, by_hint=False)
 
 
+def _never(tree: Tree) -> list[bool]:
+    """What is no text of the page: elements by kind, hidden ones, and all below them."""
+    out = [False] * len(tree.tag)
+    for i in range(1, len(out)):
+        out[i] = out[tree.parent[i]] or tree.hint[i] == 2 and tree.tag[i] not in FURNITURE
+    return out
+
+
 def _furniture(tree: Tree, by_hint: bool) -> list[bool]:
-    """What goes before densities count: with all below it."""
+    """What is not the article's, with all below it."""
     tag, parent, n = tree.tag, tree.parent, len(tree.tag)
     article = [tag[i] in ("article", "main") and tree.hint[i] == 0 for i in range(n)]
     # an element with the article in it, or with a headline and a paragraph, is no furniture
@@ -192,13 +204,13 @@ def _furniture(tree: Tree, by_hint: bool) -> list[bool]:
     return gone
 
 
-def _select(tree: Tree, by_hint: bool) -> str:
+def densities(tree: Tree, gone: list[bool]) -> tuple[list[int], list[float], list[float]]:
+    """Characters, composite density and density sum of every node."""
     tag, parent, n = tree.tag, tree.parent, len(tree.tag)
     own = [0] * n
     for at, data in tree.texts:
         if at >= 0:
             own[at] += len(" ".join(data.split()))
-    gone = _furniture(tree, by_hint)
     inside = [False] * n  # in a link
     c, t, lc, lt = [0] * n, [0] * n, [0] * n, [0] * n
     for i in range(1, n):
@@ -214,13 +226,19 @@ def _select(tree: Tree, by_hint: bool) -> str:
             lc[up] += lc[i]
             t[up] += t[i] + 1
             lt[up] += lt[i] + (tag[i] == "a")
-    if not c[0]:
-        return ""
-    share = lc[0] / c[0]
+    share = lc[0] / c[0] if c[0] else 0.0
     density = [0.0 if gone[i] else _density(c[i], t[i], lc[i], lt[i], share) for i in range(n)]
-    sums, best = [0.0] * n, list(range(n))
+    sums = [0.0] * n
     for i in range(n - 1, 0, -1):
         sums[parent[i]] += density[i]
+    return c, density, sums
+
+
+def _marks(tree: Tree, gone: list[bool]) -> list[bool]:
+    """The subtrees of largest density sums over the body path's threshold."""
+    tag, parent, n = tree.tag, tree.parent, len(tree.tag)
+    c, density, sums = densities(tree, gone)
+    best = list(range(n))
     for i in range(n - 1, 0, -1):  # the first of the largest sum in each subtree
         up = parent[i]
         if sums[best[i]] > sums[best[up]] or sums[best[i]] == sums[best[up]] and best[up] != up and best[i] < best[up]:
@@ -243,7 +261,12 @@ def _select(tree: Tree, by_hint: bool) -> str:
             marked[article[best[i]] or best[i]] = True
     for i in range(1, n):
         marked[i] = (marked[i] or marked[parent[i]]) and not gone[i]
-    return " ".join("".join(data for at, data in tree.texts if at < 0 or marked[at]).split())
+    return marked
+
+
+def _select(tree: Tree, by_hint: bool) -> str:
+    marked, gone = _marks(tree, _never(tree)), _furniture(tree, by_hint)
+    return " ".join("".join(data for at, data in tree.texts if at < 0 or marked[at] and not gone[at]).split())
 
 
 def _extract(texts: pa.Array) -> list:
