@@ -52,6 +52,18 @@ def test_decontamination(spark, block_bytes):
         assert r.block == "mine"
 
 
+def test_decontamination_with_clashing_names(spark):
+    """Columns named as results in any case are replaced, in one block of items and in many; names like the temporary ones stay."""
+    some = texts()[:30]
+    bench = spark.createDataFrame([(k, " ".join((some[20 + k] or "").split()[3:23])) for k in range(6)], "item_id long, text string")
+    df = table(spark, some, ("Items", "N_HIT", "_new_items", "_newitems"))
+    for block_bytes in (decontaminate.BLOCK_BYTES, 60):
+        made = decontaminate.find_items(df, bench, block_bytes=block_bytes)
+        assert made.columns == [*[c for c in df.columns if c not in ("Items", "N_HIT")], "n_words", "n_hit", "items", "hits"]
+        rows = made.select("doc_id", "items", "n_hit", "_new_items", "_newitems").collect()
+        assert len(rows) == df.count() and {r["_new_items"] + r["_newitems"] for r in rows} == {"minemine"} and sum(r.n_hit > 0 for r in rows) >= 6
+
+
 def test_decontamination_empty(spark):
     bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert decontaminate.find_items(empty(spark), bench).count() == 0
@@ -144,6 +156,33 @@ def test_structural_secrets_in_context():
         assert not secrets.structural_spans(f"x {run}00 y")
 
 
+def test_secrets_in_disguise():
+    """Wrapped, prefixed, colon-separated, doubly encoded keys and pretty-printed tokens; near misses beside them."""
+    key = rsa_key()
+    run = b64(key)
+    lines = [run[i:i + 64] for i in range(0, len(run), 64)]
+    assert len(lines[-1]) < 64
+    for end in ("\n", "\r\n", "\n    "):
+        text = end.join(lines)
+        assert secrets.structural_spans(f"é\n{text}\nThe end") == [("der", 2, 2 + len(text))]
+    assert not secrets.structural_spans("\n".join([*lines[:3], lines[3][:-1], *lines[4:]]))
+    for before in ("path/to/", "a-b_", "/M/MM/", "Mx+"):
+        assert secrets.structural_spans(f"x {before}{run} y") == [("der", 2 + len(before), 2 + len(before) + len(run))], before
+    assert not secrets.structural_spans(f"x path/to/{run[:-4]} y")
+    for sep in (":", ":\n    "):
+        colons = sep.join(f"{b:02x}" for b in key)
+        assert secrets.structural_spans(f"x {colons} y") == [("der", 2, 2 + len(colons))]
+        assert not secrets.structural_spans(f"x {colons[:-2]}zz y")
+    pem = "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(lines) + "\n-----END RSA PRIVATE KEY-----\n"
+    twice = b64(pem.encode())
+    assert secrets.structural_spans(f"key: {twice} y") == [("pem", 5, 5 + len(twice))]
+    assert not secrets.structural_spans(b64(pem.replace("BEGIN RSA", "BEGIN DSA").encode()))
+    for space in ("\n  ", " ", "\r\n", "\t"):
+        head, body = b64(f'{{{space}"alg": "HS256"}}'.encode(), True), b64(f'{{{space}"sub": "1"}}'.encode(), True)
+        token = f"{head}.{body}.{b64(b's' * 32, True)}"
+        assert secrets.structural_spans(f"t {token}, u") == [("jwt", 2, 2 + len(token))], space
+
+
 def test_secret_spans(spark):
     rng = random.Random(2)
     parts = ["token", "PassWord", "ſecret", "api_key", "apikey", "toKen", "=", ":", " ", '"', "'", "abc123", "AKIA", "ABCDEFGHIJ0123456", "0a" * 13, "é", "\n", "."]

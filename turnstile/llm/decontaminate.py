@@ -181,24 +181,25 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col
                block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` plus n_words, n_hit, items (ids as sorted strings) and hits (numbers of the words hit).
 
-    ``items`` has item_id and text.  Columns of ``docs`` with these four names are replaced.
+    ``items`` has item_id and text.  Columns of ``docs`` with these four names, in any case, are replaced.
     """
     spark = docs.sparkSession
-    keep = [c for c in docs.columns if c not in {f.name for f in HITS}]
+    keep = [c for c in docs.columns if c.lower() not in {f.name for f in HITS}]
+    fresh_name = "_new" + "_" * max(map(len, docs.columns))  # longer than any name here
     chosen = (items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
                    .select(F.col("item_id").cast("string"), F.col("text").cast("string")))
     made = None
     for block in _blocks(chosen, block_bytes):
         sent = spark.sparkContext.broadcast(block)
-        fresh = map_texts(docs if made is None else made, [T.StructField(f"_new_{f.name}", f.dataType) for f in HITS], _scan,
+        fresh = map_texts(docs if made is None else made, [T.StructField(fresh_name + f.name, f.dataType) for f in HITS], _scan,
                           keep=keep if made is None else made.columns, text_col=text_col,
                           setup=lambda sent=sent: ItemIndex(sent.value, window))
         if made is None:
-            made = fresh.select(*keep, *[F.col(f"_new_{f.name}").alias(f.name) for f in HITS])
+            made = fresh.select(*keep, *[F.col(fresh_name + f.name).alias(f.name) for f in HITS])
             continue
         made = materialize(fresh, "decontaminate")
-        both = {"n_words": F.col("n_words"), "items": F.array_sort(F.array_union("items", "_new_items")),
-                "hits": F.array_sort(F.array_union("hits", "_new_hits"))}
+        both = {"n_words": F.col("n_words"), "items": F.array_sort(F.array_union("items", fresh_name + "items")),
+                "hits": F.array_sort(F.array_union("hits", fresh_name + "hits"))}
         made = made.select(*keep, *[both.get(c, F.size(both["hits"]).cast("long")).alias(c) for c in ("n_words", "n_hit", "items", "hits")])
     return made
 

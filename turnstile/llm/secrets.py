@@ -14,8 +14,10 @@ after they have been taken apart:
              the second a JSON object; the third may be empty only if ``alg`` is ``none``; a full stop
              may stand before or after, no fourth part
 
-A candidate is a maximal run; it is decoded whole, whatever its length.  Spans are code points,
-end exclusive.  Null text: empty, no spans.
+A candidate is a maximal run, decoded whole, whatever its length; or what follows a ``/``, ``+``, ``-`` or ``_`` in it (a key after a
+path) if its length is the one that its first bytes state; or lines of base64 of one length and a last one up to it (a wrapped
+key without ``BEGIN``).  Base64 whose bytes are a PEM block is taken apart once more.  Hex may have colons between bytes.  Spans are code points,
+end exclusive.  Null text: empty, no spans.  Equal rows are all kept; a column named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -46,6 +48,10 @@ ASSIGN_MARK = re.compile(r"[:=]")
 #: 40 digits: the shortest DER private key is longer.
 RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 LONG_HEX = re.compile(r"[0-9a-f]{60,}|[0-9A-F]{60,}")
+COLON_HEX = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{2}(?::\s{0,40}[0-9A-Fa-f]{2}){29,}+(?![0-9A-Fa-f])")
+LINE = re.compile(r"\r?\n[\x20\t]*([A-Za-z0-9+/]+)(={0,2})")
+#: Where a key may begin inside a run: base64 of a DER sequence, or of OpenSSH's magic.
+INNER = re.compile(r"(?<=[/+_-])(?:M[A-Z]|b3BlbnNzaC1rZXktdjE)")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}PRIVATE KEY)-----((?:[^-]++|-(?!----))*+)-----END \1-----")
 PEM_HEADER = re.compile(r"\s*([A-Za-z][A-Za-z0-9-]*):(.*)")
 DEK_INFO = re.compile(r"([A-Za-z0-9-]+),\s*((?:[0-9A-Fa-f]{16}){1,2})")
@@ -189,26 +195,77 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _key_kind(data: bytes | None) -> str | None:
+    """What private key the bytes are; a PEM block counts if its body is one."""
+    if not data:
+        return None
+    if data[0] == 0x30:
+        return "der" if is_private_key(data) else None
+    if is_openssh_key(data):
+        return "openssh"
+    if data.startswith(b"-----BEGIN "):
+        m = PEM.match(data.decode("latin-1"))
+        return "pem" if m and is_pem_key(m[2]) else None
+    return None
+
+
+def _stated_length(start: str) -> int | None:
+    """The bytes that a DER sequence says it has, from its first base64 characters."""
+    head = _decode64(start[:8])
+    if not head or head[0] != 0x30:
+        return None
+    n, k = head[1], 0
+    if n & 0x80:
+        k = n & 0x7F
+        if not 1 <= k <= 4 or len(head) < 2 + k:
+            return None
+        n = int.from_bytes(head[2:2 + k], "big")
+    return 2 + k + n
+
+
+def _wrapped(text: str, first: re.Match) -> tuple[str, int]:
+    """A run and the lines of its length that follow, up to a shorter one: their base64, and where they end."""
+    run, at = first[0], first.end()
+    while m := LINE.match(text, at):
+        if len(m[1]) + len(m[2]) > len(first[0]):
+            break
+        run, at = run + m[1] + m[2], m.end()
+        if len(m[1]) < len(first[0]) or m[2]:
+            break
+    return run, at
+
+
 def structural_spans(text: str) -> list[tuple[str, int, int]]:
-    out = []
+    blocks = [m.span() for m in PEM.finditer(text) if is_pem_key(m[2])] if "-----BEGIN " in text else []
+    out = [("pem", *span) for span in blocks]
+    done = 0
     for m in RUN.finditer(text):
-        data = _decode64(m[0])
-        if data and data[0] == 0x30 and is_private_key(data):
-            out.append(("der", *m.span()))
-        elif data and is_openssh_key(data):
-            out.append(("openssh", *m.span()))
-    for m in LONG_HEX.finditer(text):
-        if len(m[0]) % 2:
+        if m.start() < done:
+            continue
+        if kind := _key_kind(_decode64(m[0])):
+            out.append((kind, *m.span()))
             continue
-        if m[0][:2] == "30" and is_private_key(bytes.fromhex(m[0])):
-            out.append(("der", *m.span()))
-        elif m[0][:4].lower() == "6f70" and is_openssh_key(bytes.fromhex(m[0])):
-            out.append(("openssh", *m.span()))
-    if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            if is_pem_key(m[2]):
-                out.append(("pem", *m.span()))
-    if "eyJ" in text or "ey" in text and "." in text:
+        if text[m.end():m.end() + 1] in ("\r", "\n") and not any(a < m.start() < b for a, b in blocks):
+            run, end = _wrapped(text, m)
+            if end > m.end() and (kind := _key_kind(_decode64(run))):
+                out.append((kind, m.start(), end))
+                done = end
+                continue
+        for inner in INNER.finditer(m[0]):
+            rest = m[0][inner.start():].rstrip("=")
+            if inner[0][0] == "M" and _stated_length(rest) != len(rest) * 3 // 4:
+                continue
+            if kind := _key_kind(_decode64(rest)):
+                out.append((kind, m.start() + inner.start(), m.end()))
+                break
+    for m in LONG_HEX.finditer(text):
+        if len(m[0]) % 2 == 0 and m[0][:2] in ("30", "6f", "6F", "2d", "2D") and (kind := _key_kind(bytes.fromhex(m[0]))):
+            out.append((kind, *m.span()))
+    if ":" in text:
+        for m in COLON_HEX.finditer(text):
+            if kind := _key_kind(bytes.fromhex("".join(m[0].replace(":", " ").split()))):
+                out.append((kind, *m.span()))
+    if "." in text:
         at = 0
         while m := JWT.search(text, at):
             found = is_token_header(*m.groups())
