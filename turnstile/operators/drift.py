@@ -69,9 +69,9 @@ def ks_drift(tagged: DataFrame, features: list[str] | None = None, p_threshold:
     counts = long.groupBy("feature", "value").agg(
         F.count_if(F.col("period") == "reference").alias("n_ref"),
         F.count_if(F.col("period") == "current").alias("n_cur"))
-    tot = counts.groupBy("feature").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
     cum = bucketed_prefix_sums(counts, ["feature"], "value", ["n_ref", "n_cur"], inclusive=True)
-    j = cum.join(tot, "feature")
+    tot = cum.groupBy("feature").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))  # of the written counts
+    j = cum.join(F.broadcast(tot), "feature")  # one row a feature
     gap = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
     d = j.groupBy("feature", "tot_ref", "tot_cur").agg(F.max(gap).alias("ks_statistic"))
     p = ks_pvalue_col(F.col("ks_statistic"), F.col("tot_ref").cast("double"), F.col("tot_cur").cast("double"))

@@ -12,9 +12,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnstile.functions.stats import bucketed_prefix_sums
-from turnstile.session import path_exists, scratch_path
+from turnstile.session import drop_path, path_exists, scratch_path
 
 
 def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
@@ -200,16 +201,48 @@ class StreamTable:
 
         return _run(self.df.writeStream.outputMode(self.mode).foreachBatch(write), f"{self.path}/checkpoint")
 
+    def _numbers(self, name: str) -> list[int]:
+        """Numbers of the finished folders."""
+        spark = self.df.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [x.getPath().getName().removeprefix("epoch=") for x in files.listStatus(where)] if files.exists(where) else []
+        at = f"{self.path}/{name}/" + ("epoch=" if name == "out" else "")
+        return sorted(int(x) for x in names if x.isdigit() and path_exists(spark, f"{at}{x}/_SUCCESS"))
+
+    def _newest(self) -> DataFrame:
+        """Each key's newest row with its batch: the last merged table and the batches since."""
+        spark = self.df.sparkSession
+        merged = self._numbers("merged")
+        done = merged[-1] if merged else -1
+        schema = T.StructType([*self.df.schema.fields, T.StructField("epoch", T.LongType())])
+        rows = spark.read.parquet(f"{self.path}/merged/{done}") if merged else spark.createDataFrame([], schema)
+        for n in self._numbers("out"):
+            if n > done:
+                rows = rows.unionByName(spark.read.parquet(f"{self.path}/out/epoch={n}").select(*self.df.columns, F.lit(n).cast("long").alias("epoch")))
+        rest = [c for c in self.df.columns if c not in self.keys]
+        return rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest, "epoch"), "epoch").alias("_r")).select(
+            *self.keys, *[F.col(f"_r.{c}").alias(c) for c in (*rest, "epoch")]).select(*self.df.columns, "epoch")
+
+    def compact(self) -> None:
+        """Update mode: merge all batches into one table of a row a key; ``read`` then scans that and later batches alone."""
+        batches = self._numbers("out")
+        older = self._numbers("merged")
+        if self.mode == "append" or not batches or older and batches[-1] <= older[-1]:
+            return
+        self._newest().write.mode("overwrite").parquet(f"{self.path}/merged/{batches[-1]}")
+        for n in batches:
+            drop_path(self.df.sparkSession, f"{self.path}/out/epoch={n}")
+        for n in older:
+            drop_path(self.df.sparkSession, f"{self.path}/merged/{n}")
+
     def read(self) -> DataFrame:
         spark = self.df.sparkSession
         if not path_exists(spark, f"{self.path}/out"):
             return spark.createDataFrame([], self.df.schema)
-        rows = spark.read.parquet(f"{self.path}/out")
         if self.mode == "append":
-            return rows.select(*self.df.columns)
-        rest = [c for c in self.df.columns if c not in self.keys]
-        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "epoch").alias("_r"))
-        return newest.select(*self.keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*self.df.columns)
+            return spark.read.parquet(f"{self.path}/out").select(*self.df.columns)
+        return self._newest().drop("epoch")
 
 
 def land_in_order(rows: DataFrame, landing: str, parts: list, step) -> None:
