@@ -235,12 +235,16 @@ def calendar_features(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def maintenance_window_features(m: DataFrame, days: int = 30) -> DataFrame:
-    """Per maintenance row: cost over the trailing ``days`` days (inclusive) and running count."""
+    """Per maintenance row: cost over the trailing ``days`` days (inclusive) and running count.
+
+    Windows over a device run over its days only, at most as many as the calendar has; rows are ranked within
+    a device and day, so a device with many jobs is spread over tasks by day."""
     w = Window.partitionBy("device_id").orderBy(day_number("date"))
-    trailing = w.rangeBetween(-(days - 1), 0)
-    run = Window.partitionBy("device_id").orderBy("date", "maintenance_id").rowsBetween(Window.unboundedPreceding, 0)
-    return m.select(
-        "*",
-        F.sum("cost_gbp").over(trailing).alias(f"cost_{days}d"),
-        F.count(F.lit(1)).over(run).alias("running_maintenance_count"),
-    )
+    daily = m.groupBy("device_id", "date").agg(F.sum("cost_gbp").alias("_cost"), F.count(F.lit(1)).alias("_jobs")).select(
+        F.col("device_id").alias("_device"), F.col("date").alias("_date"),
+        F.sum("_cost").over(w.rangeBetween(-(days - 1), 0)).alias(f"cost_{days}d"),
+        (F.sum("_jobs").over(w.rangeBetween(Window.unboundedPreceding, 0)) - F.col("_jobs")).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("device_id", "date").orderBy("maintenance_id"))
+    ranked = m.withColumn("_rank", rank)
+    joined = ranked.join(daily, ranked["device_id"].eqNullSafe(daily["_device"]) & ranked["date"].eqNullSafe(daily["_date"]), "left")
+    return joined.select(*m.columns, f"cost_{days}d", (F.col("_before") + F.col("_rank")).alias("running_maintenance_count"))

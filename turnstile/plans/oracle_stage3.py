@@ -162,6 +162,22 @@ _prof = "\nUNION ALL\n".join(
     f"round(avg(CASE WHEN {c} IS NULL THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6) AS null_pct FROM gold"
     for c in GOLD_NUMERIC)
 oracle("a11_profile_numeric", with_gold(_prof))
+
+
+def _merged(keys, group, more=""):
+    """The profile of each numeric column in one pass over the rows."""
+    return "\nUNION ALL\n".join(
+        f"SELECT {keys}'{c}' AS \"column\", {more.replace('@', c).replace('#', GOLD_TYPES[c])}count(*) AS rows, count(*) - count({c}) AS nulls, "
+        f"round(min(CAST({c} AS DOUBLE)), 6) AS low, round(max(CAST({c} AS DOUBLE)), 6) AS high, "
+        f"round(avg(CAST({c} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std FROM gold {group}"
+        for c in GOLD_NUMERIC)
+
+
+oracle("a11_profile_merged", with_gold(_merged("", "", "'#' AS dtype, count(*) FILTER (WHERE isinf(CAST(@ AS DOUBLE))) AS infinite, "
+                                               "round((count(*) - count(@)) / count(*), 6) AS null_pct, ")))
+oracle("a11_profile_weekly", with_gold(_merged("CAST(date_trunc('week', date) AS DATE) AS week, ", "GROUP BY 1")))
+oracle("q9_gold_suite_merged", with_gold("SELECT * FROM suites WHERE layer = 'gold'", "v_dirty_telemetry_all", "v_dirty_devices",
+                                         extra=SUITE_EXTRA + [("suites", SUITES)]))
 _long = "\nUNION ALL\n".join(f"SELECT '{c}' AS col, {c} AS value FROM gold WHERE {c} IS NOT NULL" for c in GOLD_STRING)
 oracle("a11_profile_strings", with_gold("""
 SELECT col AS "column", unique_values, CAST(rk AS INTEGER) AS rank, value, count FROM (

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime
+import uuid
+
 from pyspark.sql import functions as F
 
 from turnstile.functions.exprs import TELEMETRY_RANGES
-from turnstile.operators import clean, quality, store
+from turnstile.operators import clean, profiles, quality, store
 from turnstile.plans.catalog import register
 from turnstile.plans.common import round_doubles
 from turnstile.plans.q_gold import gold
+from turnstile.session import scratch_path
 from turnstile.sources.canonical import Fleet
 
 
@@ -74,3 +78,49 @@ def b10_feature_catalog(spark, sf_dir):
 def b13_source_profile(spark, sf_dir):
     t = clean.drop_meta(Fleet(spark, sf_dir).dirty_telemetry())
     return round_doubles(store.source_profile(t, ["device_id", "date"], "date"))
+
+
+def _profile_states(spark, sf_dir):
+    """States of the gold table's days, loaded in two batches of days."""
+    f = Fleet(spark, sf_dir)
+
+    def make():
+        kept = profiles.ProfileStore(spark, scratch_path(spark, f"profiles/{uuid.uuid4().hex}"))
+        g, middle = gold(spark, sf_dir), datetime.date(2024, 1, 16)
+        kept.add(g.where(F.col("date") < middle), "date", "first")
+        kept.add(g.where(F.col("date").isNull() | (F.col("date") >= middle)), "date", "second")
+        return kept.states()
+
+    return f._m("profile_states", make)
+
+
+def _numeric(states):
+    return states.where(~F.col("dtype").isin("string", "date", "timestamp", "boolean"))
+
+
+@register("a11_profile_merged")
+def a11_profile_merged(spark, sf_dir):
+    """The table's profile from the stored states of its days."""
+    p = profiles.profile_of(_numeric(_profile_states(spark, sf_dir)))
+    return round_doubles(p.select("column", "dtype", "rows", "nulls", "infinite", "null_pct", "low", "high", "mean", "std"))
+
+
+@register("a11_profile_weekly")
+def a11_profile_weekly(spark, sf_dir):
+    """A profile a week, from the same states."""
+    week = F.date_trunc("week", "day").cast("date").alias("week")
+    p = profiles.profile_of(_numeric(_profile_states(spark, sf_dir)), [week])
+    return round_doubles(p.select("week", "column", "rows", "nulls", "low", "high", "mean", "std"))
+
+
+@register("a11_profile_sketches")
+def a11_profile_sketches(spark, sf_dir):
+    """Distinct values and quantiles by merged sketches, all columns."""
+    p = profiles.profile_of(_profile_states(spark, sf_dir))
+    return round_doubles(p.select("column", "rows", "nulls", "distinct_estimate", "p50", "p95", "p99"))
+
+
+@register("q9_gold_suite_merged")
+def q9_gold_suite_merged(spark, sf_dir):
+    """The gold suite from the stored states; no row of the table is read again."""
+    return round_doubles(profiles.validate_states(_profile_states(spark, sf_dir), quality.gold_suite(), "gold", "device_features"))
