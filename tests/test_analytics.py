@@ -174,3 +174,16 @@ def test_itemsets_of_wide_baskets_stay_small(spark):
     """Sixteen codes in every basket have 65,535 frequent sets, 696 of up to three items."""
     t = spark.createDataFrame([(0, [f"c{i:02d}" for i in range(16)], 12)], "basket long, items array<string>, n long")
     assert patterns.itemsets(t, 0.05, 3).count() == 16 + 120 + 560
+
+
+def test_dashboard_document(spark):
+    import json
+
+    from turnstile.operators import scoring
+
+    rows = [("b", "x\"y", "m", 1.25), ("b", "a", "m", 2.0), ("b", "a", "k", None), ("a", "", "n", 0.00004), ("a", "", "w", float("nan")), ("c", "[i]", "m", -3.5)]
+    df = spark.createDataFrame(rows, "block string, item string, metric string, value double").repartition(3)
+    text = scoring.dashboard_document(df).first().document
+    assert json.loads(text) == {"a": {"all": {"n": 0.0, "w": None}}, "b": {"a": {"k": None, "m": 2.0}, "x\"y": {"m": 1.25}}, "c": {"[i]": {"m": -3.5}}}
+    assert list(json.loads(text)) == ["a", "b", "c"]
+    assert scoring.dashboard_document(df.limit(0)).first().document == "{}"

@@ -255,5 +255,19 @@ def dashboard_values(blocks: list[tuple]) -> DataFrame:
 
 
 def dashboard_document(values: DataFrame) -> DataFrame:
-    """The document itself: one row a block with its values as JSON, ordered by item and metric."""
-    return values.groupBy("block").agg(F.to_json(F.array_sort(F.collect_list(F.struct("item", "metric", "value")))).alias("document"))
+    """The dashboard as one row with one JSON object: block -> item -> metric -> value, all in order of name.
+
+    A block without items has the one item ``all``; values have four decimals; NULL and what is no number is ``null``."""
+    real = F.when(~F.isnan("value") & (F.abs("value") != float("inf")), F.round("value", 4)).cast("decimal(20,4)")
+    rows = values.select("block", F.when(F.col("item") == "", "all").otherwise(F.col("item")).alias("item"), "metric", real.alias("value"))
+
+    metrics = F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "value"))))
+    items = rows.groupBy("block", "item").agg(F.to_json(metrics).alias("content"))
+
+    def joined(df, keys, name):
+        """The rows of each group as one JSON object; maps can't be compared, so contents are sorted as text."""
+        pairs = F.array_sort(F.collect_list(F.struct(F.to_json(F.array(name)).alias("key"), "content")))
+        text = F.transform(pairs, lambda p: F.concat(F.regexp_replace(p["key"], r"^\[|\]$", ""), F.lit(":"), p["content"]))
+        return df.groupBy(*keys).agg(F.concat(F.lit("{"), F.array_join(text, ","), F.lit("}")).alias("content"))
+
+    return joined(joined(items, ["block"], "item"), [], "block").select(F.col("content").alias("document"))

@@ -171,6 +171,18 @@ SELECT device_id, date, CASE WHEN date = DATE '2024-01-15' THEN error_count + 1
   round(cpu_usage_pct, 6) AS cpu_usage_pct
 FROM v_telemetry WHERE date <> DATE '2024-01-15' OR device_id % 4 <> 0""", "v_telemetry"))
 oracle("a28_dashboard_summary", dashboard(["n_features", "n_drifted", "drift_share"]))
+oracle("a28_dashboard_document", f"""
+SELECT '{{' || string_agg('"' || block || '":{{' || items || '}}', ',' ORDER BY block) || '}}' AS document
+FROM (SELECT block, string_agg('"' || item || '":{{' || metrics || '}}', ',' ORDER BY item) AS items
+      FROM (SELECT block, CASE WHEN item = '' THEN 'all' ELSE item END AS item,
+                   string_agg('"' || metric || '":' || coalesce(CAST(CAST(round(value, 4) AS DECIMAL(20, 4)) AS VARCHAR), 'null'), ',' ORDER BY metric) AS metrics
+            FROM ({ORACLE["a28_dashboard_summary"]}) v(block, item, metric, value) GROUP BY 1, 2) i GROUP BY block) b""")
+# the chi-square tail as one less the series of the lower incomplete gamma function
+oracle("d3_chi_square_pvalue", f"""
+SELECT feature, chi2, dof, round(p_value, 6) AS p_value, 'chi_square' AS method, p_value < 0.05 AS drifted
+FROM (SELECT feature, chi2, dof, CASE WHEN dof <= 0 THEN CAST('NaN' AS DOUBLE) WHEN chi2 <= 0 THEN 1.0 ELSE 1 - (
+        SELECT sum(exp((dof / 2.0 + k) * ln(chi2 / 2) - chi2 / 2 - lgamma(dof / 2.0 + k + 1))) FROM range(0, 600) t(k)) END AS p_value
+      FROM ({ORACLE["d3_chi_square"]}) c) x""")
 
 # ------------------------------------------------------------------ patterns, top-k
 oracle("t2_top_rules", "SELECT antecedents, consequents, confidence, lift FROM (" + ORACLE["m12_rules"]

@@ -309,9 +309,8 @@ def t4_dashboard_slices(spark, sf_dir):
     return round_doubles(out, 4)
 
 
-@register("a28_dashboard_summary")
-def a28_dashboard_summary(spark, sf_dir):
-    """Seven blocks; those of fitted models take the rule scores, so that SQL can follow every value."""
+def _dashboard(spark, sf_dir):
+    """The values of the dashboard's blocks, written once for the table and the document."""
     from turnstile.plans.catalog import QUERIES
 
     def rows(name):
@@ -320,7 +319,7 @@ def a28_dashboard_summary(spark, sf_dir):
     def number(name, metric):
         return rows(name).agg(F.count(F.lit(1)).alias(metric))
 
-    return round_doubles(sc.dashboard_values([
+    return Fleet(spark, sf_dir)._m("dashboard", lambda: materialize(sc.dashboard_values([
         ("ps1_failure_prediction", rows("m5_baseline_metrics"), None, ["roc_auc", "f1", "recall", "precision"]),
         ("ps2_error_patterns", number("m12_rules", "association_rules"), None, ["association_rules"]),
         ("ps2_error_patterns", number("m14_significant_transitions", "top_transitions"), None, ["top_transitions"]),
@@ -332,4 +331,16 @@ def a28_dashboard_summary(spark, sf_dir):
          ["mean_rul", "critical_devices", "high_devices", "medium_devices", "low_devices"]),
         ("drift_detection", rows("d4_drift_share"), None, ["n_features", "n_drifted", "drift_share"]),
         ("data_quality", rows("q10_summary"), "layer", ["total", "passed", "failed"]),
-    ]), 4)
+    ]), "dashboard"))
+
+
+@register("a28_dashboard_summary")
+def a28_dashboard_summary(spark, sf_dir):
+    """Seven blocks; those of fitted models take the rule scores, so that SQL can follow every value."""
+    return round_doubles(_dashboard(spark, sf_dir), 4)
+
+
+@register("a28_dashboard_document")
+def a28_dashboard_document(spark, sf_dir):
+    """The same values as one JSON document, as a client of the dashboard gets them."""
+    return sc.dashboard_document(_dashboard(spark, sf_dir))
