@@ -228,6 +228,9 @@ def test_token_files(spark, tmp_path):
             assert ids[:real].tolist() == whole[32 * i:32 * i + real].tolist() and not ids[real:].any()
             assert mask.to_pylist() == [True] * real + [False] * (32 - real)
         f.close()
+    small = token_files.write_token_files(df, folder + "-small", tokenizer_file("byte_bpe_50k.json"), seq_len=32, task_bytes=200)
+    assert small.select("file").distinct().count() > index.select("file").distinct().count()
+    assert sorted(token_files.read_documents(small, folder + "-small").collect()) == got
     none = token_files.write_token_files(empty(spark), folder + "-none", tokenizer_file("byte_bpe_50k.json"))
     assert token_files.read_documents(none, folder + "-none").count() == 0
 

@@ -38,6 +38,8 @@ SEQ_LEN, END_ID = 2048, 0
 BATCH = 64
 #: Ids after which a task begins a new file.
 FILE_IDS = 64 << 20
+#: Bytes of text that a task encodes: on large tables this sets the number of partitions.
+TASK_BYTES = 512 << 20
 
 
 def _file_system(path: str):
@@ -131,10 +133,14 @@ class TokenFile:
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, seq_len: int = SEQ_LEN, end_id: int = END_ID,
-                      id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS) -> DataFrame:
-    """Writes the files to ``folder``; returns the index: doc_id, file, file_order, file_start, n_tokens."""
+                      id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS,
+                      task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Writes the files to ``folder``; returns the index: doc_id, file, file_order, file_start, n_tokens.
+
+    There are as many tasks as the texts' bytes ask for, at least as many as ``spark.sql.shuffle.partitions``."""
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")).cast("long"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // task_bytes))
     ordered = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
                    .withColumn("tie", F.xxhash64("text"))
                    .repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "tie")
