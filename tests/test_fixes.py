@@ -168,3 +168,27 @@ def test_daily_escalations_window_by_device_and_hour(spark, capsys):
     got.explain()
     plan = capsys.readouterr().out
     assert "lead(rank" in plan and "_hour" in plan  # no window over all of a device's events
+
+
+def test_intermediate_tables_go_with_their_run(spark, tmp_path):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    from turnstile.session import materialize, path_exists, scratch_run
+
+    query = E.queries()["d1_daily_split"]  # over the gold table, which is written once
+    before = sorted(tuple(r) for r in query(spark, SF_SMALL).collect())
+    outer = materialize(spark.range(3), "kept")
+    out = f"file://{tmp_path}/result"
+    with scratch_run(spark) as folder:
+        query(spark, SF_SMALL).write.parquet(out)
+        inside = materialize(spark.range(5), "gone")
+        assert path_exists(spark, folder) and all(folder in f for f in inside.inputFiles())
+    assert not path_exists(spark, folder)
+    assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == before
+    try:
+        with scratch_run(spark) as folder:
+            materialize(spark.range(5), "gone")
+            raise KeyError
+    except KeyError:
+        assert not path_exists(spark, folder)
+    assert outer.count() == 3 and sorted(tuple(r) for r in query(spark, SF_SMALL).collect()) == before

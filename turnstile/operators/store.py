@@ -145,7 +145,7 @@ def feature_catalog(gold: DataFrame) -> DataFrame:
             src, win = "devices", "static"
         else:
             src, win = "telemetry", "day"
-        null_rule = "zero" if src in ("error_logs", "maintenance") else ("NONE" if n == "top_error_code" else "median")
+        null_rule = "NONE" if n == "top_error_code" else ("zero" if src in ("error_logs", "maintenance") else "median")
         sets = [s for s, cfg in FEATURE_SETS.items()
                 if n in cfg.get("numeric", []) + cfg.get("categorical", []) + [cfg.get("target")]]
         rows.append((n, f.dataType.simpleString(), src, win, null_rule, sets))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from turnstile.operators.store import FEATURE_SETS
 from turnstile.plans.oracle import oracle, with_gold
 from turnstile.plans.oracle_more import DEDUP_T, T_COLS, T_INT, CLIPPED, DEDUP_D, clip, sql_title
 
@@ -194,5 +195,24 @@ SELECT count(*) AS rows,
   round(1 - (SELECT count(*) FROM (SELECT DISTINCT device_id, date FROM bronze_t)) / count(*), 6) AS duplicate_rate,
   min(date) AS date_start, max(date) AS date_end
 FROM bronze_t""", "v_dirty_telemetry_all", extra=SUITE_EXTRA))
+_catalog = ", ".join(f"('{c}', '{t}', {sum(c in s.get('numeric', []) + s.get('categorical', []) + [s.get('target')] for s in FEATURE_SETS.values())})"
+                     for c, t in GOLD_TYPES.items())
+oracle("b10_feature_catalog", with_gold(f"""
+SELECT feature, dtype, source, kind AS "window",
+  CASE WHEN feature = 'top_error_code' THEN 'NONE' WHEN source IN ('error_logs', 'maintenance') THEN 'zero' ELSE 'median' END AS null_rule,
+  CAST(n AS INTEGER) AS n_feature_sets, null_pct, mean
+FROM (SELECT feature, dtype, n,
+        CASE kind WHEN 'device-day' THEN 'error_logs' WHEN 'all history' THEN 'maintenance' WHEN 'static' THEN 'devices' ELSE 'telemetry' END AS source, kind
+      FROM (SELECT feature, dtype, n, CASE
+              WHEN contains(feature, '_7d_') THEN '7 rows'
+              WHEN ends_with(feature, '_delta') THEN '1 row lag'
+              WHEN starts_with(feature, 'cumulative_') OR feature IN ('failure_cumsum', 'days_since_last_failure') THEN 'running'
+              WHEN (starts_with(feature, 'error_') AND feature <> 'error_count') OR feature IN ('top_error_code', 'unique_error_types') THEN 'device-day'
+              WHEN feature IN ('total_maintenance_count', 'corrective_count', 'emergency_count', 'avg_resolution_hours', 'sla_compliance_rate',
+                               'total_cost_gbp', 'parts_replaced_count') THEN 'all history'
+              WHEN starts_with(feature, 'is_') OR feature IN ('station', 'gate_type', 'manufacturer', 'firmware_version', 'age_days',
+                               'warranty_remaining_days', 'failure_prone') THEN 'static'
+              ELSE 'day' END AS kind FROM (VALUES {_catalog}) v(feature, dtype, n)) k) c
+LEFT JOIN (SELECT "column" AS feature, null_pct, mean FROM prof) p USING (feature)""", extra=[("prof", _prof)]))
 
 from turnstile.plans import oracle_stage4  # noqa: E402,F401

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,9 +94,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
+    """A sub-folder of the shared checkpoint folder for written intermediate tables, inside the run's own if there is one."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    return "/".join([base, *_runs[-1:], name])
+
+
+#: Folders of the runs begun and not ended, the innermost last.
+_runs: list[str] = []
+
+
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """Intermediate tables written inside go to one folder, which is removed at the end, also after an error.
+
+    Results must be written (or collected) inside, since they read the intermediate tables.  Tables that
+    earlier queries keep for the next ones are neither used nor removed.  One run at a time in a driver, or
+    one inside another."""
+    from turnstile.sources.canonical import Fleet
+
+    kept, Fleet._cache = Fleet._cache, {}
+    _runs.append(f"runs/{uuid.uuid4().hex}")
+    folder = scratch_path(spark, "").rstrip("/")
+    try:
+        yield folder
+    finally:
+        _runs.pop()
+        Fleet._cache = kept
+        drop_path(spark, folder)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -104,8 +130,6 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     reads it): lineage is cut, a lost executor only re-reads files, and readers
     get column pruning and predicate pushdown on the written table.
     """
-    import uuid
-
     spark = df.sparkSession
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
     w = df.write.mode("overwrite")
