@@ -73,6 +73,65 @@ def test_boosting_equals_plain_fit(spark, monkeypatch, symmetric):
     assert all((a == b).all() for a, b in zip(one.covers, spread.covers)) and one.covers[0][0] == len(rows)
 
 
+@pytest.mark.parametrize("symmetric", [False, True])
+def test_only_chosen_splits_reach_the_driver(spark, monkeypatch, symmetric):
+    """What a level's job returns doesn't grow with the bins or the partitions; equal features are split at the first."""
+    df, _ = frame(spark, nulls=False)
+    df = df.withColumn("e", F.col("a"))
+    inputs, settings = ["a", "b", "c", "d", "e"], {"rounds": 5, "depth": 3, "symmetric": symmetric}
+    one = boosting.fit(df, inputs, "y", "w", **settings)
+    monkeypatch.setattr(boosting, "ONE_TASK", 0)
+    fetched, first_best = [], boosting._first_best
+
+    def seen(groups):
+        fetched.append(max(g.size for g in groups))
+        return first_best(groups)
+
+    monkeypatch.setattr(boosting, "_first_best", seen)
+    spread = boosting.fit(df.repartition(7), inputs, "y", "w", **settings)
+    assert len(fetched) == 15 and max(fetched) <= 7 * 4
+    assert all((a.feat == b.feat).all() and (a.bin == b.bin).all() for a, b in zip(one.trees, spread.trees))
+    assert all(4 not in t.feat for t in spread.trees) and any(0 in t.feat for t in spread.trees)
+
+
+def test_blocks_join_batches(spark):
+    df, _ = frame(spark)
+    edges = boosting._edges(df, ["a", "b"], 64)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        blocks = boosting._blocks(df.coalesce(1), ["a", "b"], edges, "y", "w").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [b[0].shape for b in blocks] == [(2, 200)] and blocks[0][2].sum() == df.agg(F.sum("w")).first()[0]
+
+
+def test_partitions_are_bounded_by_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert failure.sized(spark.range(1_000_000)).rdd.getNumPartitions() == cores
+    assert failure.sized(spark.range(1_000), 100, 1_000).rdd.getNumPartitions() == 10
+
+
+def test_rows_are_explained_on_all_cores(spark):
+    df, _ = frame(spark, n=4000)
+    model = failure.BoostedModel(lambda d: d, boosting.fit(df, ["a", "b", "c", "d"], "y", "w", rounds=2, depth=2))
+    made = attribution.attributions(model, df.coalesce(1), ["id"], ["a", "b", "c", "d"])
+    assert made.rdd.getNumPartitions() == min(4, spark.sparkContext.defaultParallelism) and made.count() == 4000
+
+
+def test_rows_are_scored_once_for_metrics(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def score(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    rows = [(i % 2, (i * 7 % 50) / 50) for i in range(100)]
+    df = spark.createDataFrame(rows, f"{failure.TARGET} int, score double")
+    assert failure.classification_metrics(df.mapInArrow(score, df.schema)).count() == 1
+    assert calls.value == 100
+
+
 def test_boosting_of_one_class_and_constant_inputs(spark):
     df = spark.createDataFrame([(1.0, 0), (1.0, 0), (None, 0)], "a double, y int")
     model = boosting.fit(df, ["a"], "y", rounds=3)

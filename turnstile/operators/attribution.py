@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnstile.operators.boosting import Booster
-from turnstile.operators.failure import BoostedModel
+from turnstile.operators.failure import BoostedModel, sized
 from turnstile.session import scratch_path
 
 TABLE_FEATURES = 6
@@ -150,6 +150,16 @@ def shapley_weights(o: np.ndarray, z: np.ndarray) -> np.ndarray:
     return out
 
 
+def _distinct(code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different codes below ``size``, and the place of each row's among them."""
+    if size > 1 << 16:
+        return np.unique(code, return_inverse=True)
+    found = np.flatnonzero(np.bincount(code, minlength=size))
+    place = np.empty(size, np.int64)
+    place[found] = np.arange(len(found))
+    return found, place[code]
+
+
 class Explainer:
     """Shapley values of batches of rows; keeps the tables of short paths."""
 
@@ -162,21 +172,28 @@ class Explainer:
     def explain(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(values by feature and row, output by row) of ``x``, features first."""
         out, output = np.zeros(x.shape), np.full(x.shape[1], self.start)
+        phi = np.empty(x.shape[1])
         for number, tree in enumerate(self.trees):
             asked: dict[int, list] = {}
+            known: dict[tuple, np.ndarray] = {}  # paths of a tree share most of their tests
             for at, leaf in enumerate(tree):
                 d = len(leaf.feats)
-                code = np.zeros(x.shape[1], np.int64)
-                for k, (f, test) in enumerate(zip(leaf.feats.tolist(), leaf.tests)):
-                    code |= satisfied(test, x[f]).astype(np.int64) << k
-                output += np.where(code == (1 << d) - 1, leaf.value, 0.0)
+                feats = leaf.feats.tolist()
+                code = np.zeros(x.shape[1], np.int64 if d > 16 else np.uint16)
+                for k, (f, test) in enumerate(zip(feats, leaf.tests)):
+                    if (f, test) not in known:
+                        known[f, test] = satisfied(test, x[f])
+                    code |= np.left_shift(known[f, test], k, dtype=code.dtype)
+                output[code == (1 << d) - 1] += leaf.value
+                code = code.astype(np.int64)
                 if 0 < d <= TABLE_FEATURES:
                     if (number, at) not in self._tables:
                         o = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1
                         self._tables[number, at] = (leaf.value * shapley_weights(o, np.broadcast_to(leaf.z, o.shape))).T.copy()
-                    out[leaf.feats] += self._tables[number, at][:, code]
+                    for f, table in zip(feats, self._tables[number, at]):
+                        out[f] += table.take(code, out=phi, mode="clip")
                 elif d:
-                    asked.setdefault(d, []).append((leaf, *np.unique(code, return_inverse=True)))
+                    asked.setdefault(d, []).append((leaf, *_distinct(code, 1 << d)))
             for d, some in asked.items():  # paths of one length together
                 o = (np.concatenate([codes for _, codes, _ in some])[:, None] >> np.arange(d)) & 1
                 z = np.concatenate([np.broadcast_to(leaf.z, (len(codes), d)) for leaf, codes, _ in some])
@@ -197,7 +214,8 @@ def attributions(model, df: DataFrame, key_cols: list[str], inputs: list[str]) -
             prep = stage.transform(prep)
         forest, start = forest_of_spark(spark, model.stages[-1])
     sent = spark.sparkContext.broadcast((forest, start))  # trees x nodes: bounded by the model
-    rows = prep.select(*key_cols, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(inputs)])
+    # the table may lie in fewer files than there are cores
+    rows = sized(prep, 100_000, 1_000).select(*key_cols, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(inputs)])
     schema = T.StructType([rows.schema[c] for c in key_cols] + [
         T.StructField("base", T.DoubleType()), T.StructField("output", T.DoubleType()), T.StructField("attr", T.ArrayType(T.DoubleType()))])
     n_keys, p = len(key_cols), len(inputs)
