@@ -209,6 +209,21 @@ def test_shapley_of_boosting(spark, monkeypatch, tables):
         assert np.allclose(values[:, k], subset_shapley(forest, x[:, k]))
 
 
+def test_shapley_of_short_and_long_paths_together(spark, monkeypatch):
+    monkeypatch.setattr(attribution, "TABLE_FEATURES", 2)
+    df, rows = frame(spark)
+    forest, base = attribution.forest_of_booster(boosting.fit(df, ["a", "b", "c", "d"], "y", "w", rounds=6, depth=4))
+    explainer = attribution.Explainer(forest, base)
+    assert {len(leaf.feats) > 2 for t in explainer.trees for leaf in t} == {True, False}
+    tested, satisfied = [], attribution.satisfied
+    monkeypatch.setattr(attribution, "satisfied", lambda test, x: tested.append(test) or satisfied(test, x))
+    x = np.array([[np.nan if v is None else v for v in r[1:5]] for r in rows[:25]]).T
+    values, _ = explainer.explain(x)
+    assert len(tested) < sum(len(leaf.feats) for t in explainer.trees for leaf in t)  # once for all paths of a tree
+    for k in range(25):
+        assert np.allclose(values[:, k], subset_shapley(forest, x[:, k]))
+
+
 def test_shapley_of_forest(spark):
     df, _ = frame(spark, nulls=False)
     df = df.withColumn("k", (F.col("id") % 5).cast("double")).withColumn("y", F.when(F.col("k").isin(1.0, 4.0), 1 - F.col("y")).otherwise(F.col("y")))

@@ -172,7 +172,7 @@ class Explainer:
     def explain(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(values by feature and row, output by row) of ``x``, features first."""
         out, output = np.zeros(x.shape), np.full(x.shape[1], self.start)
-        phi = np.empty(x.shape[1])
+        value = np.empty(x.shape[1])
         for number, tree in enumerate(self.trees):
             asked: dict[int, list] = {}
             known: dict[tuple, np.ndarray] = {}  # paths of a tree share most of their tests
@@ -191,7 +191,7 @@ class Explainer:
                         o = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1
                         self._tables[number, at] = (leaf.value * shapley_weights(o, np.broadcast_to(leaf.z, o.shape))).T.copy()
                     for f, table in zip(feats, self._tables[number, at]):
-                        out[f] += table.take(code, out=phi, mode="clip")
+                        out[f] += table.take(code, out=value, mode="clip")
                 elif d:
                     asked.setdefault(d, []).append((leaf, *_distinct(code, 1 << d)))
             for d, some in asked.items():  # paths of one length together
