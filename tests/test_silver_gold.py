@@ -70,3 +70,22 @@ def test_quality_suite_counts(spark):
 def test_round_doubles_keeps_types(spark):
     df = spark.createDataFrame([(1.23456789, 2)], "a double, b int")
     assert round_doubles(df).first().a == 1.234568
+
+
+def test_error_day_features_hold_no_object_a_group(spark):
+    from turnstile.operators import features as feat
+
+    rows = [(1, "2024-01-01 01:00:00", "B", "LOW", 1), (1, "2024-01-01 02:00:00", "A", "HIGH", 0), (1, "2024-01-01 03:00:00", "C", "odd", 1),
+            (1, "2024-01-01 04:00:00", "A", None, None), (1, "2024-01-01 05:00:00", "B", "LOW", 1), (1, "2024-01-01 06:00:00", None, "LOW", 1),
+            (1, "2024-01-01 07:00:00", None, "LOW", 0), (1, "2024-01-01 08:00:00", None, "LOW", 0),
+            (2, "2024-01-01 01:00:00", None, "CRITICAL", None), (None, None, "Z", "MEDIUM", 1), (1, "2024-01-02 01:00:00", "Z", "LOW", 0)]
+    e = spark.createDataFrame(rows, "device_id long, timestamp string, error_code string, severity string, resolved int").withColumn(
+        "timestamp", F.to_timestamp("timestamp"))
+    d = feat.error_day_features(e)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "collect_set" not in plan
+    got = {(r.device_id, str(r.date)): (r.top_error_code, r.unique_error_types, r.error_resolution_rate, r.error_low_count, r.error_medium_count,
+                                        r.error_high_count, r.error_critical_count) for r in d.collect()}
+    assert got == {(1, "2024-01-01"): ("A", 3, 4 / 7, 5, 0, 1, 0), (2, "2024-01-01"): (None, 0, None, 0, 0, 0, 1),
+                   (None, "None"): ("Z", 1, 1.0, 0, 1, 0, 0), (1, "2024-01-02"): ("Z", 1, 0.0, 1, 0, 0, 0)}
+    assert [t for _, t in d.dtypes] == ["bigint", "date", *["int"] * 4, "string", "int", "double"]
