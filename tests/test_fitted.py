@@ -83,3 +83,34 @@ def test_fitted_labels(spark):
     mapped = q["p26_anomaly_feature_map_fitted"](spark, SF_SMALL)
     assert mapped.where("is_anomaly").select("device_id", "date").distinct().count() == found
     assert q["a9_anomaly_feature_diff_fitted"](spark, SF_SMALL).count() == q["a9_anomaly_feature_diff"](spark, SF_SMALL).count()
+
+
+def test_hypotheses_run_side_by_side_and_match_without_confounders(spark, monkeypatch):
+    import threading
+
+    from turnstile.operators import causes as cz
+
+    rows = [(i, f"2024-01-{1 + i % 28:02d}", i % 7, float(i % 11), float(i % 5), i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "device_id int, date string, error_count int, temperature_c double, age_days double, y int")
+    features = ["error_count", "temperature_c", "age_days"]
+    alone, nearest, both, seen = cz.matching_ate, cz.nearest_opposite, threading.Barrier(3, timeout=60), []
+
+    def together(*args):
+        both.wait()  # broken unless all three hypotheses have begun
+        return alone(*args)
+
+    def watched(p, *args):
+        seen.append(p.columns)
+        return nearest(p, *args)
+
+    monkeypatch.setattr(cz, "nearest_opposite", watched)
+    monkeypatch.setattr(cz, "matching_ate", together)
+    got = [tuple(r) for r in cz.causal_effects(df, "y", features).collect()]
+    assert seen == [["_treat", "y", "_key", "ps"]] * 3
+    monkeypatch.setattr(cz, "matching_ate", alone)
+    want = []
+    for t, text in [h for h in cz.HYPOTHESES if h[0] in df.columns]:  # by hand, one after the other
+        x = df.withColumn("_treat", (F.col(t) > cz.exact_median(df, [t])[t]).cast("int"))
+        ate = alone(x, "_treat", "y", [c for c in features if c != t])
+        want.append((t, text, round(ate, 4), abs(ate) > 0.01))
+    assert got == want

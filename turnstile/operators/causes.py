@@ -9,6 +9,9 @@ table with one row per bucket) carry the neighbour across bucket edges.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -119,7 +122,7 @@ def matching_ate(df: DataFrame, treat: str, outcome: str, confounders: list[str]
     # the key breaks ties of the score: a hash of the unit, without its outcome or arm
     unit = [c for c in ("device_id", "date") if c in df.columns] or confounders
     x = df.select(treat, outcome, *confounders, F.xxhash64(*unit).alias("_key")).fillna(0).persist()  # read by every optimiser step
-    p = propensity(x, treat, confounders).persist()  # read by the matching passes
+    p = propensity(x, treat, confounders).select(treat, outcome, "_key", "ps").persist()  # read by the matching passes, without the confounders
     m = nearest_opposite(p, treat, "ps", outcome)
     eff = F.when(F.col(treat) == 1, F.col(outcome) - F.col("matched_outcome")).otherwise(
         F.col("matched_outcome") - F.col(outcome))
@@ -132,15 +135,17 @@ def matching_ate(df: DataFrame, treat: str, outcome: str, confounders: list[str]
 def causal_effects(df: DataFrame, outcome: str, feature_names: list[str], hypotheses=HYPOTHESES) -> DataFrame:
     """ATE per hypothesis: treatment = feature above its median; confounders = the
     first five other features in ``feature_names`` order."""
-    rows = []
-    feats = [t for t, _ in hypotheses if t in df.columns]
-    med = exact_median(df, feats)
-    for t, desc in hypotheses:
-        if t not in df.columns:
-            continue
+    found = [(t, desc) for t, desc in hypotheses if t in df.columns]
+    med = exact_median(df, [t for t, _ in found])
+
+    def effect(pair):
+        t, desc = pair
         conf = [c for c in feature_names if c != t and c in df.columns][:5]
         x = df.withColumn("_treat", (F.col(t) > F.lit(med[t])).cast("int"))
         ate = matching_ate(x, "_treat", outcome, conf)
-        rows.append((t, desc, None if ate is None else round(float(ate), 4),
-                     None if ate is None else abs(ate) > 0.01))
+        return t, desc, None if ate is None else round(float(ate), 4), None if ate is None else abs(ate) > 0.01
+
+    # an optimiser's steps are many small jobs, which leave cores to the other hypotheses
+    with ThreadPoolExecutor(max(len(found), 1)) as pool:
+        rows = [r.result() for r in [pool.submit(inheritable_thread_target(df.sparkSession)(effect), pair) for pair in found]]
     return df.sparkSession.createDataFrame(rows, "treatment string, hypothesis string, ate double, significant boolean")
