@@ -155,6 +155,24 @@ def test_ordered_targets(spark):
         assert math.isclose(r["c__mean"], (sum(some) + prior) / (len(some) + 1) if some else prior)
 
 
+def test_rows_with_target_means_are_made_once(spark, monkeypatch):
+    """The table that the edges and then the blocks are read from is kept for the fit, and no longer."""
+    df, _ = frame(spark, nulls=False)
+    train = failure.class_weights(df.select(F.col("id").alias("device_id"), F.lit(0).alias("date"), F.col("a").alias("error_count"),
+                                            F.col("b").cast("string").alias("manufacturer"), F.col("y").alias(failure.TARGET)), failure.TARGET)
+    given, fit = [], boosting.fit
+
+    def seen(rows, *args, **settings):
+        given.append((rows, rows.storageLevel.useMemory))
+        return fit(rows, *args, **(settings | {"rounds": 2}))
+
+    monkeypatch.setattr(boosting, "fit", seen)
+    model, inputs = failure.train(train, "boosting_categorical", ["error_count"], ["manufacturer"])
+    (rows, kept), = given
+    assert kept and not rows.storageLevel.useMemory
+    assert inputs == ["error_count", "manufacturer__mean"] and len(model.booster.trees) == 2 and model.booster.covers[0][0] == 200
+
+
 def test_categories_help(spark):
     """Forty categories whose effect has no order: the ordered means find it, numbers in alphabetical order hardly."""
     rng = np.random.default_rng(5)
