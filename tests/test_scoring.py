@@ -43,6 +43,18 @@ def test_forest_on_held_out_rows(spark, forest):
     assert m.tp == sum(y and s >= 0.5 for y, s in pairs) and m.tn == sum((not y) and s < 0.5 for y, s in pairs)
 
 
+def test_forest_rows_keep_their_nodes(spark, forest, monkeypatch):
+    """The forest whose rows don't walk down all trees at every level is the same forest."""
+    (model, _), df = forest
+    assert model.stages[-1].getCacheNodeIds()
+    classifier = fm.RandomForestClassifier
+    monkeypatch.setattr(fm, "RandomForestClassifier", lambda **settings: classifier(**(settings | {"cacheNodeIds": False})))
+    train = fm.class_weights(df.where("device_id % 3 <> 0"), fm.TARGET)
+    walked, _ = fm.train(train, "random_forest", ["error_count", "temperature_c"], ["manufacturer"])
+    trees = [[t.toDebugString.split("\n", 1)[1] for t in m.stages[-1].trees] for m in (walked, model)]  # the first line names the object
+    assert len(trees[0]) == 200 and trees[0] == trees[1]
+
+
 def test_importance_finds_what_matters(forest):
     (model, inputs), _ = forest
     pairs = fm.feature_importance(model, inputs, 2)
