@@ -88,6 +88,26 @@ def test_scoring_queries_agree(spark):
     assert len(values) == 15 and values == sorted(values, reverse=True) and 0 < sum(values) <= 1 + 1e-6
 
 
+def test_models_share_the_training_rows(spark, monkeypatch):
+    """The three fits read one kept table, which is dropped after them."""
+    from turnstile.plans import q_ml
+    from turnstile.sources.canonical import Fleet
+
+    monkeypatch.setattr(Fleet, "_cache", {})
+    given, levels = [], []
+
+    def train(rows, name):
+        given.append(rows)
+        levels.append(rows.storageLevel.useMemory)
+        return name, ["error_count"]
+
+    monkeypatch.setattr(fm, "train", train)
+    monkeypatch.setattr(fm, "predict", lambda model, df: df.withColumn("score", F.lit(0.5)))
+    made = q_ml._all_metrics(spark, SF_SMALL).collect()
+    assert [r.model for r in made] == q_ml.MODELS and len(given) == 3 and levels == [True] * 3
+    assert all(rows is given[0] for rows in given) and not given[0].storageLevel.useMemory
+
+
 def test_decision_matrix(spark):
     want = {(0.51, 0.95): "Emergency retrain + alert team", (0.5, 0.84): "Urgent retrain + root cause", (0.31, 0.85): "Retrain (proactive)",
             (0.3, 0.84): "Investigate features, retrain", (0.0, 0.2): "Investigate features, retrain", (0.3, 0.85): "Monitor, retrain next month",

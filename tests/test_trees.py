@@ -94,6 +94,43 @@ def test_only_chosen_splits_reach_the_driver(spark, monkeypatch, symmetric):
     assert all(4 not in t.feat for t in spread.trees) and any(0 in t.feat for t in spread.trees)
 
 
+@pytest.mark.parametrize("symmetric", [False, True])
+def test_features_are_added_up_in_groups(spark, monkeypatch, symmetric):
+    """A larger table's task: the trees of plain sums, ties at the first of equal features, and of two children only the smaller one's rows are added up."""
+    df, rows = frame(spark, n=500)
+    df = df.withColumn("e", F.col("a")).withColumn("f", F.col("b") * 2 + 1)
+    inputs, settings = ["a", "b", "c", "d", "e", "f"], {"rounds": 6, "depth": 4, "rate": 0.3, "l2": 1.5, "symmetric": symmetric}
+    plain = boosting.fit(df, inputs, "y", "w", **settings)
+    monkeypatch.setattr(boosting, "PLAIN", 0)
+    joint = boosting.fit(df.repartition(3), inputs, "y", "w", **settings)
+    assert len(joint.trees) == 6 and all((t.feat < 4).all() for t in joint.trees)
+    assert all((a.bin == b.bin).all() and (a.feat % 4 == b.feat % 4).all() and np.allclose(a.value, b.value, atol=1e-9) for a, b in zip(plain.trees, joint.trees))
+    assert all((a == b).all() for a, b in zip(plain.covers, joint.covers)) and joint.covers[0][0] == 500
+
+    edges = boosting._edges(df, inputs, 64)
+    made = boosting._Joint(boosting._blocks(df, inputs, edges, "y", "w").collect(), edges)
+    assert len(made.groups) == 2 and sorted(j for group in made.groups for j in group) == list(range(6))
+    added, whole = [], made._added
+
+    def seen(nodes, size, bins):
+        added.append(sum(made._rows_of(nodes, size)))
+        return whole(nodes, size, bins)
+
+    monkeypatch.setattr(made, "_added", seen)
+    boosting._boost(made, inputs, edges, {**settings, "rounds": 1, "min_child": 1.0})
+    assert added[0] == 500 and len(added) == 4 and max(added[1:]) <= 250
+
+
+def test_quantiles_of_some_features_a_query(spark, monkeypatch):
+    df, _ = frame(spark)
+    asked, percentile = [], F.percentile_approx
+    monkeypatch.setattr(boosting, "EDGES_AT_ONCE", 3)
+    monkeypatch.setattr(boosting.F, "percentile_approx", lambda *args: asked.append(args) or percentile(*args))
+    some = boosting._edges(df, ["a", "b", "c", "d"], 8)
+    monkeypatch.setattr(boosting, "EDGES_AT_ONCE", 9)
+    assert len(asked) == 4 and all((a == b).all() for a, b in zip(some, boosting._edges(df, ["a", "b", "c", "d"], 8), strict=True))
+
+
 def test_blocks_join_batches(spark):
     df, _ = frame(spark)
     edges = boosting._edges(df, ["a", "b"], 64)
