@@ -148,6 +148,13 @@ def test_partitions_are_bounded_by_cores(spark):
     assert failure.sized(spark.range(1_000), 100, 1_000).rdd.getNumPartitions() == 10
 
 
+def test_long_tasks_beside_keep_their_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(1_000_000)
+    assert failure.sized(df, others=2).rdd.getNumPartitions() == cores - 2 and failure.sized(df, others=99).rdd.getNumPartitions() == 1
+    assert failure.sized(df, counted=spark.range(9_000)).rdd.getNumPartitions() == 2 and failure.sized(spark.range(9_000), others=2).rdd.getNumPartitions() == 2
+
+
 def test_rows_are_explained_on_all_cores(spark):
     df, _ = frame(spark, n=4000)
     model = failure.BoostedModel(lambda d: d, boosting.fit(df, ["a", "b", "c", "d"], "y", "w", rounds=2, depth=2))
